@@ -1,28 +1,22 @@
-"""Date predicates. Monday is 0."""
+"""Date expressions. Monday is 0."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def is_weekend(day: str) -> str:
+    return f"weekday({day}) >= 5"
 
-def is_weekend(day: Column) -> Column:
-    return F.weekday(day) >= 5
 
-
-def nth_weekday(year: Column, month: int, weekday: int, nth: int) -> Column:
+def nth_weekday(year: str, month: int, weekday: int, nth: int) -> str:
     """The nth given weekday of a month; nth = -1 is the last one."""
-    first = F.make_date(year, F.lit(month), F.lit(1))
+    first = f"make_date({year}, {month}, 1)"
     if nth > 0:
-        return F.date_add(first, (weekday - F.weekday(first) + 7) % 7 + 7 * (nth - 1))
-    last = F.last_day(first)
-    return F.date_sub(last, (F.weekday(last) - weekday + 7) % 7)
+        shift = f"({weekday} - weekday({first}) + 7) % 7 + {7 * (nth - 1)}"
+        return f"date_add({first}, {shift})"
+    last = f"last_day({first})"
+    return f"date_sub({last}, (weekday({last}) - {weekday} + 7) % 7)"
 
 
-def observed(day: Column) -> Column:
-    """Saturday moves to Friday, Sunday to Monday."""
-    return (
-        F.when(F.weekday(day) == 5, F.date_sub(day, 1))
-        .when(F.weekday(day) == 6, F.date_add(day, 1))
-        .otherwise(day)
-    )
+def observed_shift(day: str) -> str:
+    """The weekday a weekend holiday closes instead; NULL for other days."""
+    return f"case weekday({day}) when 5 then date_sub({day}, 1) when 6 then date_add({day}, 1) end"

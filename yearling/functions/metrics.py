@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def mae(actual: str, predicted: str) -> str:
+    return f"avg(abs({predicted} - {actual}))"
 
-def mae(actual: Column, predicted: Column) -> Column:
-    return F.avg(F.abs(predicted - actual))
 
+def _squares(actual: str, predicted: str) -> str:
+    return f"({predicted} - {actual}) * ({predicted} - {actual})"
 
-def rmse(actual: Column, predicted: Column) -> Column:
-    miss = predicted - actual
-    return F.sqrt(F.avg(miss * miss))
 
+def rmse(actual: str, predicted: str) -> str:
+    return f"sqrt(avg({_squares(actual, predicted)}))"
 
-def r2(actual: Column, predicted: Column) -> Column:
+
+def r2(actual: str, predicted: str) -> str:
     """NULL below two rows; a constant actual scores 1 if matched, else 0."""
-    miss = predicted - actual
-    left = F.sum(miss * miss)
-    spread = F.regr_syy(actual, actual)
-    flat = F.when(left == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    return (
-        F.when(F.count(actual) < 2, F.lit(None).cast("double"))
-        .when(spread == 0, flat)
-        .otherwise(1 - F.try_divide(left, spread))
-    )
+    left, spread = f"sum({_squares(actual, predicted)})", f"regr_syy({actual}, {actual})"
+    return f"""case when count({actual}) < 2 then null
+        when {spread} = 0 then if({left} = 0, double(1), double(0))
+        else 1 - try_divide({left}, {spread}) end"""

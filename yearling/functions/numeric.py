@@ -2,50 +2,53 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Java also reads "12d" and "0x1p3" as doubles; a data cell must not.
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
-def nan_to_null(column: Column) -> Column:
-    return F.nullif(column, F.lit(float("nan")))
+def nan_to_null(number: str) -> str:
+    return f"nullif({number}, double('NaN'))"
 
 
-def lenient_double(cell: Column) -> Column:
+def lenient_double(cell: str) -> str:
     """A number, or NULL where the text is not one ('nan' included)."""
-    return F.when(cell.rlike(_NUMBER), cell.try_cast("double"))
+    return f"if({cell} rlike r'{_NUMBER}', try_cast({cell} as double), null)"
 
 
-def lenient_long(cell: Column) -> Column:
+def lenient_long(cell: str) -> str:
     """A whole number, or NULL. '12.0' and '1e3' count as whole."""
-    wide = lenient_double(cell)
-    whole = F.when((wide == F.floor(wide)) & (F.abs(wide) < F.lit(2.0**63)), wide)
-    return F.coalesce(cell.try_cast("bigint"), whole.try_cast("bigint"))
-
-
-def strict_long(cell: Column, name: str) -> Column:
-    """A whole number; text or a missing cell fails the job."""
-    problem = F.concat(
-        F.lit(f"{name}: not a whole number: "), F.coalesce(cell, F.lit("missing"))
+    wide = f"try_cast({cell} as double)"
+    whole = f"{cell} rlike r'{_NUMBER}' and {wide} % 1 = 0"
+    return (
+        f"coalesce(try_cast({cell} as bigint), if({whole}, try_cast({wide} as bigint), null))"
     )
-    return F.coalesce(cell.try_cast("bigint"), F.raise_error(problem).cast("bigint"))
 
 
-def total(columns: list[Column]) -> Column:
+def total(parts: list[str]) -> str:
     """Sum across columns, NULL when any part is."""
-    return reduce(add, columns)
+    return " + ".join(parts)
+
+
+def strict(name: str, formula: str, cells: list[str]) -> str:
+    """A formula over whole-number cells; text or a missing cell fails the job.
+
+    `formula` names the cells as {0}, {1}, ...
+    """
+    number = formula.format(*[f"try_cast({c} as bigint)" for c in cells])
+    shown = ", ".join(f"coalesce({c}, 'missing')" for c in cells)
+    problem = f"concat('{name}: not whole numbers: ', concat_ws(', ', {shown}))"
+    return f"coalesce({number}, cast(raise_error({problem}) as bigint))"
+
+
+def strict_total(name: str, cells: list[str]) -> str:
+    return strict(name, total([f"{{{i}}}" for i in range(len(cells))]), cells)
 
 
-def percent(part: Column, whole: Column) -> Column:
+def percent(part: str, whole: str) -> str:
     """part / whole * 100, NULL when the whole is zero."""
-    return F.try_divide(part, whole) * 100
+    return f"try_divide({part}, {whole}) * 100"
 
 
-def growth(later: Column, earlier: Column) -> Column:
+def growth(later: str, earlier: str) -> str:
     """Relative change as a fraction, NULL when the earlier value is zero."""
-    return F.try_divide(later, earlier) - 1
+    return f"try_divide({later}, {earlier}) - 1"

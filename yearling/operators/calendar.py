@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from yearling.functions.dates import is_weekend, nth_weekday, observed
+from yearling.functions.dates import is_weekend, nth_weekday, observed_shift
 
 # US federal holidays and the first year of each rule used here.
 # (name, first year, month, day)
@@ -35,61 +34,52 @@ def federal_holidays(years: DataFrame, year: str = "year") -> DataFrame:
     the next year may fall back into the last given year. Years before 1978 had
     other rules and yield no rows.
     """
-    y = F.col(year)
-    days = [
-        _entry(name, y >= first, F.make_date(y, F.lit(month), F.lit(day)), moves=False)
-        for name, first, month, day in FIXED_DATE
-    ]
-    days += [
-        _entry(name, y >= first, F.make_date(y, F.lit(month), F.lit(day)), moves=True)
-        for name, first, month, day in FIXED_DATE
-    ]
-    days.append(
-        _entry("New Year's Day", F.lit(True), F.make_date(y + 1, F.lit(1), F.lit(1)), moves=True)
-    )
-    days += [
-        _entry(name, y >= first, nth_weekday(y, month, weekday, nth), moves=False)
-        for name, first, month, weekday, nth in NTH_WEEKDAY
-    ]
+    days = []
+    for name, first, month, day in FIXED_DATE:
+        date = f"make_date(_year, {month}, {day})"
+        days.append(_entry(name, first, date))
+        days.append(_entry(f"{name} (observed)", first, observed_shift(date)))
+    next_new_year = observed_shift("make_date(_year + 1, 1, 1)")
+    days.append(_entry("New Year's Day (observed)", FIRST_YEAR, next_new_year))
+    for name, first, month, weekday, nth in NTH_WEEKDAY:
+        days.append(_entry(name, first, nth_weekday("_year", month, weekday, nth)))
     return (
-        years.filter(y >= FIRST_YEAR)
-        .select(y.alias("_year"), F.inline(F.array(*days)))
-        .filter("holiday_date is not null and year(holiday_date) = _year")
+        years.selectExpr(f"int(`{year}`) as _year")
+        .filter(f"_year >= {FIRST_YEAR}")
+        .selectExpr("_year", f"inline(array({', '.join(days)}))")
+        .filter("year(holiday_date) = _year")
         .drop("_year")
         .distinct()
     )
 
 
-def _entry(name: str, in_force: Column, day: Column, moves: bool) -> Column:
-    if moves:
-        shifted = observed(day)
-        day, name = F.when(shifted != day, shifted), f"{name} (observed)"
-    return F.struct(
-        F.when(in_force, day).alias("holiday_date"), F.lit(name).alias("holiday_name")
-    )
+def _entry(name: str, first: int, date: str) -> str:
+    in_force = f"if(_year >= {first}, {date}, null) as holiday_date"
+    return f'struct({in_force}, "{name}" as holiday_name)'
 
 
 def holidays_between(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
-    return federal_holidays(years)
+    return federal_holidays(spark.range(first_year, last_year + 1), "id")
+
+
+def _closed_days(holidays: DataFrame, day: str) -> DataFrame:
+    """One row per date: about a dozen a year, so Spark's size check broadcasts it.
+
+    An oversized user table falls back to a shuffle.
+    """
+    return holidays.selectExpr(f"holiday_date as `{day}`").distinct()
 
 
 def with_business_day(
     df: DataFrame, day: str, holidays: DataFrame, name: str = "is_business_day"
 ) -> DataFrame:
-    """Add whether a date is a weekday that no holiday falls on.
-
-    The join has one row per holiday date: about a dozen a year, so Spark's own
-    size check broadcasts it. An oversized user table falls back to a shuffle.
-    """
-    closed = holidays.select(F.col("holiday_date").alias(day)).distinct().withColumn(
-        "_closed", F.lit(True)
-    )
-    open_day = ~is_weekend(F.col(day)) & F.col("_closed").isNull()
-    return df.join(closed, day, "left").withColumn(name, open_day).drop("_closed")
+    """Add whether a date is a weekday that no holiday falls on."""
+    closed = _closed_days(holidays, day).selectExpr("*", "true as _closed")
+    open_day = f"not ({is_weekend(f'`{day}`')}) and _closed is null as `{name}`"
+    return df.join(closed, day, "left").selectExpr("*", open_day).drop("_closed")
 
 
 def business_day_gate(df: DataFrame, day: str, holidays: DataFrame) -> DataFrame:
     """Keep the rows dated on a business day."""
-    closed = holidays.select(F.col("holiday_date").alias(day)).distinct()
-    return df.filter(~is_weekend(F.col(day))).join(closed, day, "left_anti")
+    weekdays = df.filter(f"not ({is_weekend(f'`{day}`')})")
+    return weekdays.join(_closed_days(holidays, day), day, "left_anti")

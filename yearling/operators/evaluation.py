@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearling.functions import metrics
+from yearling.functions.numeric import percent
 from yearling.operators.folds import per_fold
 from yearling.operators.quantile import exact_median
 from yearling.spec import PanelSpec
@@ -15,54 +18,56 @@ METRICS = ["growth_mae", "growth_rmse", "growth_r2", "population_mae", "populati
 
 def with_errors(df: DataFrame, spec: PanelSpec, predicted: str) -> DataFrame:
     """Turn growth back into population and add every error column."""
-    value, actual, guess = F.col(spec.value), F.col(spec.target), F.col(predicted)
     return (
-        df.withColumn("actual_population", value * (1 + actual))
-        .withColumn("predicted_population", value * (1 + guess))
-        .withColumn("population_error", F.expr("predicted_population - actual_population"))
-        .withColumn("absolute_population_error", F.abs("population_error"))
-        .withColumn(
-            "absolute_percentage_error",
-            F.try_divide("absolute_population_error", F.abs("actual_population")) * 100,
+        df.selectExpr(
+            "*",
+            f"{spec.value} * (1 + {spec.target}) as actual_population",
+            f"{spec.value} * (1 + {predicted}) as predicted_population",
+            f"{predicted} - {spec.target} as prediction_error",
         )
-        .withColumn(
-            "population_error_pct", F.try_divide("population_error", "actual_population") * 100
+        .selectExpr("*", "predicted_population - actual_population as population_error")
+        .selectExpr(
+            "*",
+            "abs(population_error) as absolute_population_error",
+            f"{percent('abs(population_error)', 'abs(actual_population)')}"
+            " as absolute_percentage_error",
+            f"{percent('population_error', 'actual_population')} as population_error_pct",
         )
-        .withColumn("prediction_error", guess - actual)
     )
 
 
-def metric_columns(spec: PanelSpec, predicted: str) -> list[Column]:
+def metric_columns(spec: PanelSpec, predicted: str) -> list[str]:
     """The five metrics over rows that `with_errors` has seen."""
-    actual, guess = F.col(spec.target), F.col(predicted)
     return [
-        metrics.mae(actual, guess).alias("growth_mae"),
-        metrics.rmse(actual, guess).alias("growth_rmse"),
-        metrics.r2(actual, guess).alias("growth_r2"),
-        F.avg("absolute_population_error").alias("population_mae"),
-        F.avg("absolute_percentage_error").alias("population_mape"),
+        f"{metrics.mae(spec.target, predicted)} as growth_mae",
+        f"{metrics.rmse(spec.target, predicted)} as growth_rmse",
+        f"{metrics.r2(spec.target, predicted)} as growth_r2",
+        "avg(absolute_population_error) as population_mae",
+        "avg(absolute_percentage_error) as population_mape",
     ]
 
 
 def persistence_rows(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """Complete rows with last year's growth as the forecast, and its errors."""
     complete = panel.select(*spec.persistence_columns).na.drop(subset=[spec.past, spec.target])
-    return with_errors(
-        complete.withColumn("predicted_growth", F.col(spec.past)), spec, "predicted_growth"
-    )
+    forecast = complete.selectExpr("*", f"{spec.past} as predicted_growth")
+    return with_errors(forecast, spec, "predicted_growth")
 
 
-def persistence_metrics(panel: DataFrame, spec: PanelSpec, test_times: list[int]) -> DataFrame:
+def persistence_metrics(
+    panel: DataFrame, spec: PanelSpec, test_times: Sequence[int]
+) -> DataFrame:
     """Rolling metrics of the persistence forecast from one pass over the panel.
 
     Every time is aggregated once, as if it were a test; folds then only combine
     one row per time. No row is repeated per fold.
     """
+    wanted = ["count(*) as _rows", *metric_columns(spec, "predicted_growth")]
     by_time = (
         persistence_rows(panel, spec)
-        .filter(F.col(spec.time) <= max(test_times))
+        .filter(f"{spec.time} <= {max(test_times)}")
         .groupBy(spec.time)
-        .agg(F.count("*").alias("_rows"), *metric_columns(spec, "predicted_growth"))
+        .agg(*[F.expr(w) for w in wanted])
     )
     return per_fold(by_time, spec.time, "_rows", test_times, carry=METRICS)
 
@@ -76,49 +81,55 @@ def scored_metrics(scored: DataFrame, folds: DataFrame, spec: PanelSpec) -> Data
     found = (
         with_errors(scored, spec, "predicted_growth")
         .groupBy("model_name", "test_year")
-        .agg(*metric_columns(spec, "predicted_growth"))
+        .agg(*[F.expr(w) for w in metric_columns(spec, "predicted_growth")])
     )
     return folds.join(found, "test_year")
 
 
+def _fold_range() -> list[str]:
+    return [
+        "min(test_year) as first_test_year",
+        "max(test_year) as last_test_year",
+        "count(*) as years_evaluated",
+    ]
+
+
 def fold_averages(folds: DataFrame) -> DataFrame:
     """Unweighted means over folds, their range and the running row totals."""
-    return folds.agg(
-        F.min("test_year").alias("first_test_year"),
-        F.max("test_year").alias("last_test_year"),
-        F.count("*").alias("years_evaluated"),
-        F.sum("training_rows").alias("total_training_rows"),
-        F.sum("test_rows").alias("total_test_rows"),
-        *[F.avg(m).alias(f"avg_{m}") for m in METRICS],
+    return folds.selectExpr(
+        *_fold_range(),
+        "sum(training_rows) as total_training_rows",
+        "sum(test_rows) as total_test_rows",
+        *[f"avg({m}) as avg_{m}" for m in METRICS],
     )
 
 
 def error_summary(scored: DataFrame, spec: PanelSpec, by: str = "test_year") -> DataFrame:
     """Count, MAE, MAPE, median APE, largest error and the two extreme rows.
 
-    Ties go to the first row by (label, time).
+    Ties go to the first row by (label, time). `scored` is read several times:
+    give a stored table.
     """
-    tie = [F.col(spec.label), F.col(spec.time)]
-    row = F.struct(spec.label, "population_error", "population_error_pct")
-    over = F.min_by(row, F.struct(-F.col("population_error"), *tie))
-    under = F.min_by(row, F.struct(F.col("population_error"), *tie))
-    parts = [(spec.label, "label"), ("population_error", "error"), ("population_error_pct", "pct")]
-    scored = scored.withColumn("_ape", F.abs("population_error_pct"))
+    row = f"struct({spec.label} as label, population_error as error, population_error_pct as pct)"
+    tie = f"{spec.label}, {spec.time}"
+    wanted = [
+        "count(*) as rows_evaluated",
+        "avg(abs(population_error)) as mean_absolute_error",
+        "avg(_ape) as mean_absolute_pct_error",
+        "max(abs(population_error)) as max_absolute_error",
+        f"min_by({row}, struct(-population_error, {tie})) as _over",
+        f"min_by({row}, struct(population_error, {tie})) as _under",
+    ]
+    scored = scored.selectExpr("*", "abs(population_error_pct) as _ape")
+    extremes = [
+        f"_{side}.{part} as largest_{side}_{part}"
+        for side in ("over", "under")
+        for part in ("label", "error", "pct")
+    ]
     summary = (
         scored.groupBy(by)
-        .agg(
-            F.count("*").alias("rows_evaluated"),
-            F.avg(F.abs("population_error")).alias("mean_absolute_error"),
-            F.avg("_ape").alias("mean_absolute_pct_error"),
-            F.max(F.abs("population_error")).alias("max_absolute_error"),
-            over.alias("_over"),
-            under.alias("_under"),
-        )
-        .select(
-            "*",
-            *[F.col(f"_over.{c}").alias(f"largest_over_{n}") for c, n in parts],
-            *[F.col(f"_under.{c}").alias(f"largest_under_{n}") for c, n in parts],
-        )
+        .agg(*[F.expr(w) for w in wanted])
+        .selectExpr("*", *extremes)
         .drop("_over", "_under")
     )
     median = exact_median(scored, [by], "_ape", "median_absolute_pct_error")
@@ -135,19 +146,18 @@ def comparison(metrics_rows: DataFrame, prefixes: dict[str, str]) -> DataFrame:
         "population_mape": "mape",
     }
     wide = [
-        F.max(F.when(F.col("model_name") == model, F.col(metric))).alias(f"{prefix}_{name}")
+        f"max({metric}) filter (where model_name = '{model}') as {prefix}_{name}"
         for metric, name in short.items()
         for model, prefix in prefixes.items()
     ]
-    return metrics_rows.groupBy("test_year", "training_rows", "test_rows").agg(*wide)
+    return metrics_rows.groupBy("test_year", "training_rows", "test_rows").agg(
+        *[F.expr(w) for w in wide]
+    )
 
 
 def comparison_averages(wide: DataFrame) -> DataFrame:
     """Unweighted mean over folds of every model metric, and the fold range."""
     shared = ("test_year", "training_rows", "test_rows")
-    return wide.agg(
-        F.min("test_year").alias("first_test_year"),
-        F.max("test_year").alias("last_test_year"),
-        F.count("*").alias("years_evaluated"),
-        *[F.avg(c).alias(f"avg_{c}") for c in wide.columns if c not in shared],
+    return wide.selectExpr(
+        *_fold_range(), *[f"avg({c}) as avg_{c}" for c in wide.columns if c not in shared]
     )

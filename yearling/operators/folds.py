@@ -2,30 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _folds_from(time: Column, test_times: list[int]) -> Column:
-    """The folds a row at `time` serves, as an array."""
-    every = F.array(*[F.lit(int(t)) for t in sorted(set(test_times))])
-    return F.filter(every, lambda fold: fold >= time)
+def _served(time: str, test_times: Sequence[int]) -> str:
+    """The folds a row at `time` serves: one output row each."""
+    every = ", ".join(str(int(t)) for t in sorted(set(test_times)))
+    return f"explode(filter(array({every}), fold -> fold >= {time})) as test_year"
 
 
-def fold_rows(df: DataFrame, time: str, test_times: list[int]) -> DataFrame:
+def fold_rows(df: DataFrame, time: str, test_times: Sequence[int]) -> DataFrame:
     """Every row once per fold it serves, with `test_year` and `role`.
 
     Repeats a row for each later fold without a join. Only for work that needs the
     rows themselves; counts and metrics use `per_fold` below.
     """
-    return (
-        df.withColumn("test_year", F.explode(_folds_from(F.col(time), test_times)))
-        .withColumn("role", F.when(F.col(time) == F.col("test_year"), "test").otherwise("train"))
-    )
+    role = f"if({time} = test_year, 'test', 'train') as role"
+    return df.selectExpr("*", _served(time, test_times)).selectExpr("*", role)
 
 
 def per_fold(
-    by_time: DataFrame, time: str, rows: str, test_times: list[int], carry: list[str] = ()
+    by_time: DataFrame,
+    time: str,
+    rows: str,
+    test_times: Sequence[int],
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Folds from one-row-per-time aggregates.
 
@@ -33,26 +37,27 @@ def per_fold(
     The input has one row per time, so the repetition is times x folds. A fold
     without a training or a test row is left out.
     """
-    is_test = F.col(time) == F.col("test_year")
+    test, train = f"{time} = test_year", f"{time} < test_year"
+    wanted = [
+        f"sum({rows}) filter (where {train}) as training_rows",
+        f"sum({rows}) filter (where {test}) as test_rows",
+        f"min({time}) filter (where {train}) as first_training_year",
+        f"max({time}) filter (where {train}) as last_training_year",
+        *[f"max({c}) filter (where {test}) as {c}" for c in carry],
+    ]
     return (
-        by_time.withColumn("test_year", F.explode(_folds_from(F.col(time), test_times)))
+        by_time.selectExpr("*", _served(time, test_times))
         .groupBy("test_year")
-        .agg(
-            F.sum(F.when(~is_test, F.col(rows))).alias("training_rows"),
-            F.sum(F.when(is_test, F.col(rows))).alias("test_rows"),
-            F.min(F.when(~is_test, F.col(time))).alias("first_training_year"),
-            F.max(F.when(~is_test, F.col(time))).alias("last_training_year"),
-            *[F.max(F.when(is_test, F.col(c))).alias(c) for c in carry],
-        )
+        .agg(*[F.expr(w) for w in wanted])
         .filter("training_rows > 0 and test_rows > 0")
     )
 
 
-def expanding_folds(complete: DataFrame, time: str, test_times: list[int]) -> DataFrame:
+def expanding_folds(complete: DataFrame, time: str, test_times: Sequence[int]) -> DataFrame:
     """Row counts and training range of each fold that has both roles."""
     by_time = (
-        complete.filter(F.col(time) <= max(test_times))
+        complete.filter(f"{time} <= {max(test_times)}")
         .groupBy(time)
-        .agg(F.count("*").alias("_rows"))
+        .agg(F.expr("count(*) as _rows"))
     )
     return per_fold(by_time, time, "_rows", test_times)

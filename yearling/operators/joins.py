@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def one_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+def one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in `order`; NULL keys count as equal.
 
     `row_number() = 1` lets Spark keep one row per key in every task before the
     shuffle, so a key holding most of the rows costs no more than any other.
     """
-    window = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(window)).filter("_n = 1").drop("_n")
+    window = f"partition by {', '.join(key)} order by {', '.join(order)}"
+    numbered = df.selectExpr("*", f"row_number() over ({window}) as _n")
+    return numbered.filter("_n = 1").drop("_n")
 
 
 def last_per_key(df: DataFrame, key: list[str], position: str) -> DataFrame:
-    return one_per_key(df, key, [F.col(position).desc_nulls_last()])
+    return one_per_key(df, key, [f"{position} desc nulls last"])
 
 
 def lookup_join(

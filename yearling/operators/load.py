@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearling.operators.joins import one_per_key
@@ -16,22 +13,22 @@ _LISTED_PARTITIONS = 1000
 
 
 def rows_to_insert(
-    batch: DataFrame, target: DataFrame, key: list[str], order: list[Column]
+    batch: DataFrame, target: DataFrame, key: list[str], order: list[str]
 ) -> DataFrame:
     """The batch rows an insert that skips existing keys would add.
 
     First row per key in `order`, unless the target has the key. A key with a NULL
     part equals no other key, so such rows all pass, without a shuffle.
     """
-    has_null = reduce(or_, [F.col(k).isNull() for k in key])
-    fresh = one_per_key(batch.filter(~has_null), key, order).join(
+    known = " and ".join(f"`{k}` is not null" for k in key)
+    fresh = one_per_key(batch.filter(known), key, order).join(
         target.select(*key), key, "left_anti"
     )
-    return fresh.unionByName(batch.filter(has_null))
+    return fresh.unionByName(batch.filter(f"not ({known})"))
 
 
 def insert_skip_existing(
-    batch: DataFrame, name: str, order: list[Column], key: list[str] | None = None
+    batch: DataFrame, name: str, order: list[str], key: list[str] | None = None
 ) -> None:
     """Append the rows whose key the table lacks. One writer at a time.
 
@@ -59,18 +56,12 @@ def insert_skip_existing(
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Per column: type in a relational store, rows and values present. One pass."""
-    counted = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(df.columns)],
+    counted = df.selectExpr(
+        "count(*) as _rows", *[f"count(`{c}`) as _{i}" for i, c in enumerate(df.columns)]
     )
-    lines = [
-        F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(storage_type(f.dataType)).alias("storage_type"),
-            F.col("_rows").alias("row_count"),
-            F.col(f"_{i}").alias("non_null"),
-        )
+    lines = ", ".join(
+        f"struct({i} as ordinal, '{f.name}' as column_name, "
+        f"'{storage_type(f.dataType)}' as storage_type, _rows as row_count, _{i} as non_null)"
         for i, f in enumerate(df.schema)
-    ]
-    return counted.select(F.inline(F.array(*lines)))
+    )
+    return counted.selectExpr(f"inline(array({lines}))")

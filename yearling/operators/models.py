@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearling.spec import PanelSpec
@@ -37,10 +37,10 @@ def fit_linear(complete: DataFrame, spec: PanelSpec, test_times: list[int]) -> l
     """
     names = list(spec.features)
     columns = names + [spec.target]
-    usable = complete.filter(F.col(spec.time) < max(test_times))
-    moments = usable.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
+    usable = complete.filter(f"{spec.time} < {max(test_times)}")
+    moments = usable.selectExpr(
+        *[f"avg({c}) as m{i}" for i, c in enumerate(columns)],
+        *[f"stddev_pop({c}) as s{i}" for i, c in enumerate(columns)],
     ).first()
     if moments["m0"] is None:
         return []
@@ -77,10 +77,10 @@ def _cross_products(
             yield pd.DataFrame({"t": t, "i": np.arange(len(upper[0])), "v": gram[upper]})
 
     summed = (
-        df.select(time, *[F.col(c).cast("double").alias(c) for c in columns])
+        df.selectExpr(time, *[f"double({c}) as {c}" for c in columns])
         .mapInPandas(partial, "t bigint, i int, v double")
         .groupBy("t", "i")
-        .agg(F.sum("v").alias("v"))
+        .agg(F.expr("sum(v) as v"))
         .toPandas()
     )
     grams = {}
@@ -113,17 +113,16 @@ def predict_linear(complete: DataFrame, spec: PanelSpec, fits: list[LinearFit])
     spark = complete.sparkSession
     rows = [(f.test_year, f.intercept, f.coefficients) for f in fits]
     table = spark.createDataFrame(rows, "test_year int, _b double, _w array<double>")
-    terms = [
-        F.get("_w", F.lit(i)) * F.col(c).cast("double") for i, c in enumerate(spec.features)
-    ]
+    guess = " + ".join(["_b", *[f"_w[{i}] * {c}" for i, c in enumerate(spec.features)]])
     # One row per fold the caller listed: always small.
     return (
         complete.filter(F.col(spec.time).isin([f.test_year for f in fits]))
-        .withColumn("test_year", F.col(spec.time).cast("int"))
+        .selectExpr("*", f"int({spec.time}) as test_year")
         .join(F.broadcast(table), "test_year")
-        .withColumn("predicted_growth", reduce(lambda a, b: a + b, terms, F.col("_b")))
+        .selectExpr(
+            "*", f"{guess} as predicted_growth", "'linear_regression' as model_name"
+        )
         .drop("_b", "_w")
-        .withColumn("model_name", F.lit("linear_regression"))
     )
 
 
@@ -134,6 +133,8 @@ def linear_rolling(complete: DataFrame, spec: PanelSpec, test_times: list[int])
 # --- random forest -----------------------------------------------------------
 
 _ROWS_PER_TASK = 20_000
+_TREES_PER_JOB = 8
+_JOBS_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -146,9 +147,27 @@ class ForestParams:
     trees: int = 300
     seed: int = 42
     max_depth: int = 30
-    max_bins: int = 128
+    max_bins: int = 32
     min_rows: int = 1
-    memory_mb: int = 512
+    memory_mb: int = 256
+
+
+@dataclass(frozen=True)
+class Forest:
+    """Forests grown side by side on the same rows, used as one."""
+
+    parts: tuple[RandomForestRegressionModel, ...]
+
+    @property
+    def trees(self) -> int:
+        return sum(p.getNumTrees for p in self.parts)
+
+    @property
+    def importances(self) -> list[float]:
+        """Per feature, adding up to 1: the mean over trees."""
+        weighted = [p.featureImportances.toArray() * p.getNumTrees for p in self.parts]
+        added = np.sum(weighted, axis=0)
+        return [float(w) for w in added / (added.sum() or 1.0)]
 
 
 def _assembled(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -158,39 +177,75 @@ def _assembled(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return assembler.transform(df)
 
 
-def fit_forest(
-    train: DataFrame,
-    spec: PanelSpec,
-    params: ForestParams = ForestParams(),
-    rows: int | None = None,
-) -> RandomForestRegressionModel:
-    """Fit one forest. A known row count keeps a small fit from using many tasks."""
-    if rows is not None:
-        train = train.coalesce(max(1, math.ceil(rows / _ROWS_PER_TASK)))
-    forest = RandomForestRegressor(
-        featuresCol="_features",
-        labelCol=spec.target,
-        predictionCol="predicted_growth",
-        numTrees=params.trees,
-        seed=params.seed,
-        maxDepth=params.max_depth,
-        maxBins=params.max_bins,
-        minInstancesPerNode=params.min_rows,
-        maxMemoryInMB=params.memory_mb,
-        featureSubsetStrategy="all",
-    )
-    return forest.fit(_assembled(train.select(*spec.model_columns), spec))
+def _tasks(rows: int) -> int:
+    return max(1, math.ceil(rows / _ROWS_PER_TASK))
 
 
-def predict_forest(
-    model: RandomForestRegressionModel, test: DataFrame, spec: PanelSpec
-) -> DataFrame:
-    return (
-        model.transform(_assembled(test, spec))
-        .drop("_features")
-        .withColumn("test_year", F.col(spec.time).cast("int"))
-        .withColumn("model_name", F.lit("random_forest"))
-    )
+def _tree_shares(params: ForestParams, rows: int, cores: int) -> list[int]:
+    """Trees per job: rows that fill few cores leave the others to grow more trees."""
+    jobs = max(1, min(cores // _tasks(rows), params.trees // _TREES_PER_JOB, _JOBS_AT_ONCE))
+    return [params.trees // jobs + (i < params.trees % jobs) for i in range(jobs)]
+
+
+def fit_forests(
+    sets: list[tuple[DataFrame, int]], spec: PanelSpec, params: ForestParams = ForestParams()
+) -> list[Forest]:
+    """One forest per (training rows, their number); independent fits run at once.
+
+    Spark grows a forest level by level over the partitions of its rows. A large
+    set keeps the cluster busy that way; of a small one several shares of the
+    trees, each with its own seed, are grown at the same time.
+    """
+    spark = sets[0][0].sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    work = [
+        (i, share, params.seed + k)
+        for i, (_, rows) in enumerate(sets)
+        for k, share in enumerate(_tree_shares(params, rows, cores))
+    ]
+    ready = [
+        _assembled(df.select(*spec.model_columns).coalesce(_tasks(rows)), spec).select(
+            "_features", spec.target
+        )
+        for df, rows in sets
+    ]
+
+    @inheritable_thread_target(spark)
+    def grow(item: tuple[int, int, int]) -> RandomForestRegressionModel:
+        i, trees, seed = item
+        return RandomForestRegressor(
+            featuresCol="_features",
+            labelCol=spec.target,
+            numTrees=trees,
+            seed=seed,
+            maxDepth=params.max_depth,
+            maxBins=params.max_bins,
+            minInstancesPerNode=params.min_rows,
+            maxMemoryInMB=params.memory_mb,
+            featureSubsetStrategy="all",
+        ).fit(ready[i])
+
+    with ThreadPoolExecutor(max_workers=_JOBS_AT_ONCE) as pool:
+        grown = list(pool.map(grow, work))
+    return [
+        Forest(tuple(m for m, (at, _, _) in zip(grown, work) if at == i))
+        for i in range(len(sets))
+    ]
+
+
+def predict_forest(forest: Forest, test: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Add `predicted_growth`: the mean over all trees."""
+    scored = _assembled(test, spec)
+    guesses = [f"_guess{i}" for i in range(len(forest.parts))]
+    for model, guess in zip(forest.parts, guesses):
+        scored = model.setPredictionCol(guess).transform(scored)
+    added = " + ".join(f"{g} * {m.getNumTrees}" for g, m in zip(guesses, forest.parts))
+    return scored.selectExpr(
+        "*",
+        f"({added}) / {forest.trees} as predicted_growth",
+        f"int({spec.time}) as test_year",
+        "'random_forest' as model_name",
+    ).drop("_features", *guesses)
 
 
 def forest_rolling(
@@ -198,29 +253,24 @@ def forest_rolling(
     spec: PanelSpec,
     training_rows: dict[int, int],
     params: ForestParams = ForestParams(),
-    parallel_folds: int = 4,
 ) -> DataFrame:
     """A forest per test time, its test rows scored; `complete` should be a table.
 
-    Fold fits are independent jobs, so a few are submitted at once. A table
-    partitioned by time makes each fold read its own years only.
+    A table partitioned by time makes each fold read its own years only.
     """
-
-    @inheritable_thread_target(complete.sparkSession)
-    def one(test: int) -> DataFrame:
-        train = complete.filter(F.col(spec.time) < test)
-        model = fit_forest(train, spec, params, training_rows[test])
-        return predict_forest(model, complete.filter(F.col(spec.time) == test), spec)
-
-    with ThreadPoolExecutor(max_workers=parallel_folds) as pool:
-        scored = list(pool.map(one, sorted(training_rows)))
+    tests = sorted(training_rows)
+    sets = [(complete.filter(f"{spec.time} < {t}"), training_rows[t]) for t in tests]
+    scored = [
+        predict_forest(forest, complete.filter(f"{spec.time} = {t}"), spec)
+        for t, forest in zip(tests, fit_forests(sets, spec, params))
+    ]
     return reduce(DataFrame.unionByName, scored)
 
 
 def feature_importance(
-    model: RandomForestRegressionModel, spec: PanelSpec, df: DataFrame, top: int = 15
+    forest: Forest, spec: PanelSpec, spark: SparkSession, top: int = 15
 ) -> DataFrame:
-    """(feature, importance), largest first; importances add up to 1."""
-    weights = [(f, float(w)) for f, w in zip(spec.features, model.featureImportances.toArray())]
-    rows = df.sparkSession.createDataFrame(weights, "feature string, importance double")
-    return rows.orderBy(F.desc("importance"), "feature").limit(top)
+    """(feature, importance), largest first."""
+    rows = list(zip(spec.features, forest.importances))
+    listed = spark.createDataFrame(rows, "feature string, importance double")
+    return listed.orderBy(F.desc("importance"), "feature").limit(top)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from yearling.functions.numeric import growth
 from yearling.spec import PanelSpec
@@ -16,21 +15,19 @@ def with_growth(df: DataFrame, spec: PanelSpec, span: int = 1024) -> DataFrame:
     task, so a key with a very long history is split too. Only the rows at a cut
     are sent to both sides; calendar years have no cut between 1024 and 2047.
     """
-    time = F.col(spec.time)
-    home = F.floor(time / span)
-    touched = F.array_distinct(
-        F.array(F.floor((time - 1) / span), home, F.floor((time + 1) / span))
-    )
-    in_span = Window.partitionBy(spec.key, "_span").orderBy(spec.time)
-    value = F.col(spec.value)
-    before, after = F.lag(value).over(in_span), F.lead(value).over(in_span)
-    is_next = time - F.lag(time).over(in_span) == 1
-    has_next = F.lead(time).over(in_span) - time == 1
+    time, value = f"`{spec.time}`", f"`{spec.value}`"
+    home = f"floor({time} / {span})"
+    touched = f"array_distinct(array(floor(({time} - 1) / {span}), {home}, floor(({time} + 1) / {span})))"
+    over = f"over (partition by `{spec.key}`, _span order by {time})"
+    before, after = f"lag({value}) {over}", f"lead({value}) {over}"
     return (
-        df.withColumn("_span", F.explode(touched))
-        .withColumn(spec.past, F.when(is_next, growth(value, before)))
-        .withColumn(spec.target, F.when(has_next, growth(after, value)))
-        .filter(F.col("_span").eqNullSafe(home))
+        df.selectExpr("*", f"explode({touched}) as _span")
+        .selectExpr(
+            "*",
+            f"if({time} - lag({time}) {over} = 1, {growth(value, before)}, null) as `{spec.past}`",
+            f"if(lead({time}) {over} - {time} = 1, {growth(after, value)}, null) as `{spec.target}`",
+        )
+        .filter(f"_span <=> {home}")
         .drop("_span")
     )
 
@@ -46,8 +43,8 @@ def known_target(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def time_split(df: DataFrame, time: str, train_until: int, test_at: int) -> DataFrame:
     """Add `role`: 'train' up to a time, 'test' at a time; other rows go."""
-    role = F.when(F.col(time) <= train_until, "train").when(F.col(time) == test_at, "test")
-    return df.withColumn("role", role).filter("role is not null")
+    role = f"case when {time} <= {train_until} then 'train' when {time} = {test_at} then 'test' end"
+    return df.selectExpr("*", f"{role} as role").filter("role is not null")
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:

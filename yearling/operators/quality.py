@@ -55,10 +55,8 @@ def chain(name: str, columns: list[str]) -> RowCheck:
 
 def row_check_counts(df: DataFrame, batch: str, checks: list[RowCheck]) -> DataFrame:
     """One row per batch: `rows` and one count per check, from a single pass."""
-    return df.groupBy(batch).agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.expr(c.bad)).alias(c.name) for c in checks],
-    )
+    wanted = ["count(*) as rows", *[f"count_if({c.bad}) as `{c.name}`" for c in checks]]
+    return df.groupBy(batch).agg(*[F.expr(w) for w in wanted])
 
 
 def duplicate_counts(df: DataFrame, batch: str, key: list[str]) -> DataFrame:
@@ -70,9 +68,9 @@ def duplicate_counts(df: DataFrame, batch: str, key: list[str]) -> DataFrame:
     by = list(dict.fromkeys([batch, *key]))
     return (
         df.groupBy(*by)
-        .agg((F.count("*") - 1).alias("_extra"))
+        .agg(F.expr("count(*) - 1 as _extra"))
         .groupBy(batch)
-        .agg(F.sum("_extra").alias("duplicates"))
+        .agg(F.expr("sum(_extra) as duplicates"))
     )
 
 
@@ -90,41 +88,29 @@ def report(
     """
     counts = row_check_counts(df, batch, checks)
     if batches is not None:
-        listed = df.sparkSession.createDataFrame([(b,) for b in batches], [batch])
-        listed = listed.select(F.col(batch).cast(df.schema[batch].dataType).alias(batch))
+        kind = df.schema[batch].dataType.simpleString()
+        listed = df.sparkSession.createDataFrame([(b,) for b in batches], f"{batch} {kind}")
         counts = listed.join(counts, batch, "full")
         counts = counts.na.fill(0, subset=["rows", *[c.name for c in checks]])
-    entries = [(c.name, F.col(c.name)) for c in checks]
+    entries = [f"struct('{c.name}' as check_name, `{c.name}` as violations)" for c in checks]
     if expected_rows is not None:
-        entries.insert(0, ("row_count", F.abs(F.col("rows") - expected_rows)))
-    long = counts.select(
-        F.col(batch).alias("batch"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(n).alias("check_name"), v.cast("bigint").alias("violations")
-                    )
-                    for n, v in entries
-                ]
-            )
-        ),
+        entries.insert(0, f"struct('row_count' as check_name, abs(rows - {expected_rows}) as violations)")
+    long = counts.selectExpr(
+        f"`{batch}` as batch", f"inline(array({', '.join(entries)})) as (check_name, violations)"
     )
-    unique = duplicate_counts(df, batch, key).select(
-        F.col(batch).alias("batch"),
-        F.lit("unique_key").alias("check_name"),
-        F.col("duplicates").alias("violations"),
+    unique = duplicate_counts(df, batch, key).selectExpr(
+        f"`{batch}` as batch", "'unique_key' as check_name", "duplicates as violations"
     )
-    return long.unionByName(unique).withColumn("passed", F.col("violations") == 0)
+    return long.unionByName(unique).selectExpr("*", "violations = 0 as passed")
 
 
 def verdict(checked: DataFrame) -> DataFrame:
     """Per batch: how many checks failed, and their names in order."""
-    failed = F.when(~F.col("passed"), F.col("check_name"))
-    return checked.groupBy("batch").agg(
-        F.count_if(~F.col("passed")).alias("failed_checks"),
-        F.array_join(F.array_sort(F.collect_list(failed)), ", ").alias("failures"),
-    )
+    wanted = [
+        "count_if(not passed) as failed_checks",
+        "array_join(array_sort(collect_list(if(passed, null, check_name))), ', ') as failures",
+    ]
+    return checked.groupBy("batch").agg(*[F.expr(w) for w in wanted])
 
 
 def require_passed(checked: DataFrame) -> None:

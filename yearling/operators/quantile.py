@@ -2,81 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# ln(v) * 2^30 as a whole number; 2^40 lifts every positive double above zero.
-_FINE = 30
-_LIFT = 1 << 40
-_COARSE_FIRST = (24, 12, 0)
+from yearling.sources.staging import staged
 
-
-def _order_code(value: Column) -> Column:
-    """A whole number that never falls as `value` rises."""
-    log = F.least(F.ln(F.abs(value)), F.lit(800.0))
-    size = F.floor(log * F.lit(float(1 << _FINE))) + F.lit(_LIFT)
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
+# Fixed monotone code: ln(size) * 2^30 as a whole number, lifted above zero.
+_SIZE = "floor(least(ln(abs(_v)), 800) * 1073741824) + 1099511627776"
+_CODE = f"bigint(case when _v > 0 then {_SIZE} when _v < 0 then -({_SIZE}) else 0 end)"
+# Bins of about a thousandth, then of a billionth, then single values.
+_BINS = [f"shiftright({_CODE}, 20)", _CODE, "_v"]
 
 
 def exact_median(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     """Median per group (mean of the middle two), as `by` + [name].
 
-    The built-in median holds a whole group in one task. Here equal values are
-    counted first, then the two middle ranks are narrowed down by histograms over
-    a fixed monotone code: at most some 10^5 bins a group, then 4096, then 4096.
-    What is left to sort are the values of one bin, under a billionth apart.
+    The built-in median holds a whole group in one task. Here the two middle ranks
+    are narrowed down by histograms: some thousand bins to an e-fold of values,
+    then a million to each of those, then the values of one bin, less than a
+    billionth apart. Bin counts merge in each task, so little is ever shuffled,
+    and no step sorts more than a few million rows of a group.
+
+    `df` is read once per step: give a stored table. The bins kept by a step are
+    stored too, so Spark knows their size when it picks the join.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-        .groupBy(*by, F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_code", _order_code(F.col("_v")))
+    values = df.filter(f"`{value}` is not null and not isnan(`{value}`)").selectExpr(
+        *[f"`{c}`" for c in by], f"double(`{value}`) as _v"
     )
-    kept, prefix = None, None
-    for shift in _COARSE_FIRST:
-        rows = counts if kept is None else _within(counts, kept, by, prefix)
-        held = [] if kept is None else ["_lo", "_hi"]
-        bins = (
-            rows.withColumn("_bin", F.shiftright("_code", shift))
-            .groupBy(*by, *held, "_bin")
-            .agg(F.sum("_rows").alias("_rows"))
+    kept = _middle(values.selectExpr("*", f"{_BINS[0]} as _bin"), by, [])
+    for wider, finer in zip(_BINS, _BINS[1:]):
+        known = staged(kept.drop("_rows"), "median-bins")
+        inside = values.selectExpr("*", f"{wider} as _bin").join(known, [*by, "_bin"])
+        kept = _middle(
+            inside.drop("_bin").selectExpr("*", f"{finer} as _bin"), by, ["_lo", "_hi"]
         )
-        kept = _middle(bins, by, held)
-        prefix = shift
-    last = _middle(
-        _within(counts, kept, by, prefix).withColumn("_bin", F.col("_v")), by, ["_lo", "_hi"]
-    )
-    picks = [F.max(F.when(_covers(rank), F.col("_bin"))) for rank in ("_lo", "_hi")]
-    return last.groupBy(*by).agg(((picks[0] + picks[1]) / 2).alias(name))
+    low, high = [f"max(_bin) filter (where {_covers(r)})" for r in ("_lo", "_hi")]
+    return kept.groupBy(*by).agg(F.expr(f"({low} + {high}) / 2 as `{name}`"))
 
 
-def _covers(rank: str) -> Column:
-    return (F.col(rank) >= 0) & (F.col(rank) < F.col("_rows"))
+def _covers(rank: str) -> str:
+    return f"{rank} >= 0 and {rank} < _rows"
 
 
-def _middle(bins: DataFrame, by: list[str], held: list[str]) -> DataFrame:
+def _middle(values: DataFrame, by: list[str], held: list[str]) -> DataFrame:
     """Bins holding a middle rank, with both ranks counted from the bin's start."""
-    whole = Window.partitionBy(*by, *held)
-    running = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    if not held:
-        size = F.sum("_rows").over(whole)
-        bins = bins.withColumn("_lo", F.floor((size - 1) / 2)).withColumn(
-            "_hi", F.floor(size / 2)
-        )
-    before = F.coalesce(F.sum("_rows").over(running), F.lit(0))
-    return (
-        bins.withColumn("_before", before)
-        .withColumn("_lo", F.col("_lo") - F.col("_before"))
-        .withColumn("_hi", F.col("_hi") - F.col("_before"))
-        .drop("_before")
-        .filter(_covers("_lo") | _covers("_hi"))
-    )
-
-
-def _within(counts: DataFrame, kept: DataFrame, by: list[str], shift: int) -> DataFrame:
-    bins = kept.select(*by, "_bin", "_lo", "_hi")
-    return (
-        counts.withColumn("_bin", F.shiftright("_code", shift))
-        .join(bins, [*by, "_bin"])
-        .drop("_bin")
+    group = ", ".join([*[f"`{c}`" for c in by], *held])
+    bins = values.groupBy(*by, *held, "_bin").agg(F.expr("count(*) as _rows"))
+    before = f"sum(_rows) over (partition by {group} order by _bin) - _rows"
+    size = f"sum(_rows) over (partition by {group})"
+    ranks = held or [f"floor(({size} - 1) / 2)", f"floor({size} / 2)"]
+    left = [f"{rank} - ({before}) as {n}" for rank, n in zip(ranks, ("_lo", "_hi"))]
+    return bins.selectExpr(*[f"`{c}`" for c in by], "_bin", "_rows", *left).filter(
+        f"({_covers('_lo')}) or ({_covers('_hi')})"
     )

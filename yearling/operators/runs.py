@@ -5,51 +5,49 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yearling import schemas
-from yearling.operators import evaluation
 from yearling.spec import PanelSpec
 
 
 def current_run_id(runs: DataFrame, model: str) -> DataFrame:
     """Highest run id of one model, NULL when it has none."""
-    return runs.filter(F.col("model_name") == model).agg(F.max("run_id").alias("run_id"))
+    return runs.filter(f"model_name = '{model}'").selectExpr("max(run_id) as run_id")
 
 
 def next_run_id(runs: DataFrame) -> int:
-    return (runs.agg(F.max("run_id")).first()[0] or 0) + 1
+    return runs.selectExpr("coalesce(max(run_id), 0) + 1").first()[0]
 
 
 def with_run_counts(
     runs: DataFrame, run_id: int, training_rows: int, test_rows: int
 ) -> DataFrame:
     """A version of the table with the counts of one run set."""
-    hit = F.col("run_id") == run_id
-    return runs.withColumns(
-        {
-            "training_rows": F.when(hit, training_rows).otherwise(F.col("training_rows")),
-            "test_rows": F.when(hit, test_rows).otherwise(F.col("test_rows")),
-        }
+    new = {"training_rows": training_rows, "test_rows": test_rows}
+    return runs.selectExpr(
+        *[
+            f"if(run_id = {run_id}, bigint({new[c]}), {c}) as {c}" if c in new else f"`{c}`"
+            for c in runs.columns
+        ]
     )
 
 
 def metric_rows(folds: DataFrame, run_id: int, model: str) -> DataFrame:
-    return _conform(_labelled(folds, run_id, model), schemas.MODEL_METRICS)
+    return _conform(folds, schemas.MODEL_METRICS, run_id, model, {})
 
 
 def prediction_rows(
     scored: DataFrame, spec: PanelSpec, run_id: int, model: str
 ) -> DataFrame:
     """Test rows with `test_year` and the columns `with_errors` adds."""
-    named = scored.withColumns(
-        {
-            "location_id": F.col(spec.key),
-            "county_name": F.col(spec.label),
-            "feature_year": F.col(spec.time),
-            "actual_growth": F.col(spec.target),
-        }
-    )
-    return _conform(_labelled(named, run_id, model), schemas.PREDICTIONS)
+    named = {
+        "location_id": spec.key,
+        "county_name": spec.label,
+        "feature_year": spec.time,
+        "actual_growth": spec.target,
+    }
+    return _conform(scored, schemas.PREDICTIONS, run_id, model, named)
 
 
 def run_row(
@@ -110,22 +108,25 @@ class Registry:
         """Store one evaluated run and return its id."""
         run_id = next_run_id(self.runs())
         self._store("model_metrics", metric_rows(folds, run_id, model), run_id)
-        stored = self._read("model_metrics", schemas.MODEL_METRICS).filter(
-            F.col("run_id") == run_id
+        # A metric row per fold: as many as the caller listed test times.
+        stored = (
+            self._read("model_metrics", schemas.MODEL_METRICS)
+            .filter(f"run_id = {run_id}")
+            .select("test_year", "training_rows", "test_rows")
+            .collect()
         )
-        totals = evaluation.fold_averages(stored).first()
-        if totals.years_evaluated == 0:
+        if not stored:
             raise ValueError("no fold has both training and test rows")
         # Only rows of folds that counted are predictions.
-        kept = scored.join(stored.select("test_year"), "test_year", "left_semi")
+        kept = scored.filter(F.col("test_year").isin([r.test_year for r in stored]))
         self._store("predictions", prediction_rows(kept, spec, run_id, model), run_id)
         row = run_row(
             self.spark,
             run_id,
             model,
             test_times,
-            totals.total_training_rows,
-            totals.total_test_rows,
+            sum(r.training_rows for r in stored),
+            sum(r.test_rows for r in stored),
             notes,
         )
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/model_runs")
@@ -136,9 +137,14 @@ class Registry:
         rows.drop("run_id").write.mode("overwrite").parquet(folder)
 
 
-def _labelled(df: DataFrame, run_id: int, model: str) -> DataFrame:
-    return df.withColumns({"run_id": F.lit(run_id), "model_name": F.lit(model)})
-
-
-def _conform(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+def _conform(
+    df: DataFrame, schema: T.StructType, run_id: int, model: str, source: dict[str, str]
+) -> DataFrame:
+    """The declared columns and types, from `source` where names differ."""
+    source = {"run_id": str(run_id), "model_name": f"'{model}'"} | source
+    return df.selectExpr(
+        *[
+            f"cast({source.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"
+            for f in schema
+        ]
+    )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from yearling.functions.numeric import (
     lenient_double,
     lenient_long,
     percent,
-    strict_long,
+    strict,
+    strict_total,
     total,
 )
 from yearling.operators import quality as q
@@ -129,56 +129,46 @@ CHECKS = [
 
 def unpack_main(documents: DataFrame, text: str = "value") -> DataFrame:
     """(year, state, position, named cells, cells to add up) per county."""
-    extra = {c: c for codes in SUMMED_CELLS.values() for c in codes}
-    extra |= {c: c for c in FOREIGN_BORN}
-    return unpack(
-        documents, parse_matrix(F.col(text)), MAIN_CELLS | extra, keep=["year", "state"]
-    )
+    summed = [c for codes in [*SUMMED_CELLS.values(), FOREIGN_BORN] for c in codes]
+    cells = MAIN_CELLS | {c: c for c in summed}
+    return unpack(documents, parse_matrix(text), cells, keep=["year", "state"])
 
 
 def unpack_mobility(documents: DataFrame, text: str = "value") -> DataFrame:
     cells = {"state_fips": "state"} | MOBILITY_CELLS
-    return unpack(documents, parse_matrix(F.col(text)), cells, keep=["year"])
+    return unpack(documents, parse_matrix(text), cells, keep=["year"])
 
 
 def with_sums(main: DataFrame) -> DataFrame:
     """Strict sums: text or a missing cell fails, as a broken source should."""
-    sums = {
-        name: total([strict_long(F.col(c), c) for c in codes])
-        for name, codes in SUMMED_CELLS.items()
-    }
-    everyone, native = [strict_long(F.col(c), c) for c in FOREIGN_BORN]
-    sums["foreign_born"] = everyone - native
-    return main.withColumns(sums)
-
-
-def _typed(name: str, kind: str) -> Column:
-    cell = F.col(name)
-    if kind == "bigint":
-        return lenient_long(cell.cast("string"))
-    return lenient_double(cell.cast("string"))
+    foreign_born = strict("foreign_born", "{0} - {1}", FOREIGN_BORN)
+    return main.selectExpr(
+        "*",
+        *[f"{strict_total(name, codes)} as {name}" for name, codes in SUMMED_CELLS.items()],
+        f"{foreign_born} as foreign_born",
+    )
 
 
 def typed(records: DataFrame) -> DataFrame:
     """Cells to their declared types, missing where not a number; 34 columns."""
+    casts = {"bigint": lenient_long, "double": lenient_double}
     made = {*SUMMED_CELLS, "foreign_born", "year"}
+    later = {*RATIOS, "moved_last_year"}
     columns = []
     for field in COUNTY_YEAR:
-        if field.name in RATIOS or field.name == "moved_last_year":
-            continue
         kind = field.dataType.simpleString()
-        as_is = kind == "string" or field.name in made
-        column = F.col(field.name) if as_is else _typed(field.name, kind)
-        columns.append(column.alias(field.name))
-    return records.select(*columns)
+        if field.name in made or kind == "string":
+            columns.append(field.name)
+        elif field.name not in later:
+            columns.append(f"{casts[kind](field.name)} as {field.name}")
+    return records.selectExpr(*columns)
 
 
 def derived(records: DataFrame) -> DataFrame:
     """Add `moved_last_year` and the percentages; 48 columns in declared order."""
-    added = records.withColumn("moved_last_year", total([F.col(c) for c in MOVED_PARTS]))
-    return added.withColumns(
-        {name: percent(F.col(part), F.col(whole)) for name, (part, whole) in RATIOS.items()}
-    ).select(*COUNTY_YEAR.fieldNames())
+    added = records.selectExpr("*", f"{total(MOVED_PARTS)} as moved_last_year")
+    ratios = [f"{percent(part, whole)} as {name}" for name, (part, whole) in RATIOS.items()]
+    return added.selectExpr("*", *ratios).select(*COUNTY_YEAR.fieldNames())
 
 
 def county_records(main_documents: DataFrame, mobility_documents: DataFrame) -> DataFrame:
@@ -206,19 +196,16 @@ def backfill(
     `records` is read by the checks and by the load: give a stored table.
     """
     failed = check(records, expected_rows, batches).filter("not passed")
-    first = failed.agg(F.min("batch").alias("year")).first().year
-    good = records if first is None else records.filter(F.col("year") < first)
+    first = failed.selectExpr("min(batch)").first()[0]
+    good = records if first is None else records.filter(f"year < {first}")
     if first is None or not good.isEmpty():
-        insert_skip_existing(good, table, [F.col(c) for c in records.columns], KEY)
+        insert_skip_existing(good, table, records.columns, KEY)
     if first is not None:
-        q.require_passed(failed.filter(F.col("batch") == first))
+        q.require_passed(failed.filter(f"batch = {first}"))
 
 
 def county_panel(records: DataFrame) -> DataFrame:
     """The model contract's names over county-year rows, before growth is added."""
-    return records.withColumns(
-        {
-            "location_id": F.concat("state_fips", "county_fips"),
-            "feature_year": F.col("year").cast("int"),
-        }
+    return records.selectExpr(
+        "*", "concat(state_fips, county_fips) as location_id", "int(year) as feature_year"
     )

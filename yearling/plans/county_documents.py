@@ -2,111 +2,106 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearling.plans.order_activity import PRIORITIES, STATUSES, cents, placed_orders
+from yearling.plans.order_activity import PRIORITIES, STATUSES, placed_orders
+from yearling.sources.staging import staged
 
-_STATE = "07"
+_COUNTY = "lpad(string(c_nationkey), 3, '0')"
 
 
-def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("_price")
-    day, month = F.dayofmonth("o_orderdate"), F.month("o_orderdate")
+def county_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per nation and year: at most a few hundred, whatever the orders.
+
+    Stored, so that the documents made of it do not each read the orders again.
+    """
     counts = {
-        **{f"m{m}": month == m for m in range(1, 9)},
-        **{f"d{d}": day == d for d in range(1, 13)},
-        **{f"w{w}": F.weekday("o_orderdate") == w for w in range(4)},
-        **{n: F.col("o_orderstatus") == v for n, v in STATUSES.items()},
-        **{n: F.col("o_orderpriority") == v for n, v in PRIORITIES.items()},
-        "small": price < 5_000_000,
-        "working": price >= 10_000_000,
-        "idle": price >= 40_000_000,
+        **{f"m{m}": f"month(o_orderdate) = {m}" for m in range(1, 9)},
+        **{f"d{d}": f"day(o_orderdate) = {d}" for d in range(1, 13)},
+        **{f"w{w}": f"weekday(o_orderdate) = {w}" for w in range(4)},
+        **{n: f"o_orderstatus = '{v}'" for n, v in STATUSES.items()},
+        **{n: f"o_orderpriority = '{v}'" for n, v in PRIORITIES.items()},
+        "small": "_price < 5000000",
+        "working": "_price >= 10000000",
+        "idle": "_price >= 40000000",
     }
-    return (
+    wanted = [
+        "count(*) as total",
+        "sum(_price) as spent",
+        *[f"count_if({c}) as {n}" for n, c in counts.items()],
+    ]
+    counted = (
         placed_orders(spark, sf_dir)
-        .withColumn("_price", cents("o_totalprice"))
-        .groupBy(F.col("feature_year").cast("bigint").alias("year"), "n_nationkey", "n_name")
-        .agg(
-            F.count("*").alias("total"),
-            F.sum("_price").alias("spent"),
-            *[F.count_if(c).alias(n) for n, c in counts.items()],
-        )
+        .groupBy(F.expr("bigint(feature_year) as year"), "c_nationkey", "n_name")
+        .agg(*[F.expr(w) for w in wanted])
     )
+    return staged(counted, "county-counts")
 
 
-def _document(counted: DataFrame, cells: dict[str, Column]) -> DataFrame:
+def _document(counted: DataFrame, cells: dict[str, str], twice: str) -> DataFrame:
     """One JSON text per year; a year has one row per nation, twice at most."""
-    row = F.array(*[c.cast("string") for c in cells.values()])
-    header = F.array(*[F.lit(name) for name in cells])
-    rows = F.transform(
-        F.array_sort(F.collect_list(F.struct("n_nationkey", "copy", row.alias("cells")))),
-        lambda r: r["cells"],
-    )
+    row = ", ".join(f"string({c})" for c in cells.values())
+    header = ", ".join(f"'{name}'" for name in cells)
+    rows = "transform(array_sort(collect_list(_row)), r -> r.cells)"
     return (
-        counted.groupBy("year")
-        .agg(F.to_json(F.concat(F.array(header), rows)).alias("value"))
-        .select("value", "year", F.lit("ST").alias("state"))
+        counted.selectExpr("*", f"explode(if({twice}, array(0, 1), array(1))) as copy")
+        .selectExpr("year", f"struct(c_nationkey, copy, array({row}) as cells) as _row")
+        .groupBy("year")
+        .agg(F.expr(f"to_json(concat(array(array({header})), {rows})) as value"))
+        .selectExpr("value", "year", "'ST' as state")
     )
 
 
-def main_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def main_documents(counted: DataFrame) -> DataFrame:
     """Nation 5 appears twice in 1998; nation 3 of 1997 has no rent figure."""
-    c = F.col
-    total = c("total")
-    no_rent = (c("n_nationkey") == 3) & (c("year") == 1997)
+    no_rent = "(c_nationkey = 3 and year = 1997)"
     cells = {
-        "NAME": c("n_name"),
-        "B01001_001E": total,
-        "B01002_001E": F.concat((total % 70).cast("string"), F.lit(".5")),
-        **{f"B01001_{n:03d}E": c(f"m{m}") for n, m in zip([3, 4, 5, 6], range(1, 5))},
-        **{f"B01001_{n:03d}E": c(f"d{d}") for n, d in zip(range(20, 26), range(1, 7))},
-        **{f"B01001_{n:03d}E": c(f"m{m}") for n, m in zip(range(27, 31), range(5, 9))},
-        **{f"B01001_{n:03d}E": c(f"d{d}") for n, d in zip(range(44, 50), range(7, 13))},
-        "B02001_002E": c("finished"),
-        "B02001_003E": c("open"),
-        "B03003_003E": c("partial"),
-        "B15003_001E": total,
-        "B15003_022E": c("urgent"),
-        "B15003_023E": c("high"),
-        "B15003_024E": c("medium"),
-        "B15003_025E": c("unspecified"),
-        "B19013_001E": F.floor(c("spent") / 100),
-        "B17001_001E": total,
-        "B17001_002E": c("small"),
-        "B23025_001E": total,
-        "B23025_003E": c("working"),
-        "B23025_005E": c("idle"),
-        "B25001_001E": total,
-        "B25002_001E": total,
-        "B25002_003E": c("finished"),
-        "B25003_001E": F.when(no_rent, c("open")).otherwise(c("open") + c("partial")),
-        "B25003_002E": c("open"),
-        "B25010_001E": F.lit("2.25"),
-        "B25064_001E": F.when(~no_rent, total * 3),
-        "B25077_001E": F.lit("n/a"),
-        "B05001_001E": total,
-        "B05001_002E": total - c("partial"),
-        "state": F.lit(_STATE),
-        "county": F.lpad(c("n_nationkey").cast("string"), 3, "0"),
+        "NAME": "n_name",
+        "B01001_001E": "total",
+        "B01002_001E": "concat(string(total % 70), '.5')",
+        **{f"B01001_{n:03d}E": f"m{m}" for n, m in zip(range(3, 7), range(1, 5))},
+        **{f"B01001_{n:03d}E": f"d{d}" for n, d in zip(range(20, 26), range(1, 7))},
+        **{f"B01001_{n:03d}E": f"m{m}" for n, m in zip(range(27, 31), range(5, 9))},
+        **{f"B01001_{n:03d}E": f"d{d}" for n, d in zip(range(44, 50), range(7, 13))},
+        "B02001_002E": "finished",
+        "B02001_003E": "open",
+        "B03003_003E": "partial",
+        "B15003_001E": "total",
+        "B15003_022E": "urgent",
+        "B15003_023E": "high",
+        "B15003_024E": "medium",
+        "B15003_025E": "unspecified",
+        "B19013_001E": "floor(spent / 100)",
+        "B17001_001E": "total",
+        "B17001_002E": "small",
+        "B23025_001E": "total",
+        "B23025_003E": "working",
+        "B23025_005E": "idle",
+        "B25001_001E": "total",
+        "B25002_001E": "total",
+        "B25002_003E": "finished",
+        "B25003_001E": f"if({no_rent}, open, open + partial)",
+        "B25003_002E": "open",
+        "B25010_001E": "'2.25'",
+        "B25064_001E": f"if({no_rent}, null, total * 3)",
+        "B25077_001E": "'n/a'",
+        "B05001_001E": "total",
+        "B05001_002E": "total - partial",
+        "state": "'07'",
+        "county": _COUNTY,
     }
-    twice = (c("n_nationkey") == 5) & (c("year") == 1998)
-    copies = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return _document(_counted(spark, sf_dir).withColumn("copy", F.explode(copies)), cells)
+    return _document(counted, cells, "c_nationkey = 5 and year = 1998")
 
 
-def mobility_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mobility_documents(counted: DataFrame) -> DataFrame:
     """Nation 7 is missing in 1996; nation 2 of 1999 has an old row before the good one."""
-    c = F.col
-    old = c("copy") == 0
     cells = {
-        "NAME": c("n_name"),
-        "B07001_001E": F.when(old, "stale").otherwise(c("total").cast("string")),
-        **{f"B07001_{n:03d}E": c(f"w{w}") for n, w in zip([33, 49, 65, 81], range(4))},
-        "state": F.lit(_STATE),
-        "county": F.lpad(c("n_nationkey").cast("string"), 3, "0"),
+        "NAME": "n_name",
+        "B07001_001E": "if(copy = 0, 'stale', string(total))",
+        **{f"B07001_{n:03d}E": f"w{w}" for n, w in zip([33, 49, 65, 81], range(4))},
+        "state": "'07'",
+        "county": _COUNTY,
     }
-    twice = (c("n_nationkey") == 2) & (c("year") == 1999)
-    copies = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-    kept = _counted(spark, sf_dir).filter(~((c("n_nationkey") == 7) & (c("year") == 1996)))
-    return _document(kept.withColumn("copy", F.explode(copies)), cells)
+    kept = counted.filter("not (c_nationkey = 7 and year = 1996)")
+    return _document(kept, cells, "c_nationkey = 2 and year = 1999")

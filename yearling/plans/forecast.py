@@ -32,7 +32,7 @@ def run_persistence(
 ) -> int:
     """Evaluate and record the persistence forecast; returns the run id."""
     scored = ev.persistence_rows(panel, spec).filter(F.col(spec.time).isin(test_times))
-    scored = scored.withColumn("test_year", F.col(spec.time).cast("int"))
+    scored = scored.selectExpr("*", f"int({spec.time}) as test_year")
     folds = ev.persistence_metrics(panel, spec, test_times)
     return registry.record(PERSISTENCE, PERSISTENCE_NOTES, test_times, folds, scored, spec)
 
@@ -51,7 +51,7 @@ def forest_split(
     test_at: int,
     params: models.ForestParams = models.ForestParams(),
 ):
-    """One forest on one time split: (model, scored test rows with errors)."""
+    """One forest on one time split: (forest, scored test rows with errors)."""
     require_columns(panel, [spec.key, spec.label, *spec.model_columns])
     table = time_split(model_table(panel, spec), spec.time, train_until, test_at)
     train = table.filter("role = 'train'")
@@ -59,9 +59,9 @@ def forest_split(
     rows = train.count()
     if rows == 0:
         raise ValueError("training set: no rows")
-    model = models.fit_forest(train, spec, params, rows)
-    scored = models.predict_forest(model, test.drop("role"), spec)
-    return model, ev.with_errors(scored, spec, "predicted_growth")
+    forest = models.fit_forests([(train, rows)], spec, params)[0]
+    scored = models.predict_forest(forest, test.drop("role"), spec)
+    return forest, ev.with_errors(scored, spec, "predicted_growth")
 
 
 def rolling_comparison(
@@ -80,12 +80,11 @@ def rolling_comparison(
     usable = sorted(sizes)
     forest = models.forest_rolling(table, spec, sizes, params)
     tests = table.filter(F.col(spec.time).isin(usable))
-    baseline = tests.withColumns(
-        {
-            "test_year": F.col(spec.time).cast("int"),
-            "predicted_growth": F.col(spec.past),
-            "model_name": F.lit(PERSISTENCE),
-        }
+    baseline = tests.selectExpr(
+        "*",
+        f"int({spec.time}) as test_year",
+        f"{spec.past} as predicted_growth",
+        f"'{PERSISTENCE}' as model_name",
     )
     both = forest.select(*baseline.columns).unionByName(baseline)
     rows = ev.scored_metrics(both, folds, spec)

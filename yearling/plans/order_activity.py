@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearling.functions.numeric import percent
@@ -39,77 +39,90 @@ SPEC = PanelSpec(
 )
 
 
+# Declared, so that opening a table does not start a job to read file footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cents(amount: str) -> Column:
+def cents(amount: str) -> str:
     """Whole cents: their sums do not depend on the order of rows."""
-    return F.round(F.col(amount) * 100).cast("bigint")
+    return f"bigint(round({amount} * 100))"
 
 
 def orders_until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < F.lit(END).cast("timestamp_ntz"))
-    return orders.withColumn("feature_year", F.year("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").filter(f"o_orderdate < timestamp_ntz'{END}'")
+    return orders.selectExpr("*", "year(o_orderdate) as feature_year")
 
 
 def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their customer and nation.
+    """Orders with their customer and nation, prices and balances in cents.
 
     Spark broadcasts a side it knows to be small; otherwise it shuffles on the
     customer key, and a customer with very many orders is split by AQE.
     """
-    customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     return (
         orders_until_end(spark, sf_dir)
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(customer, "o_custkey")
+        .join(nation, "c_nationkey")
+        .selectExpr("*", f"{cents('o_totalprice')} as _price", f"{cents('c_acctbal')} as _balance")
     )
 
 
 def place_panel(spark: SparkSession, sf_dir: str, by_segment: bool = True) -> DataFrame:
     """Panel by nation, or nation and market segment, with all model features."""
-    place = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
-    label = F.col("n_name")
+    place, label = "lpad(string(c_nationkey), 2, '0')", "n_name"
     if by_segment:
-        place = F.concat(place, F.lit("-"), "c_mktsegment")
-        label = F.concat(label, F.lit(" "), "c_mktsegment")
-    price, rows = F.col("_price"), F.col("population")
-
-    def share(name: str, condition: Column) -> Column:
-        return F.count_if(condition).alias(f"pct_{name}")
-
-    shares = [share(n, F.col("o_orderstatus") == v) for n, v in STATUSES.items()]
-    shares += [share(n, F.col("o_orderpriority") == v) for n, v in PRIORITIES.items()]
-    shares += [
-        share("weekend", F.weekday("o_orderdate") >= 5),
-        share("first_half", F.month("o_orderdate") <= 6),
-        share("large", price > 25_000_000),
-        share("negative_balance", F.col("c_acctbal") < 0),
+        place = f"concat({place}, '-', c_mktsegment)"
+        label = f"concat({label}, ' ', c_mktsegment)"
+    shares = {n: f"o_orderstatus = '{v}'" for n, v in STATUSES.items()}
+    shares |= {n: f"o_orderpriority = '{v}'" for n, v in PRIORITIES.items()}
+    shares |= {
+        "weekend": "weekday(o_orderdate) >= 5",
+        "first_half": "month(o_orderdate) <= 6",
+        "large": "_price > 25000000",
+        "negative_balance": "c_acctbal < 0",
+    }
+    wanted = [
+        "count(*) as population",
+        "sum(_price) as _prices",
+        "sum(_balance) as _balances",
+        "min(_price) as _low",
+        "max(_price) as _high",
+        *[f"count_if({c}) as _n_{n}" for n, c in shares.items()],
     ]
-    counted = (
+    panel = (
         placed_orders(spark, sf_dir)
-        .withColumns({"_price": cents("o_totalprice"), "_balance": cents("c_acctbal")})
-        .groupBy(place.alias("location_id"), label.alias("county_name"), "feature_year")
-        .agg(
-            F.count("*").alias("population"),
-            F.sum("_price").alias("avg_price"),
-            F.sum("_balance").alias("avg_balance"),
-            F.min("_price").alias("min_price"),
-            F.max("_price").alias("max_price"),
-            *shares,
+        .groupBy(
+            F.expr(f"{place} as location_id"), F.expr(f"{label} as county_name"), "feature_year"
+        )
+        .agg(*[F.expr(w) for w in wanted])
+        .selectExpr(
+            "location_id",
+            "county_name",
+            "feature_year",
+            "population",
+            "try_divide(_prices, population) / 100 as avg_price",
+            "try_divide(_balances, population) / 100 as avg_balance",
+            "_low / 100 as min_price",
+            "_high / 100 as max_price",
+            *[f"{percent(f'_n_{n}', 'population')} as pct_{n}" for n in shares],
         )
-    )
-    pct = [c for c in counted.columns if c.startswith("pct_")]
-    panel = counted.withColumns(
-        {
-            "avg_price": F.try_divide("avg_price", rows) / 100,
-            "avg_balance": F.try_divide("avg_balance", rows) / 100,
-            "min_price": F.col("min_price") / 100,
-            "max_price": F.col("max_price") / 100,
-            **{c: percent(F.col(c), rows) for c in pct},
-        }
     )
     return with_growth(panel, SPEC)
 
@@ -120,20 +133,20 @@ def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Counts merge in each task before the shuffle, so a customer with most of the
     orders sends one row per task and year.
     """
-    parts = {**{n: ("o_orderstatus", v) for n, v in STATUSES.items()}}
-    parts |= {n: ("o_orderpriority", v) for n, v in PRIORITIES.items()}
-    name = F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))
+    parts = {n: f"o_orderstatus = '{v}'" for n, v in STATUSES.items()}
+    parts |= {n: f"o_orderpriority = '{v}'" for n, v in PRIORITIES.items()}
+    wanted = ["count(*) as population", *[f"count_if({c}) as n_{n}" for n, c in parts.items()]]
     return (
         orders_until_end(spark, sf_dir)
         .groupBy("o_custkey", "feature_year")
-        .agg(
-            F.count("*").alias("population"),
-            *[F.count_if(F.col(c) == v).alias(f"n_{n}") for n, (c, v) in parts.items()],
-        )
-        .withColumns(
-            {"location_id": F.col("o_custkey").cast("string"), "county_name": name}
+        .agg(*[F.expr(w) for w in wanted])
+        .selectExpr(
+            "string(o_custkey) as location_id",
+            "concat('Customer ', string(o_custkey)) as county_name",
+            "feature_year",
+            "population",
+            *[f"n_{n}" for n in parts],
         )
-        .drop("o_custkey")
     )
 
 

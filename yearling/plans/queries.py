@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearling.functions import metrics
-from yearling.functions.numeric import lenient_double, lenient_long, percent, strict_long, total
+from yearling.functions.numeric import lenient_double, lenient_long, percent, strict, strict_total
 from yearling.operators import calendar, models, quality, runs
 from yearling.operators import evaluation as ev
 from yearling.operators.folds import expanding_folds, fold_rows
@@ -17,7 +17,7 @@ from yearling.operators.load import insert_skip_existing, table_profile
 from yearling.operators.panel import complete_rows, known_target, time_split
 from yearling.operators.quantile import exact_median
 from yearling.plans import county, forecast
-from yearling.plans.county_documents import main_documents, mobility_documents
+from yearling.plans.county_documents import county_counts, main_documents, mobility_documents
 from yearling.plans.order_activity import (
     PRIORITIES,
     SPEC,
@@ -35,13 +35,14 @@ from yearling.sources.staging import fresh_path, staged
 from yearling.sources.tables import append, create_table, create_table_like
 
 # Trees per forest in these queries; the library's own default is 300.
-FOREST = models.ForestParams(trees=100)
+FOREST = models.ForestParams(trees=50)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Double columns rounded, as their sums depend on the order of rows."""
-    doubles = {n: F.round(n, digits) for n, kind in df.dtypes if kind == "double"}
-    return df.withColumns(doubles) if doubles else df
+    return df.selectExpr(
+        *[f"round({n}, {digits}) as {n}" if kind == "double" else n for n, kind in df.dtypes]
+    )
 
 
 # --- panel and folds -----------------------------------------------------------
@@ -76,10 +77,9 @@ def expanding_fold_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def fold_membership(spark: SparkSession, sf: str) -> DataFrame:
     rows = fold_rows(_customer_complete(spark, sf), SPEC.time, TEST_YEARS)
-    return rows.groupBy("location_id", "test_year").agg(
-        F.count_if(F.col("role") == "train").alias("training_rows"),
-        F.count_if(F.col("role") == "test").alias("test_rows"),
-    )
+    wanted = [f"count_if(role = '{r}') as {n}" for r, n in
+              (("train", "training_rows"), ("test", "test_rows"))]
+    return rows.groupBy("location_id", "test_year").agg(*[F.expr(w) for w in wanted])
 
 
 def customer_time_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -95,18 +95,18 @@ def _customer_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    actual, predicted = F.col(SPEC.target), F.col(SPEC.past)
+    wanted = [
+        "count(*) as n_rows",
+        f"{metrics.mae(SPEC.target, SPEC.past)} as mae",
+        f"{metrics.rmse(SPEC.target, SPEC.past)} as rmse",
+        f"{metrics.r2(SPEC.target, SPEC.past)} as r2",
+    ]
     found = (
         place_panel(spark, sf)
         .select(*SPEC.persistence_columns)
         .na.drop(subset=[SPEC.past, SPEC.target])
         .groupBy("location_id", "county_name")
-        .agg(
-            F.count("*").alias("n_rows"),
-            metrics.mae(actual, predicted).alias("mae"),
-            metrics.rmse(actual, predicted).alias("rmse"),
-            metrics.r2(actual, predicted).alias("r2"),
-        )
+        .agg(*[F.expr(w) for w in wanted])
     )
     return rounded(found, 5)
 
@@ -128,10 +128,10 @@ def population_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 def error_summary(spark: SparkSession, sf: str) -> DataFrame:
     scored = ev.persistence_rows(place_panel(spark, sf), SPEC)
-    tests = scored.filter(F.col(SPEC.time).isin(TEST_YEARS)).withColumn(
-        "test_year", F.col(SPEC.time)
+    tests = scored.filter(F.col(SPEC.time).isin(TEST_YEARS)).selectExpr(
+        "*", f"{SPEC.time} as test_year"
     )
-    return rounded(ev.error_summary(tests, SPEC))
+    return rounded(ev.error_summary(staged(tests, "scored"), SPEC))
 
 
 def median_price(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,12 +145,12 @@ def fold_averages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def target_range(spark: SparkSession, sf: str) -> DataFrame:
-    return customer_panel(spark, sf).agg(
-        F.count("*").alias("panel_rows"),
-        F.min(SPEC.time).alias("first_year"),
-        F.max(SPEC.time).alias("last_year"),
-        F.min(SPEC.target).alias("lowest_target"),
-        F.max(SPEC.target).alias("highest_target"),
+    return customer_panel(spark, sf).selectExpr(
+        "count(*) as panel_rows",
+        f"min({SPEC.time}) as first_year",
+        f"max({SPEC.time}) as last_year",
+        f"min({SPEC.target}) as lowest_target",
+        f"max({SPEC.target}) as highest_target",
     )
 
 
@@ -162,24 +162,17 @@ def _customer_documents(spark: SparkSession, sf: str) -> DataFrame:
 
     `V` is a header twice; every tenth row is short and every tenth cell null.
     """
-    key = F.col("c_custkey")
-    cells = F.array(
-        F.col("c_name"),
-        F.lit("first"),
-        F.when(key % 10 != 5, F.col("c_mktsegment")),
-        cents("c_acctbal").cast("string"),
-    )
-    row = F.when(key % 10 == 3, F.slice(cells, 1, 2)).otherwise(cells)
-    header = F.array(*[F.lit(h) for h in ("NAME", "V", "SEGMENT", "V")])
-    rows = F.transform(
-        F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("cells")))),
-        lambda r: r["cells"],
-    )
+    cells = f"""array(c_name, 'first', if(c_custkey % 10 = 5, null, c_mktsegment),
+                      string({cents('c_acctbal')}))"""
+    short = f"if(c_custkey % 10 = 3, slice({cells}, 1, 2), {cells})"
+    rows = "transform(array_sort(collect_list(_row)), r -> r.cells)"
+    header = "array(array('NAME', 'V', 'SEGMENT', 'V'))"
     return (
         table(spark, sf, "customer")
-        .groupBy(F.floor(key / 100).alias("year"))
-        .agg(F.to_json(F.concat(F.array(header), rows)).alias("value"))
-        .select("value", "year", F.lit("07").alias("state"))
+        .selectExpr("c_custkey div 100 as year", f"struct(c_custkey, {short} as cells) as _row")
+        .groupBy("year")
+        .agg(F.expr(f"to_json(concat({header}, {rows})) as value"))
+        .selectExpr("value", "year", "'07' as state")
     )
 
 
@@ -189,7 +182,7 @@ _CUSTOMER_CELLS = {"name": "NAME", "segment": "SEGMENT", "balance": "V"}
 def matrix_unpack(spark: SparkSession, sf: str) -> DataFrame:
     return unpack(
         _customer_documents(spark, sf),
-        parse_matrix(F.col("value")),
+        parse_matrix("value"),
         _CUSTOMER_CELLS,
         keep=["year"],
         strict=False,
@@ -199,10 +192,10 @@ def matrix_unpack(spark: SparkSession, sf: str) -> DataFrame:
 def matrix_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Land a file per year and state, then read all of them at once."""
     path = fresh_path(spark, "documents")
-    main_documents(spark, sf).write.partitionBy("year", "state").text(path)
+    main_documents(county_counts(spark, sf)).write.partitionBy("year", "state").text(path)
     return unpack(
         read_documents(spark, path),
-        parse_matrix(F.col("value")),
+        parse_matrix("value"),
         county.MAIN_CELLS,
         keep=["year", "state"],
     ).drop("position")
@@ -211,66 +204,57 @@ def matrix_scan(spark: SparkSession, sf: str) -> DataFrame:
 def matrix_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The same files with a row per line, read in splits."""
     path = fresh_path(spark, "document-lines")
-    spread = F.regexp_replace("value", r"\],\[", "],\n[")
-    documents = main_documents(spark, sf).withColumn("value", spread)
+    spread = r"regexp_replace(value, r'\],\[', '],\n[') as value"
+    documents = main_documents(county_counts(spark, sf)).selectExpr(spread, "year", "state")
     documents.write.partitionBy("year", "state").text(path)
     return unpack_lines(spark, path, county.MAIN_CELLS).drop("position")
 
 
 def _dirty_cells(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.regexp_extract("props", r"(\d+)", 1)
-    turn = F.col("event_id") % 8
-    cell = (
-        F.when(turn == 0, k)
-        .when(turn == 1, F.lit(""))
-        .when(turn == 2, F.lit("nan"))
-        .when(turn == 3, F.col("event_type"))
-        .when(turn == 4, F.concat(k, F.lit("d")))
-        .when(turn == 5, F.concat(F.lit(" "), k, F.lit(" ")))
-        .when(turn == 6, F.concat(k, F.lit(".5")))
+    cell = """case event_id % 8 when 0 then k when 1 then '' when 2 then 'nan'
+                 when 3 then event_type when 4 then concat(k, 'd') when 5 then concat(' ', k, ' ')
+                 when 6 then concat(k, '.5') end as cell"""
+    return (
+        table(spark, sf, "events")
+        .selectExpr("event_id", "event_type", r"regexp_extract(props, r'(\d+)', 1) as k")
+        .selectExpr("event_id", cell)
     )
-    return table(spark, sf, "events").select("event_id", cell.alias("cell"))
 
 
 def coerce_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    cell = F.col("cell")
-    return _dirty_cells(spark, sf).select(
-        "event_id", lenient_double(cell).alias("number"), lenient_long(cell).alias("whole")
+    return _dirty_cells(spark, sf).selectExpr(
+        "event_id", f"{lenient_double('cell')} as number", f"{lenient_long('cell')} as whole"
     )
 
 
 def strict_sums(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        F.col("l_partkey").cast("string").alias("a"),
-        F.col("l_suppkey").cast("string").alias("b"),
-        F.concat(F.lit(" "), F.col("l_orderkey").cast("string")).alias("c"),
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    texts = table(spark, sf, "lineitem").selectExpr(
+        *keys,
+        "string(l_partkey) as a",
+        "string(l_suppkey) as b",
+        "concat(' ', string(l_orderkey)) as c",
     )
-    a, b, c = [strict_long(F.col(n), n) for n in "abc"]
-    return texts.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        total([a, b, c]).alias("added"),
-        (a - b).alias("difference"),
+    return texts.selectExpr(
+        *keys,
+        f"{strict_total('added', ['a', 'b', 'c'])} as added",
+        f"{strict('difference', '{0} - {1}', ['a', 'b'])} as difference",
     )
 
 
 def ratio_features(spark: SparkSession, sf: str) -> DataFrame:
-    return customer_counts(spark, sf).select(
+    return customer_counts(spark, sf).selectExpr(
         "location_id",
         "feature_year",
-        percent(F.col("n_open"), F.col("population")).alias("pct_open"),
-        percent(F.col("n_finished"), F.col("n_urgent")).alias("finished_per_urgent"),
-        percent(F.col("n_low"), F.col("n_low") + F.col("n_high")).alias("pct_low_of_both"),
+        f"{percent('n_open', 'population')} as pct_open",
+        f"{percent('n_finished', 'n_urgent')} as finished_per_urgent",
+        f"{percent('n_low', 'n_low + n_high')} as pct_low_of_both",
     )
 
 
 def _user_events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
-        F.col("user_id").alias("o_custkey"), "event_id", "event_type", "value"
+    return table(spark, sf, "events").selectExpr(
+        "user_id as o_custkey", "event_id", "event_type", "value"
     )
 
 
@@ -285,16 +269,17 @@ def unmatched_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ranked_by_rate(spark: SparkSession, sf: str) -> DataFrame:
-    rate = percent(F.col("n_finished"), F.col("n_urgent")).alias("rate")
+    rate = f"{percent('n_finished', 'n_urgent')} as rate"
     return (
         customer_counts(spark, sf)
-        .select("county_name", "feature_year", "population", "n_finished", rate)
+        .selectExpr("county_name", "feature_year", "population", "n_finished", rate)
         .orderBy(F.desc_nulls_last("rate"), "county_name", "feature_year")
     )
 
 
 def county_records(spark: SparkSession, sf: str) -> DataFrame:
-    return county.county_records(main_documents(spark, sf), mobility_documents(spark, sf))
+    counted = county_counts(spark, sf)
+    return county.county_records(main_documents(counted), mobility_documents(counted))
 
 
 # --- quality -------------------------------------------------------------------
@@ -313,8 +298,8 @@ def dq_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(
-        F.year("l_shipdate").alias("ship_year"), "l_orderkey", "l_linenumber"
+    lines = table(spark, sf, "lineitem").selectExpr(
+        "year(l_shipdate) as ship_year", "l_orderkey", "l_linenumber"
     )
     return quality.duplicate_counts(lines, "ship_year", ["l_orderkey", "l_linenumber"])
 
@@ -359,16 +344,15 @@ def dq_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 def _shipped(spark: SparkSession, sf: str) -> DataFrame:
     """Line rows whose key repeats, and is partly missing for single items."""
-    number = F.when(F.col("l_quantity") > 1, F.col("l_linenumber")).alias("l_linenumber")
-    return table(spark, sf, "lineitem").select(
+    return table(spark, sf, "lineitem").selectExpr(
         "l_orderkey",
-        number,
+        "if(l_quantity > 1, l_linenumber, null) as l_linenumber",
         "l_partkey",
         "l_suppkey",
         "l_extendedprice",
         "l_discount",
         "l_tax",
-        F.year("l_shipdate").alias("ship_year"),
+        "year(l_shipdate) as ship_year",
     )
 
 
@@ -383,9 +367,8 @@ def insert_skip(spark: SparkSession, sf: str) -> DataFrame:
     name, path = _scratch_table(spark, "shipped")
     key = ["ship_year", "l_orderkey", "l_linenumber"]
     create_table_like(lines, name, key=key, partition_by=["ship_year"], path=path)
-    order: list[Column] = [F.col(c) for c in lines.columns]
-    insert_skip_existing(lines.filter("ship_year <= 1998"), name, order)
-    insert_skip_existing(lines.filter("ship_year >= 1997"), name, order)
+    insert_skip_existing(lines.filter("ship_year <= 1998"), name, lines.columns)
+    insert_skip_existing(lines.filter("ship_year >= 1997"), name, lines.columns)
     return spark.table(name)
 
 
@@ -402,7 +385,7 @@ def append_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 def profile(spark: SparkSession, sf: str) -> DataFrame:
     def one(name: str) -> DataFrame:
-        return table_profile(table(spark, sf, name)).withColumn("table_name", F.lit(name))
+        return table_profile(table(spark, sf, name)).selectExpr("*", f"'{name}' as table_name")
 
     return one("orders").unionByName(one("lineitem")).unionByName(one("events"))
 
@@ -414,14 +397,14 @@ def run_registry(spark: SparkSession, sf: str) -> DataFrame:
     forecast.run_persistence(panel, SPEC, TEST_YEARS[:2], registry)
     forecast.run_persistence(panel, SPEC, TEST_YEARS, registry)
     latest = runs.current_run_id(registry.runs(), forecast.PERSISTENCE)
-    run = registry.runs().join(latest, "run_id").select(
+    run = registry.runs().join(latest, "run_id").selectExpr(
         "run_id",
         "feature_start_year",
         "feature_end_year",
         "test_start_year",
         "test_end_year",
-        F.col("training_rows").alias("run_training_rows"),
-        F.col("test_rows").alias("run_test_rows"),
+        "training_rows as run_training_rows",
+        "test_rows as run_test_rows",
         "notes",
     )
     return rounded(registry.metrics().join(run, "run_id"))
@@ -437,39 +420,38 @@ def recorded_predictions(spark: SparkSession, sf: str) -> DataFrame:
 def run_counts_update(spark: SparkSession, sf: str) -> DataFrame:
     """A run row of each order year, with the counts of one year set afterwards."""
     years = orders_until_end(spark, sf).groupBy("feature_year").agg(
-        F.count("*").alias("test_rows")
+        F.expr("count(*) as test_rows")
     )
-    table_ = years.select(
-        F.col("feature_year").cast("bigint").alias("run_id"),
-        F.lit(None).cast("bigint").alias("training_rows"),
-        "test_rows",
+    recorded = years.selectExpr(
+        "bigint(feature_year) as run_id", "bigint(null) as training_rows", "test_rows"
     )
-    return runs.with_run_counts(table_, 1998, training_rows=10, test_rows=20)
+    return runs.with_run_counts(recorded, 1998, training_rows=10, test_rows=20)
 
 
 # --- calendar ------------------------------------------------------------------
 
 
 def _dated_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(
-        "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date")
-    )
+    return table(spark, sf, "orders").selectExpr("o_orderkey", "date(o_orderdate) as order_date")
+
+
+def _orders_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    days = _dated_orders(spark, sf).groupBy("order_date")
+    return days.agg(F.expr("count(*) as orders"))
 
 
 def _order_holidays(spark: SparkSession, sf: str) -> DataFrame:
-    years = _dated_orders(spark, sf).select(F.year("order_date").alias("year")).distinct()
+    years = _dated_orders(spark, sf).selectExpr("year(order_date) as year").distinct()
     return calendar.federal_holidays(years)
 
 
 def holiday_table(spark: SparkSession, sf: str) -> DataFrame:
-    orders = _dated_orders(spark, sf).groupBy(F.col("order_date").alias("holiday_date")).agg(
-        F.count("*").alias("orders")
-    )
-    return _order_holidays(spark, sf).join(orders, "holiday_date", "left")
+    daily = _orders_by_day(spark, sf).withColumnRenamed("order_date", "holiday_date")
+    return _order_holidays(spark, sf).join(daily, "holiday_date", "left")
 
 
 def business_days(spark: SparkSession, sf: str) -> DataFrame:
-    daily = _dated_orders(spark, sf).groupBy("order_date").agg(F.count("*").alias("orders"))
+    daily = _orders_by_day(spark, sf)
     return calendar.with_business_day(daily, "order_date", _order_holidays(spark, sf))
 
 
@@ -500,13 +482,13 @@ def linear_rolling(spark: SparkSession, sf: str) -> DataFrame:
 
 def forest_single_split(spark: SparkSession, sf: str) -> DataFrame:
     _, scored = forecast.forest_split(place_panel(spark, sf), SPEC, 1998, 1999, FOREST)
-    return scored.select(
+    return scored.selectExpr(
         "location_id",
         "county_name",
         "feature_year",
         "population",
         SPEC.target,
-        F.col("predicted_growth").alias("predicted_growth_1yr"),
+        "predicted_growth as predicted_growth_1yr",
         "predicted_population",
         "actual_population",
         "population_error",
@@ -517,12 +499,12 @@ def forest_single_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def forest_error_summary(spark: SparkSession, sf: str) -> DataFrame:
     _, scored = forecast.forest_split(place_panel(spark, sf), SPEC, 1998, 1999, FOREST)
-    return ev.error_summary(scored, SPEC)
+    return ev.error_summary(staged(scored, "scored"), SPEC)
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    model, scored = forecast.forest_split(place_panel(spark, sf), SPEC, 1998, 1999, FOREST)
-    return models.feature_importance(model, SPEC, scored, top=15)
+    forest, _ = forecast.forest_split(place_panel(spark, sf), SPEC, 1998, 1999, FOREST)
+    return models.feature_importance(forest, SPEC, spark, top=15)
 
 
 def forest_rolling(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,8 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 _LANDED = "value string, year bigint, state string"
 _MATRIX = "array<array<string>>"
@@ -20,32 +19,48 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_LANDED).text(path, wholetext=True)
 
 
-def parse_matrix(document: Column, strict: bool = True) -> Column:
+def _mode(strict: bool) -> str:
+    return f"map('mode', '{'FAILFAST' if strict else 'PERMISSIVE'}')"
+
+
+def parse_matrix(document: str, strict: bool = True) -> str:
     """Document text to rows of cells. Strict fails on bad JSON or no header row."""
-    matrix = F.from_json(document, _MATRIX, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    matrix = f"from_json({document}, '{_MATRIX}', {_mode(strict)})"
     if not strict:
         return matrix
-    return F.when(F.size(matrix) >= 1, matrix).otherwise(
-        F.raise_error(F.lit("document is not a matrix with a header row")).cast(_MATRIX)
-    )
+    problem = "raise_error('document is not a matrix with a header row')"
+    return f"if(size({matrix}) >= 1, {matrix}, cast({problem} as {_MATRIX}))"
 
 
-def _cell_place(header: Column, name: str) -> Column:
-    """0-based place of the last header with this name, NULL when absent."""
-    return F.size(header) - F.nullif(F.array_position(F.reverse(header), name), F.lit(0))
+def _places(header: str, names: list[str], strict: bool) -> list[str]:
+    """`_places`: the 0-based place of each wanted header, the last of equal ones
+    and NULL when absent; `_need`: how many cells a row needs for all of them."""
+    at = [f"size({header}) - nullif(int(array_position(reverse({header}), '{n}')), 0)" for n in names]
+    fields = ", ".join(f"'h{i}', {place}" for i, place in enumerate(at))
+    columns = [f"named_struct({fields}) as _places"]
+    if strict:
+        missing = f"array_except(array({', '.join(repr(n) for n in names)}), {header})"
+        problem = f"raise_error(concat('no cell ', array_join({missing}, ', ')))"
+        most = f"array_max(array({', '.join(at)})) + 1"
+        columns.append(f"if(size({missing}) = 0, {most}, cast({problem} as int)) as _need")
+    return columns
 
 
-def _cell(cells: Column, place: Column, name: str, strict: bool) -> Column:
-    found = F.get(cells, place)
+def _checked(strict: bool) -> str:
     if not strict:
-        return found
-    absent = place.isNull() | (place >= F.size(cells))
-    return F.when(absent, F.raise_error(F.lit(f"no cell {name}"))).otherwise(found)
+        return "_cells"
+    problem = "raise_error(concat('short row: ', array_join(_cells, ', ', 'null')))"
+    return f"if(size(_cells) >= _need, _cells, cast({problem} as array<string>)) as _cells"
+
+
+def _picked(cells: Mapping[str, str], names: list[str]) -> list[str]:
+    at = {name: f"_places.h{i}" for i, name in enumerate(names)}
+    return [f"get(_cells, {at[name]}) as `{column}`" for column, name in cells.items()]
 
 
 def unpack(
     documents: DataFrame,
-    matrix: Column,
+    matrix: str,
     cells: Mapping[str, str],
     keep: list[str],
     strict: bool = True,
@@ -56,25 +71,15 @@ def unpack(
     last cells (strict: fails), surplus cells are dropped. Places are looked up
     once per document, so a row costs one array read per wanted cell.
     """
-    header = F.get("_matrix", F.lit(0))
-    wanted = list(dict.fromkeys(cells.values()))
-    places = F.struct(
-        *[_cell_place(header, name).cast("int").alias(f"h{i}") for i, name in enumerate(wanted)]
-    )
-    data = F.slice("_matrix", F.lit(2), F.greatest(F.size("_matrix") - 1, F.lit(0)))
-    rows = (
-        documents.withColumn("_matrix", matrix)
-        .withColumn("_places", places)
-        .select(*keep, "_places", F.posexplode(data).alias("position", "_cells"))
-    )
-    at = {name: F.col("_places")[f"h{i}"] for i, name in enumerate(wanted)}
-    return rows.select(
-        *keep,
-        F.col("position").cast("bigint").alias("position"),
-        *[
-            _cell(F.col("_cells"), at[name], name, strict).alias(column)
-            for column, name in cells.items()
-        ],
+    names = list(dict.fromkeys(cells.values()))
+    rows = "posexplode(slice(_matrix, 2, greatest(size(_matrix) - 1, 0))) as (_row, _cells)"
+    known = [*keep, "_places", *(["_need"] if strict else [])]
+    return (
+        documents.selectExpr(*keep, f"{matrix} as _matrix")
+        .selectExpr(*keep, "_matrix", *_places("_matrix[0]", names, strict))
+        .selectExpr(*known, rows)
+        .selectExpr(*keep, "_places", "bigint(_row) as position", _checked(strict))
+        .selectExpr(*keep, "position", *_picked(cells, names))
     )
 
 
@@ -87,48 +92,34 @@ def unpack_lines(
     """As `read_documents` + `unpack`, for documents written one row per line.
 
     Lines are splittable, so one very large document is read by many tasks. The
-    header line (starting `[[`) of each file is joined back by file name.
+    header line (starting `[[`) of each file is joined back by file name; the
+    `position` grows with the place of the line in its file.
     """
-    bare = F.regexp_extract("value", r"^\s*\[?\s*(\[.*?\])\s*[,\]]?\s*$", 1)
+    names = list(dict.fromkeys(cells.values()))
+    parsed = f"from_json(_text, 'array<string>', {_mode(strict)})"
     lines = (
         spark.read.schema(_LANDED)
         .text(path)
-        .select(
+        .selectExpr(
             "year",
             "state",
-            F.col("_metadata.file_path").alias("_file"),
-            F.struct(
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line"),
-            ).alias("position"),
-            F.col("value").rlike(r"^\s*\[\s*\[").alias("_heads"),
-            bare.alias("_text"),
+            "_metadata.file_path as _file",
+            "struct(_metadata.file_block_start as block, monotonically_increasing_id() as line)"
+            " as position",
+            r"value rlike r'^\s*\[\s*\[' as _heads",
+            r"regexp_extract(value, r'^\s*\[?\s*(\[.*?\])\s*[,\]]?\s*$', 1) as _text",
         )
         .filter("_text <> ''")
     )
-    parsed = F.from_json(
-        "_text", "array<string>", {"mode": "FAILFAST" if strict else "PERMISSIVE"}
-    )
-    wanted = list(dict.fromkeys(cells.values()))
     headers = (
         lines.filter("_heads")
-        .select("_file", parsed.alias("_header"))
-        .select(
-            "_file",
-            *[
-                _cell_place(F.col("_header"), name).cast("int").alias(f"_h{i}")
-                for i, name in enumerate(wanted)
-            ],
-        )
+        .selectExpr("_file", f"{parsed} as _header")
+        .selectExpr("_file", *_places("_header", names, strict))
     )
-    rows = lines.filter("not _heads").withColumn("_cells", parsed).join(headers, "_file")
-    at = {name: F.col(f"_h{i}") for i, name in enumerate(wanted)}
-    return rows.select(
-        "year",
-        "state",
-        "position",
-        *[
-            _cell(F.col("_cells"), at[name], name, strict).alias(column)
-            for column, name in cells.items()
-        ],
+    rows = lines.filter("not _heads").selectExpr("*", f"{parsed} as _cells")
+    keep = ["year", "state", "position"]
+    return (
+        rows.join(headers, "_file")
+        .selectExpr(*keep, "_places", _checked(strict))
+        .selectExpr(*keep, *_picked(cells, names))
     )
