@@ -63,9 +63,8 @@ def holidays_between(spark: SparkSession, first_year: int, last_year: int) -> Da
 
 
 def _closed_days(holidays: DataFrame, day: str) -> DataFrame:
-    """One row per date: about a dozen a year, so Spark's size check broadcasts it.
-
-    An oversized user table falls back to a shuffle.
+    """One row per date. Spark knows `holidays_between` and stored tables to be
+    small and broadcasts them; a table past its limit is joined by a shuffle.
     """
     return holidays.selectExpr(f"holiday_date as `{day}`").distinct()
 

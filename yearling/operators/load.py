@@ -21,6 +21,7 @@ def rows_to_insert(
     part equals no other key, so such rows all pass, without a shuffle.
     """
     known = " and ".join(f"`{k}` is not null" for k in key)
+    order = [c for c in order if c not in key] or key
     fresh = one_per_key(batch.filter(known), key, order).join(
         target.select(*key), key, "left_anti"
     )
@@ -44,6 +45,8 @@ def insert_skip_existing(
         raise ValueError("cannot insert an empty frame")
     target = spark.table(name)
     parts = [c for c in partition_columns(spark, name) if c in key]
+    # Sorting starts with the key's first column: better not a partition column.
+    key = [k for k in key if k not in parts] + parts
     if parts:
         # Distinct partition values are few by design; the limit keeps it so.
         touched = batch.select(*parts).distinct().limit(_LISTED_PARTITIONS + 1).collect()

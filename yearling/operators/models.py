@@ -133,7 +133,7 @@ def linear_rolling(complete: DataFrame, spec: PanelSpec, test_times: list[int])
 # --- random forest -----------------------------------------------------------
 
 _ROWS_PER_TASK = 20_000
-_TREES_PER_JOB = 8
+_TREES_PER_JOB = 16
 _JOBS_AT_ONCE = 16
 
 

@@ -441,8 +441,8 @@ def _orders_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_holidays(spark: SparkSession, sf: str) -> DataFrame:
-    years = _dated_orders(spark, sf).selectExpr("year(order_date) as year").distinct()
-    return calendar.federal_holidays(years)
+    span = _dated_orders(spark, sf).selectExpr("year(min(order_date))", "year(max(order_date))")
+    return calendar.holidays_between(spark, *span.first())
 
 
 def holiday_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,6 +9,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yearling.sources.staging import staged
+
 _LANDED = "value string, year bigint, state string"
 _MATRIX = "array<array<string>>"
 
@@ -116,6 +118,9 @@ def unpack_lines(
         .selectExpr("_file", f"{parsed} as _header")
         .selectExpr("_file", *_places("_header", names, strict))
     )
+    # One line per file: stored, so Spark knows its size and need not shuffle the
+    # rows of a usual number of files.
+    headers = staged(headers, "matrix-headers")
     rows = lines.filter("not _heads").selectExpr("*", f"{parsed} as _cells")
     keep = ["year", "state", "position"]
     return (

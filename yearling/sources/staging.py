@@ -32,10 +32,17 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     time column makes every later time filter a directory choice.
     """
     path = fresh_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
+    writer = df.write
     if partition_by:
-        # One task per partition value would gather a hot one; let each writer
-        # add its own file instead.
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        writer = balanced(df, partition_by).write.partitionBy(*partition_by)
+    writer.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Gather partition values before a write, in files of a sound size.
+
+    Without it every task adds a file to every folder. AQE splits a value that
+    holds many of the rows and joins small ones.
+    """
+    return df.hint("rebalance", *partition_by)

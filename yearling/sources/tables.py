@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from yearling.sources.staging import balanced
+
 _KEY = "unique_columns"
 
 
@@ -58,7 +60,9 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
 
 def append(df: DataFrame, name: str) -> None:
     """Append by column name."""
-    df.select(*df.sparkSession.table(name).columns).write.insertInto(name)
+    spark = df.sparkSession
+    rows, parts = df.select(*spark.table(name).columns), partition_columns(spark, name)
+    (balanced(rows, parts) if parts else rows).write.insertInto(name)
 
 
 def storage_type(kind: T.DataType) -> str:
