@@ -469,6 +469,10 @@ ORACLE: dict[str, str] = {
                cast(sum(test_rows) as bigint) as total_test_rows,
                {', '.join(f'round(avg({m}), 6) as avg_{m}' for m in METRICS)}
         from folds""",
+    "fold_lines": f"""with {place_panel(False)}, {PERSISTENCE_FOLDS}
+        select test_year, printf('%d: MAE %.6f | RMSE %.6f | R² %.6f | Population MAPE %.2f%%',
+               test_year, growth_mae, growth_rmse, growth_r2, population_mape) as line
+        from folds""",
     "target_range": f"""with {CUSTOMER_PANEL}
         select cast(count(*) as bigint) as panel_rows, min(feature_year) as first_year,
                max(feature_year) as last_year, min({NEXT}) as lowest_target,

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from yearling.operators.folds import expanding_folds, fold_rows
-from yearling.operators.joins import lookup_join, unmatched
+from yearling.operators.joins import last_per_key, lookup_join, unmatched
 from yearling.operators.panel import (
     complete_rows,
     known_target,
@@ -29,10 +29,40 @@ def test_lookup_join_takes_the_last_and_drops_the_rest(spark, rows):
 
 
 def test_one_per_key_is_cut_before_the_shuffle(spark, plan):
-    main = spark.range(10).selectExpr("id as k")
     lookup = spark.range(1000).selectExpr("id % 2 as k", "id as position", "id as v")
-    text = plan(lookup_join(main, lookup, ["k"], "position"))
-    assert text.count("WindowGroupLimit") == 2
+    assert plan(last_per_key(lookup, ["k"], "position")).count("WindowGroupLimit") == 2
+
+
+@pytest.fixture
+def large_joins(spark):
+    """No broadcast, and a skew limit that small test data passes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("join", ["lookup", "unmatched"])
+def test_a_hot_main_key_is_split(spark, large_joins, plan, join):
+    # Key 0 holds a third of the main rows.
+    main = spark.range(0, 120_000, 1, 8).selectExpr("if(id % 3 = 0, 0, id) as k", "uuid() as m")
+    lookup = spark.range(1000).selectExpr("id as k", "id as position", "id as v")
+    if join == "lookup":
+        joined, expected = lookup_join(main, lookup, ["k"], "position"), 40_000 + 666
+    else:
+        joined, expected = unmatched(main, lookup.filter("k > 0"), ["k"]), 120_000 - 666
+    counted = joined.selectExpr("k", "m")
+    assert len(counted.toPandas()) == expected
+    assert "skew=true" in plan(counted)
 
 
 def panel(spark, rows_):

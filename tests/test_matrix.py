@@ -80,3 +80,9 @@ def test_files_whole_and_by_line_agree(spark, tmp_path):
     assert sorted(map(tuple, by_line.drop("position").collect())) == expected
     in_order = [r.name for r in by_line.filter("year = 2001").orderBy("position").collect()]
     assert in_order == ["a", "b"]
+
+
+def test_lenient_reading_skips_an_empty_document(spark):
+    empty = spark.createDataFrame([("[]", 1), ("not json", 2)], "value string, year bigint")
+    found = unpack(empty, parse_matrix("value", False), CELLS, ["year"], strict=False)
+    assert found.count() == 0 and found.collect() == []

@@ -104,6 +104,13 @@ def fold_averages(folds: DataFrame) -> DataFrame:
     )
 
 
+def fold_lines(folds: DataFrame) -> DataFrame:
+    """Add `line`: the fold's metrics as one line of text."""
+    shown = "'%d: MAE %.6f | RMSE %.6f | R² %.6f | Population MAPE %.2f%%'"
+    values = "test_year, growth_mae, growth_rmse, growth_r2, population_mape"
+    return folds.selectExpr("*", f"format_string({shown}, {values}) as line")
+
+
 def error_summary(scored: DataFrame, spec: PanelSpec, by: str = "test_year") -> DataFrame:
     """Count, MAE, MAPE, median APE, largest error and the two extreme rows.
 

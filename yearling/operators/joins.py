@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from yearling.sources.staging import staged
+
 
 def one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in `order`; NULL keys count as equal.
@@ -23,11 +25,17 @@ def last_per_key(df: DataFrame, key: list[str], position: str) -> DataFrame:
 def lookup_join(
     main: DataFrame, lookup: DataFrame, key: list[str], position: str
 ) -> DataFrame:
-    """Inner join with the last lookup row of each key; other rows are dropped."""
-    single = last_per_key(lookup, key, position).drop(position)
+    """Inner join with the last lookup row of each key; other rows are dropped.
+
+    The reduced lookup is stored: Spark then broadcasts it if it is small, and
+    otherwise joins two plain shuffles, where AQE can split a key that holds many
+    of the main rows. It cannot when a side still carries the window.
+    """
+    single = staged(last_per_key(lookup, key, position).drop(position), "lookup")
     return main.join(single, key, "inner")
 
 
 def unmatched(main: DataFrame, lookup: DataFrame, key: list[str]) -> DataFrame:
     """The rows `lookup_join` drops."""
-    return main.join(lookup.select(*key).distinct(), key, "left_anti")
+    known = staged(lookup.select(*key).distinct(), "lookup-keys")
+    return main.join(known, key, "left_anti")

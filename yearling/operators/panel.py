@@ -13,7 +13,8 @@ def with_growth(df: DataFrame, spec: PanelSpec, span: int = 1024) -> DataFrame:
 
     A key's history is cut into spans of `span` time steps, each sorted by its own
     task, so a key with a very long history is split too. Only the rows at a cut
-    are sent to both sides; calendar years have no cut between 1024 and 2047.
+    are sent to both sides; calendar years have no cut between 1024 and 2047. The
+    panel has one row per (key, time), as the loader and the key check ensure.
     """
     time, value = f"`{spec.time}`", f"`{spec.value}`"
     home = f"floor({time} / {span})"

@@ -144,6 +144,11 @@ def fold_averages(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ev.fold_averages(folds))
 
 
+def fold_lines(spark: SparkSession, sf: str) -> DataFrame:
+    folds = ev.persistence_metrics(place_panel(spark, sf, by_segment=False), SPEC, TEST_YEARS)
+    return ev.fold_lines(folds).select("test_year", "line").orderBy("test_year")
+
+
 def target_range(spark: SparkSession, sf: str) -> DataFrame:
     return customer_panel(spark, sf).selectExpr(
         "count(*) as panel_rows",
@@ -528,6 +533,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "error_summary": error_summary,
     "median_price": median_price,
     "fold_averages": fold_averages,
+    "fold_lines": fold_lines,
     "target_range": target_range,
     "matrix_unpack": matrix_unpack,
     "matrix_scan": matrix_scan,

@@ -78,7 +78,7 @@ def unpack(
     known = [*keep, "_places", *(["_need"] if strict else [])]
     return (
         documents.selectExpr(*keep, f"{matrix} as _matrix")
-        .selectExpr(*keep, "_matrix", *_places("_matrix[0]", names, strict))
+        .selectExpr(*keep, "_matrix", *_places("get(_matrix, 0)", names, strict))
         .selectExpr(*known, rows)
         .selectExpr(*keep, "_places", "bigint(_row) as position", _checked(strict))
         .selectExpr(*keep, "position", *_picked(cells, names))
