@@ -88,7 +88,7 @@ def test_linear_validation_report(spark):
 
 def test_tree_shares():
     params = models.ForestParams(trees=50)
-    assert models._tree_shares(params, 100, 4) == [13, 13, 12, 12]
+    assert models._tree_shares(params, 100, 4) == [17, 17, 16]
     assert models._tree_shares(params, 10**9, 1000) == [50]
     assert models._tree_shares(models.ForestParams(trees=3), 100, 8) == [3]
 

@@ -8,10 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _array(test_times: Sequence[int]) -> str:
+    return f"array({', '.join(str(int(t)) for t in sorted(set(test_times)))})"
+
+
 def _served(time: str, test_times: Sequence[int]) -> str:
     """The folds a row at `time` serves: one output row each."""
-    every = ", ".join(str(int(t)) for t in sorted(set(test_times)))
-    return f"explode(filter(array({every}), fold -> fold >= {time})) as test_year"
+    return f"explode(filter({_array(test_times)}, fold -> fold >= {time})) as test_year"
+
+
+def first_fold(time: str, test_times: Sequence[int]) -> str:
+    """The first fold that trains on a row at `time`, NULL when none does.
+
+    A fold's training rows are those of its own and of all earlier first folds, so
+    anything that adds up needs one sum per fold and not one per time.
+    """
+    return f"array_min(filter({_array(test_times)}, fold -> fold > {time}))"
 
 
 def fold_rows(df: DataFrame, time: str, test_times: Sequence[int]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearling.operators.folds import first_fold
 from yearling.spec import PanelSpec
 
 # --- linear regression -------------------------------------------------------
@@ -31,9 +32,9 @@ class LinearFit:
 def fit_linear(complete: DataFrame, spec: PanelSpec, test_times: list[int]) -> list[LinearFit]:
     """Ordinary least squares with intercept for every fold, from two passes.
 
-    The cross products of a time add up, so each time is summed once and a fold is
-    the sum of its earlier times: the data is not read again per fold. What comes
-    to the driver is one small matrix per time.
+    Cross products add up: each row is summed once, under the first fold it trains,
+    and a fold is the sum over itself and the folds before. The data is not read
+    again per fold; what comes to the driver is one small matrix per fold.
     """
     names = list(spec.features)
     columns = names + [spec.target]
@@ -46,11 +47,15 @@ def fit_linear(complete: DataFrame, spec: PanelSpec, test_times: list[int]) -> l
         return []
     center = np.array([moments[f"m{i}"] for i in range(len(columns))], dtype=float)
     scale = np.array([moments[f"s{i}"] or 1.0 for i in range(len(columns))], dtype=float)
-    grams = _cross_products(usable, spec.time, columns, center, scale)
+    usable = usable.selectExpr(
+        f"{first_fold(spec.time, test_times)} as _fold",
+        *[f"double({c}) as {c}" for c in columns],
+    )
+    grams = _cross_products(usable, "_fold", columns, center, scale)
 
     fits = []
     for test in sorted(set(test_times)):
-        past = [g for t, g in grams.items() if t < test]
+        past = [g for fold, g in grams.items() if fold <= test]
         if past:
             intercept, coefficients = _solve(sum(past), center, scale)
             fits.append(LinearFit(test, intercept, coefficients))
@@ -58,9 +63,9 @@ def fit_linear(complete: DataFrame, spec: PanelSpec, test_times: list[int]) -> l
 
 
 def _cross_products(
-    df: DataFrame, time: str, columns: list[str], center: np.ndarray, scale: np.ndarray
+    df: DataFrame, group: str, columns: list[str], center: np.ndarray, scale: np.ndarray
 ) -> dict[int, np.ndarray]:
-    """Z'Z per time of Z = [1, (columns - center) / scale], summed on executors."""
+    """Z'Z per group of Z = [1, (columns - center) / scale], summed on executors."""
     width = len(columns) + 1
     upper = np.triu_indices(width)
 
@@ -69,25 +74,24 @@ def _cross_products(
         for batch in batches:
             values = (batch[columns].to_numpy(dtype=float) - center) / scale
             z = np.column_stack([np.ones(len(values)), values])
-            times = batch[time].to_numpy()
-            for t in np.unique(times):
-                part = z[times == t]
-                sums[int(t)] = sums.get(int(t), 0) + part.T @ part
-        for t, gram in sums.items():
-            yield pd.DataFrame({"t": t, "i": np.arange(len(upper[0])), "v": gram[upper]})
+            groups = batch[group].to_numpy()
+            for g in np.unique(groups):
+                part = z[groups == g]
+                sums[int(g)] = sums.get(int(g), 0) + part.T @ part
+        for g, gram in sums.items():
+            yield pd.DataFrame({"g": g, "i": np.arange(len(upper[0])), "v": gram[upper]})
 
     summed = (
-        df.selectExpr(time, *[f"double({c}) as {c}" for c in columns])
-        .mapInPandas(partial, "t bigint, i int, v double")
-        .groupBy("t", "i")
+        df.mapInPandas(partial, "g bigint, i int, v double")
+        .groupBy("g", "i")
         .agg(F.expr("sum(v) as v"))
         .toPandas()
     )
     grams = {}
-    for t, rows in summed.groupby("t"):
+    for g, rows in summed.groupby("g"):
         gram = np.zeros((width, width))
         gram[upper[0][rows["i"]], upper[1][rows["i"]]] = rows["v"]
-        grams[int(t)] = gram + np.triu(gram, 1).T
+        grams[int(g)] = gram + np.triu(gram, 1).T
     return grams
 
 

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# The report may be long; an error message names this many failures.
+_NAMED_FAILURES = 1000
+
+
 @dataclass(frozen=True)
 class RowCheck:
     name: str
@@ -115,7 +119,9 @@ def verdict(checked: DataFrame) -> DataFrame:
 
 def require_passed(checked: DataFrame) -> None:
     """Raise once, naming every failed check (the report has a row per check)."""
-    bad = checked.filter("not passed").orderBy("batch", "check_name").limit(1000).collect()
+    failed = checked.filter("not passed").orderBy("batch", "check_name")
+    bad = failed.limit(_NAMED_FAILURES + 1).collect()
     if bad:
-        lines = [f"{r.batch}: {r.check_name} ({r.violations})" for r in bad]
+        lines = [f"{r.batch}: {r.check_name} ({r.violations})" for r in bad[:_NAMED_FAILURES]]
+        lines += ["and more"] * (len(bad) > _NAMED_FAILURES)
         raise ValueError("data quality failed: " + "; ".join(lines))

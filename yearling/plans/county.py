@@ -17,6 +17,7 @@ from yearling.operators.joins import lookup_join
 from yearling.operators.load import insert_skip_existing
 from yearling.schemas import COUNTY_YEAR
 from yearling.sources.matrix import parse_matrix, unpack
+from yearling.sources.staging import staged
 
 
 def _codes(table: str, *numbers: int) -> list[str]:
@@ -195,7 +196,8 @@ def backfill(
 
     `records` is read by the checks and by the load: give a stored table.
     """
-    failed = check(records, expected_rows, batches).filter("not passed")
+    report = staged(check(records, expected_rows, batches), "quality-report")
+    failed = report.filter("not passed")
     first = failed.selectExpr("min(batch)").first()[0]
     good = records if first is None else records.filter(f"year < {first}")
     if first is None or not good.isEmpty():
