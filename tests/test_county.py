@@ -93,6 +93,19 @@ def test_each_seeded_violation_is_found(spark, check, changes):
     assert found == {check: 1}
 
 
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 1.0), (1, 2.0, nan)], "b int, part double, whole double")
+    checks = [
+        quality.not_missing("part"),
+        quality.positive("whole"),
+        quality.percentage("part"),
+        quality.parts_within("within", ["part"], "whole"),
+        quality.reconcile("sum", ["part"], "whole"),
+    ]
+    assert tuple(quality.row_check_counts(df, "b", checks).first()) == (1, 2, 1, 0, 1, 0, 2)
+
+
 def test_row_count_and_duplicates(spark):
     assert failures(spark, county_row(), expected=2) == {"row_count": 1}
     twice = failures(spark, county_row(), county_row(), county_row(), expected=3)

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 from yearling.plans import queries as q
-from yearling.plans.order_activity import customer_panel, placed_orders
+from yearling.plans.order_activity import customer_panel, place_panel, placed_orders
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 DATA = "/root/testdata/sf0.001"
@@ -96,6 +96,34 @@ def test_filter_and_columns_reach_the_scan(spark, plan):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in scan
 
 
+def test_a_hot_customer_is_split(spark, plan, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    # A third of the orders belong to one customer.
+    orders = spark.read.parquet(f"{DATA.replace('0.001', '0.1')}/orders.parquet")
+    hot = "if(o_orderkey % 3 = 0, bigint(5), o_custkey % 150) as o_custkey"
+    others = [c for c in orders.columns if c != "o_custkey"]
+    orders.repartition(8).selectExpr(*others, hot).write.parquet(f"{tmp_path}/orders.parquet")
+    for name in ("customer", "nation"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        panel = place_panel(spark, str(tmp_path))
+        found = panel.collect()
+        assert sum(r.population for r in found) == orders.filter("o_orderdate < '2001-01-01'").count()
+        assert "skew=true" in plan(panel)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_growth_takes_one_shuffle_after_the_counts(spark, plan):
     assert plan(customer_panel(spark, DATA)).count("Exchange hashpartitioning") == 2
 

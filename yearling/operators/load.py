@@ -41,8 +41,6 @@ def insert_skip_existing(
     key = key or table_key(spark, name)
     if not key:
         raise ValueError(f"table {name} has no key")
-    if batch.isEmpty():
-        raise ValueError("cannot insert an empty frame")
     target = spark.table(name)
     parts = [c for c in partition_columns(spark, name) if c in key]
     # Sorting starts with the key's first column: better not a partition column.
@@ -50,10 +48,15 @@ def insert_skip_existing(
     if parts:
         # Distinct partition values are few by design; the limit keeps it so.
         touched = batch.select(*parts).distinct().limit(_LISTED_PARTITIONS + 1).collect()
+        empty = not touched
         if len(touched) <= _LISTED_PARTITIONS:
             for c in parts:
                 values = {r[c] for r in touched} - {None}
                 target = target.filter(F.col(c).isin(sorted(values)))
+    else:
+        empty = batch.isEmpty()
+    if empty:
+        raise ValueError("cannot insert an empty frame")
     append(rows_to_insert(batch, target, key, order), name)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from yearling.functions.numeric import growth
+from yearling.functions.numeric import growth, nan_to_null
 from yearling.spec import PanelSpec
 
 
@@ -33,6 +33,16 @@ def with_growth(df: DataFrame, spec: PanelSpec, span: int = 1024) -> DataFrame:
     )
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NaN counts as missing: Spark sorts it above every number otherwise."""
+    return df.selectExpr(
+        *[
+            f"{nan_to_null(f'`{name}`')} as `{name}`" if kind in ("double", "float") else f"`{name}`"
+            for name, kind in df.dtypes
+        ]
+    )
+
+
 def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with no missing value (NULL or NaN) in `columns`."""
     return df.na.drop(subset=columns)

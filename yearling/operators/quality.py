@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearling.operators.panel import nan_as_null
+
 
 # The report may be long; an error message names this many failures.
 _NAMED_FAILURES = 1000
@@ -60,7 +62,7 @@ def chain(name: str, columns: list[str]) -> RowCheck:
 def row_check_counts(df: DataFrame, batch: str, checks: list[RowCheck]) -> DataFrame:
     """One row per batch: `rows` and one count per check, from a single pass."""
     wanted = ["count(*) as rows", *[f"count_if({c.bad}) as `{c.name}`" for c in checks]]
-    return df.groupBy(batch).agg(*[F.expr(w) for w in wanted])
+    return nan_as_null(df).groupBy(batch).agg(*[F.expr(w) for w in wanted])
 
 
 def duplicate_counts(df: DataFrame, batch: str, key: list[str]) -> DataFrame:

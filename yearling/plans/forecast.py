@@ -13,6 +13,7 @@ from yearling.operators.runs import Registry
 from yearling.sources.staging import staged
 from yearling.spec import PanelSpec
 
+# The model name and note of recorded runs.
 PERSISTENCE = "persistence_baseline"
 PERSISTENCE_NOTES = (
     "Prediction uses the most recent historical one-year population growth rate."

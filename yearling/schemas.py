@@ -13,6 +13,7 @@ def _table(*groups: tuple[T.DataType, str]) -> T.StructType:
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
+# Table and column names as the stored tables have them.
 COUNTY_YEAR = _table(
     (_L, "year"),
     (_S, "state state_fips county_fips county_name"),
