@@ -45,7 +45,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE
     WHEN len(w) >= 3
-      THEN list_transform(range(1, len(w) - 1), i -> concat_ws(' ', w[i], w[i+1], w[i+2]))
+      THEN list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i+1], w[i+2]))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
   FROM w
 ),
