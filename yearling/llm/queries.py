@@ -7,23 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from yearling.llm.exact_dedup import exact_groups
+from yearling.llm.language import languages
 from yearling.llm.near_dedup import near_groups
+from yearling.llm.packing import pack
+from yearling.llm.ppm import log_probabilities
+from yearling.llm.tokens import token_digests
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_probabilities(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
     "op10_near_dedup": op10_near_dedup,
 }
 

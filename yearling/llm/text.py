@@ -59,25 +59,29 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def per_row(
-    df: DataFrame, schema: str, work: Callable[[Iterator[tuple]], Iterator[tuple]]
+    df: DataFrame,
+    schema: str,
+    work: Callable[[Iterator[tuple]], Iterator[tuple]],
+    step: int = 512,
 ) -> DataFrame:
     """Run `work` over the rows of a partition as tuples; its tuples become rows.
 
-    Rows leave in batches of bounded count and size, so that long values do not pile up.
+    Of an Arrow batch only `step` rows are Python objects at a time. Rows leave in
+    batches of bounded count and size, so that long values do not pile up.
     """
     columns = to_arrow_schema(StructType.fromDDL(schema))
-    return df.mapInArrow(RowWork(work, columns), schema)
+    return df.mapInArrow(RowWork(work, columns, step), schema)
 
 
 class RowWork:
     """Arrow batches to tuples and back."""
 
-    def __init__(self, work, schema: pa.Schema, rows: int = 4096, size: int = 8 << 20):
-        self.work, self.schema, self.rows, self.size = work, schema, rows, size
+    def __init__(self, work, schema: pa.Schema, step: int, rows: int = 4096, size: int = 8 << 20):
+        self.work, self.schema, self.step, self.rows, self.size = work, schema, step, rows, size
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for row in self.work(tuples(batches)):
+        for row in self.work(tuples(batches, self.step)):
             held.append(row)
             size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
             if len(held) >= self.rows or size >= self.size:
@@ -88,7 +92,7 @@ class RowWork:
 
 
 def tuples(batches: Iterator[pa.RecordBatch], step: int = 512) -> Iterator[tuple]:
-    """Rows of the batches; only `step` of them are Python objects at a time."""
+    """Rows of the batches, `step` of them as Python objects at a time."""
     for batch in batches:
         for start in range(0, batch.num_rows, step):
             part = batch.slice(start, step)
