@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from yearling.llm.exact_dedup import exact_groups
 from yearling.llm.language import languages
 from yearling.llm.near_dedup import near_groups
 from yearling.llm.packing import pack
 from yearling.llm.ppm import log_probabilities
+from yearling.llm.quality import ledger, verdict
 from yearling.llm.tokens import token_digests
 
 
@@ -38,6 +40,21 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ledger(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (~verdict(1)).alias("base_failed"),
+        (verdict(1) & verdict(2)).alias("kept"),
+        "failures",
+    )
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -48,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
 }
 
@@ -61,6 +79,47 @@ WITH t AS (SELECT doc_id, {_LOWER} AS body FROM documents),
 g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
 FROM t JOIN g USING (body)
+""",
+    "op9_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper,
+    length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS n_letters
+  FROM d
+),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i+7], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w)
+),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS k FROM win
+    ) WHERE k > 1
+  ) GROUP BY doc_id
+),
+m AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(length(array_to_string(w, '')), 0) AS word_chars,
+    n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+    len(l) AS n_lines, n_upper, n_letters
+  FROM w LEFT JOIN rep USING (doc_id)
+),
+f AS (
+  SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
+    + CASE WHEN 2 * n_upper > n_letters THEN 8 ELSE 0 END
+    + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN 2 * n_letters < word_chars THEN 64 ELSE 0 END AS failures
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  failures & 3 <> 0 AS base_failed, failures = 0 AS kept, CAST(failures AS BIGINT) AS failures
+FROM f
 """,
     "op10_near_dedup": rf"""
 WITH RECURSIVE w AS (
