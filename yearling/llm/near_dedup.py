@@ -205,6 +205,7 @@ def near_groups(
         pairs.select("hub", "id", "hub_shingles", "shingles"),
         "a bigint, b bigint",
         LinkPairs(percent),
+        step=64,
     )
     found = staged(components(links), "components")
 
@@ -228,10 +229,20 @@ def _join_rest(
     placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "id", "n", F.coalesce("component", "id").alias("comp")
     )
+    # In a bucket of two, the only pair has been compared. Buckets with the same members,
+    # which one family leaves in many bands, are compared once.
     mixed = (
-        placed.groupBy("bucket")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+        placed.where("n > 2")
+        .groupBy("bucket", "n")
+        .agg(
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.bit_xor(F.xxhash64("id")).alias("one"),
+            F.sum(F.col("id").cast("decimal(38,0)")).alias("two"),
+        )
         .where("low < high")
+        .groupBy("n", "low", "high", "one", "two")
+        .agg(F.min("bucket").alias("bucket"))
         .select("bucket")
     )
     open_members = staged(placed.join(mixed, "bucket", "left_semi"), "open")
@@ -247,7 +258,7 @@ def _join_rest(
     )
     pairs = blocks.join(other, "bucket").where("block <= other").select("members", "others")
     more = staged(
-        per_row(pairs, "a bigint, b bigint", LinkBlocks(percent)).distinct(), "more_links"
+        per_row(pairs, "a bigint, b bigint", LinkBlocks(percent), step=4).distinct(), "more_links"
     )
     merged = staged(components(more), "merged").select(
         F.col("node").alias("component"), F.col("component").alias("to")
