@@ -15,7 +15,7 @@ RULES: list[tuple[str, str]] = [
     ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     ("symbols", "10 * n_symbols > n_words"),
     ("capitals", "2 * n_upper > n_letters"),
-    ("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("repeated_lines", "2 * n_dup_lines > n_lines"),
     ("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
     ("few_letters", "2 * n_letters < word_chars"),
 ]

@@ -112,7 +112,7 @@ f AS (
     + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
     + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
     + CASE WHEN 2 * n_upper > n_letters THEN 8 ELSE 0 END
-    + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END
+    + CASE WHEN 2 * n_dup_lines > n_lines THEN 16 ELSE 0 END
     + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 32 ELSE 0 END
     + CASE WHEN 2 * n_letters < word_chars THEN 64 ELSE 0 END AS failures
   FROM m
