@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from yearling.llm.exact_dedup import exact_groups
 from yearling.llm.language import languages
+from yearling.llm.licences import CONTAINED, NOTICES, SHINGLE, licence_matches
 from yearling.llm.near_dedup import near_groups
 from yearling.llm.packing import pack
 from yearling.llm.ppm import log_probabilities
@@ -20,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_matches(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op6_exact_dedup": op6_exact_dedup,
@@ -73,7 +79,54 @@ _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
 
+_NOTICES = ", ".join(
+    "('{}', '{}', '{}')".format(*(x.replace("'", "''") for x in notice)) for notice in NOTICES
+)
+
 ORACLE: dict[str, str] = {
+    "op1_licence_scan": rf"""
+WITH n AS (SELECT * FROM (VALUES {_NOTICES}) AS v(template, licence, body)),
+tw AS (
+  SELECT template, licence, regexp_extract_all(lower(body), '[\p{{L}}\p{{N}}]+') AS w FROM n
+),
+t AS (
+  SELECT DISTINCT template, licence, unnest(list_transform(range(1, len(w) - {SHINGLE - 2}),
+    lambda i: array_to_string(w[i:i+{SHINGLE - 1}], ' '))) AS g FROM tw
+),
+sizes AS (
+  SELECT template, licence, count(*) AS n_shingles,
+    CAST(power(2, ceil(log2(count(*)))) AS BIGINT) AS tier FROM t GROUP BY 1, 2
+),
+dw AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents
+  WHERE text IS NOT NULL
+),
+s AS (
+  SELECT doc_id, i - 1 AS i, array_to_string(w[i:i+{SHINGLE - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {SHINGLE - 2})) AS i FROM dw)
+),
+hits AS (
+  SELECT DISTINCT doc_id, t.template, t.licence, n_shingles, i, g,
+    greatest(1, tier // 2) AS stride, tier + greatest(1, tier // 2) - 1 AS width
+  FROM s JOIN t USING (g) JOIN sizes ON sizes.template = t.template
+),
+placed AS (
+  SELECT *, unnest(range(
+    CAST(greatest(0, ceil((i - width + 1) / stride)) AS BIGINT), i // stride + 1)) * stride AS start
+  FROM hits
+),
+counted AS (
+  SELECT doc_id, template, licence, n_shingles, start, count(DISTINCT g) AS n_matched
+  FROM placed GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY doc_id, template ORDER BY n_matched DESC, start) AS place
+  FROM counted WHERE n_matched >= {CONTAINED} * n_shingles
+)
+SELECT doc_id, template, licence, n_shingles, n_matched, n_matched / n_shingles AS containment,
+  start AS window_start FROM ranked WHERE place = 1
+""",
     "op6_exact_dedup": f"""
 WITH t AS (SELECT doc_id, {_LOWER} AS body FROM documents),
 g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
