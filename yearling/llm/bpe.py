@@ -14,8 +14,11 @@ import regex
 #: The vocabulary used unless another one is given.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
-#: Words that an encoder remembers; beyond it starts afresh.
-REMEMBERED = 400_000
+#: Words, and parts of words, that an encoder remembers; beyond that it starts afresh.
+REMEMBERED, PARTS_REMEMBERED = 1_000_000, 400_000
+
+#: Marks that the split pattern makes a token of their own after letters.
+MARKS = b".,;:!?"
 
 
 def byte_symbols() -> list[str]:
@@ -65,6 +68,7 @@ class Encoder:
         if len(self.rank) != len(ranked):
             raise ValueError(f"two merges of {path} make the same token")
         self.ids = [ids[text] for text in ranked]
+        self.packed = [number.to_bytes(4, "little") for number in self.ids]
         self.lengths = [len(text) for text in ranked]
         self.pairs = {(self.rank[a], self.rank[b]): self.rank[t] for a, b, t in made}
         self.halves = [(r, r) for r in range(len(ranked))]
@@ -77,6 +81,7 @@ class Encoder:
         self.matches.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
         symbols = byte_symbols()
         self.symbols = dict(enumerate(symbols))
@@ -134,65 +139,87 @@ class Encoder:
 
     def merge(self, text: str) -> list[int]:
         """Ranks of the tokens of a string of symbols."""
-        n = len(text)
-        if text in self.rank:
-            return [self.rank[text]]
+        whole = self.rank.get(text)
+        if whole is not None:
+            return [whole]
+        n, last = len(text), len(text) - 1
         longest = [-1] * n
         size = [0] * n
-        lengths = self.lengths
+        lengths, fits = self.lengths, self.fits
         for end, r in self.matches.iter(text[::-1]):
-            start = n - 1 - end
-            if lengths[r] > size[start]:
-                size[start], longest[start] = lengths[r], r
+            if lengths[r] > size[last - end]:
+                size[last - end], longest[last - end] = lengths[r], r
         dead = bytearray(n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, before = 0, longest[0], -1
         while at < n:
             end = at + lengths[token]
-            while True:
-                if not dead[end] and (not out or self.compatible(out[-1], token)):
+            if not dead[end]:
+                fit = before < 0 or fits.get((before, token))
+                if fit is None:
+                    fit = self.compatible(before, token)
+                if fit:
                     out.append(token)
-                    at = end
+                    at, before = end, token
                     token = longest[at] if at < n else -1
-                    break
-                token = self.shorter[token]
-                if token >= 0:
-                    end = at + lengths[token]
                     continue
+            token = self.shorter[token]
+            if token < 0:
                 dead[at] = 1
                 token = out.pop()
                 at -= lengths[token]
-                end = at + lengths[token]
+                before = out[-1] if out else -1
+                # Taken back: the position is dead, so a shorter one is tried.
         return out
 
+    def encode_part(self, part: str) -> bytes:
+        """Ids of what the split pattern leaves together."""
+        ids = self.parts.get(part)
+        if ids is None:
+            text = part
+            if not (part.isascii() and part.isprintable()):
+                text = "".join(map(self.symbols.__getitem__, part.encode()))
+            text = text[:-1] + chr(ord(text[-1]) + self.END)
+            ids = b"".join(map(self.packed.__getitem__, self.merge(text)))
+            if len(self.parts) >= PARTS_REMEMBERED:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
+
     def encode_word(self, raw: bytes) -> bytes:
         """Ids of text without ASCII white space around it, as unsigned 32-bit integers."""
+        # ASCII letters, as most words are, and letters with a mark after them.
+        if raw.isalpha():
+            return self.encode_part(raw.lower().decode())
+        if raw[-1] in MARKS and raw[:-1].isalpha():
+            return self.encode_part(raw[:-1].lower().decode()) + self.encode_part(chr(raw[-1]))
         text = raw.decode("utf-8", "replace")
-        ids: list[int] = []
+        ids: list[bytes] = []
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.special:
-                ids.append(self.special[part])
+                ids.append(self.special[part].to_bytes(4, "little"))
                 continue
-            # Character by character, as the library does: no final sigma.
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for piece in self.pieces.findall(part):
-                inner = "".join(map(self.symbols.__getitem__, piece.encode()))
-                inner = inner[:-1] + chr(ord(inner[-1]) + self.END)
-                ids.extend(map(self.ids.__getitem__, self.merge(inner)))
-        return np.array(ids, "<u4").tobytes()
+            if not part.isascii():
+                # Character by character, as the library does: no final sigma.
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            ids.extend(map(self.encode_part, self.pieces.findall(part.lower())))
+        return b"".join(ids)
 
     def encode(self, raw: bytes | None) -> bytes:
         """Ids of a text. No token spans white space, so words are encoded once each."""
         if not raw:
             return b""
-        known, found = self.known, []
-        for word in raw.split():
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[word] = self.encode_word(word)
-            found.append(ids)
+        known, words = self.known, raw.split()
+        found = list(map(known.get, words))
+        if None in found:
+            for i, word in enumerate(words):
+                if found[i] is None:
+                    ids = known.get(word)
+                    if ids is None:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        ids = known[word] = self.encode_word(word)
+                    found[i] = ids
         return b"".join(found)
 
     def decode(self, ids: bytes) -> bytes:

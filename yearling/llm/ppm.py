@@ -31,7 +31,7 @@ SHARE = 1 << 20
 HELD = 400_000
 GRAMS_HELD = 2_000_000
 #: Symbols that are counted or scored together.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 
 
 def codes(body: bytes, order: int) -> np.ndarray:
@@ -67,7 +67,7 @@ class Trie:
         """`levels`: grams (sorted) and their counts, by the length of the context."""
         self.grams = [g for g, _ in levels]
         self.counts = [n.astype(np.float64) for _, n in levels]
-        self.contexts, self.own, self.excluded = [], [], []
+        self.contexts, self.own, self.excluded, self.direct = [], [], [], []
         texts = self._count(0, np.array([END]))[0]
         for k, (grams, counts) in enumerate(zip(self.grams, self.counts, strict=True)):
             contexts, place = np.unique(grams >> BITS, return_inverse=True)
@@ -79,6 +79,8 @@ class Trie:
             else:
                 seen = kept
             self.contexts.append(contexts)
+            whole = (seen + distinct)[place]
+            self.direct.append(np.log10(counts / whole))
             # All that was seen, what is in nodes, distinct symbols; and these for the
             # next shorter context without the symbols of this one.
             self.own.append((seen, kept, distinct))
@@ -111,23 +113,34 @@ class Trie:
             if not len(self.grams[k]):
                 continue
             own = self._suffix(grams[open_], k + 1)
-            context, known = _find(self.contexts[k], own >> BITS)
             gram, hit = _find(self.grams[k], own)
-            state = [x[context] for x in self.own[k]]
             before = longer[open_]
-            if k + 1 < len(self.grams) and len(self.grams[k + 1]):
+            fallen = before >= 0
+            # Nothing longer is known: the context's own counts.
+            plain = hit & ~fallen
+            out[open_[plain]] += self.direct[k][gram[plain]]
+            after = hit & fallen
+            if after.any():
+                seen, _, distinct = (x[before[after]] for x in self.excluded[k + 1])
+                out[open_[after]] += np.log10(self.counts[k][gram[after]] / (seen + distinct))
+            open_, own, before = open_[~hit], own[~hit], before[~hit]
+            if not len(open_):
+                break
+            context, known = _find(self.contexts[k], own >> BITS)
+            fallen = before >= 0
+            state = [x[context] for x in self.own[k]]
+            if fallen.any():
                 state = [
-                    np.where(before >= 0, x[before], y)
+                    np.where(fallen, x[before], y)
                     for x, y in zip(self.excluded[k + 1], state, strict=True)
                 ]
             seen, kept, distinct = state
-            whole = np.where(known & (seen + distinct > 0), seen + distinct, 1.0)
-            escape = np.where(known & (seen + distinct > 0), seen - kept + distinct, 1.0)
-            out[open_] += np.log10(np.where(hit, self.counts[k][gram], escape) / whole)
+            some = known & (seen + distinct > 0)
+            share = np.where(some, seen - kept + distinct, 1.0) / np.where(
+                some, seen + distinct, 1.0
+            )
+            out[open_] += np.log10(share)
             longer[open_] = np.where(known, context, -1)
-            open_ = open_[~hit]
-            if not len(open_):
-                break
         out[open_] += self.even
         return out
 
@@ -217,9 +230,8 @@ def _word_counts(rows: Iterator[tuple]) -> Iterator[tuple]:
 class Scores:
     """Scores of a text; words that are not frequent leave with the row, to be joined."""
 
-    def __init__(self, levels, frequent, total: int, distinct: int):
+    def __init__(self, levels, frequent):
         self.levels, self.frequent = levels, frequent
-        self.scale = total + 0.5 * (distinct + 1)
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         trie, frequent = _trie(self.levels.value), self.frequent.value
@@ -243,18 +255,18 @@ class Scores:
         for row, score in zip(held, trie.scores(bodies).tolist(), strict=True):
             yield *row, score
 
-    def base(self, body: bytes, frequent: dict[bytes, int]) -> tuple:
+    def base(self, body: bytes, frequent: dict[bytes, float]) -> tuple:
         """Tokens, those among them that are frequent, their log10 probability, others."""
         tokens = Counter(body.split())
         tokens[b""] = 1
-        scale, known, base, rest = math.log10(self.scale), 0, 0.0, []
+        known, base, rest = 0, 0.0, []
         for word, n in tokens.items():
-            c = frequent.get(word)
-            if c is None:
+            length = frequent.get(word)
+            if length is None:
                 rest.append((word, n))
             else:
                 known += n
-                base += n * (math.log10(c + 0.5) - scale)
+                base += n * length
         return sum(tokens.values()), known, base, rest
 
 
@@ -298,11 +310,10 @@ def log_probabilities(
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent = counts.where(F.col("c") * SHARE >= total).collect()
     send = spark.sparkContext.broadcast
+    scale = math.log10(total + 0.5 * (distinct + 1))
     scores = Scores(
         send(pickle.dumps(levels)),
-        send({bytes(r["word"]): r["c"] for r in frequent}),
-        total,
-        distinct,
+        send({bytes(r["word"]): math.log10(r["c"] + 0.5) - scale for r in frequent}),
     )
     rows = staged(
         per_row(
@@ -320,10 +331,9 @@ def log_probabilities(
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
-            F.sum(
-                F.col("n")
-                * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - math.log10(scores.scale))
-            ).alias("rare_base"),
+            F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - scale)).alias(
+                "rare_base"
+            ),
         )
     )
     return rows.drop("rest").join(rare, "row", "left").select(

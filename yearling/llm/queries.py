@@ -12,6 +12,8 @@ from yearling.llm.language import languages
 from yearling.llm.licences import CONTAINED, NOTICES, SHINGLE, licence_matches
 from yearling.llm.near_dedup import near_groups
 from yearling.llm.packing import pack
+from yearling.llm.pages import main_text
+from yearling.llm.passages import repeated_passages
 from yearling.llm.ppm import log_probabilities
 from yearling.llm.quality import ledger, verdict
 from yearling.llm.tokens import token_digests
@@ -29,10 +31,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -67,7 +77,9 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_language_id": op4_language_id,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_bpe_round_trip": op8_bpe_round_trip,
