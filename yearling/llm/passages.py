@@ -238,16 +238,16 @@ class Compare(Passages):
 
 
 class Leaders(Compare):
-    """Within a block of a bucket, in order: a member similar to an earlier one of
-    another document is a copy of it; any other becomes one that later ones are compared
-    with. Copies leave as spans, the others go on."""
+    """Within a block of a bucket, in order: a member is compared with the leaders, and
+    if one of another document is similar, it is a copy and leaves as spans. Any other
+    member becomes a leader, and goes on to the next round."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for bucket, members in rows:
             leaders: list[Member] = []
             for m in sorted(members, key=lambda m: (m["doc_id"], m["centre"])):
                 x = Member(m["doc_id"], m["centre"], m["before"], m["context"])
-                new = True
+                new, told = True, []
                 for y in leaders:
                     if x.doc_id == y.doc_id:
                         if x.before == y.before and x.context == y.context:
@@ -255,9 +255,10 @@ class Leaders(Compare):
                         continue
                     span = self.match(x, y)
                     if span:
-                        yield bucket, x.doc_id, x.centre, None, None, *span, y.doc_id
                         new = False
-                        break
+                        if not any(a <= span[0] and span[1] <= b for a, b in told):
+                            told.append(span)
+                            yield bucket, x.doc_id, x.centre, None, None, *span, y.doc_id
                 if new:
                     leaders.append(x)
             for y in leaders:
