@@ -166,32 +166,44 @@ class GramCounts:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        grams, counts, size = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        runs: list[tuple[np.ndarray, np.ndarray]] = []
+        size = waiting = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            new, n = np.unique(np.concatenate(held), return_counts=True)
-            both, at = np.unique(np.concatenate((grams, new)), return_inverse=True)
-            return both, np.bincount(at, np.concatenate((counts, n))).astype(np.int64)
+        def count() -> None:
+            runs.append(np.unique(np.concatenate(held), return_counts=True))
+            held.clear()
+
+        def merge() -> None:
+            grams, at = np.unique(np.concatenate([g for g, _ in runs]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([n for _, n in runs])).astype(np.int64)
+            runs[:] = [(grams, counts)]
 
         def out() -> Iterator[pa.RecordBatch]:
-            for a in range(0, len(grams), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[a : a + 100_000]), pa.array(counts[a : a + 100_000])],
-                    names=["gram", "n"],
-                )
+            for grams, counts in runs:
+                for a in range(0, len(grams), 100_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(grams[a : a + 100_000]), pa.array(counts[a : a + 100_000])],
+                        names=["gram", "n"],
+                    )
+            runs.clear()
 
         for (raw,) in tuples(batches):
             held.append(codes((raw or b"").lower(), self.order))
             size += len(held[-1])
             if size > TOGETHER:
-                grams, counts = merged()
-                held, size = [], 0
-                if len(grams) > GRAMS_HELD:
-                    yield from out()
-                    grams, counts = grams[:0], counts[:0]
+                count()
+                size, waiting = 0, waiting + len(runs[-1][0])
+                if waiting > GRAMS_HELD:
+                    merge()
+                    waiting = len(runs[0][0])
+                    if 2 * waiting > GRAMS_HELD:
+                        yield from out()
+                        waiting = 0
         if held:
-            grams, counts = merged()
-        yield from out()
+            count()
+        if runs:
+            merge()
+            yield from out()
 
 
 def levels_of(training: DataFrame, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
