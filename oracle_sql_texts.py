@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 TESTS = "(1997, 1998, 1999)"
-END = "timestamp '2001-01-01'"
+# The first day of the year of the day after the last order: that year is not over.
+END = "(select date_trunc('year', max(o_orderdate) + interval 1 day) from orders)"
 STATUSES = {"finished": "F", "open": "O", "partial": "P"}
 PRIORITIES = {
     "urgent": "1-URGENT",
@@ -82,14 +83,20 @@ def _parts() -> str:
     return ", ".join(count_if(f"{c} = '{v}'", f"n_{n}") for c, n, v in parts)
 
 
-CUSTOMER_COUNTS = f"""
+def customer_counts(where: str) -> str:
+    return f"""
     counted as (
       select cast(o_custkey as varchar) as location_id,
              'Customer ' || cast(o_custkey as varchar) as county_name,
              cast(year(o_orderdate) as integer) as feature_year,
              cast(count(*) as bigint) as population, {_parts()}
-      from orders where o_orderdate < {END} group by 1, 2, 3)"""
-CUSTOMER_PANEL = f"{CUSTOMER_COUNTS}, panel as ({grown('counted')})"
+      from orders {where} group by 1, 2, 3)"""
+
+
+CUSTOMER_COUNTS = customer_counts("")
+CUSTOMER_PANEL = (
+    f"{customer_counts(f'where o_orderdate < {END}')}, panel as ({grown('counted')})"
+)
 
 ERRORS = f"""
     complete as (select * from panel where {PAST} is not null and {NEXT} is not null),
@@ -168,8 +175,7 @@ NO_RENT = "(n_nationkey = 3 and year = 1997)"
 COUNTY_BASE = f"""
     priced as (
       select n_nationkey, n_name, orders.*, cast(round(o_totalprice * 100) as bigint) as cents
-      from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
-      where o_orderdate < {END}),
+      from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey),
     counts as (
       select cast(year(o_orderdate) as bigint) as year, n_nationkey, n_name,
              cast(count(*) as bigint) as total, cast(sum(cents) as bigint) as spent,
@@ -273,17 +279,25 @@ CHECKS = {
     "moved_bounds": "moved_last_year < 0 or moved_last_year > population_1_plus",
     "foreign_born_reconciles": "foreign_born is null or population is null",
 }
-DQ = f"""{COUNTY},
-    checked as (
+_CHECKED = f"""
       select year as batch, 'row_count' as check_name,
-             cast(abs(count(*) - 25) as bigint) as violations from county group by 1
+             cast(abs(count(*) - 25) as bigint) as violations from found group by 1
       union all
       select year, 'unique_key',
              cast(count(*) - count(distinct (state_fips, county_fips)) as bigint)
-      from county group by 1
+      from found group by 1
       {' '.join(
           f"union all select year, '{n}', cast(count(*) filter (where {c}) as bigint) "
-          "from county group by 1" for n, c in CHECKS.items())})"""
+          "from found group by 1" for n, c in CHECKS.items())}"""
+# The second source lands nothing for 2000, so that year has no records.
+DQ = f"""{COUNTY},
+    found as (select * from county where year <> 2000),
+    checked as ({_CHECKED}
+      union all select 2000, 'row_count', 25
+      {' '.join(f"union all select 2000, '{n}', 0" for n in CHECKS)})"""
+BACKFILL = f"""{COUNTY},
+    found as (select * from county),
+    checked as ({_CHECKED})"""
 
 # --- calendar ------------------------------------------------------------------
 
@@ -399,6 +413,52 @@ def linear(panel: str, x: str, y: str) -> str:
     from counted_folds join found using (test_year)"""
 
 
+def linear_all(panel: str) -> str:
+    """Least squares on all features: each in turn is taken out of those after it and of
+    the target, over each fold's training rows; one that the earlier ones give is left."""
+    names = {f: f"x{i}" for i, f in enumerate(FEATURES)}
+    columns = list(names.values())
+    steps = [f"""
+    ready as (
+      select location_id, feature_year, population, {NEXT} as actual,
+             {', '.join(f'cast({f} as double) as {x}' for f, x in names.items())}
+      from panel where {' and '.join(f'{c} is not null' for c in [*FEATURES, NEXT])}),
+    counted_folds as ({fold_counts('ready')}),
+    s0 as (
+      select f.test_year, feature_year < f.test_year as train, population, actual,
+             {', '.join(
+                 f'({x} - avg({x}) filter (where feature_year < f.test_year) over w)'
+                 f' / stddev_pop({x}) filter (where feature_year < f.test_year) over w as {x}'
+                 for x in columns)},
+             actual - avg(actual) filter (where feature_year < f.test_year) over w as left_,
+             avg(actual) filter (where feature_year < f.test_year) over w as guess,
+             count(*) filter (where feature_year < f.test_year) over w as n
+      from counted_folds f join ready on feature_year <= f.test_year
+      window w as (partition by f.test_year))"""]
+    for k, x in enumerate(columns):
+        square = f"sum({x} * {x}) filter (where train) over w"
+
+        def share(of: str, x: str = x, square: str = square) -> str:
+            along = f"sum({of} * {x}) filter (where train) over w"
+            return f"case when {square} > 1e-9 * n then {along} / {square} else 0 end"
+
+        rest = ", ".join(f"{y} - ({share(y)}) * {x} as {y}" for y in columns[k + 1 :])
+        steps.append(f"""
+    s{k + 1} as (
+      select test_year, train, population, actual, n, {rest + ', ' if rest else ''}
+             left_ - ({share('left_')}) * {x} as left_, guess + ({share('left_')}) * {x} as guess
+      from s{k} window w as (partition by test_year))""")
+    return f"""with {panel}, {', '.join(steps)},
+    scored as (
+      select *, abs(population * (1 + guess) - population * (1 + actual)) as absolute_population_error,
+             abs(population * (1 + guess) - population * (1 + actual))
+               / nullif(abs(population * (1 + actual)), 0) * 100 as absolute_percentage_error
+      from s{len(columns)} where not train),
+    found as (select test_year, {metric_list('actual', 'guess')} from scored group by 1)
+    select c.*, 'linear_regression' as model_name, {rounded(METRICS)}
+    from counted_folds c join found using (test_year)"""
+
+
 ORACLE: dict[str, str] = {
     "rolling_persistence_eval": f"with {place_panel(False)}, {PERSISTENCE_FOLDS} "
     f"select {FOLD_COLUMNS} from folds",
@@ -422,9 +482,9 @@ ORACLE: dict[str, str] = {
         from complete where feature_year <= 1999""",
     "regression_metrics": f"""with {place_panel()}, {COMPLETE}
         select location_id, county_name, cast(count(*) as bigint) as n_rows,
-               round(avg(abs({PAST} - {NEXT})), 5) as mae,
-               round(sqrt(avg(({PAST} - {NEXT}) * ({PAST} - {NEXT}))), 5) as rmse,
-               round({r2(NEXT, PAST)}, 5) as r2
+               round(avg(abs({PAST} - {NEXT})), 6) as mae,
+               round(sqrt(avg(({PAST} - {NEXT}) * ({PAST} - {NEXT}))), 6) as rmse,
+               round({r2(NEXT, PAST)}, 6) as r2
         from complete group by 1, 2""",
     "population_errors": f"with {CUSTOMER_PANEL}, {ERRORS} select location_id, feature_year, "
     + rounded(
@@ -510,6 +570,13 @@ ORACLE: dict[str, str] = {
                {_ratio('n_finished', 'n_urgent')} as rate
         from counted order by rate desc nulls last, county_name, feature_year""",
     "county_records": f"with {COUNTY} select * from county",
+    "unmatched_counties": f"""with {COUNTY_BASE}
+        select year, '07' as state_fips, lpad(cast(n_nationkey as varchar), 3, '0') as county_fips,
+               n_name as county_name
+        from mainrows where n_nationkey = 7 and year = 1996""",
+    "county_backfill": f"""with {BACKFILL}
+        select * from county
+        where year < (select coalesce(min(batch) filter (where violations > 0), 9999) from checked)""",
     "dq_report": f"with {DQ} select *, violations = 0 as passed from checked",
     "dq_verdict": f"""with {DQ}
         select batch, cast(count(*) filter (where violations > 0) as bigint) as failed_checks,
@@ -561,7 +628,7 @@ ORACLE: dict[str, str] = {
         select * from shipped where l_linenumber is null and ship_year >= 1997""",
     "append_batches": f"""
         select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as feature_year
-        from orders where o_orderdate < {END}""",
+        from orders""",
     "table_profile": PROFILE,
     "run_registry": f"""with {place_panel()}, {PERSISTENCE_FOLDS}
         select cast(2 as bigint) as run_id, 'persistence_baseline' as model_name, test_year,
@@ -583,7 +650,7 @@ ORACLE: dict[str, str] = {
         select cast(year(o_orderdate) as bigint) as run_id,
                cast(case when year(o_orderdate) = 1998 then 10 end as bigint) as training_rows,
                cast(case when year(o_orderdate) = 1998 then 20 else count(*) end as bigint) as test_rows
-        from orders where o_orderdate < {END} group by year(o_orderdate)""",
+        from orders group by year(o_orderdate)""",
     "holiday_table": f"""with {HOLIDAYS}
         select holiday_date, holiday_name, orders from holidays
         left join (select order_date, cast(count(*) as bigint) as orders from dated group by 1)
@@ -598,4 +665,10 @@ ORACLE: dict[str, str] = {
         where isodow(order_date) < 6 and order_date not in (select holiday_date from holidays)""",
     "linear_two_features": linear(place_panel(), PAST, "avg_price"),
     "linear_customers": linear(CUSTOMER_PANEL, PAST, "population"),
+    "linear_rolling": linear_all(place_panel()),
+    "forest_facts": f"""with {place_panel()},
+        ready as (select * from panel
+                  where {' and '.join(f'{c} is not null' for c in [*FEATURES, NEXT])})
+        select test_year, test_rows, test_rows as within, cast(300 as integer) as trees,
+               true as shares_of_one from ({fold_counts('ready')})""",
 }

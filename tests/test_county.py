@@ -56,13 +56,13 @@ def frame(spark, *rows):
     return spark.createDataFrame(list(rows), schemas.COUNTY_YEAR)
 
 
-def failures(spark, *rows, expected=2, **options):
-    report = county.check(frame(spark, *rows), expected, **options)
+def failures(spark, *rows, expected=2, batches=(2020,)):
+    report = county.check(frame(spark, *rows), list(batches), expected)
     return {r.check_name: r.violations for r in report.collect() if not r.passed}
 
 
 def test_a_good_batch_passes_thirty_checks(spark):
-    report = county.check(frame(spark, county_row(), county_row(fips="003")), 2)
+    report = county.check(frame(spark, county_row(), county_row(fips="003")), [2020], 2)
     assert report.count() == 30
     assert report.filter("not passed").count() == 0
     quality.require_passed(report)
@@ -113,14 +113,25 @@ def test_row_count_and_duplicates(spark):
 
 
 def test_a_listed_year_without_rows_fails(spark):
-    report = county.check(frame(spark, county_row()), 1, batches=[2020, 2021])
-    failed = report.filter("not passed").collect()
-    assert [(r.batch, r.check_name, r.violations) for r in failed] == [(2021, "row_count", 1)]
+    landed = spark.createDataFrame([("x", 2020), ("y", 2021), ("z", 2021)], "t string, year int")
+    for batches in ([2020, 2021], county.landed_years(landed.limit(1), landed)):
+        report = county.check(frame(spark, county_row()), batches, 1)
+        failed = report.filter("not passed").collect()
+        assert [(r.batch, r.check_name, r.violations) for r in failed] == [(2021, "row_count", 1)]
+
+
+def test_every_failure_is_named(spark):
+    report = spark.range(2500).selectExpr(
+        "id as batch", "'c' as check_name", "1 as violations", "false as passed"
+    )
+    with pytest.raises(ValueError) as problem:
+        quality.require_passed(report)
+    assert str(problem.value).count(": c (1)") == 2500
 
 
 def test_verdict_names_every_failure(spark):
     bad = county_row(unemployed=-1, pct_white=None)
-    report = county.check(frame(spark, bad, county_row(2021)), 1)
+    report = county.check(frame(spark, bad, county_row(2021)), [2020, 2021], 1)
     found = {r.batch: (r.failed_checks, r.failures) for r in quality.verdict(report).collect()}
     assert found == {2020: (2, "labor_force_bounds, pct_white_range"), 2021: (0, "")}
     with pytest.raises(ValueError, match="2020: labor_force_bounds .1.; 2020: pct_white_range"):
@@ -141,13 +152,14 @@ def test_backfill_stops_at_the_first_bad_year(spark, tmp_path):
         spark, county_row(2019), county_row(2020), county_row(2021, unemployed=-1), county_row(2022)
     )
     with pytest.raises(ValueError, match="2021: labor_force_bounds"):
-        county.backfill(mixed, "backfill_years", expected_rows=1)
+        county.backfill(mixed, "backfill_years", [2019, 2020, 2021, 2022], 1)
     years = [r.year for r in spark.table("backfill_years").collect()]
     assert sorted(years) == [2019, 2020]
-    county.backfill(good, "backfill_years", expected_rows=1)
+    county.backfill(good, "backfill_years", [2019, 2020], 1)
     assert spark.table("backfill_years").count() == 2
     with pytest.raises(ValueError, match="2019"):
-        county.backfill(frame(spark, county_row(2019, foreign_born=None)), "backfill_years", 1)
+        bad = frame(spark, county_row(2019, foreign_born=None))
+        county.backfill(bad, "backfill_years", [2019], 1)
 
 
 def _documents(spark, rows):

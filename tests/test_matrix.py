@@ -86,3 +86,53 @@ def test_lenient_reading_skips_an_empty_document(spark):
     empty = spark.createDataFrame([("[]", 1), ("not json", 2)], "value string, year bigint")
     found = unpack(empty, parse_matrix("value", False), CELLS, ["year"], strict=False)
     assert found.count() == 0 and found.collect() == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '[["NAME","V"],["a","0"],["b","1"]]',
+        '[\n["NAME","V"],\n["a","0"],["b","1"]\n]',
+        '[["NAME","V"],["a","0"],\n["b","1"]]\n',
+        '[\n  [ "NAME", "V" ],\n  [ "a", "0" ],\n\n  [ "b", "1" ]\n]',
+    ],
+)
+@pytest.mark.parametrize("strict", [True, False])
+def test_any_layout_with_whole_rows_on_a_line(spark, tmp_path, text, strict):
+    folder = tmp_path / "year=2001" / "state=01"
+    folder.mkdir(parents=True)
+    (folder / "part.json").write_text(text)
+    whole = unpack(
+        read_documents(spark, str(tmp_path)), parse_matrix("value"), CELLS, ["year", "state"]
+    ).drop("position")
+    by_line = unpack_lines(spark, str(tmp_path), CELLS, strict)
+    rows = [tuple(r) for r in by_line.orderBy("position").drop("position").collect()]
+    assert rows == sorted(map(tuple, whole.collect())) and len(rows) == 2
+
+
+@pytest.mark.parametrize(
+    ("text", "problem"),
+    [
+        ('[["NAME","V"],\n[\n"a",\n"0"\n]]', "not whole rows on a line"),
+        ('[["NAME","V"],["a","0"], oops]', "not whole rows on a line"),
+        ("[\n]", "no header row"),
+    ],
+)
+def test_other_layouts_fail_in_strict_mode(spark, tmp_path, text, problem):
+    folder = tmp_path / "year=2001" / "state=01"
+    folder.mkdir(parents=True)
+    (folder / "part.json").write_text(text)
+    with pytest.raises(Exception, match=problem):
+        unpack_lines(spark, str(tmp_path), CELLS).collect()
+
+
+def test_names_with_quotes_and_blanks(spark):
+    matrix = [["it's", "a b"], ["x", "1"]]
+    found = unpack(
+        spark.createDataFrame([(json.dumps(matrix), 1)], "value string, year bigint"),
+        parse_matrix("value"),
+        {"my name": "it's", "a.b": "a b"},
+        ["year"],
+    )
+    assert found.columns == ["year", "position", "my name", "a.b"]
+    assert tuple(found.first())[2:] == ("x", "1")

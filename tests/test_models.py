@@ -86,13 +86,6 @@ def test_linear_validation_report(spark):
     assert found[0].growth_mae == pytest.approx(0, abs=1e-9)
 
 
-def test_tree_shares():
-    params = models.ForestParams(trees=50)
-    assert models._tree_shares(params, 100, 4) == [17, 17, 16]
-    assert models._tree_shares(params, 10**9, 1000) == [50]
-    assert models._tree_shares(models.ForestParams(trees=3), 100, 8) == [3]
-
-
 def test_forest_split(spark):
     rows = data("step", n=400)
     forest, scored = forecast.forest_split(frame(spark, rows), SPEC, 2003, 2004, FEW)
@@ -116,6 +109,17 @@ def test_forest_is_repeatable(spark):
     assert guess[0] == guess[1]
 
 
+def test_forest_does_not_depend_on_how_rows_lie(spark):
+    """As after a read by another number of cores: other partitions, another order."""
+    rows = data("free", n=300)
+    frames = [frame(spark, rows).coalesce(1), frame(spark, rows[::-1]).repartition(7)]
+    forests = models.fit_forests([(f, 300) for f in frames], SPEC, FEW)
+    # The first line names the object.
+    trees = [f.model.toDebugString.split("\n", 1)[1] for f in forests]
+    assert trees[0] == trees[1]
+    assert forests[0].nodes == forests[1].nodes
+
+
 def test_rolling_comparison(spark):
     wide = forecast.rolling_comparison(
         frame(spark, data("step", n=200)), SPEC, [2000, 2002, 2004], FEW

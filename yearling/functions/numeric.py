@@ -16,8 +16,11 @@ def lenient_double(cell: str) -> str:
 
 
 def lenient_long(cell: str) -> str:
-    """A whole number, or NULL. '12.0' and '1e3' count as whole."""
-    wide = f"try_cast({cell} as double)"
+    """A whole number, or NULL. '12.0' and '1e3' count as whole, '12.5' does not.
+
+    Through a decimal, which holds every bigint exactly.
+    """
+    wide = f"try_cast(trim({cell}) as decimal(38,10))"
     whole = f"{cell} rlike r'{_NUMBER}' and {wide} % 1 = 0"
     return (
         f"coalesce(try_cast({cell} as bigint), if({whole}, try_cast({wide} as bigint), null))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from yearling.functions.dates import is_weekend, nth_weekday, observed_shift
+from yearling.functions.names import quoted
 
 # US federal holidays and the first year of each rule used here.
 # (name, first year, month, day)
@@ -32,7 +33,7 @@ def federal_holidays(years: DataFrame, year: str = "year") -> DataFrame:
 
     A fixed date on a weekend also closes the nearest weekday. New Year's Day of
     the next year may fall back into the last given year. Years before 1978 had
-    other rules and yield no rows.
+    other rules; asking for one fails. A missing year gives no rows.
     """
     days = []
     for name, first, month, day in FIXED_DATE:
@@ -43,9 +44,11 @@ def federal_holidays(years: DataFrame, year: str = "year") -> DataFrame:
     days.append(_entry("New Year's Day (observed)", FIRST_YEAR, next_new_year))
     for name, first, month, weekday, nth in NTH_WEEKDAY:
         days.append(_entry(name, first, nth_weekday("_year", month, weekday, nth)))
+    early = f"concat('no holiday rules before {FIRST_YEAR}: ', _year)"
+    checked = f"if(_year < {FIRST_YEAR}, cast(raise_error({early}) as int), _year) as _year"
     return (
-        years.selectExpr(f"int(`{year}`) as _year")
-        .filter(f"_year >= {FIRST_YEAR}")
+        years.selectExpr(f"int({quoted(year)}) as _year")
+        .selectExpr(checked)
         .selectExpr("_year", f"inline(array({', '.join(days)}))")
         .filter("year(holiday_date) = _year")
         .drop("_year")

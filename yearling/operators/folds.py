@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearling.functions.names import quoted
+
 
 def _array(test_times: Sequence[int]) -> str:
     return f"array({', '.join(str(int(t)) for t in sorted(set(test_times)))})"
@@ -14,7 +16,7 @@ def _array(test_times: Sequence[int]) -> str:
 
 def _served(time: str, test_times: Sequence[int]) -> str:
     """The folds a row at `time` serves: one output row each."""
-    return f"explode(filter({_array(test_times)}, fold -> fold >= {time})) as test_year"
+    return f"explode(filter({_array(test_times)}, fold -> fold >= {quoted(time)})) as test_year"
 
 
 def first_fold(time: str, test_times: Sequence[int]) -> str:
@@ -23,7 +25,7 @@ def first_fold(time: str, test_times: Sequence[int]) -> str:
     A fold's training rows are those of its own and of all earlier first folds, so
     anything that adds up needs one sum per fold and not one per time.
     """
-    return f"array_min(filter({_array(test_times)}, fold -> fold > {time}))"
+    return f"array_min(filter({_array(test_times)}, fold -> fold > {quoted(time)}))"
 
 
 def fold_rows(df: DataFrame, time: str, test_times: Sequence[int]) -> DataFrame:
@@ -32,10 +34,32 @@ def fold_rows(df: DataFrame, time: str, test_times: Sequence[int]) -> DataFrame:
     Repeats a row for each later fold without a join. Only for work that needs the
     rows themselves; counts and metrics use `per_fold` below.
     """
-    role = f"if({time} = test_year, 'test', 'train') as role"
+    role = f"if({quoted(time)} = test_year, 'test', 'train') as role"
     return df.selectExpr("*", _served(time, test_times)).selectExpr("*", role)
 
 
+def fold_counts(
+    df: DataFrame, key: str, time: str, test_times: Sequence[int]
+) -> DataFrame:
+    """`training_rows` and `test_rows` of each key in each fold that it serves.
+
+    Rows are counted per key and time first; only these counts are dealt to folds.
+    """
+    name, key, time = time, quoted(key), quoted(time)
+    counted = (
+        df.filter(F.col(time) <= max(test_times)).groupBy(key, time).agg(F.count("*").alias("_n"))
+    )
+    earlier, same = (F.col(time) < F.col("test_year")), (F.col(time) == F.col("test_year"))
+    return (
+        counted.selectExpr("*", _served(name, test_times))
+        .groupBy(key, "test_year")
+        .agg(
+            F.sum(F.when(earlier, F.col("_n")).otherwise(0)).alias("training_rows"),
+            F.sum(F.when(same, F.col("_n")).otherwise(0)).alias("test_rows"),
+        )
+    )
+
+
 def per_fold(
     by_time: DataFrame,
     time: str,
@@ -49,16 +73,18 @@ def per_fold(
     The input has one row per time, so the repetition is times x folds. A fold
     without a training or a test row is left out.
     """
+    served = _served(time, test_times)
+    time, rows = quoted(time), quoted(rows)
     test, train = f"{time} = test_year", f"{time} < test_year"
     wanted = [
         f"sum({rows}) filter (where {train}) as training_rows",
         f"sum({rows}) filter (where {test}) as test_rows",
         f"min({time}) filter (where {train}) as first_training_year",
         f"max({time}) filter (where {train}) as last_training_year",
-        *[f"max({c}) filter (where {test}) as {c}" for c in carry],
+        *[f"max({quoted(c)}) filter (where {test}) as {quoted(c)}" for c in carry],
     ]
     return (
-        by_time.selectExpr("*", _served(time, test_times))
+        by_time.selectExpr("*", served)
         .groupBy("test_year")
         .agg(*[F.expr(w) for w in wanted])
         .filter("training_rows > 0 and test_rows > 0")
@@ -68,8 +94,8 @@ def per_fold(
 def expanding_folds(complete: DataFrame, time: str, test_times: Sequence[int]) -> DataFrame:
     """Row counts and training range of each fold that has both roles."""
     by_time = (
-        complete.filter(f"{time} <= {max(test_times)}")
-        .groupBy(time)
+        complete.filter(F.col(quoted(time)) <= max(test_times))
+        .groupBy(quoted(time))
         .agg(F.expr("count(*) as _rows"))
     )
     return per_fold(by_time, time, "_rows", test_times)

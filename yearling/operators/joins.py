@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from yearling.sources.staging import staged
+from yearling.functions.names import quoted
 
 
 def one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -13,13 +14,13 @@ def one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     `row_number() = 1` lets Spark keep one row per key in every task before the
     shuffle, so a key holding most of the rows costs no more than any other.
     """
-    window = f"partition by {', '.join(key)} order by {', '.join(order)}"
+    window = f"partition by {', '.join(map(quoted, key))} order by {', '.join(order)}"
     numbered = df.selectExpr("*", f"row_number() over ({window}) as _n")
     return numbered.filter("_n = 1").drop("_n")
 
 
 def last_per_key(df: DataFrame, key: list[str], position: str) -> DataFrame:
-    return one_per_key(df, key, [f"{position} desc nulls last"])
+    return one_per_key(df, key, [f"{quoted(position)} desc nulls last"])
 
 
 def lookup_join(
@@ -27,15 +28,19 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join with the last lookup row of each key; other rows are dropped.
 
-    The reduced lookup is stored: Spark then broadcasts it if it is small, and
-    otherwise joins two plain shuffles, where AQE can split a key that holds many
-    of the main rows. It cannot when a side still carries the window.
+    Nothing runs until the result does. The join is on the key as one value, which no
+    earlier step is laid out by: so both sides come from plain shuffles, and AQE can
+    split a key that holds many of the main rows. It cannot when a side still carries
+    the window.
     """
-    single = staged(last_per_key(lookup, key, position).drop(position), "lookup")
-    return main.join(single, key, "inner")
+    known = lookup.na.drop(subset=key)
+    single = last_per_key(known, key, position).drop(position)
+    right = single.withColumn("_key", F.struct(*key)).drop(*key)
+    joined = main.withColumn("_key", F.struct(*key)).join(right, "_key").drop("_key")
+    others = [c for c in main.columns if c not in key]
+    return joined.select(*key, *others, *(c for c in right.columns if c != "_key"))
 
 
 def unmatched(main: DataFrame, lookup: DataFrame, key: list[str]) -> DataFrame:
     """The rows `lookup_join` drops."""
-    known = staged(lookup.select(*key).distinct(), "lookup-keys")
-    return main.join(known, key, "left_anti")
+    return main.join(lookup.select(*key), key, "left_anti")

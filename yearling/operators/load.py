@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from yearling.operators.joins import one_per_key
+from yearling.sources.staging import staged
 from yearling.sources.tables import append, partition_columns, storage_type, table_key
 
-# A batch touching more partitions than this is joined against the whole table.
-_LISTED_PARTITIONS = 1000
-
 
 def rows_to_insert(
     batch: DataFrame, target: DataFrame, key: list[str], order: list[str]
@@ -34,10 +31,14 @@ def insert_skip_existing(
     """Append the rows whose key the table lacks. One writer at a time.
 
     `order` says which of equal keys comes first. Running it twice, or again after
-    a lost job, adds nothing new. The scan of the table reads key columns only, of
-    the partitions the batch touches.
+    a lost job, adds nothing new. The batch is stored first, so it is computed once. The
+    scan of the table reads key columns only; its partitions are joined with those of
+    the batch, which Spark prunes by when it runs.
     """
     spark = batch.sparkSession
+    batch = staged(batch, "batch")
+    if batch.isEmpty():
+        raise ValueError("cannot insert an empty frame")
     key = key or table_key(spark, name)
     if not key:
         raise ValueError(f"table {name} has no key")
@@ -46,17 +47,7 @@ def insert_skip_existing(
     # Sorting starts with the key's first column: better not a partition column.
     key = [k for k in key if k not in parts] + parts
     if parts:
-        # Distinct partition values are few by design; the limit keeps it so.
-        touched = batch.select(*parts).distinct().limit(_LISTED_PARTITIONS + 1).collect()
-        empty = not touched
-        if len(touched) <= _LISTED_PARTITIONS:
-            for c in parts:
-                values = {r[c] for r in touched} - {None}
-                target = target.filter(F.col(c).isin(sorted(values)))
-    else:
-        empty = batch.isEmpty()
-    if empty:
-        raise ValueError("cannot insert an empty frame")
+        target = target.join(batch.select(*parts).distinct(), parts, "left_semi")
     append(rows_to_insert(batch, target, key, order), name)
 
 

@@ -136,16 +136,20 @@ def linear_rolling(complete: DataFrame, spec: PanelSpec, test_times: list[int])
 
 # --- random forest -----------------------------------------------------------
 
+# Rows of a partition while a forest grows; the number of partitions follows from the rows
+# alone, as the rows a tree draws depend on it.
 _ROWS_PER_TASK = 20_000
-_TREES_PER_JOB = 16
-_JOBS_AT_ONCE = 16
+_FITS_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
 class ForestParams:
     """Grown deep on all features, as the usual regression forest is.
 
-    Spark cuts features into `max_bins` at most and stops at depth 30.
+    Spark cuts features into `max_bins` at most and stops at depth 30. A model's nodes
+    grow with the rows until `max_depth` or `min_rows` ends a branch: at most
+    rows / `min_rows` leaves a tree. Set them for a large training set, as the model is
+    held by the driver and by every task that scores.
     """
 
     trees: int = 300
@@ -153,25 +157,25 @@ class ForestParams:
     max_depth: int = 30
     max_bins: int = 32
     min_rows: int = 1
-    memory_mb: int = 256
+    memory_mb: int = 1024
 
 
 @dataclass(frozen=True)
 class Forest:
-    """Forests grown side by side on the same rows, used as one."""
-
-    parts: tuple[RandomForestRegressionModel, ...]
+    model: RandomForestRegressionModel
 
     @property
     def trees(self) -> int:
-        return sum(p.getNumTrees for p in self.parts)
+        return self.model.getNumTrees
+
+    @property
+    def nodes(self) -> int:
+        return self.model.totalNumNodes
 
     @property
     def importances(self) -> list[float]:
         """Per feature, adding up to 1: the mean over trees."""
-        weighted = [p.featureImportances.toArray() * p.getNumTrees for p in self.parts]
-        added = np.sum(weighted, axis=0)
-        return [float(w) for w in added / (added.sum() or 1.0)]
+        return [float(w) for w in self.model.featureImportances.toArray()]
 
 
 def _assembled(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -185,71 +189,53 @@ def _tasks(rows: int) -> int:
     return max(1, math.ceil(rows / _ROWS_PER_TASK))
 
 
-def _tree_shares(params: ForestParams, rows: int, cores: int) -> list[int]:
-    """Trees per job: rows that fill few cores leave the others to grow more trees."""
-    jobs = max(1, min(cores // _tasks(rows), params.trees // _TREES_PER_JOB, _JOBS_AT_ONCE))
-    return [params.trees // jobs + (i < params.trees % jobs) for i in range(jobs)]
-
-
 def fit_forests(
     sets: list[tuple[DataFrame, int]], spec: PanelSpec, params: ForestParams = ForestParams()
 ) -> list[Forest]:
     """One forest per (training rows, their number); independent fits run at once.
 
-    Spark grows a forest level by level over the partitions of its rows. A large
-    set keeps the cluster busy that way; of a small one several shares of the
-    trees, each with its own seed, are grown at the same time.
+    A fit depends on the rows, the parameters and the seed, and on nothing of the
+    cluster: rows are dealt by key to partitions whose number follows from the rows, and
+    sorted in them.
     """
     spark = sets[0][0].sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    work = [
-        (i, share, params.seed + k)
-        for i, (_, rows) in enumerate(sets)
-        for k, share in enumerate(_tree_shares(params, rows, cores))
-    ]
+    by = [spec.key, spec.time]
     ready = [
-        _assembled(df.select(*spec.model_columns).coalesce(_tasks(rows)), spec).select(
-            "_features", spec.target
-        )
+        _assembled(
+            df.select(*spec.model_columns)
+            .repartition(_tasks(rows), *by)
+            .sortWithinPartitions(*by),
+            spec,
+        ).select("_features", spec.target)
         for df, rows in sets
     ]
 
     @inheritable_thread_target(spark)
-    def grow(item: tuple[int, int, int]) -> RandomForestRegressionModel:
-        i, trees, seed = item
-        return RandomForestRegressor(
-            featuresCol="_features",
-            labelCol=spec.target,
-            numTrees=trees,
-            seed=seed,
-            maxDepth=params.max_depth,
-            maxBins=params.max_bins,
-            minInstancesPerNode=params.min_rows,
-            maxMemoryInMB=params.memory_mb,
-            featureSubsetStrategy="all",
-        ).fit(ready[i])
-
-    with ThreadPoolExecutor(max_workers=_JOBS_AT_ONCE) as pool:
-        grown = list(pool.map(grow, work))
-    return [
-        Forest(tuple(m for m, (at, _, _) in zip(grown, work) if at == i))
-        for i in range(len(sets))
-    ]
+    def grow(rows: DataFrame) -> Forest:
+        return Forest(
+            RandomForestRegressor(
+                featuresCol="_features",
+                labelCol=spec.target,
+                numTrees=params.trees,
+                seed=params.seed,
+                maxDepth=params.max_depth,
+                maxBins=params.max_bins,
+                minInstancesPerNode=params.min_rows,
+                maxMemoryInMB=params.memory_mb,
+                featureSubsetStrategy="all",
+            ).fit(rows)
+        )
+
+    with ThreadPoolExecutor(max_workers=_FITS_AT_ONCE) as pool:
+        return list(pool.map(grow, ready))
 
 
 def predict_forest(forest: Forest, test: DataFrame, spec: PanelSpec) -> DataFrame:
     """Add `predicted_growth`: the mean over all trees."""
-    scored = _assembled(test, spec)
-    guesses = [f"_guess{i}" for i in range(len(forest.parts))]
-    for model, guess in zip(forest.parts, guesses):
-        scored = model.setPredictionCol(guess).transform(scored)
-    added = " + ".join(f"{g} * {m.getNumTrees}" for g, m in zip(guesses, forest.parts))
+    scored = forest.model.setPredictionCol("predicted_growth").transform(_assembled(test, spec))
     return scored.selectExpr(
-        "*",
-        f"({added}) / {forest.trees} as predicted_growth",
-        f"int({spec.time}) as test_year",
-        "'random_forest' as model_name",
-    ).drop("_features", *guesses)
+        "*", f"int({spec.time}) as test_year", "'random_forest' as model_name"
+    ).drop("_features")
 
 
 def forest_rolling(

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from yearling.operators.panel import nan_as_null
 
 
-# The report may be long; an error message names this many failures.
-_NAMED_FAILURES = 1000
-
-
 @dataclass(frozen=True)
 class RowCheck:
     name: str
@@ -86,16 +82,20 @@ def report(
     checks: list[RowCheck],
     key: list[str],
     expected_rows: int | None = None,
-    batches: list[int] | None = None,
+    batches: list[int] | DataFrame | None = None,
 ) -> DataFrame:
     """Long form: (batch, check_name, violations, passed), one row per check.
 
-    With `batches`, a batch without any row fails its row count too.
+    With `batches`, a batch without any row fails its row count too. `batches` may be a
+    frame with a column of the batch's name, as of the batches that were landed.
     """
     counts = row_check_counts(df, batch, checks)
     if batches is not None:
         kind = df.schema[batch].dataType.simpleString()
-        listed = df.sparkSession.createDataFrame([(b,) for b in batches], f"{batch} {kind}")
+        if isinstance(batches, DataFrame):
+            listed = batches.select(F.col(batch).cast(kind)).distinct()
+        else:
+            listed = df.sparkSession.createDataFrame([(b,) for b in batches], f"{batch} {kind}")
         counts = listed.join(counts, batch, "full")
         counts = counts.na.fill(0, subset=["rows", *[c.name for c in checks]])
     entries = [f"struct('{c.name}' as check_name, `{c.name}` as violations)" for c in checks]
@@ -120,10 +120,8 @@ def verdict(checked: DataFrame) -> DataFrame:
 
 
 def require_passed(checked: DataFrame) -> None:
-    """Raise once, naming every failed check (the report has a row per check)."""
+    """Raise once, naming every failed check; the report has a row per batch and check."""
     failed = checked.filter("not passed").orderBy("batch", "check_name")
-    bad = failed.limit(_NAMED_FAILURES + 1).collect()
-    if bad:
-        lines = [f"{r.batch}: {r.check_name} ({r.violations})" for r in bad[:_NAMED_FAILURES]]
-        lines += ["and more"] * (len(bad) > _NAMED_FAILURES)
+    lines = [f"{r.batch}: {r.check_name} ({r.violations})" for r in failed.toLocalIterator()]
+    if lines:
         raise ValueError("data quality failed: " + "; ".join(lines))

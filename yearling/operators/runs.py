@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yearling import schemas
+from yearling.functions.names import quoted, text
 from yearling.spec import PanelSpec
 
 
 def current_run_id(runs: DataFrame, model: str) -> DataFrame:
     """Highest run id of one model, NULL when it has none."""
-    return runs.filter(f"model_name = '{model}'").selectExpr("max(run_id) as run_id")
+    return runs.filter(F.col("model_name") == model).selectExpr("max(run_id) as run_id")
 
 
 def next_run_id(runs: DataFrame) -> int:
@@ -58,10 +59,12 @@ def run_row(
     training_rows: int,
     test_rows: int,
     notes: str,
+    years_before: int = 5,
 ) -> DataFrame:
+    """The feature window recorded starts `years_before` the first test time."""
     first, last = min(test_times), max(test_times)
-    # The recorded feature window starts five years before the first test.
-    row = (run_id, model, first - 5, last - 1, first, last, training_rows, test_rows, notes)
+    window = (first - years_before, last - 1)
+    row = (run_id, model, *window, first, last, training_rows, test_rows, notes)
     return spark.createDataFrame([row], schemas.MODEL_RUNS)
 
 
@@ -104,6 +107,7 @@ class Registry:
         folds: DataFrame,
         scored: DataFrame,
         spec: PanelSpec,
+        years_before: int = 5,
     ) -> int:
         """Store one evaluated run and return its id."""
         run_id = next_run_id(self.runs())
@@ -128,6 +132,7 @@ class Registry:
             sum(r.training_rows for r in stored),
             sum(r.test_rows for r in stored),
             notes,
+            years_before,
         )
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/model_runs")
         return run_id
@@ -141,7 +146,9 @@ def _conform(
     df: DataFrame, schema: T.StructType, run_id: int, model: str, source: dict[str, str]
 ) -> DataFrame:
     """The declared columns and types, from `source` where names differ."""
-    source = {"run_id": str(run_id), "model_name": f"'{model}'"} | source
+    source = {"run_id": str(run_id), "model_name": text(model)} | {
+        name: quoted(column) for name, column in source.items()
+    }
     return df.selectExpr(
         *[
             f"cast({source.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"

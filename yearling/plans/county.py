@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 
 from yearling.functions.numeric import (
@@ -13,7 +15,7 @@ from yearling.functions.numeric import (
     total,
 )
 from yearling.operators import quality as q
-from yearling.operators.joins import lookup_join
+from yearling.operators.joins import lookup_join, unmatched
 from yearling.operators.load import insert_skip_existing
 from yearling.schemas import COUNTY_YEAR
 from yearling.sources.matrix import parse_matrix, unpack
@@ -179,24 +181,40 @@ def county_records(main_documents: DataFrame, mobility_documents: DataFrame) ->
     return derived(typed(joined))
 
 
+def unmatched_counties(main_documents: DataFrame, mobility_documents: DataFrame) -> DataFrame:
+    """(year, state_fips, county_fips, county_name) of the counties that `county_records`
+    drops, as the second source has no row for them."""
+    main = unpack_main(main_documents).select(*KEY, "county_name")
+    return unmatched(main, unpack_mobility(mobility_documents), KEY)
+
+
+def landed_years(*documents: DataFrame) -> DataFrame:
+    """The years of which any source landed a document: each must have records."""
+    years = [d.select("year") for d in documents]
+    return reduce(DataFrame.unionByName, years).distinct()
+
+
 def check(
-    records: DataFrame, expected_rows: int | None = 46, batches: list[int] | None = None
+    records: DataFrame,
+    batches: list[int] | DataFrame,
+    expected_rows: int | None = 46,
 ) -> DataFrame:
-    """The thirty checks per year, in long form."""
+    """The thirty checks per year, in long form. `batches` are the years that must be
+    there (`landed_years`, or a list); one without a record fails its row count."""
     return q.report(records, "year", CHECKS, KEY, expected_rows, batches)
 
 
 def backfill(
     records: DataFrame,
     table: str,
+    batches: list[int] | DataFrame,
     expected_rows: int | None = 46,
-    batches: list[int] | None = None,
 ) -> None:
     """Load years up to the first that fails a check, then raise if one did.
 
     `records` is read by the checks and by the load: give a stored table.
     """
-    report = staged(check(records, expected_rows, batches), "quality-report")
+    report = staged(check(records, batches, expected_rows), "quality-report")
     failed = report.filter("not passed")
     first = failed.selectExpr("min(batch)").first()[0]
     good = records if first is None else records.filter(f"year < {first}")

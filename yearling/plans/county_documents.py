@@ -32,7 +32,7 @@ def county_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[f"count_if({c}) as {n}" for n, c in counts.items()],
     ]
     counted = (
-        placed_orders(spark, sf_dir)
+        placed_orders(spark, sf_dir, whole_years=False)
         .groupBy(F.expr("bigint(feature_year) as year"), "c_nationkey", "n_name")
         .agg(*[F.expr(w) for w in wanted])
     )

@@ -10,8 +10,6 @@ from yearling.operators.panel import with_growth
 from yearling.spec import PanelSpec
 
 TEST_YEARS = [1997, 1998, 1999]
-# Orders end in August 2001: that year is partial and left out.
-END = "2001-01-01"
 STATUSES = {"finished": "F", "open": "O", "partial": "P"}
 PRIORITIES = {
     "urgent": "1-URGENT",
@@ -63,12 +61,21 @@ def cents(amount: str) -> str:
     return f"bigint(round({amount} * 100))"
 
 
-def orders_until_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(f"o_orderdate < timestamp_ntz'{END}'")
-    return orders.selectExpr("*", "year(o_orderdate) as feature_year")
+def yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr("*", "year(o_orderdate) as feature_year")
 
 
-def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def complete_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the years that are over by the last order: a panel's last year must be
+    a whole one. A subquery, so that nothing runs before the query does."""
+    last = table(spark, sf_dir, "orders").selectExpr(
+        "date_trunc('year', max(o_orderdate) + interval 1 day) as open_year"
+    )
+    orders = yearly_orders(spark, sf_dir)
+    return orders.where(F.col("o_orderdate") < last.scalar().cast("timestamp_ntz"))
+
+
+def placed_orders(spark: SparkSession, sf_dir: str, whole_years: bool = True) -> DataFrame:
     """Orders with their customer and nation, prices and balances in cents.
 
     Spark broadcasts a side it knows to be small; otherwise it shuffles on the
@@ -76,9 +83,9 @@ def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    orders = (complete_years if whole_years else yearly_orders)(spark, sf_dir)
     return (
-        orders_until_end(spark, sf_dir)
-        .join(customer, "o_custkey")
+        orders.join(customer, "o_custkey")
         .join(nation, "c_nationkey")
         .selectExpr("*", f"{cents('o_totalprice')} as _price", f"{cents('c_acctbal')} as _balance")
     )
@@ -127,7 +134,9 @@ def place_panel(spark: SparkSession, sf_dir: str, by_segment: bool = True) -> Da
     return with_growth(panel, SPEC)
 
 
-def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_counts(
+    spark: SparkSession, sf_dir: str, whole_years: bool = False
+) -> DataFrame:
     """Orders per customer and year, with parts by status and by priority.
 
     Counts merge in each task before the shuffle, so a customer with most of the
@@ -136,9 +145,9 @@ def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = {n: f"o_orderstatus = '{v}'" for n, v in STATUSES.items()}
     parts |= {n: f"o_orderpriority = '{v}'" for n, v in PRIORITIES.items()}
     wanted = ["count(*) as population", *[f"count_if({c}) as n_{n}" for n, c in parts.items()]]
+    orders = (complete_years if whole_years else yearly_orders)(spark, sf_dir)
     return (
-        orders_until_end(spark, sf_dir)
-        .groupBy("o_custkey", "feature_year")
+        orders.groupBy("o_custkey", "feature_year")
         .agg(*[F.expr(w) for w in wanted])
         .selectExpr(
             "string(o_custkey) as location_id",
@@ -151,4 +160,4 @@ def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_growth(customer_counts(spark, sf_dir), SPEC)
+    return with_growth(customer_counts(spark, sf_dir, whole_years=True), SPEC)

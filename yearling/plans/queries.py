@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from yearling.functions import metrics
 from yearling.functions.numeric import lenient_double, lenient_long, percent, strict, strict_total
 from yearling.operators import calendar, models, quality, runs
 from yearling.operators import evaluation as ev
-from yearling.operators.folds import expanding_folds, fold_rows
+from yearling.operators.folds import expanding_folds, fold_counts
 from yearling.operators.joins import lookup_join, unmatched
 from yearling.operators.load import insert_skip_existing, table_profile
 from yearling.operators.panel import complete_rows, known_target, time_split
@@ -26,16 +27,16 @@ from yearling.plans.order_activity import (
     cents,
     customer_counts,
     customer_panel,
-    orders_until_end,
     place_panel,
     table,
+    yearly_orders,
 )
+from yearling.schemas import COUNTY_YEAR
 from yearling.sources.matrix import parse_matrix, read_documents, unpack, unpack_lines
 from yearling.sources.staging import fresh_path, staged
 from yearling.sources.tables import append, create_table, create_table_like
 
-# Trees per forest in these queries; the library's own default is 300.
-FOREST = models.ForestParams(trees=50)
+FOREST = models.ForestParams()
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -76,10 +77,7 @@ def expanding_fold_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fold_membership(spark: SparkSession, sf: str) -> DataFrame:
-    rows = fold_rows(_customer_complete(spark, sf), SPEC.time, TEST_YEARS)
-    wanted = [f"count_if(role = '{r}') as {n}" for r, n in
-              (("train", "training_rows"), ("test", "test_rows"))]
-    return rows.groupBy("location_id", "test_year").agg(*[F.expr(w) for w in wanted])
+    return fold_counts(_customer_complete(spark, sf), "location_id", SPEC.time, TEST_YEARS)
 
 
 def customer_time_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +106,7 @@ def regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("location_id", "county_name")
         .agg(*[F.expr(w) for w in wanted])
     )
-    return rounded(found, 5)
+    return rounded(found)
 
 
 def population_errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,16 +288,38 @@ def county_records(spark: SparkSession, sf: str) -> DataFrame:
 # --- quality -------------------------------------------------------------------
 
 
-def _stored_county(spark: SparkSession, sf: str) -> DataFrame:
-    return staged(county_records(spark, sf), "county-records")
-
-
 def dq_report(spark: SparkSession, sf: str) -> DataFrame:
-    return county.check(_stored_county(spark, sf), expected_rows=25)
+    """The checks of every landed year; one landed by the main source alone has no records."""
+    counted = county_counts(spark, sf)
+    main, mobility = main_documents(counted), mobility_documents(counted)
+    mobility = mobility.filter("year <> 2000")
+    records = staged(county.county_records(main, mobility), "county-records")
+    return county.check(records, county.landed_years(main, mobility), expected_rows=25)
 
 
 def dq_verdict(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.verdict(county.check(_stored_county(spark, sf), expected_rows=25))
+    return quality.verdict(dq_report(spark, sf))
+
+
+def unmatched_counties(spark: SparkSession, sf: str) -> DataFrame:
+    counted = county_counts(spark, sf)
+    return county.unmatched_counties(main_documents(counted), mobility_documents(counted))
+
+
+def county_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """Load the years in turn, twice: the checks stop both runs at the first bad year."""
+    counted = county_counts(spark, sf)
+    main, mobility = main_documents(counted), mobility_documents(counted)
+    records = staged(county.county_records(main, mobility), "county-records")
+    name, path = _scratch_table(spark, "county_year")
+    create_table(spark, name, COUNTY_YEAR, key=county.KEY, partition_by=["year"], path=path)
+    for _ in range(2):
+        try:
+            county.backfill(records, name, county.landed_years(main, mobility), expected_rows=25)
+        except ValueError as problem:
+            if "data quality failed" not in str(problem):
+                raise
+    return spark.table(name)
 
 
 def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
@@ -378,7 +398,7 @@ def insert_skip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def append_batches(spark: SparkSession, sf: str) -> DataFrame:
-    orders = orders_until_end(spark, sf).select(
+    orders = yearly_orders(spark, sf).select(
         "o_orderkey", "o_custkey", "o_totalprice", "feature_year"
     )
     name, path = _scratch_table(spark, "orders_by_year")
@@ -424,9 +444,7 @@ def recorded_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def run_counts_update(spark: SparkSession, sf: str) -> DataFrame:
     """A run row of each order year, with the counts of one year set afterwards."""
-    years = orders_until_end(spark, sf).groupBy("feature_year").agg(
-        F.expr("count(*) as test_rows")
-    )
+    years = yearly_orders(spark, sf).groupBy("feature_year").agg(F.expr("count(*) as test_rows"))
     recorded = years.selectExpr(
         "bigint(feature_year) as run_id", "bigint(null) as training_rows", "test_rows"
     )
@@ -446,8 +464,10 @@ def _orders_by_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _order_holidays(spark: SparkSession, sf: str) -> DataFrame:
-    span = _dated_orders(spark, sf).selectExpr("year(min(order_date))", "year(max(order_date))")
-    return calendar.holidays_between(spark, *span.first())
+    span = _dated_orders(spark, sf).selectExpr(
+        "explode(sequence(year(min(order_date)), year(max(order_date)))) as year"
+    )
+    return calendar.federal_holidays(span)
 
 
 def holiday_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,6 +536,32 @@ def forest_rolling(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.rolling_comparison(place_panel(spark, sf), SPEC, TEST_YEARS, FOREST)
 
 
+def forest_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds of any forest of means, by fold: a forecast lies within the training
+    targets, and the importances are shares of one."""
+    ready = forecast.model_table(place_panel(spark, sf), SPEC)
+    sizes = {r.test_year: r.training_rows for r in
+             expanding_folds(ready, SPEC.time, TEST_YEARS).collect()}
+    sets = [(ready.filter(f"{SPEC.time} < {t}"), n) for t, n in sorted(sizes.items())]
+    found = []
+    for (train, _), test_year, forest in zip(
+        sets, sorted(sizes), models.fit_forests(sets, SPEC, FOREST)
+    ):
+        shares = forest.importances
+        low, high = train.agg(F.min(SPEC.target), F.max(SPEC.target)).first()
+        test = ready.filter(f"{SPEC.time} = {test_year}")
+        inside = F.col("predicted_growth").between(low - 1e-12, high + 1e-12)
+        found.append(
+            models.predict_forest(forest, test, SPEC).groupBy("test_year").agg(
+                F.count("*").alias("test_rows"),
+                F.count_if(inside).alias("within"),
+                F.lit(forest.trees).alias("trees"),
+                F.lit(abs(sum(shares) - 1) < 1e-9 and min(shares) >= 0).alias("shares_of_one"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return ev.comparison_averages(forest_rolling(spark, sf))
 
@@ -545,6 +591,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unmatched_rows": unmatched_rows,
     "ranked_by_rate": ranked_by_rate,
     "county_records": county_records,
+    "unmatched_counties": unmatched_counties,
+    "county_backfill": county_backfill,
     "dq_report": dq_report,
     "dq_verdict": dq_verdict,
     "dq_duplicates": dq_duplicates,
@@ -568,5 +616,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_error_summary": forest_error_summary,
     "feature_importance": feature_importance,
     "forest_rolling": forest_rolling,
+    "forest_facts": forest_facts,
     "model_comparison": model_comparison,
 }

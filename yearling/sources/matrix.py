@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from yearling.functions.names import quoted, text
 from yearling.sources.staging import staged
 
 _LANDED = "value string, year bigint, state string"
@@ -37,11 +39,11 @@ def parse_matrix(document: str, strict: bool = True) -> str:
 def _places(header: str, names: list[str], strict: bool) -> list[str]:
     """`_places`: the 0-based place of each wanted header, the last of equal ones
     and NULL when absent; `_need`: how many cells a row needs for all of them."""
-    at = [f"size({header}) - nullif(int(array_position(reverse({header}), '{n}')), 0)" for n in names]
+    at = [f"size({header}) - nullif(int(array_position(reverse({header}), {text(n)})), 0)" for n in names]
     fields = ", ".join(f"'h{i}', {place}" for i, place in enumerate(at))
     columns = [f"named_struct({fields}) as _places"]
     if strict:
-        missing = f"array_except(array({', '.join(repr(n) for n in names)}), {header})"
+        missing = f"array_except(array({', '.join(map(text, names))}), {header})"
         problem = f"raise_error(concat('no cell ', array_join({missing}, ', ')))"
         most = f"array_max(array({', '.join(at)})) + 1"
         columns.append(f"if(size({missing}) = 0, {most}, cast({problem} as int)) as _need")
@@ -57,7 +59,7 @@ def _checked(strict: bool) -> str:
 
 def _picked(cells: Mapping[str, str], names: list[str]) -> list[str]:
     at = {name: f"_places.h{i}" for i, name in enumerate(names)}
-    return [f"get(_cells, {at[name]}) as `{column}`" for column, name in cells.items()]
+    return [f"get(_cells, {at[name]}) as {quoted(column)}" for column, name in cells.items()]
 
 
 def unpack(
@@ -85,46 +87,71 @@ def unpack(
     )
 
 
+# A complete row of scalars on a line; brackets inside strings do not count.
+_ROW = r'\[(?:[^\[\]"]|"(?:[^"\\]|\\.)*")*\]'
+
+
 def unpack_lines(
     spark: SparkSession,
     path: str,
     cells: Mapping[str, str],
     strict: bool = True,
 ) -> DataFrame:
-    """As `read_documents` + `unpack`, for documents written one row per line.
+    """As `read_documents` + `unpack`, for documents whose rows do not span lines.
 
-    Lines are splittable, so one very large document is read by many tasks. The
-    header line (starting `[[`) of each file is joined back by file name; the
-    `position` grows with the place of the line in its file.
+    Lines are splittable, so one very large document is read by many tasks. A line may
+    hold any number of rows; the first row of a file is its header and is joined back by
+    file name. `position` grows with the place of the row in its file. A line with
+    anything beside rows, commas and the outer brackets, and a file without a row, fail
+    in strict mode; otherwise such text is left out.
     """
     names = list(dict.fromkeys(cells.values()))
     parsed = f"from_json(_text, 'array<string>', {_mode(strict)})"
     lines = (
         spark.read.schema(_LANDED)
         .text(path)
-        .selectExpr(
+        .select(
             "year",
             "state",
-            "_metadata.file_path as _file",
-            "struct(_metadata.file_block_start as block, monotonically_increasing_id() as line)"
-            " as position",
-            r"value rlike r'^\s*\[\s*\[' as _heads",
-            r"regexp_extract(value, r'^\s*\[?\s*(\[.*?\])\s*[,\]]?\s*$', 1) as _text",
+            F.expr("_metadata.file_path as _file"),
+            F.expr("_metadata.file_block_start as _block"),
+            F.monotonically_increasing_id().alias("_line"),
+            F.regexp_extract_all("value", F.lit(_ROW), F.lit(0)).alias("_texts"),
+            F.regexp_replace("value", _ROW, "").alias("_beside"),
+            "value",
         )
-        .filter("_text <> ''")
-    )
-    headers = (
-        lines.filter("_heads")
-        .selectExpr("_file", f"{parsed} as _header")
-        .selectExpr("_file", *_places("_header", names, strict))
     )
+    if strict:
+        problem = "raise_error(concat('not whole rows on a line: ', left(value, 200)))"
+        clean = r"_beside rlike r'^[\s,\[\]]*$'"
+        lines = lines.withColumn(
+            "_texts", F.expr(f"if({clean}, _texts, cast({problem} as array<string>))")
+        )
+    lines = lines.drop("_beside", "value")
+    place = "struct(_block as block, _line as line, {} as row) as position"
+    first = f"min(if(size(_texts) > 0, struct({place.format(0)}, _texts[0] as _text), null))"
+    headers = lines.groupBy("_file").agg(F.expr(f"{first} as _first")).select("_file", "_first.*")
+    if strict:
+        missing = "raise_error(concat('no header row in ', _file))"
+        headers = headers.withColumn(
+            "_text", F.expr(f"coalesce(_text, cast({missing} as string))")
+        )
     # One line per file: stored, so Spark knows its size and need not shuffle the
     # rows of a usual number of files.
-    headers = staged(headers, "matrix-headers")
-    rows = lines.filter("not _heads").selectExpr("*", f"{parsed} as _cells")
+    headers = staged(
+        headers.selectExpr("_file", "position as _at", f"{parsed} as _header").selectExpr(
+            "_file", "_at", *_places("_header", names, strict)
+        ),
+        "matrix-headers",
+    )
+    rows = (
+        lines.selectExpr("*", "posexplode(_texts) as (_number, _text)")
+        .selectExpr("year", "state", "_file", place.format("_number"), f"{parsed} as _cells")
+    )
     keep = ["year", "state", "position"]
     return (
         rows.join(headers, "_file")
+        .where("position <> _at")
         .selectExpr(*keep, "_places", _checked(strict))
         .selectExpr(*keep, *_picked(cells, names))
     )

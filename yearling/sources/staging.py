@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a local folder only in local mode."""
+    """`spark.checkpoint.dir` of the session.
+
+    In local mode, where driver and tasks share a machine, a session without the setting
+    gets a fresh folder of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
@@ -18,7 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.gettempdir() + "/yearling"
+    folder = tempfile.mkdtemp(prefix="yearling-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
