@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property, reduce
 
 import numpy as np
 import xxhash
@@ -18,7 +19,7 @@ SHINGLE, PERCENT = 5, 80
 
 #: Hash functions. Passages of one length share a min-hash of one with at least the
 #: chance of their similarity; exact ones share all.
-HASHES = 4
+HASHES = 3
 
 #: Members of a bucket that one task compares with each other.
 BLOCK = 128
@@ -91,11 +92,16 @@ class Passages:
         self.shingle, self.percent, self.hashes = shingle, percent, hashes
         #: Shingles of the shortest passage.
         self.width = min_words - shingle + 1
-        #: Shingles beside the centre that two similar passages of this width share, as
-        #: the shorter of two halves of the longest run without a difference.
+        # Two similar passages of this width lose at most so many shingles, and a word
+        # that differs takes `shingle` of them: so long is the shortest longest run.
         lost = self.width - -(-2 * self.width * percent // (100 + percent))
-        runs = 1 + -(-lost // shingle)
-        self.flank = max(1, ((self.width - lost) // runs - 1) // 2)
+        longest = (self.width - lost) // (1 + -(-lost // shingle))
+        #: Shingles of a run that must agree, and where it may start from the centre. Any
+        #: passage of this width that has no difference has one of these runs; it is long,
+        #: so that texts which share a mere line do not meet.
+        flank = max(1, (longest - 1) // 2)
+        self.run = 2 * flank + 1
+        self.starts = (-2 * flank, -flank, 0)
 
     def shingles(self, raw: bytes | None) -> np.ndarray:
         return shingle_hashes(word_hashes(words(raw)), self.shingle)
@@ -106,30 +112,39 @@ class Passages:
 
 
 class Sketch(Passages):
-    """For each text: a key of its words, and its windows: for each, the hash function
-    with its least value, the centre, and hashes of the run before and after it."""
+    """For each text: a key of its words, and its windows: the bucket of the least value,
+    the centre, and hashes of the runs around it."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, raw in rows:
             ws = words(raw)
             key = xxhash.xxh3_128_digest(b" ".join(ws))
             if len(ws) < self.width + self.shingle - 1:
-                yield doc_id, len(ws), key, None, None, None, None
+                yield doc_id, len(ws), key, None, None, None
                 continue
             shingles = shingle_hashes(word_hashes(ws), self.shingle)
-            keys, centres, before, after = [], [], [], []
-            flanks = self._flanks(shingles)
-            n = len(shingles)
+            keys, centres, runs = [], [], []
+            hashes = self._runs(shingles)
+            own = np.uint64(xxhash.xxh3_64_intdigest(f"{doc_id}"))
             for k, values in self.values(shingles):
                 centre = centres_of(values, self.width)
                 keys.append(mix(values[centre] + k))
                 centres.append(centre)
-                # The run after a centre starts there; the one before it ends there.
-                starts = np.minimum(centre, n - self.flank - 1)
-                after.append(np.where(starts == centre, flanks[starts], values[centre]))
-                starts = np.maximum(centre - self.flank, 0)
-                before.append(
-                    np.where(starts == centre - self.flank, flanks[starts], ~values[centre])
+                # A run that the end of the text cuts off agrees with no other.
+                alone = mix(values[centre] ^ own)
+                at = [centre + start for start in self.starts]
+                runs.append(
+                    np.stack(
+                        [
+                            np.where(
+                                (p >= 0) & (p < len(hashes)),
+                                hashes[np.clip(p, 0, len(hashes) - 1)],
+                                alone + np.uint64(i),
+                            )
+                            for i, p in enumerate(at)
+                        ],
+                        axis=1,
+                    )
                 )
             yield (
                 doc_id,
@@ -137,15 +152,14 @@ class Sketch(Passages):
                 key,
                 np.concatenate(keys).view(np.int64).tolist(),
                 np.concatenate(centres).tolist(),
-                np.concatenate(before).astype(np.uint32).view(np.int32).tolist(),
-                np.concatenate(after).astype(np.uint32).view(np.int32).tolist(),
+                np.concatenate(runs).astype(np.uint32).view(np.int32).tolist(),
             )
 
-    def _flanks(self, shingles: np.ndarray) -> np.ndarray:
-        """Hash of the run of `flank` + 1 shingles that starts at each place."""
-        n = len(shingles) - self.flank
+    def _runs(self, shingles: np.ndarray) -> np.ndarray:
+        """Hash of the run that starts at each place."""
+        n = len(shingles) - self.run + 1
         out = np.zeros(n, np.uint64)
-        for j in range(self.flank + 1):
+        for j in range(self.run):
             out = mix(out + shingles[j : j + n])
         return out
 
@@ -183,71 +197,99 @@ class Member:
         self.context = context
         self.shingles = np.frombuffer(context, np.uint32)
 
+    @cached_property
+    def distinct(self) -> frozenset[int]:
+        return frozenset(self.shingles.tolist())
+
 
 class Compare(Passages):
+    def __init__(self, *settings):
+        super().__init__(*settings)
+        #: Equal places of two runs of the least width, if these are similar enough.
+        self.least = -(-2 * self.width * self.percent // (100 + self.percent))
+
     def match(self, x: Member, y: Member) -> tuple[int, int] | None:
         """First and last shingle of a passage of `x` that is similar to one of `y`.
 
         First the longest run around the centres in which both agree. If that is too
-        short, all pairs of runs of the least width that contain the centres: the pair
-        with most equal places, verified on its distinct shingles.
+        short, runs of the least width that contain the centres: first at equal
+        distances from them, then all pairs of places, as words may be added or lost.
         """
         a, b = x.shingles, y.shingles
         back, ahead = min(x.before, y.before), min(len(a) - x.before, len(b) - y.before)
-        same = (
-            a[x.before - back : x.before + ahead] == b[y.before - back : y.before + ahead]
-        )
-        if not same[back]:
+        same = a[x.before - back : x.before + ahead] == b[y.before - back : y.before + ahead]
+        marks = same.tobytes()
+        if not marks[back]:
             return None
-        gaps = np.flatnonzero(~same)
-        at = int(np.searchsorted(gaps, back))
-        first = int(gaps[at - 1]) + 1 if at else 0
-        last = int(gaps[at]) - 1 if at < len(gaps) else len(same) - 1
+        first = marks.rfind(b"\0", 0, back) + 1
+        last = marks.find(b"\0", back)
+        last = len(marks) - 1 if last < 0 else last - 1
         if last - first + 1 >= self.width:
             start = x.centre - back
             return start + first, start + last
-        return self._nearly(x, y)
+        if len(a) < self.width or len(b) < self.width:
+            return None
+        return self._aligned(x, y, same, back) or self._shifted(x, y)
+
+    def _similar(self, a: np.ndarray, b: np.ndarray) -> bool:
+        one, two = set(a.tolist()), set(b.tolist())
+        both = len(one & two)
+        return 100 * both >= self.percent * (len(one) + len(two) - both)
+
+    def _aligned(
+        self, x: Member, y: Member, same: np.ndarray, back: int
+    ) -> tuple[int, int] | None:
+        w = self.width
+        low, high = max(0, back - w + 1), min(back, len(same) - w)
+        if low > high:
+            return None
+        sums = np.concatenate(([0], np.cumsum(same)))
+        sums = sums[low + w : high + w + 1] - sums[low : high + 1]
+        at = int(np.argmax(sums))
+        if sums[at] < self.least:
+            return None
+        i, j = x.before - back + low + at, y.before - back + low + at
+        if not self._similar(x.shingles[i : i + w], y.shingles[j : j + w]):
+            return None
+        start = x.centre - x.before + i
+        return start, start + w - 1
 
-    def _nearly(self, x: Member, y: Member) -> tuple[int, int] | None:
+    def _shifted(self, x: Member, y: Member) -> tuple[int, int] | None:
         a, b, w = x.shingles, y.shingles, self.width
-        if len(a) < w or len(b) < w:
-            return None
-        shared = np.isin(a, b)
-        least = -(-2 * w * self.percent // (100 + self.percent))
-        inside = np.concatenate(([0], np.cumsum(shared)))
-        distinct = len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b)
-        if distinct and (inside[w:] - inside[:-w]).max() < least:
+        distinct = len(x.distinct) == len(a) and len(y.distinct) == len(b)
+        if distinct and len(x.distinct & y.distinct) < self.least:
             return None
+        rows = slice(max(0, x.before - w + 1), min(x.before, len(a) - w) + 1)
+        cols = slice(max(0, y.before - w + 1), min(y.before, len(b) - w) + 1)
+        if distinct:
+            known = y.distinct
+            inside = np.concatenate(([0], np.cumsum([s in known for s in a.tolist()])))
+            if (inside[rows.start + w : rows.stop + w] - inside[rows]).max() < self.least:
+                return None
         grid = np.zeros((len(a) + 1, len(b) + 1), np.int32)
         grid[1:, 1:] = (a[:, None] == b[None, :]).cumsum(0).cumsum(1)
         sums = grid[w:, w:] - grid[:-w, w:] - grid[w:, :-w] + grid[:-w, :-w]
-        rows = slice(max(0, x.before - w + 1), min(x.before, len(a) - w) + 1)
-        cols = slice(max(0, y.before - w + 1), min(y.before, len(b) - w) + 1)
         sums = sums[rows, cols]
-        if not sums.size:
-            return None
         for place in np.argsort(-sums, axis=None)[: 1 if distinct else w]:
             i, j = np.unravel_index(place, sums.shape)
             i, j = int(i) + rows.start, int(j) + cols.start
-            both = np.intersect1d(a[i : i + w], b[j : j + w])
-            union = np.union1d(a[i : i + w], b[j : j + w])
-            if 100 * len(both) >= self.percent * len(union):
+            if self._similar(a[i : i + w], b[j : j + w]):
                 start = x.centre - x.before + i
                 return start, start + w - 1
         return None
 
 
 class Leaders(Compare):
-    """Within a block of a bucket, in order: a member is compared with the leaders, and
-    if one of another document is similar, it is a copy and leaves as spans. Any other
-    member becomes a leader, and goes on to the next round."""
+    """Within a block of a bucket, in order: a member that is similar to a leader of
+    another document is a copy and leaves as a span. Any other member becomes a leader,
+    and goes on to the next round."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for bucket, members in rows:
             leaders: list[Member] = []
             for m in sorted(members, key=lambda m: (m["doc_id"], m["centre"])):
                 x = Member(m["doc_id"], m["centre"], m["before"], m["context"])
-                new, told = True, []
+                new = True
                 for y in leaders:
                     if x.doc_id == y.doc_id:
                         if x.before == y.before and x.context == y.context:
@@ -256,9 +298,8 @@ class Leaders(Compare):
                     span = self.match(x, y)
                     if span:
                         new = False
-                        if not any(a <= span[0] and span[1] <= b for a, b in told):
-                            told.append(span)
-                            yield bucket, x.doc_id, x.centre, None, None, *span, y.doc_id
+                        yield bucket, x.doc_id, x.centre, None, None, *span, y.doc_id
+                        break
                 if new:
                     leaders.append(x)
             for y in leaders:
@@ -312,6 +353,9 @@ def _blocks(members: DataFrame, sizes: DataFrame, turn: int) -> DataFrame:
     salted = members.join(sizes, "bucket").withColumn(
         "block", F.expr(f"pmod(xxhash64(doc_id, centre, {turn}), cast(ceil(n / {BLOCK}) as int))")
     )
+    # A stated number: the work is in comparing, which few bytes can be much of.
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = salted.repartition(tasks, "bucket", "block")
     member = F.struct("doc_id", "centre", "before", "context")
     return salted.groupBy("bucket", "block").agg(F.collect_list(member).alias("members"))
 
@@ -339,8 +383,9 @@ def repeated_passages(
     1. Texts with the same words are one class; all but its first document are repeats
        as a whole.
     2. A few hash functions cut every text into compact windows. Windows of different
-       documents with the same least hash meet in a bucket if one of the runs on either
-       side of the centre agrees as well; similar passages have such a window.
+       documents with the same least hash meet in a bucket if a run of words at the
+       centre, before, around or after it, agrees as well. Passages without a
+       difference have such a run for every function, similar ones for most.
     3. Around their centres the texts are compared. Buckets are worked off in blocks of
        bounded size, in rounds: copies of another member leave, the rest is dealt anew.
        When a round no longer shrinks a bucket, its blocks are compared in pairs.
@@ -351,7 +396,7 @@ def repeated_passages(
         per_row(
             source,
             "doc_id bigint, n_words int, text_key binary, buckets array<bigint>, "
-            "centres array<int>, befores array<int>, afters array<int>",
+            "centres array<int>, runs array<array<int>>",
             Sketch(*settings),
         ),
         "windows",
@@ -366,13 +411,12 @@ def repeated_passages(
         "copies",
     )
     windows = texts.select(
-        "doc_id", F.explode(F.arrays_zip("buckets", "centres", "befores", "afters")).alias("w")
+        "doc_id", F.explode(F.arrays_zip("buckets", "centres", "runs")).alias("w")
     ).select(
         F.col("w.buckets").alias("bucket"),
         "doc_id",
         F.col("w.centres").alias("centre"),
-        F.col("w.befores").alias("run_before"),
-        F.col("w.afters").alias("run_after"),
+        *(F.col("w.runs")[i].alias(f"run{i}") for i in range(3)),
     )
     # The first step keeps a small share; the next ones read it again and again.
     meeting = staged(
@@ -381,13 +425,13 @@ def repeated_passages(
         ),
         "meeting",
     )
-    sides = [
+    agreeing = [
         meeting.join(_met(meeting, ["bucket", run]), ["bucket", run], "left_semi").select(
             "bucket", "doc_id", "centre"
         )
-        for run in ("run_before", "run_after")
+        for run in ("run0", "run1", "run2")
     ]
-    wanted = sides[0].unionByName(sides[1]).distinct()
+    wanted = reduce(DataFrame.unionByName, agreeing).distinct()
     by_doc = staged(
         wanted.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "centre")).alias("wanted")),
         "wanted",
