@@ -370,7 +370,7 @@ PROFILE = " union all ".join(
     for i, (c, k) in enumerate(x.split(":") for x in columns.split())
 )
 
-NOTES = "Prediction uses the most recent historical one-year population growth rate."
+NOTES = "last known growth carried forward"
 
 _DIRTY = """
     raw as (select event_id, event_id % 8 as turn, regexp_extract(props, '(\\d+)', 1) as k, event_type
@@ -530,7 +530,7 @@ ORACLE: dict[str, str] = {
                {', '.join(f'round(avg({m}), 6) as avg_{m}' for m in METRICS)}
         from folds""",
     "fold_lines": f"""with {place_panel(False)}, {PERSISTENCE_FOLDS}
-        select test_year, printf('%d: MAE %.6f | RMSE %.6f | R² %.6f | Population MAPE %.2f%%',
+        select test_year, printf('%d mae=%.6f rmse=%.6f r2=%.6f mape=%.2f%%',
                test_year, growth_mae, growth_rmse, growth_r2, population_mape) as line
         from folds""",
     "target_range": f"""with {CUSTOMER_PANEL}

@@ -106,7 +106,7 @@ def fold_averages(folds: DataFrame) -> DataFrame:
 
 def fold_lines(folds: DataFrame) -> DataFrame:
     """Add `line`: the fold's metrics as one line of text."""
-    shown = "'%d: MAE %.6f | RMSE %.6f | R² %.6f | Population MAPE %.2f%%'"
+    shown = "'%d mae=%.6f rmse=%.6f r2=%.6f mape=%.2f%%'"
     values = "test_year, growth_mae, growth_rmse, growth_r2, population_mape"
     return folds.selectExpr("*", f"format_string({shown}, {values}) as line")
 

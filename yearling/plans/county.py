@@ -22,10 +22,6 @@ from yearling.sources.matrix import parse_matrix, unpack
 from yearling.sources.staging import staged
 
 
-def _codes(table: str, *numbers: int) -> list[str]:
-    return [f"{table}_{n:03d}E" for n in numbers]
-
-
 # The survey variables of the main source, by column.
 MAIN_CELLS = {
     "state_fips": "state",
@@ -65,11 +61,41 @@ MOBILITY_CELLS = {
 
 # Columns added up from whole-number cells.
 SUMMED_CELLS = {
-    "under_18": _codes("B01001", *range(3, 7), *range(27, 31)),
-    "over_65": _codes("B01001", *range(20, 26), *range(44, 50)),
-    "bachelors_degree": _codes("B15003", *range(22, 26)),
+    "under_18": [
+        "B01001_003E",
+        "B01001_004E",
+        "B01001_005E",
+        "B01001_006E",
+        "B01001_027E",
+        "B01001_028E",
+        "B01001_029E",
+        "B01001_030E",
+    ],
+    "over_65": [
+        "B01001_020E",
+        "B01001_021E",
+        "B01001_022E",
+        "B01001_023E",
+        "B01001_024E",
+        "B01001_025E",
+        "B01001_044E",
+        "B01001_045E",
+        "B01001_046E",
+        "B01001_047E",
+        "B01001_048E",
+        "B01001_049E",
+    ],
+    "bachelors_degree": [
+        "B15003_022E",
+        "B15003_023E",
+        "B15003_024E",
+        "B15003_025E",
+    ],
 }
-FOREIGN_BORN = _codes("B05001", 1, 2)
+FOREIGN_BORN = [
+    "B05001_001E",
+    "B05001_002E",
+]
 
 # percentage = part / whole * 100.
 RATIOS = {

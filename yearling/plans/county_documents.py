@@ -56,14 +56,31 @@ def _document(counted: DataFrame, cells: dict[str, str], twice: str) -> DataFram
 def main_documents(counted: DataFrame) -> DataFrame:
     """Nation 5 appears twice in 1998; nation 3 of 1997 has no rent figure."""
     no_rent = "(c_nationkey = 3 and year = 1997)"
+    # The survey variables of the main source.
     cells = {
         "NAME": "n_name",
         "B01001_001E": "total",
         "B01002_001E": "concat(string(total % 70), '.5')",
-        **{f"B01001_{n:03d}E": f"m{m}" for n, m in zip(range(3, 7), range(1, 5))},
-        **{f"B01001_{n:03d}E": f"d{d}" for n, d in zip(range(20, 26), range(1, 7))},
-        **{f"B01001_{n:03d}E": f"m{m}" for n, m in zip(range(27, 31), range(5, 9))},
-        **{f"B01001_{n:03d}E": f"d{d}" for n, d in zip(range(44, 50), range(7, 13))},
+        "B01001_003E": "m1",
+        "B01001_004E": "m2",
+        "B01001_005E": "m3",
+        "B01001_006E": "m4",
+        "B01001_020E": "d1",
+        "B01001_021E": "d2",
+        "B01001_022E": "d3",
+        "B01001_023E": "d4",
+        "B01001_024E": "d5",
+        "B01001_025E": "d6",
+        "B01001_027E": "m5",
+        "B01001_028E": "m6",
+        "B01001_029E": "m7",
+        "B01001_030E": "m8",
+        "B01001_044E": "d7",
+        "B01001_045E": "d8",
+        "B01001_046E": "d9",
+        "B01001_047E": "d10",
+        "B01001_048E": "d11",
+        "B01001_049E": "d12",
         "B02001_002E": "finished",
         "B02001_003E": "open",
         "B03003_003E": "partial",
@@ -96,10 +113,14 @@ def main_documents(counted: DataFrame) -> DataFrame:
 
 def mobility_documents(counted: DataFrame) -> DataFrame:
     """Nation 7 is missing in 1996; nation 2 of 1999 has an old row before the good one."""
+    # The variables of the second source.
     cells = {
         "NAME": "n_name",
         "B07001_001E": "if(copy = 0, 'stale', string(total))",
-        **{f"B07001_{n:03d}E": f"w{w}" for n, w in zip([33, 49, 65, 81], range(4))},
+        "B07001_033E": "w0",
+        "B07001_049E": "w1",
+        "B07001_065E": "w2",
+        "B07001_081E": "w3",
         "state": "'07'",
         "county": _COUNTY,
     }

@@ -13,11 +13,8 @@ from yearling.operators.runs import Registry
 from yearling.sources.staging import staged
 from yearling.spec import PanelSpec
 
-# The model name and note of recorded runs.
+# Fixed value: the model name of recorded runs.
 PERSISTENCE = "persistence_baseline"
-PERSISTENCE_NOTES = (
-    "Prediction uses the most recent historical one-year population growth rate."
-)
 
 
 def model_table(panel: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -29,13 +26,17 @@ def model_table(panel: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def run_persistence(
-    panel: DataFrame, spec: PanelSpec, test_times: list[int], registry: Registry
+    panel: DataFrame,
+    spec: PanelSpec,
+    test_times: list[int],
+    registry: Registry,
+    notes: str = "last known growth carried forward",
 ) -> int:
     """Evaluate and record the persistence forecast; returns the run id."""
     scored = ev.persistence_rows(panel, spec).filter(F.col(spec.time).isin(test_times))
     scored = scored.selectExpr("*", f"int({spec.time}) as test_year")
     folds = ev.persistence_metrics(panel, spec, test_times)
-    return registry.record(PERSISTENCE, PERSISTENCE_NOTES, test_times, folds, scored, spec)
+    return registry.record(PERSISTENCE, notes, test_times, folds, scored, spec)
 
 
 def linear_validation(panel: DataFrame, spec: PanelSpec, test_times: list[int]) -> DataFrame:

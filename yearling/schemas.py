@@ -5,60 +5,109 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _table(*groups: tuple[T.DataType, str]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(name, kind) for kind, names in groups for name in names.split()]
-    )
+def _table(columns: list[tuple[str, T.DataType]]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
 
 
-_S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+_TEXT, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
-# Table and column names as the stored tables have them.
+# Table and column names as the stored tables have them, in their order.
 COUNTY_YEAR = _table(
-    (_L, "year"),
-    (_S, "state state_fips county_fips county_name"),
-    (_L, "population"),
-    (_D, "median_age"),
-    (_L, "under_18 over_65 white_population black_population hispanic_population"),
-    (_L, "education_25_plus bachelors_degree"),
-    (_D, "median_household_income"),
-    (_L, "poverty_population below_poverty"),
-    (_L, "population_16_plus civilian_labor_force unemployed"),
-    (_L, "housing_units total_housing_units vacant_housing_units"),
-    (_L, "occupied_housing_units owner_occupied_units"),
-    (_D, "average_household_size median_gross_rent median_home_value"),
-    (_L, "foreign_born population_1_plus moved_within_county"),
-    (_L, "moved_from_other_county_same_state moved_from_other_state moved_from_abroad"),
-    (_D, "pct_under_18 pct_over_65 pct_white pct_black pct_hispanic"),
-    (_D, "pct_bachelors_or_higher pct_below_poverty labor_force_participation_rate"),
-    (_D, "unemployment_rate homeownership_rate vacancy_rate pct_foreign_born"),
-    (_L, "moved_last_year"),
-    (_D, "pct_moved_last_year"),
+    [
+        ("year", _LONG),
+        ("state", _TEXT),
+        ("state_fips", _TEXT),
+        ("county_fips", _TEXT),
+        ("county_name", _TEXT),
+        ("population", _LONG),
+        ("median_age", _DOUBLE),
+        ("under_18", _LONG),
+        ("over_65", _LONG),
+        ("white_population", _LONG),
+        ("black_population", _LONG),
+        ("hispanic_population", _LONG),
+        ("education_25_plus", _LONG),
+        ("bachelors_degree", _LONG),
+        ("median_household_income", _DOUBLE),
+        ("poverty_population", _LONG),
+        ("below_poverty", _LONG),
+        ("population_16_plus", _LONG),
+        ("civilian_labor_force", _LONG),
+        ("unemployed", _LONG),
+        ("housing_units", _LONG),
+        ("total_housing_units", _LONG),
+        ("vacant_housing_units", _LONG),
+        ("occupied_housing_units", _LONG),
+        ("owner_occupied_units", _LONG),
+        ("average_household_size", _DOUBLE),
+        ("median_gross_rent", _DOUBLE),
+        ("median_home_value", _DOUBLE),
+        ("foreign_born", _LONG),
+        ("population_1_plus", _LONG),
+        ("moved_within_county", _LONG),
+        ("moved_from_other_county_same_state", _LONG),
+        ("moved_from_other_state", _LONG),
+        ("moved_from_abroad", _LONG),
+        ("pct_under_18", _DOUBLE),
+        ("pct_over_65", _DOUBLE),
+        ("pct_white", _DOUBLE),
+        ("pct_black", _DOUBLE),
+        ("pct_hispanic", _DOUBLE),
+        ("pct_bachelors_or_higher", _DOUBLE),
+        ("pct_below_poverty", _DOUBLE),
+        ("labor_force_participation_rate", _DOUBLE),
+        ("unemployment_rate", _DOUBLE),
+        ("homeownership_rate", _DOUBLE),
+        ("vacancy_rate", _DOUBLE),
+        ("pct_foreign_born", _DOUBLE),
+        ("moved_last_year", _LONG),
+        ("pct_moved_last_year", _DOUBLE),
+    ]
 )
 
 MODEL_RUNS = _table(
-    (_L, "run_id"),
-    (_S, "model_name"),
-    (_I, "feature_start_year feature_end_year test_start_year test_end_year"),
-    (_L, "training_rows test_rows"),
-    (_S, "notes"),
+    [
+        ("run_id", _LONG),
+        ("model_name", _TEXT),
+        ("feature_start_year", _INT),
+        ("feature_end_year", _INT),
+        ("test_start_year", _INT),
+        ("test_end_year", _INT),
+        ("training_rows", _LONG),
+        ("test_rows", _LONG),
+        ("notes", _TEXT),
+    ]
 )
 
 MODEL_METRICS = _table(
-    (_L, "run_id"),
-    (_S, "model_name"),
-    (_I, "test_year"),
-    (_L, "training_rows test_rows"),
-    (_D, "growth_mae growth_rmse growth_r2 population_mae population_mape"),
+    [
+        ("run_id", _LONG),
+        ("model_name", _TEXT),
+        ("test_year", _INT),
+        ("training_rows", _LONG),
+        ("test_rows", _LONG),
+        ("growth_mae", _DOUBLE),
+        ("growth_rmse", _DOUBLE),
+        ("growth_r2", _DOUBLE),
+        ("population_mae", _DOUBLE),
+        ("population_mape", _DOUBLE),
+    ]
 )
 
 PREDICTIONS = _table(
-    (_L, "run_id"),
-    (_S, "model_name"),
-    (_I, "test_year"),
-    (_S, "location_id county_name"),
-    (_I, "feature_year"),
-    (_D, "actual_population predicted_population population_error"),
-    (_D, "absolute_population_error absolute_percentage_error"),
-    (_D, "actual_growth predicted_growth"),
+    [
+        ("run_id", _LONG),
+        ("model_name", _TEXT),
+        ("test_year", _INT),
+        ("location_id", _TEXT),
+        ("county_name", _TEXT),
+        ("feature_year", _INT),
+        ("actual_population", _DOUBLE),
+        ("predicted_population", _DOUBLE),
+        ("population_error", _DOUBLE),
+        ("absolute_population_error", _DOUBLE),
+        ("absolute_percentage_error", _DOUBLE),
+        ("actual_growth", _DOUBLE),
+        ("predicted_growth", _DOUBLE),
+    ]
 )
