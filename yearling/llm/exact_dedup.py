@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yearling.llm.filters import perhaps_in
 from yearling.llm.text import id_and_bytes, lower_ascii, per_row
 from yearling.sources.staging import staged
 
@@ -18,9 +19,6 @@ from yearling.sources.staging import staged
 #: a false meeting only makes a suspect, and suspects are compared byte by byte.
 BITS = 48
 
-#: Pages of the filter that spares unsuspected texts the shuffle, 4 KB each.
-PAGES = 1024
-
 LEDGER = (
     "part int, owner int, n int, code binary, ids array<bigint>, slots binary, "
     "again binary, digests binary"
@@ -137,32 +135,6 @@ def _sha(body: Column) -> Column:
     return F.unhex(F.sha2(body.cast("binary"), 256))
 
 
-def _mark_bit(sha: Column) -> tuple[Column, Column]:
-    """Page and position of a digest's bit in the filter of `PAGES` pages."""
-    head = F.conv(F.hex(F.substring(sha, 1, 6)), 16, 10).cast("long")
-    return head % PAGES, F.floor(head / PAGES) % 32768
-
-
-def _maybe_suspect(bodies: DataFrame, suspects: DataFrame) -> DataFrame:
-    """The texts whose bit is set in a filter made of the suspects.
-
-    The filter has `PAGES` pages of 4 KB at any size of input, so it can be broadcast.
-    Others that pass it change no result; the more suspects, the more of them.
-    """
-    page, position = _mark_bit(F.col("sha"))
-    pages = staged(
-        suspects.select(page.alias("page"), position.alias("position"))
-        .groupBy("page")
-        .agg(F.bitmap_construct_agg("position").alias("bits")),
-        "filter",
-    )
-    page, position = _mark_bit(_sha(F.col("body")))
-    marked = bodies.withColumns({"page": page, "position": position})
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(position div 8 as int) + 1, 1)")), 16, 10)
-    bit = F.getbit(byte.cast("long"), (F.col("position") % 8).cast("int"))
-    return marked.join(F.broadcast(pages), "page").where(bit == 1).select("doc_id", "body")
-
-
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of `docs` with the group of its text: `doc_id`, `keep_id`, `group_size`,
     `kept`, `text_sha256`.
@@ -202,7 +174,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(lower_ascii(F.col(text_col)), F.lit(""))
     bodies = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("body"))
     texts = (
-        _maybe_suspect(bodies, rows.where("suspect"))
+        perhaps_in(bodies.withColumn("sha", _sha(F.col("body"))), "sha", rows.where("suspect"))
         .groupBy("body")
         .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
         .withColumn("sha", _sha(F.col("body")))
