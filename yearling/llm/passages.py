@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cached_property, reduce
+from functools import cached_property
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearling.llm.filters import perhaps_in
 from yearling.llm.text import id_and_bytes, mix, per_row, shingle_hashes, word_hashes, words
 from yearling.sources.staging import staged
 
@@ -21,8 +22,11 @@ SHINGLE, PERCENT = 5, 80
 #: chance of their similarity; exact ones share all.
 HASHES = 3
 
+#: Bits of a run's hash; three fill a number. Runs that agree by accident are compared.
+RUN_BITS = 21
+
 #: Members of a bucket that one task compares with each other.
-BLOCK = 128
+BLOCK = 256
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -132,36 +136,36 @@ class Sketch(Passages):
                 centres.append(centre)
                 # A run that the end of the text cuts off agrees with no other.
                 alone = mix(values[centre] ^ own)
-                at = [centre + start for start in self.starts]
-                runs.append(
-                    np.stack(
-                        [
-                            np.where(
-                                (p >= 0) & (p < len(hashes)),
-                                hashes[np.clip(p, 0, len(hashes) - 1)],
-                                alone + np.uint64(i),
-                            )
-                            for i, p in enumerate(at)
-                        ],
-                        axis=1,
+                packed = np.zeros(len(centre), np.uint64)
+                for i, start in enumerate(self.starts):
+                    at = centre + start
+                    whole = (at >= 0) & (at < len(hashes))
+                    run = np.where(
+                        whole, hashes[np.clip(at, 0, len(hashes) - 1)], alone + np.uint64(i)
                     )
-                )
+                    packed = packed << np.uint64(RUN_BITS) | run >> np.uint64(64 - RUN_BITS)
+                runs.append(packed)
             yield (
                 doc_id,
                 len(ws),
                 key,
                 np.concatenate(keys).view(np.int64).tolist(),
                 np.concatenate(centres).tolist(),
-                np.concatenate(runs).astype(np.uint32).view(np.int32).tolist(),
+                np.concatenate(runs).view(np.int64).tolist(),
             )
 
     def _runs(self, shingles: np.ndarray) -> np.ndarray:
-        """Hash of the run that starts at each place."""
+        """Hash of the run that starts at each place, put together from halves."""
         n = len(shingles) - self.run + 1
-        out = np.zeros(n, np.uint64)
-        for j in range(self.run):
-            out = mix(out + shingles[j : j + n])
-        return out
+        out, done, part, span = np.zeros(n, np.uint64), 0, shingles, 1
+        while True:
+            if self.run & span:
+                out = mix(out + part[done : done + n])
+                done += span
+            span *= 2
+            if span > self.run:
+                return out
+            part = mix(part[: -(span // 2)] * _SEEDS[0] + part[span // 2 :])
 
 
 class Contexts(Passages):
@@ -196,11 +200,36 @@ class Member:
         self.doc_id, self.centre, self.before = doc_id, centre, before
         self.context = context
         self.shingles = np.frombuffer(context, np.uint32)
+        self._variety: np.ndarray | None = None
 
     @cached_property
     def distinct(self) -> frozenset[int]:
         return frozenset(self.shingles.tolist())
 
+    @cached_property
+    def plain(self) -> bool:
+        """Whether no shingle occurs twice."""
+        return len(self.distinct) == len(self.shingles)
+
+    def variety(self, width: int) -> np.ndarray:
+        """Distinct shingles of every run of `width`."""
+        if self._variety is None:
+            size = len(self.shingles)
+            starts = np.arange(max(1, size - width + 1))
+            if self.plain:
+                self._variety = np.full(len(starts), min(width, size))
+            else:
+                # A place counts in a run if its shingle was last seen before the run.
+                order = np.argsort(self.shingles, kind="stable")
+                again = self.shingles[order[1:]] == self.shingles[order[:-1]]
+                seen = np.full(size, -1)
+                seen[order[1:][again]] = order[:-1][again]
+                first = np.zeros((len(starts), size + 1), np.int64)
+                np.cumsum(seen[None, :] < starts[:, None], axis=1, out=first[:, 1:])
+                ends = np.minimum(starts + width, size)
+                self._variety = first[starts, ends] - first[starts, starts]
+        return self._variety
+
 
 class Compare(Passages):
     def __init__(self, *settings):
@@ -251,32 +280,73 @@ class Compare(Passages):
         i, j = x.before - back + low + at, y.before - back + low + at
         if not self._similar(x.shingles[i : i + w], y.shingles[j : j + w]):
             return None
+        return self._trimmed(x, i, same[low + at : low + at + w])
+
+    def _trimmed(self, x: Member, i: int, shared: np.ndarray) -> tuple[int, int]:
+        """A passage from its first to its last shared shingle."""
+        places = np.flatnonzero(shared)
         start = x.centre - x.before + i
-        return start, start + w - 1
+        return start + int(places[0]), start + int(places[-1])
 
     def _shifted(self, x: Member, y: Member) -> tuple[int, int] | None:
-        a, b, w = x.shingles, y.shingles, self.width
-        distinct = len(x.distinct) == len(a) and len(y.distinct) == len(b)
-        if distinct and len(x.distinct & y.distinct) < self.least:
+        """The most similar pair of runs, wherever they are: what any two share is a
+        product of what each of them has of the shared shingles."""
+        shared = x.distinct & y.distinct
+        if x.plain and y.plain and len(shared) < self.least:
+            return None
+        known = np.array(sorted(shared), np.uint32)
+        has, rows = self._runs_with(x, known)
+        other, cols = self._runs_with(y, known)
+        both = has @ other.T
+        w = self.width
+        union = np.add.outer(x.variety(w)[rows], y.variety(w)[cols]) - both
+        both = np.where(100 * both >= self.percent * union, both, -1)
+        i, j = divmod(int(np.argmax(both)), both.shape[1])
+        if both[i, j] < 0:
             return None
-        rows = slice(max(0, x.before - w + 1), min(x.before, len(a) - w) + 1)
-        cols = slice(max(0, y.before - w + 1), min(y.before, len(b) - w) + 1)
-        if distinct:
-            known = y.distinct
-            inside = np.concatenate(([0], np.cumsum([s in known for s in a.tolist()])))
-            if (inside[rows.start + w : rows.stop + w] - inside[rows]).max() < self.least:
-                return None
-        grid = np.zeros((len(a) + 1, len(b) + 1), np.int32)
-        grid[1:, 1:] = (a[:, None] == b[None, :]).cumsum(0).cumsum(1)
-        sums = grid[w:, w:] - grid[:-w, w:] - grid[w:, :-w] + grid[:-w, :-w]
-        sums = sums[rows, cols]
-        for place in np.argsort(-sums, axis=None)[: 1 if distinct else w]:
-            i, j = np.unravel_index(place, sums.shape)
-            i, j = int(i) + rows.start, int(j) + cols.start
-            if self._similar(a[i : i + w], b[j : j + w]):
-                start = x.centre - x.before + i
-                return start, start + w - 1
-        return None
+        i, j = i + rows.start, j + cols.start
+        return self._trimmed(x, i, np.isin(x.shingles[i : i + w], y.shingles[j : j + w]))
+
+    def _runs_with(self, m: Member, known: np.ndarray) -> tuple[np.ndarray, slice]:
+        """Which of the known shingles each run that contains the centre has."""
+        n, w = len(m.shingles), self.width
+        runs = slice(max(0, m.before - w + 1), min(m.before, n - w) + 1)
+        seen = np.zeros((n + 1, len(known)), np.int16)
+        np.cumsum(m.shingles[:, None] == known[None, :], axis=0, out=seen[1:])
+        inside = seen[runs.start + w : runs.stop + w] > seen[runs]
+        return inside.astype(np.float32), runs
+
+    def worth(self, members: list[Member]) -> np.ndarray:
+        """Pairs of members that can be similar at all, as a matrix.
+
+        The shingles that several members have become columns of 0 and 1, and one
+        product counts what each two share. That must be as much as two similar runs
+        share. It spares texts which share less than a passage, and may be many, the
+        comparing. In a few it costs more.
+        """
+        n = len(members)
+        if n <= 12:
+            return np.ones((n, n), bool)
+        flat = np.concatenate([np.fromiter(m.distinct, np.uint32) for m in members])
+        owner = np.repeat(np.arange(n), [len(m.distinct) for m in members])
+        shingles, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+        several = count[column] > 1
+        owner, column = owner[several], np.cumsum(count > 1)[column[several]] - 1
+        shared = np.zeros((n, n), np.float32)
+        for low in range(0, int((count > 1).sum()), 4096):
+            inside = (column >= low) & (column < low + 4096)
+            grid = np.zeros((n, 4096), np.float32)
+            grid[owner[inside], column[inside] - low] = 1
+            shared += grid @ grid.T
+        plain = np.array([m.plain for m in members])
+        need = np.array([self.percent * m.variety(self.width).min() for m in members])
+        enough = 100 * shared >= np.maximum.outer(need, need)
+        return enough & ((shared >= self.least) | ~(plain[:, None] & plain[None, :]))
+
+
+def _members(rows: list[dict]) -> list[Member]:
+    found = [Member(m["doc_id"], m["centre"], m["before"], m["context"]) for m in rows]
+    return sorted(found, key=lambda m: (m.doc_id, m.centre))
 
 
 class Leaders(Compare):
@@ -285,24 +355,25 @@ class Leaders(Compare):
     and goes on to the next round."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        for bucket, members in rows:
-            leaders: list[Member] = []
-            for m in sorted(members, key=lambda m: (m["doc_id"], m["centre"])):
-                x = Member(m["doc_id"], m["centre"], m["before"], m["context"])
-                new = True
-                for y in leaders:
+        for bucket, block in rows:
+            members = _members(block)
+            worth = self.worth(members)
+            leads = np.zeros(len(members), bool)
+            for i, x in enumerate(members):
+                leads[i] = True
+                for j in np.flatnonzero(worth[i, :i] & leads[:i]).tolist():
+                    y = members[j]
                     if x.doc_id == y.doc_id:
                         if x.before == y.before and x.context == y.context:
-                            new = False
+                            leads[i] = False
                         continue
                     span = self.match(x, y)
                     if span:
-                        new = False
+                        leads[i] = False
                         yield bucket, x.doc_id, x.centre, None, None, *span, y.doc_id
                         break
-                if new:
-                    leaders.append(x)
-            for y in leaders:
+            for i in np.flatnonzero(leads).tolist():
+                y = members[i]
                 yield bucket, y.doc_id, y.centre, y.before, y.context, None, None, None
 
 
@@ -311,17 +382,15 @@ class Rest(Compare):
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for left, right in rows:
-            sides = [
-                [Member(m["doc_id"], m["centre"], m["before"], m["context"]) for m in side]
-                for side in (left, right)
-            ]
-            for p in sides[0]:
-                for q in sides[1]:
-                    x, y = (p, q) if p.doc_id > q.doc_id else (q, p)
-                    if x.doc_id != y.doc_id:
-                        span = self.match(x, y)
-                        if span:
-                            yield x.doc_id, *span, y.doc_id
+            sides = [_members(left), _members(right)]
+            worth = self.worth(sides[0] + sides[1])[: len(left), len(left) :]
+            for i, j in zip(*np.nonzero(worth), strict=True):
+                p, q = sides[0][i], sides[1][j]
+                x, y = (p, q) if p.doc_id > q.doc_id else (q, p)
+                if x.doc_id != y.doc_id:
+                    span = self.match(x, y)
+                    if span:
+                        yield x.doc_id, *span, y.doc_id
 
 
 class Merge:
@@ -369,13 +438,15 @@ def repeated_passages(
     percent: int = PERCENT,
     hashes: int = HASHES,
 ) -> DataFrame:
-    """Passages of at least `min_words` words that an earlier document has too, nearly or
+    """Passages of `min_words` words or more that an earlier document has too, nearly or
     exactly: `doc_id`, `start_word`, `n_words`, `match_id`, `match_ids`.
 
     Earlier is the smaller id; the first document that has a passage has no row for it.
     Passages are similar when their distinct shingles have a Jaccard similarity of
     `percent` or more (words lower-cased A-Z, white space as one). Overlapping passages
     are one row; `match_ids` are the documents they were found in, `match_id` the first.
+    Words at either end that only this document has are left out, so a nearly equal
+    passage may be a few words shorter.
     Copies within one document are not repeats. Null, empty and short texts have no
     rows; of repeated rows with one id, one is used; rows with a null id are left out.
     Other columns are not read.
@@ -396,7 +467,7 @@ def repeated_passages(
         per_row(
             source,
             "doc_id bigint, n_words int, text_key binary, buckets array<bigint>, "
-            "centres array<int>, runs array<array<int>>",
+            "centres array<int>, runs array<bigint>",
             Sketch(*settings),
         ),
         "windows",
@@ -416,7 +487,7 @@ def repeated_passages(
         F.col("w.buckets").alias("bucket"),
         "doc_id",
         F.col("w.centres").alias("centre"),
-        *(F.col("w.runs")[i].alias(f"run{i}") for i in range(3)),
+        F.col("w.runs").alias("runs"),
     )
     # The first step keeps a small share; the next ones read it again and again.
     meeting = staged(
@@ -425,20 +496,26 @@ def repeated_passages(
         ),
         "meeting",
     )
-    agreeing = [
-        meeting.join(_met(meeting, ["bucket", run]), ["bucket", run], "left_semi").select(
-            "bucket", "doc_id", "centre"
-        )
-        for run in ("run0", "run1", "run2")
-    ]
-    wanted = reduce(DataFrame.unionByName, agreeing).distinct()
+    # A window stays if one of its three runs is that of another document's window.
+    each = meeting.select(
+        "bucket",
+        "doc_id",
+        "centre",
+        F.posexplode(
+            F.array(*(F.shiftright("runs", RUN_BITS * i) for i in range(3)))
+        ).alias("place", "run"),
+    ).withColumn("run", F.expr(f"run & {(1 << RUN_BITS) - 1}"))
+    agreeing = each.join(
+        _met(each, ["bucket", "place", "run"]), ["bucket", "place", "run"], "left_semi"
+    )
+    wanted = agreeing.select("bucket", "doc_id", "centre").distinct()
     by_doc = staged(
         wanted.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "centre")).alias("wanted")),
         "wanted",
     )
     members = staged(
         per_row(
-            source.join(by_doc, "doc_id"),
+            perhaps_in(source, "doc_id", by_doc).join(by_doc, "doc_id"),
             "bucket bigint, doc_id bigint, centre int, before int, context binary",
             Contexts(*settings),
             step=32,
@@ -498,9 +575,11 @@ def _spans(members: DataFrame, settings: tuple) -> DataFrame:
     other = blocks.select(
         "bucket", F.col("block").alias("other"), F.col("members").alias("others")
     )
-    pairs = blocks.join(other, "bucket").where("block <= other").select("members", "others")
+    pairs = blocks.join(other, "bucket").where("block <= other")
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, "bucket", "block", "other")
     rest = per_row(
-        pairs, "doc_id bigint, first int, last int, other bigint", Rest(*settings), step=2
+        pairs.select("members", "others"), "doc_id bigint, first int, last int, other bigint", Rest(*settings), step=2
     )
     return spans.unionByName(rest)
 
