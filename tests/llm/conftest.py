@@ -1,6 +1,5 @@
-import random
-
 import pytest
+from conftest_llm import prose
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use inside.
@@ -10,13 +9,6 @@ CLASHING = [
 ]
 
 
-def prose(seed: int, n: int, letters: str = "abcdefghijklmnop") -> str:
-    rng = random.Random(seed)
-    return " ".join(
-        "".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n)
-    )
-
-
 @pytest.fixture
 def table(spark):
     """Documents from {id: text} or (id, text) pairs."""

@@ -1,4 +1,13 @@
-"""Brute-force helpers."""
+"""Texts and brute-force helpers."""
+
+import random
+
+
+def prose(seed: int, n: int, letters: str = "abcdefghijklmnop") -> str:
+    rng = random.Random(seed)
+    return " ".join(
+        "".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n)
+    )
 
 
 def lower(text):

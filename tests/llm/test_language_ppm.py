@@ -6,8 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from conftest import prose
-from conftest_llm import words
+from conftest_llm import prose, words
 
 from yearling.llm import ppm
 from yearling.llm.language import languages, ngrams

@@ -2,8 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import prose
-from conftest_llm import components, shingles
+from conftest_llm import components, prose, shingles
 
 from yearling.llm import near_dedup
 from yearling.llm.components import components as spark_components

@@ -2,8 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import prose
-from conftest_llm import words
+from conftest_llm import prose, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -1,7 +1,6 @@
 import duckdb
 import pytest
-from conftest import prose
-from conftest_llm import lower
+from conftest_llm import lower, prose
 
 import corpus_pipeline
 from yearling.llm import queries

@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import prose
+from conftest_llm import prose
 from pyspark.sql import functions as F
 
 from yearling.llm import quality

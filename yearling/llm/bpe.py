@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: The vocabulary used unless another one is given.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 #: Words, and parts of words, that an encoder remembers; beyond that it starts afresh.
-REMEMBERED, PARTS_REMEMBERED = 1_000_000, 400_000
+REMEMBERED, PARTS_REMEMBERED = 300_000, 1_000_000
 
 #: Marks that the split pattern makes a token of their own after letters.
 MARKS = b".,;:!?"
@@ -36,7 +39,8 @@ class Encoder:
     each position, in one pass. Tokens are then taken greedily; a token may follow
     another only if merging the two texts anew would give just these two (the pair is
     compatible). If not, the next shorter token is tried, and if none is left, the last
-    token is taken back. Each position fails at most once, so the work is linear.
+    token is taken back. Each position fails at most once, so the work is linear. Most
+    texts need no second try; for them one pass that yields only the longest tokens does.
     """
 
     #: Added to a symbol's code to mark the end of a word.
@@ -75,9 +79,11 @@ class Encoder:
         for a, b, text in made:
             self.halves[self.rank[text]] = (self.rank[a], self.rank[b])
         self.shorter = [self._prefix(text) for text in ranked]
-        self.matches = ahocorasick.Automaton()
+        self.forward, self.matches = ahocorasick.Automaton(), ahocorasick.Automaton()
         for text, r in self.rank.items():
+            self.forward.add_word(text, r)
             self.matches.add_word(text[::-1], r)
+        self.forward.make_automaton()
         self.matches.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[bytes, bytes] = {}
@@ -142,6 +148,9 @@ class Encoder:
         whole = self.rank.get(text)
         if whole is not None:
             return [whole]
+        fast = self._greedy(text)
+        if fast:
+            return fast
         n, last = len(text), len(text) - 1
         longest = [-1] * n
         size = [0] * n
@@ -172,6 +181,24 @@ class Encoder:
                 # Taken back: the position is dead, so a shorter one is tried.
         return out
 
+    def _greedy(self, text: str) -> list[int]:
+        """The longest tokens from left to right, if they are compatible as they are."""
+        out: list[int] = []
+        before, length, fits = -1, 0, self.fits
+        for end, r in self.forward.iter_long(text):
+            if before >= 0:
+                fit = fits.get((before, r))
+                if fit is None:
+                    fit = self.compatible(before, r)
+                if not fit:
+                    return []
+            out.append(r)
+            length += self.lengths[r]
+            if length != end + 1:
+                return []
+            before = r
+        return out if length == len(text) else []
+
     def encode_part(self, part: str) -> bytes:
         """Ids of what the split pattern leaves together."""
         ids = self.parts.get(part)
@@ -205,22 +232,41 @@ class Encoder:
             ids.extend(map(self.encode_part, self.pieces.findall(part.lower())))
         return b"".join(ids)
 
+    def ids_of(self, word: bytes) -> bytes:
+        """Ids of a word, remembered."""
+        ids = self.known.get(word)
+        if ids is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            ids = self.known[word] = self.encode_word(word)
+        return ids
+
     def encode(self, raw: bytes | None) -> bytes:
         """Ids of a text. No token spans white space, so words are encoded once each."""
-        if not raw:
-            return b""
-        known, words = self.known, raw.split()
-        found = list(map(known.get, words))
-        if None in found:
-            for i, word in enumerate(words):
-                if found[i] is None:
-                    ids = known.get(word)
-                    if ids is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        ids = known[word] = self.encode_word(word)
-                    found[i] = ids
-        return b"".join(found)
+        return b"".join(map(self.ids_of, raw.split())) if raw else b""
+
+    def encode_many(self, raws: list[bytes | None]) -> list[bytes]:
+        """Ids of several texts; every distinct word of them is looked up once.
+
+        Letters are lower-cased first, for fewer distinct words, unless a text could
+        hold a special token.
+        """
+        texts = [(raw if b"<|" in raw else raw.lower()) if raw else b"" for raw in raws]
+        texts = pa.array(texts, pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(texts)
+        found = split.flatten().dictionary_encode()
+        distinct = found.dictionary.cast(pa.binary()).to_pylist()
+        ids = [self.ids_of(word) if word else b"" for word in distinct]
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        words = found.indices.to_numpy()
+        lengths = sizes[words]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        places = np.repeat(starts[words] - ends[:-1], lengths) + np.arange(ends[-1])
+        tokens = pool[places] if len(places) else pool
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         """The decoded text in UTF-8: each token's slice of one buffer, by its offsets."""
@@ -238,6 +284,23 @@ class Encoder:
         return b"".join(parts)[:-1]
 
 
+def encoded_rows(
+    coder: Encoder, rows: Iterable[tuple], size: int = 4 << 20
+) -> Iterator[tuple[tuple, bytes]]:
+    """Each row, whose last value is a text, and its ids; texts are taken together up to
+    a size."""
+    held: list[tuple] = []
+    waiting = 0
+    for row in rows:
+        held.append(row)
+        waiting += len(row[-1] or b"")
+        if waiting >= size:
+            yield from zip(held, coder.encode_many([r[-1] for r in held]), strict=True)
+            held, waiting = [], 0
+    if held:
+        yield from zip(held, coder.encode_many([r[-1] for r in held]), strict=True)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary and Python worker."""

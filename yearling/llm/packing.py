@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yearling.llm.bpe import WORD_BPE, encoder
+from yearling.llm.bpe import WORD_BPE, encoded_rows, encoder
 from yearling.llm.text import id_and_bytes, per_row
 from yearling.sources.staging import staged
 
@@ -145,8 +145,8 @@ class Pieces:
         coder = encoder(self.vocabulary)
         end = np.array([self.end], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), Counter()
-        for doc_id, raw in rows:
-            ids = coder.encode(raw) + end
+        for (doc_id, _), ids in encoded_rows(coder, rows):
+            ids += end
             for piece, a in enumerate(range(0, len(ids), 4 * self.capacity)):
                 own = ids[a : a + 4 * self.capacity]
                 length = len(own) // 4

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from yearling.llm.bpe import WORD_BPE, encoder
+from yearling.llm.bpe import WORD_BPE, encoded_rows, encoder
 from yearling.llm.text import id_and_bytes, per_row
 
 
@@ -17,8 +17,7 @@ class Digests:
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         coder = encoder(self.path)
-        for doc_id, raw in rows:
-            ids = coder.encode(raw)
+        for (doc_id, _), ids in encoded_rows(coder, rows):
             yield (
                 doc_id,
                 len(ids) // 4,
@@ -33,8 +32,7 @@ class Ids:
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         coder = encoder(self.path)
-        for doc_id, raw in rows:
-            ids = coder.encode(raw)
+        for (doc_id, _), ids in encoded_rows(coder, rows):
             yield doc_id, ids, coder.decode(ids).decode()
 
 
