@@ -2,7 +2,9 @@ import random
 
 import pytest
 
-from yearling.operators.folds import expanding_folds, fold_rows
+from yearling.functions.names import quoted
+from yearling.functions.names import text as text_literal
+from yearling.operators.folds import expanding_folds, fold_counts, fold_rows
 from yearling.operators.joins import last_per_key, lookup_join, unmatched
 from yearling.operators.panel import (
     complete_rows,
@@ -153,3 +155,41 @@ def test_fold_rows_never_train_on_the_test_year(spark, plan):
     assert folds.filter("role = 'test' and y <> test_year").count() == 0
     assert folds.count() == 4 + 6
     assert "Join" not in plan(folds)
+
+
+def test_building_a_join_runs_nothing(spark):
+    main = spark.range(100).selectExpr("id % 10 as k", "id as v")
+    lookup = spark.range(50).selectExpr("id % 7 as k", "id as at", "id * 2 as w")
+    spark.sparkContext.setJobGroup("building", "no job is expected")
+    found = lookup_join(main, lookup, ["k"], "at")
+    missing = unmatched(main, lookup, ["k"])
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setJobGroup("running", "")
+    assert (found.count(), missing.count()) == (70, 30)
+
+
+def test_fold_counts_with_odd_names(spark, plan):
+    df = spark.range(60).selectExpr("id % 4 as `it's a key`", "int(2000 + id % 6) as `my time`")
+    found = fold_counts(df, "it's a key", "my time", [2002, 2005])
+    rows = [(r["it's a key"], r["my time"]) for r in df.collect()]
+    expected = {
+        (k, t): (
+            sum(1 for a, b in rows if a == k and b < t),
+            sum(1 for a, b in rows if a == k and b == t),
+        )
+        for k in range(4)
+        for t in (2002, 2005)
+    }
+    assert {
+        (r["it's a key"], r.test_year): (r.training_rows, r.test_rows) for r in found.collect()
+    } == {key: n for key, n in expected.items() if any(n)}
+    # The repetition follows the first aggregate, so it is of counts.
+    text = plan(found)
+    assert text.index("Generate explode") < text.rindex("HashAggregate")
+
+
+def test_quoted_names_and_texts(spark):
+    odd = "o'neil `x` \\ \"y\""
+    df = spark.createDataFrame([(1,)], "v int").withColumnRenamed("v", odd)
+    row = df.selectExpr(f"{quoted(odd)} as v", f"{text_literal(odd)} as t").first()
+    assert (row.v, row.t) == (1, odd)
