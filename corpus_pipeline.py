@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearling.llm.exact_dedup import exact_groups
+from yearling.llm.filters import parted
 from yearling.llm.language import UNKNOWN, languages
 from yearling.llm.near_dedup import near_groups
 from yearling.llm.packing import pack
@@ -61,16 +62,19 @@ def repeated_parts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A document of which no word is left goes.
     """
     cut = staged(without_passages(docs, repeated_passages(docs)), "cut")
-    joined = docs.join(cut, docs["doc_id"] == cut["doc_id"], "left")
+    # Texts that are not cut are not shuffled.
+    some, others = parted(docs, "doc_id", cut)
+    joined = some.join(cut, some["doc_id"] == cut["doc_id"], "left")
     joined = joined.where(cut["words_left"].isNull() | (cut["words_left"] > 0))
     changed = cut["words_left"].isNotNull()
     new = {"text": cut["text"], "n_chars": F.char_length(cut["text"])}
-    return joined.select(
+    joined = joined.select(
         *(
-            F.when(changed, new[c].cast(kind)).otherwise(docs[c]).alias(c) if c in new else docs[c]
+            F.when(changed, new[c].cast(kind)).otherwise(some[c]).alias(c) if c in new else some[c]
             for c, kind in docs.dtypes
         )
     )
+    return joined.unionByName(others)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

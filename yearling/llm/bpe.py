@@ -18,7 +18,7 @@ import regex
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 #: Words, and parts of words, that an encoder remembers; beyond that it starts afresh.
-REMEMBERED, PARTS_REMEMBERED = 300_000, 1_000_000
+REMEMBERED, PARTS_REMEMBERED = 150_000, 500_000
 
 #: Marks that the split pattern makes a token of their own after letters.
 MARKS = b".,;:!?"

@@ -608,5 +608,7 @@ def without_passages(
     spans = passages.groupBy("doc_id").agg(
         F.collect_list(F.struct("start_word", "n_words")).alias("spans")
     )
-    rows = id_and_bytes(docs, id_col, text_col).join(spans, "doc_id")
+    spans = staged(spans, "cuts")
+    rows = perhaps_in(id_and_bytes(docs, id_col, text_col), "doc_id", spans)
+    rows = rows.join(spans, "doc_id")
     return per_row(rows, "doc_id bigint, text string, words_left int", Cut(), step=64)

@@ -89,6 +89,8 @@ class RowWork:
                 held, size = [], 0
         if held:
             yield batch_of(held, self.schema)
+        # Workers live on; what Arrow keeps for later would add to the next operator's.
+        pa.default_memory_pool().release_unused()
 
 
 def tuples(batches: Iterator[pa.RecordBatch], step: int = 512) -> Iterator[tuple]:
