@@ -135,6 +135,21 @@ def test_rare_words_are_joined(table, monkeypatch):
         assert found[r.doc_id] == pytest.approx(r.base_score)
 
 
+@pytest.mark.parametrize(("cached", "wanted"), [(1 << 22, 1_000_000), (20, 1), (1, 50)])
+def test_every_counted_gram_scores(table, monkeypatch, cached, wanted):
+    """What goes to every task, and how many texts are looked up together, changes nothing."""
+    monkeypatch.setattr(ppm, "SHARE", 20)
+    monkeypatch.setattr(ppm, "GRAM_SHARE", cached, raising=False)
+    monkeypatch.setattr(ppm, "WANTED", wanted, raising=False)
+    monkeypatch.setattr(ppm, "TOGETHER", 300)
+    texts = {i: prose(i % 9, 40, "abc") + f" {prose(i, 5)}é" for i in range(30)} | {40: None}
+    train = [i for i in texts if remainder(i, 5) != 1]
+    low = {i: (t or "").encode().lower() for i, t in texts.items()}
+    score = brute_trie([low[i] for i in train], 6)
+    for r in log_probabilities(table(texts).repartition(3)).collect():
+        assert r.score == pytest.approx(score(low[r.doc_id]))
+
+
 def test_better_than_words_on_held_out_texts():
     texts = pq.read_table("/root/testdata/sf0.1/documents.parquet").to_pandas()
     low = {i: t.encode().lower() for i, t in zip(texts.doc_id, texts.text, strict=True)}

@@ -10,11 +10,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from yearling.llm.text import crc_remainder, per_row, tuples, words
+from yearling.llm.text import crc_remainder, mix, per_row, tuples, words
 from yearling.sources.staging import staged
 
 #: A symbol is a byte or the end; a context may also hold the start. Nine bits each.
@@ -23,10 +25,17 @@ SYMBOLS, BITS = 257, 9
 #: Bytes of the longest context; with the symbol, a gram fills 63 bits.
 ORDER = 6
 
-#: A gram is a node of the trie if it is at least one in so many symbols of the corpus,
-#: and a word is frequent if it is at least one in so many tokens. So there are never
-#: more nodes of an order, or frequent words, than this, whatever the corpus.
+#: A word is frequent if it is at least one in so many tokens, a gram if it is at least
+#: one in so many symbols. What is frequent goes to every task and spares a join; what is
+#: not is joined. So there are never more than this in a task, and results do not change.
 SHARE = 1 << 20
+GRAM_SHARE = 1 << 22
+#: Grams are dealt by so many symbols before the last one; levels of shorter contexts,
+#: whose number the alphabet bounds, are known to all tasks.
+SHARED = 3
+#: Distinct grams, and symbols, of texts that are looked up together.
+WANTED = 1_000_000
+WANTED_SYMBOLS = 32_000_000
 #: Distinct words or grams a task holds before it passes their counts on.
 HELD = 400_000
 GRAMS_HELD = 2_000_000
@@ -52,28 +61,42 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == wanted
 
 
+class _Nothing:
+    """No levels."""
+
+    grams = counts = contexts = own = excluded = direct = ()
+
+
 class Trie:
     """Contexts of `order` bytes, of one less, and so on, with the symbols after each.
 
     A symbol is looked up in the longest context the trie has. If it is not there, an
     escape is charged: the distinct symbols there, and all that was seen there but is no
-    node, as a share of all that was seen plus the distinct symbols (method C). In the
+    node, as a share of all that was seen plus the distinct symbols (method C); with all
+    grams as nodes there is nothing of the latter. In the
     next shorter context the symbols of the longer one, which cannot follow, are taken
     out of every count. What no context has is shared evenly. Every node's suffix is a
     node, so what is excluded is known beforehand for every context.
     """
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        """`levels`: grams (sorted) and their counts, by the length of the context."""
-        self.grams = [g for g, _ in levels]
-        self.counts = [n.astype(np.float64) for _, n in levels]
-        self.contexts, self.own, self.excluded, self.direct = [], [], [], []
-        texts = self._count(0, np.array([END]))[0]
-        for k, (grams, counts) in enumerate(zip(self.grams, self.counts, strict=True)):
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], base: Trie | None = None):
+        """`levels`: grams (sorted) and their counts, by the length of the context.
+
+        With a `base`, which has the levels of shorter contexts, these are the levels
+        after it, and all grams of their contexts are nodes.
+        """
+        known = base or _Nothing
+        self.grams = [*known.grams, *(g for g, _ in levels)]
+        self.counts = [*known.counts, *(n.astype(np.float64) for _, n in levels)]
+        self.contexts, self.own = [*known.contexts], [*known.own]
+        self.excluded, self.direct = [*known.excluded], [*known.direct]
+        texts = self._count(0, np.array([END]))[0] if base is None else None
+        for k in range(len(self.contexts), len(self.grams)):
+            grams, counts = self.grams[k], self.counts[k]
             contexts, place = np.unique(grams >> BITS, return_inverse=True)
             kept = np.bincount(place, counts, len(contexts))
             distinct = np.bincount(place, minlength=len(contexts)).astype(np.float64)
-            if k:
+            if k and base is None:
                 start = sum(START << BITS * i for i in range(k))
                 seen = np.where(contexts == start, texts, self._count(k - 1, contexts))
             else:
@@ -158,11 +181,55 @@ def _trie(levels: bytes) -> Trie:
     return Trie(pickle.loads(levels))
 
 
+def _last(grams: np.ndarray, symbols: int) -> np.ndarray:
+    return grams & ((1 << BITS * symbols) - 1)
+
+
+def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, sorted, and the sums of their counts."""
+    grams, at = np.unique(grams, return_inverse=True)
+    return grams, np.bincount(at, counts, len(grams)).astype(np.int64)
+
+
+def _dealt(grams: np.ndarray, order: int, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets and the places of their grams, in order. Grams whose contexts end with the
+    same `SHARED` symbols have one bucket, and so have all contexts that these escape to."""
+    suffix = _last(grams >> BITS, min(order, SHARED)).astype(np.uint64)
+    own = (mix(suffix) % np.uint64(buckets)).astype(np.int64)
+    at = np.argsort(own, kind="stable")
+    own = own[at]
+    for part in np.split(at, np.flatnonzero(own[1:] != own[:-1]) + 1):
+        if len(part):
+            yield int((mix(suffix[part[:1]]) % np.uint64(buckets))[0]), part
+
+
+def _packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers as few bytes, by planes of their bytes; rising ones as differences."""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, kind: type = np.int64, rising: bool = False) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    planes = pa.decompress(packed[8:], size, "zstd", asbytes=True)
+    planes = np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+    return np.cumsum(values, dtype=kind) if rising else values
+
+
+def _array(column: pa.ChunkedArray, kind: type = np.int64, rising: bool = False) -> np.ndarray:
+    """The numbers of all rows."""
+    parts = [_unpacked(p, kind, rising) for p in column.to_pylist()]
+    return np.concatenate([np.empty(0, kind), *parts])
+
+
 class GramCounts:
-    """Counts of the grams of a partition, as Arrow batches."""
+    """Counts of the grams of a partition, as Arrow batches: a row for each bucket."""
 
-    def __init__(self, order: int):
-        self.order = order
+    def __init__(self, order: int, buckets: int):
+        self.order, self.buckets = order, buckets
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -174,17 +241,19 @@ class GramCounts:
             held.clear()
 
         def merge() -> None:
-            grams, at = np.unique(np.concatenate([g for g, _ in runs]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([n for _, n in runs])).astype(np.int64)
-            runs[:] = [(grams, counts)]
+            grams, counts = (np.concatenate(x) for x in zip(*runs, strict=True))
+            runs[:] = [_summed(grams, counts)]
 
         def out() -> Iterator[pa.RecordBatch]:
             for grams, counts in runs:
-                for a in range(0, len(grams), 100_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(grams[a : a + 100_000]), pa.array(counts[a : a + 100_000])],
-                        names=["gram", "n"],
-                    )
+                counts = counts.astype(np.int64)
+                rows = [
+                    (bucket, _packed(grams[at], True), _packed(counts[at]))
+                    for bucket, at in _dealt(grams, self.order, self.buckets)
+                ]
+                for a in range(0, len(rows), 256):
+                    columns = map(pa.array, zip(*rows[a : a + 256], strict=True))
+                    yield pa.RecordBatch.from_arrays(list(columns), ["bucket", "grams", "ns"])
             runs.clear()
 
         for (raw,) in tuples(batches):
@@ -206,27 +275,115 @@ class GramCounts:
             yield from out()
 
 
-def levels_of(training: DataFrame, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Nodes of the trie by the length of the context, shortest first.
-
-    All grams of all texts are counted; those of a shorter context are sums of the
-    longer ones'. Only nodes reach the driver, and `SHARE` bounds their number. Single
-    symbols are all nodes.
-    """
-    counts = training.mapInArrow(GramCounts(order), "gram bigint, n bigint")
-    counts = staged(counts.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    levels = []
-    for k in range(order, -1, -1):
-        nodes = counts.where(F.col("n") * SHARE >= total) if k else counts
-        found = nodes.sort("gram").toPandas()
-        levels.append((found["gram"].to_numpy("int64"), found["n"].to_numpy("int64")))
-        if k:
-            shorter = F.col("gram").bitwiseAND((1 << BITS * k) - 1).alias("gram")
-            counts = staged(counts.groupBy(shorter).agg(F.sum("n").alias("n")), "grams")
+def _counted(training: DataFrame, order: int, buckets: int) -> DataFrame:
+    """All grams of all texts, a row for each bucket: `bucket`, `grams` (sorted) and `ns`,
+    their sum `n`, and the counts of the longest grams that all tasks know, `short`."""
+    shared = min(order, SHARED)
+
+    def merged(rows: pa.Table) -> pa.Table:
+        grams, counts = _summed(_array(rows["grams"], rising=True), _array(rows["ns"]))
+        short, sums = _summed(_last(grams, shared), counts)
+        found = {
+            "bucket": rows["bucket"][:1],
+            "grams": [_packed(grams, True)],
+            "ns": [_packed(counts)],
+            "n": [int(counts.sum())],
+            "short": [short.tolist()],
+            "sums": [sums.tolist()],
+        }
+        return pa.table(found, schema=to_arrow_schema(kind))
+
+    kind = StructType.fromDDL(
+        "bucket bigint, grams binary, ns binary, n bigint, short array<bigint>, sums array<bigint>"
+    )
+    counts = training.mapInArrow(
+        GramCounts(order, buckets), "bucket bigint, grams binary, ns binary"
+    )
+    return staged(counts.groupBy("bucket").applyInArrow(merged, kind), "grams")
+
+
+def _base(grams: DataFrame, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Levels of the shorter contexts, which the alphabet bounds and the driver sees."""
+    shared = min(order, SHARED)
+    if not shared:
+        return []
+    found = (
+        grams.select(F.explode(F.arrays_zip("short", "sums")).alias("g"))
+        .groupBy(F.col("g.short").alias("gram"))
+        .agg(F.sum("g.sums").alias("n"))
+        .sort("gram")
+        .toPandas()
+    )
+    levels = [(found["gram"].to_numpy("int64"), found["n"].to_numpy("int64"))]
+    for k in range(shared - 1, 0, -1):
+        longer, counts = levels[-1]
+        levels.append(_summed(_last(longer, k), counts))
     return levels[::-1]
 
 
+class Frequent:
+    """Frequent grams of a bucket, and their log10 probability after what is before them."""
+
+    def __init__(self, least: float):
+        self.least = least
+
+    def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        for own, ns in rows:
+            grams, counts = _unpacked(own, rising=True), _unpacked(ns)
+            contexts, place = np.unique(grams >> BITS, return_inverse=True)
+            whole = np.bincount(place, counts + 1, len(contexts))
+            often = counts >= self.least
+            found = np.log10(counts[often] / whole[place[often]])
+            yield from zip(grams[often].tolist(), found.tolist(), strict=True)
+
+
+def _looked_up(
+    grams: DataFrame, wanted: DataFrame, base: Broadcast, order: int
+) -> DataFrame:
+    """`chunk`, `places` and `lengths` of all wanted grams, bucket by bucket: all contexts
+    that a gram can escape to are in its bucket or known to all tasks."""
+
+    def lengths(known: pa.Table, asked: pa.Table) -> pa.Table:
+        own, counts = _array(known["grams"], rising=True), _array(known["ns"])
+        levels = [_summed(_last(own, k + 1), counts) for k in range(min(order, SHARED), order)]
+        trie = Trie([*levels, (own, counts)], _trie(base.value))
+        held = [_unpacked(g, rising=True) for g in asked["grams"].to_pylist()]
+        distinct, place = np.unique(np.concatenate([own[:0], *held]), return_inverse=True)
+        found = trie.lengths(distinct)[place]
+        ends = np.cumsum([len(g) for g in held])
+        parts = [_packed(x) for x in np.split(found, ends[:-1])] if held else []
+        return pa.table(
+            [asked["chunk"], asked["places"], pa.array(parts, pa.binary())],
+            schema=to_arrow_schema(kind),
+        )
+
+    kind = StructType.fromDDL("chunk bigint, places binary, lengths binary")
+    return grams.select("bucket", "grams", "ns").groupBy("bucket").cogroup(
+        wanted.select("bucket", "chunk", "grams", "places").groupBy("bucket")
+    ).applyInArrow(lengths, kind)
+
+
+def _sums(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """`row` and `rare_score`: the sum over the grams of each text that were looked up."""
+
+    def summed(own: pa.Table, known: pa.Table) -> pa.Table:
+        places = _array(known["places"], np.int32)
+        lengths = _array(known["lengths"], np.float64)
+        by_place = np.zeros(len(places))
+        by_place[places] = lengths
+        texts = (_unpacked(p, np.int32, True) for p in own["places"].to_pylist())
+        sums = [by_place[p].sum() for p in texts]
+        return pa.table([own["row"], pa.array(sums, pa.float64())], schema=to_arrow_schema(kind))
+
+    kind = StructType.fromDDL("row bigint, rare_score double")
+    return (
+        texts.select("chunk", "row", "places")
+        .groupBy("chunk")
+        .cogroup(found.groupBy("chunk"))
+        .applyInArrow(summed, kind)
+    )
+
+
 def _word_counts(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Counts of words; the end of a text is the empty word."""
     held: Counter[bytes] = Counter()
@@ -239,16 +396,42 @@ def _word_counts(rows: Iterator[tuple]) -> Iterator[tuple]:
     yield from held.items()
 
 
+class Chunk:
+    """Distinct grams of texts that are looked up together, numbered as they come."""
+
+    def __init__(self, key: int):
+        self.key, self.symbols = key, 0
+        self.grams, self.numbers = np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def places(self, grams: np.ndarray) -> np.ndarray:
+        """Numbers of distinct, sorted grams."""
+        out = np.full(len(grams), -1, np.int32)
+        if len(self.grams):
+            at, hit = _find(self.grams, grams)
+            out[hit] = self.numbers[at[hit]]
+        new = out < 0
+        out[new] = np.arange(len(self.grams), len(self.grams) + new.sum(), dtype=np.int32)
+        at = np.searchsorted(self.grams, grams[new])
+        self.grams = np.insert(self.grams, at, grams[new])
+        self.numbers = np.insert(self.numbers, at, out[new])
+        return out
+
+
 class Scores:
-    """Scores of a text; words that are not frequent leave with the row, to be joined."""
+    """Rows of texts, with their score as far as frequent words and grams go, and rows of
+    the grams that are looked up for a chunk of them. Words that are not frequent leave
+    with the row, to be joined."""
 
-    def __init__(self, levels, frequent):
-        self.levels, self.frequent = levels, frequent
+    def __init__(self, often, frequent, order: int, buckets: int):
+        self.often, self.frequent, self.order, self.buckets = often, frequent, order, buckets
+        # Workers do not see what the driver sets.
+        self.wanted, self.wanted_symbols = WANTED, WANTED_SYMBOLS
+        self.together = TOGETHER
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        trie, frequent = _trie(self.levels.value), self.frequent.value
+        often, frequent = _often(self.often.value), self.frequent.value
         part, number = TaskContext.get().partitionId(), 0
-        held, bodies, size = [], [], 0
+        held, bodies, size, chunk = [], [], 0, None
         for doc_id, held_out, raw in rows:
             body = (raw or b"").lower()
             row = part << 33 | number
@@ -256,16 +439,41 @@ class Scores:
             held.append((row, doc_id, held_out, *self.base(body, frequent)))
             bodies.append(body)
             size += len(body)
-            if size > TOGETHER:
-                yield from self.scored(trie, held, bodies)
+            if size > self.together:
+                chunk = chunk or Chunk(held[0][0])
+                yield from self.scored(often, chunk, held, bodies)
                 held, bodies, size = [], [], 0
+                if len(chunk.grams) > self.wanted or chunk.symbols > self.wanted_symbols:
+                    yield from self.asked(chunk)
+                    chunk = None
         if held:
-            yield from self.scored(trie, held, bodies)
-
-    @staticmethod
-    def scored(trie: Trie, held: list[tuple], bodies: list[bytes]) -> Iterator[tuple]:
-        for row, score in zip(held, trie.scores(bodies).tolist(), strict=True):
-            yield *row, score
+            chunk = chunk or Chunk(held[0][0])
+            yield from self.scored(often, chunk, held, bodies)
+        if chunk:
+            yield from self.asked(chunk)
+
+    def scored(
+        self, often: tuple, chunk: Chunk, held: list[tuple], bodies: list[bytes]
+    ) -> Iterator[tuple]:
+        grams = [codes(body, self.order) for body in bodies]
+        ends = np.cumsum([len(g) for g in grams])
+        distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
+        lengths, known = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
+        if len(often[0]):
+            at, known = _find(often[0], distinct)
+            lengths[known] = often[1][at[known]]
+        places = np.full(len(distinct), -1, np.int32)
+        places[~known] = chunk.places(distinct[~known])
+        chunk.symbols += len(place)
+        scores = np.add.reduceat(lengths[place], np.concatenate(([0], ends[:-1])))
+        own = np.split(places[place], ends[:-1])
+        for row, score, p in zip(held, scores.tolist(), own, strict=True):
+            yield *row, score, chunk.key, _packed(np.sort(p[p >= 0]), True), None, None
+
+    def asked(self, chunk: Chunk) -> Iterator[tuple]:
+        for bucket, at in _dealt(chunk.grams, self.order, self.buckets):
+            places, grams = _packed(chunk.numbers[at]), _packed(chunk.grams[at], True)
+            yield *[None] * 8, chunk.key, places, bucket, grams
 
     def base(self, body: bytes, frequent: dict[bytes, float]) -> tuple:
         """Tokens, those among them that are frequent, their log10 probability, others."""
@@ -282,6 +490,11 @@ class Scores:
         return sum(tokens.values()), known, base, rest
 
 
+@lru_cache(maxsize=1)
+def _often(grams: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return pickle.loads(grams)
+
+
 def log_probabilities(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -300,9 +513,11 @@ def log_probabilities(
     nothing to learn from, bytes are even and counts are 0. A null id counts as the empty
     text in `crc32`. Repeated rows each give a row; other columns are not read.
 
-    All grams and words of the corpus are counted by Spark. The nodes of the trie and
-    the frequent words, both bounded in number by their share of the corpus, go to every
-    task; the other words of each text are joined with the counts of all words.
+    All grams and words of the corpus are counted by Spark, and all are kept. Frequent
+    ones, and the levels of contexts of fewer than `SHARED` bytes, go to every task. The
+    other words of each text are joined with the counts of all words, and the other
+    distinct grams of a chunk of texts with the grams of their bucket, which has all
+    contexts that they escape to.
     """
     spark = docs.sparkSession
     remainder = crc_remainder(id_col, modulus)
@@ -312,7 +527,17 @@ def log_probabilities(
         F.col(text_col).cast("binary").alias("raw"),
     )
     training = source.where(~F.col("held_out")).select("raw")
-    levels = levels_of(training, order)
+    # A stated number: each bucket of grams is held by one task, one after the other.
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grams = _counted(training, order, buckets)
+    symbols = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = per_row(
+        grams.select("grams", "ns"),
+        "gram bigint, length double",
+        Frequent(symbols / GRAM_SHARE),
+        step=1,
+    )
+    often = often.sort("gram").toPandas()
     counts = staged(
         per_row(training, "word binary, n bigint", _word_counts)
         .groupBy("word")
@@ -324,18 +549,26 @@ def log_probabilities(
     send = spark.sparkContext.broadcast
     scale = math.log10(total + 0.5 * (distinct + 1))
     scores = Scores(
-        send(pickle.dumps(levels)),
+        send(pickle.dumps((often["gram"].to_numpy("int64"), often["length"].to_numpy()))),
         send({bytes(r["word"]): math.log10(r["c"] + 0.5) - scale for r in frequent}),
+        order,
+        buckets,
     )
-    rows = staged(
+    both = staged(
         per_row(
             source,
             "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, "
-            "base double, rest array<struct<word: binary, n: bigint>>, score double",
+            "base double, rest array<struct<word: binary, n: bigint>>, score double, "
+            "chunk bigint, places binary, bucket bigint, grams binary",
             scores,
         ),
         "scores",
     )
+    rows = both.where(F.col("bucket").isNull())
+    base = send(pickle.dumps(_base(grams, order)))
+    found = _looked_up(grams, both.where(F.col("bucket").isNotNull()), base, order)
+    sums = _sums(rows, found)
+    rows = rows.drop("chunk", "places", "bucket", "grams")
     rare = (
         rows.select("row", F.explode("rest").alias("own"))
         .select("row", "own.word", "own.n")
@@ -348,12 +581,13 @@ def log_probabilities(
             ),
         )
     )
-    return rows.drop("rest").join(rare, "row", "left").select(
+    joined = rows.drop("rest").join(rare, "row", "left").join(sums, "row", "left")
+    return joined.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
     )
