@@ -127,3 +127,13 @@ def test_the_shortest_passage(table, n):
     found = repeated_passages(table({1: "a " + shared + " b", 2: "c " + shared + " d"})).collect()
     # 49 words beside one that differs are 45 of 47 shingles, 40 words 36 of 56.
     assert [(r.doc_id, r.start_word, r.n_words) for r in found] == ([(2, 1, n)] if n > 40 else [])
+
+
+def test_a_hot_passage_twice_in_one_text(table, monkeypatch):
+    """Both places are found, whatever blocks the members come to."""
+    monkeypatch.setattr(passages, "BLOCK", 2)
+    hot = prose(77, 130)
+    texts = {i: prose(i, 40) + " " + hot + " " + prose(900 + i, 60) for i in range(20)}
+    texts |= {i: f"{texts[i]} {hot} {prose(800 + i, 30)}" for i in range(1, 20)}
+    found = repeated_passages(table(texts)).collect()
+    assert covered(found, texts) == repeats(texts)

@@ -170,7 +170,8 @@ class Sketch(Passages):
 
 class Contexts(Passages):
     """For each wanted centre of a text: the shingles around it, as far as a passage of
-    the least width with this centre can reach within its compact window."""
+    the least width with this centre can reach within its compact window. Equal ones of a
+    text are one row with all their centres."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, raw, wanted in rows:
@@ -184,24 +185,34 @@ class Contexts(Passages):
                     keys.tolist(), left.tolist(), centre.tolist(), right.tolist(), strict=True
                 ):
                     bounds[key, c] = a, b
-            for own in wanted:
+            places: dict[tuple, list[int]] = {}
+            for own in sorted(wanted, key=lambda own: own["centre"]):
                 c = own["centre"]
                 if (own["bucket"], c) not in bounds:  # another text with the same id
                     continue
                 a, b = bounds[own["bucket"], c]
                 a, b = max(a, c - self.width + 1), min(b, c + self.width - 1)
-                yield own["bucket"], doc_id, c, c - a, short[a : b + 1].tobytes()
+                key = own["bucket"], c - a, short[a : b + 1].tobytes()
+                places.setdefault(key, []).append(c)
+            for (bucket, before, context), centres in places.items():
+                yield bucket, doc_id, centres, before, context
 
 
 class Member:
-    """A centre with its context."""
+    """A centre with its context, and all places of the document where this stands."""
 
-    def __init__(self, doc_id: int, centre: int, before: int, context: bytes):
-        self.doc_id, self.centre, self.before = doc_id, centre, before
+    def __init__(self, doc_id: int, centres: list[int], before: int, context: bytes):
+        self.doc_id, self.centres, self.before = doc_id, centres, before
+        self.centre = centres[0]
         self.context = context
         self.shingles = np.frombuffer(context, np.uint32)
         self._variety: np.ndarray | None = None
 
+    def everywhere(self, span: tuple[int, int]) -> Iterator[tuple[int, int]]:
+        """The span at each place."""
+        for c in self.centres:
+            yield span[0] + c - self.centre, span[1] + c - self.centre
+
     @cached_property
     def distinct(self) -> frozenset[int]:
         return frozenset(self.shingles.tolist())
@@ -345,7 +356,7 @@ class Compare(Passages):
 
 
 def _members(rows: list[dict]) -> list[Member]:
-    found = [Member(m["doc_id"], m["centre"], m["before"], m["context"]) for m in rows]
+    found = [Member(m["doc_id"], m["centres"], m["before"], m["context"]) for m in rows]
     return sorted(found, key=lambda m: (m.doc_id, m.centre))
 
 
@@ -364,17 +375,16 @@ class Leaders(Compare):
                 for j in np.flatnonzero(worth[i, :i] & leads[:i]).tolist():
                     y = members[j]
                     if x.doc_id == y.doc_id:
-                        if x.before == y.before and x.context == y.context:
-                            leads[i] = False
                         continue
                     span = self.match(x, y)
                     if span:
                         leads[i] = False
-                        yield bucket, x.doc_id, x.centre, None, None, *span, y.doc_id
+                        for first, last in x.everywhere(span):
+                            yield bucket, x.doc_id, None, None, None, first, last, y.doc_id
                         break
             for i in np.flatnonzero(leads).tolist():
                 y = members[i]
-                yield bucket, y.doc_id, y.centre, y.before, y.context, None, None, None
+                yield bucket, y.doc_id, y.centres, y.before, y.context, None, None, None
 
 
 class Rest(Compare):
@@ -390,7 +400,8 @@ class Rest(Compare):
                 if x.doc_id != y.doc_id:
                     span = self.match(x, y)
                     if span:
-                        yield x.doc_id, *span, y.doc_id
+                        for first, last in x.everywhere(span):
+                            yield x.doc_id, first, last, y.doc_id
 
 
 class Merge:
@@ -420,12 +431,12 @@ class Merge:
 def _blocks(members: DataFrame, sizes: DataFrame, turn: int) -> DataFrame:
     """Members of a bucket in random blocks of bounded size, each as one row."""
     salted = members.join(sizes, "bucket").withColumn(
-        "block", F.expr(f"pmod(xxhash64(doc_id, centre, {turn}), cast(ceil(n / {BLOCK}) as int))")
+        "block", F.expr(f"pmod(xxhash64(doc_id, centres, {turn}), cast(ceil(n / {BLOCK}) as int))")
     )
     # A stated number: the work is in comparing, which few bytes can be much of.
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = salted.repartition(tasks, "bucket", "block")
-    member = F.struct("doc_id", "centre", "before", "context")
+    member = F.struct("doc_id", "centres", "before", "context")
     return salted.groupBy("bucket", "block").agg(F.collect_list(member).alias("members"))
 
 
@@ -516,7 +527,7 @@ def repeated_passages(
     members = staged(
         per_row(
             perhaps_in(source, "doc_id", by_doc).join(by_doc, "doc_id"),
-            "bucket bigint, doc_id bigint, centre int, before int, context binary",
+            "bucket bigint, doc_id bigint, centres array<int>, before int, context binary",
             Contexts(*settings),
             step=32,
         ),
@@ -548,9 +559,9 @@ def _met(rows: DataFrame, by: list[str]) -> DataFrame:
 
 def _spans(members: DataFrame, settings: tuple) -> DataFrame:
     """`doc_id`, `first`, `last` (shingles) and `other` of all copies found."""
-    columns = ["bucket", "doc_id", "centre", "before", "context"]
+    columns = ["bucket", "doc_id", "centres", "before", "context"]
     schema = (
-        "bucket bigint, doc_id bigint, centre int, before int, context binary, "
+        "bucket bigint, doc_id bigint, centres array<int>, before int, context binary, "
         "first int, last int, other bigint"
     )
     spans, before, turn = None, None, 0
