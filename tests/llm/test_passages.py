@@ -137,3 +137,15 @@ def test_a_hot_passage_twice_in_one_text(table, monkeypatch):
     texts |= {i: f"{texts[i]} {hot} {prose(800 + i, 30)}" for i in range(1, 20)}
     found = repeated_passages(table(texts)).collect()
     assert covered(found, texts) == repeats(texts)
+
+
+def test_similar_to_two_that_are_not_similar(table):
+    """The passage that meets a similar one first is still compared with the others."""
+    w = prose(31, 60).split()
+    first, third = [*w], [*w]
+    first[20], third[40] = "one", "three"
+    texts = {1: " ".join(first), 2: " ".join(w), 3: " ".join(third)}
+    texts = {i: f"{prose(i, 40)} {t} {prose(60 + i, 40)}" for i, t in texts.items()}
+    found = {r.doc_id: r for r in repeated_passages(table(texts)).collect()}
+    assert 2 in found[3].match_ids
+    assert found[3].n_words >= 50

@@ -360,28 +360,44 @@ def _members(rows: list[dict]) -> list[Member]:
     return sorted(found, key=lambda m: (m.doc_id, m.centre))
 
 
+class Found:
+    """Spans of members, each with the documents that have it."""
+
+    def __init__(self):
+        self.spans: dict[tuple[int, int, int], set[int]] = {}
+
+    def add(self, x: Member, span: tuple[int, int], other: int) -> None:
+        for first, last in x.everywhere(span):
+            self.spans.setdefault((x.doc_id, first, last), set()).add(other)
+
+    def rows(self) -> Iterator[tuple]:
+        for key, others in self.spans.items():
+            yield *key, sorted(others)
+
+
 class Leaders(Compare):
-    """Within a block of a bucket, in order: a member that is similar to a leader of
-    another document is a copy and leaves as a span. Any other member becomes a leader,
-    and goes on to the next round."""
+    """Within a block of a bucket, in order: every member is compared with all leaders of
+    earlier documents. One with the same context as a leader leaves; any other becomes a
+    leader, as similar ones may be similar to different members, and goes on to the next
+    round."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for bucket, block in rows:
-            members = _members(block)
+            members, found = _members(block), Found()
             worth = self.worth(members)
-            leads = np.zeros(len(members), bool)
+            leads = np.ones(len(members), bool)
             for i, x in enumerate(members):
-                leads[i] = True
                 for j in np.flatnonzero(worth[i, :i] & leads[:i]).tolist():
                     y = members[j]
                     if x.doc_id == y.doc_id:
                         continue
                     span = self.match(x, y)
                     if span:
-                        leads[i] = False
-                        for first, last in x.everywhere(span):
-                            yield bucket, x.doc_id, None, None, None, first, last, y.doc_id
-                        break
+                        found.add(x, span, y.doc_id)
+                        if x.before == y.before and x.context == y.context:
+                            leads[i] = False
+            for doc_id, first, last, others in found.rows():
+                yield bucket, doc_id, None, None, None, first, last, others
             for i in np.flatnonzero(leads).tolist():
                 y = members[i]
                 yield bucket, y.doc_id, y.centres, y.before, y.context, None, None, None
@@ -392,7 +408,7 @@ class Rest(Compare):
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for left, right in rows:
-            sides = [_members(left), _members(right)]
+            sides, found = [_members(left), _members(right)], Found()
             worth = self.worth(sides[0] + sides[1])[: len(left), len(left) :]
             for i, j in zip(*np.nonzero(worth), strict=True):
                 p, q = sides[0][i], sides[1][j]
@@ -400,8 +416,8 @@ class Rest(Compare):
                 if x.doc_id != y.doc_id:
                     span = self.match(x, y)
                     if span:
-                        for first, last in x.everywhere(span):
-                            yield x.doc_id, first, last, y.doc_id
+                        found.add(x, span, y.doc_id)
+            yield from found.rows()
 
 
 class Merge:
@@ -416,11 +432,11 @@ class Merge:
             for s in sorted(spans, key=lambda s: (s["first"], s["last"])):
                 if start is not None and s["first"] <= end + self.shingle:
                     end = max(end, s["last"])
-                    others.add(s["other"])
+                    others.update(s["others"])
                     continue
                 if start is not None:
                     yield self._row(doc_id, start, end, others)
-                start, end, others = s["first"], s["last"], {s["other"]}
+                start, end, others = s["first"], s["last"], set(s["others"])
             if start is not None:
                 yield self._row(doc_id, start, end, others)
 
@@ -469,7 +485,7 @@ def repeated_passages(
        centre, before, around or after it, agrees as well. Passages without a
        difference have such a run for every function, similar ones for most.
     3. Around their centres the texts are compared. Buckets are worked off in blocks of
-       bounded size, in rounds: copies of another member leave, the rest is dealt anew.
+       bounded size, in rounds: members with another's context leave, the rest is dealt anew.
        When a round no longer shrinks a bucket, its blocks are compared in pairs.
     """
     settings = (min_words, shingle, percent, hashes)
@@ -536,7 +552,7 @@ def repeated_passages(
     spans = _spans(members, settings)
     merged = per_row(
         spans.groupBy("doc_id").agg(
-            F.collect_list(F.struct("first", "last", "other")).alias("spans")
+            F.collect_list(F.struct("first", "last", "others")).alias("spans")
         ),
         "doc_id bigint, start_word int, n_words int, match_id bigint, match_ids array<bigint>",
         Merge(shingle),
@@ -558,22 +574,22 @@ def _met(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _spans(members: DataFrame, settings: tuple) -> DataFrame:
-    """`doc_id`, `first`, `last` (shingles) and `other` of all copies found."""
+    """`doc_id`, `first`, `last` (shingles) and `others` of all copies found."""
     columns = ["bucket", "doc_id", "centres", "before", "context"]
     schema = (
         "bucket bigint, doc_id bigint, centres array<int>, before int, context binary, "
-        "first int, last int, other bigint"
+        "first int, last int, others array<bigint>"
     )
     spans, before, turn = None, None, 0
     while True:
         sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
         blocks = _blocks(members, sizes, turn).select("bucket", "members")
         result = staged(per_row(blocks, schema, Leaders(*settings), step=8), "leaders")
-        found = result.where("other is not null").select("doc_id", "first", "last", "other")
+        found = result.where("others is not null").select("doc_id", "first", "last", "others")
         spans = found if spans is None else spans.unionByName(found)
         # Only in buckets of several blocks are there members that have not met.
         large = sizes.where(F.col("n") > BLOCK).select("bucket")
-        left = result.where("other is null").select(*columns)
+        left = result.where("others is null").select(*columns)
         members = staged(left.join(large, "bucket", "left_semi"), "left")
         count, turn = members.count(), turn + 1
         if not count:
@@ -590,7 +606,7 @@ def _spans(members: DataFrame, settings: tuple) -> DataFrame:
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = pairs.repartition(tasks, "bucket", "block", "other")
     rest = per_row(
-        pairs.select("members", "others"), "doc_id bigint, first int, last int, other bigint", Rest(*settings), step=2
+        pairs.select("members", "others"), "doc_id bigint, first int, last int, others array<bigint>", Rest(*settings), step=2
     )
     return spans.unionByName(rest)
 
