@@ -149,3 +149,18 @@ def test_similar_to_two_that_are_not_similar(table):
     found = {r.doc_id: r for r in repeated_passages(table(texts)).collect()}
     assert 2 in found[3].match_ids
     assert found[3].n_words >= 50
+
+
+@pytest.mark.parametrize("n", [50, 55, 60])
+def test_one_change_in_the_middle(table, n):
+    """All are found; up to what stands alone at the ends, all of a passage is."""
+    texts, near = {}, []
+    for k in range(120):
+        w = prose(5000 + k, n).split()
+        texts[2 * k] = f"{prose(k, 20)} {' '.join(w)} {prose(300 + k, 20)}"
+        w[n // 2 - 5 * (k % 2)] = "changed"
+        texts[2 * k + 1] = f"{prose(600 + k, 20)} {' '.join(w)} {prose(900 + k, 20)}"
+        near.append(2 * k + 1)
+    found = covered(repeated_passages(table(texts)).collect(), texts)
+    assert all(sum(found[i][20 : 20 + n]) >= n - 1 for i in near)
+    assert all(not any(found[i]) for i in texts if i not in near)
