@@ -72,3 +72,14 @@ def test_generated_pages_equal_their_articles(spark):
 def test_broken_pages(html):
     page = Page(html)
     page.best(page.scores())
+
+
+def test_a_host_may_have_many_templates(spark):
+    """The sixth template and later ones have votes too."""
+    frame = "<body><div class=menu>m</div><div class='main-{0}'>{1}</div><div class=right>{2}</div>"
+    names = "abcdefgh"
+    pages = [
+        frame.format(k, BODY * 3, "<p>x</p>") for n, k in enumerate(names) for _ in range(20 - n)
+    ]
+    pages += [frame.format(k, "<p>Short.</p>", "<p>" + "A long list. " * 20) for k in names]
+    assert text_of(spark, *pages)[-len(names) :] == ["Short."] * len(names)

@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearling.llm.text import per_row
@@ -313,6 +314,29 @@ def _votes(rows: Iterator[tuple]) -> Iterator[tuple]:
         yield h, path, share, first
 
 
+def _key(present: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(present)) - (1 << 63)
+
+
+def _present(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Paths of the pages, once for pages of a host that have the same ones."""
+    seen: set[tuple[str, int]] = set()
+    for host, html in rows:
+        present = sorted(set(Page(html or "").paths))
+        key = _key(present)
+        if (host, key) not in seen:
+            if len(seen) > 100_000:
+                seen.clear()
+            seen.add((host, key))
+            for path in present:
+                yield host, key, path
+
+
+def _keyed(rows: Iterator[tuple]) -> Iterator[tuple]:
+    for page_id, url, html, host in rows:
+        yield page_id, url, html, host, _key(sorted(set(Page(html or "").paths)))
+
+
 def _extract(rows: Iterator[tuple]) -> Iterator[tuple]:
     for page_id, url, html, paths in rows:
         page = Page(html or "")
@@ -337,7 +361,6 @@ def main_text(
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
-    winners: int = 5,
 ) -> DataFrame:
     """The main text of every page: `page_id`, `url`, `text`, `n_chars` (code points).
 
@@ -351,8 +374,8 @@ def main_text(
 
     Null and empty pages give an empty text; pages without a host form one. Repeated
     rows each give a row; other columns are not read. Votes are summed within each task
-    and by Spark, so a host with many pages weighs no more than others; the winners,
-    one row for each host, are joined with the pages.
+    and by Spark, so a host with many pages weighs no more than others; every path that
+    some page voted first is joined with the pages' own paths.
     """
     host = F.coalesce(F.regexp_extract(url_col, r"^\s*[a-zA-Z][\w+.-]*://([^/?#]*)", 1), F.lit(""))
     source = pages.select(
@@ -370,17 +393,21 @@ def main_text(
         .groupBy("host", "path")
         .agg(F.sum("first").alias("first"), F.round(F.sum("share"), 6).alias("share"))
     )
+    present = per_row(
+        source.select("host", "html"), "host string, key bigint, path string", _present
+    ).distinct()
     # First by pages whose best container it is, then by votes in all.
-    order = Window.partitionBy("host").orderBy(F.desc("first"), F.desc("share"), "path")
-    ranked = votes.withColumn("place", F.row_number().over(order))
     chosen = staged(
-        ranked.where((F.col("place") <= winners) & (F.col("first") > 0))
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "path"))).alias("ranked"))
-        .select("host", F.col("ranked.path").alias("paths")),
+        present.join(votes.where("first > 0"), ["host", "path"])
+        .groupBy("host", "key")
+        .agg(F.sort_array(F.collect_list(F.expr("struct(-first, -share, path)"))).alias("ranked"))
+        .select("host", "key", F.col("ranked.path").alias("paths")),
         "paths",
     )
-    joined = source.join(chosen, "host", "left").select("page_id", "url", "html", "paths")
+    keyed = per_row(
+        source, "page_id bigint, url string, html string, host string, key bigint", _keyed, step=64
+    )
+    joined = keyed.join(chosen, ["host", "key"], "left").select("page_id", "url", "html", "paths")
     return per_row(
         joined, "page_id bigint, url string, text string, n_chars bigint", _extract, step=64
     )
