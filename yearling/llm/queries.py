@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from yearling.llm.conversations import (
+    digests_of_ends,
+    prefix_trie,
+    sequences,
+    with_shared_starts,
+)
 from yearling.llm.exact_dedup import exact_groups
 from yearling.llm.language import languages
+from yearling.llm.lexical import ranked
 from yearling.llm.licences import CONTAINED, NOTICES, SHINGLE, licence_matches
 from yearling.llm.near_dedup import near_groups
 from yearling.llm.packing import pack
@@ -16,6 +24,7 @@ from yearling.llm.passages import repeated_passages
 from yearling.llm.ppm import log_probabilities
 from yearling.llm.quality import ledger, verdict
 from yearling.llm.tokens import token_digests
+from yearling.llm.vectors import linked_vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +82,38 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie(with_shared_starts(sequences(table(spark, sf_dir, "conversations"))))
+    several = trie.nodes.where("n_ends > 1").join(
+        digests_of_ends(
+            trie.ends.join(
+                trie.nodes.where("n_ends > 1").select("node"), "node", "left_semi"
+            )
+        ),
+        "node",
+    )
+    alone = F.when(F.col("n_ends") == 1, F.col("end_first").cast("string")).otherwise("")
+    others = trie.nodes.where("n_ends <= 1").withColumn("ids_sha256", F.sha2(alone, 256))
+    return others.unionByName(several).select(
+        F.col("first").alias("conv_id"),
+        "depth",
+        F.col("parent_first").alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.col("ids_sha256").alias("ends_sha256"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -84,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 _LOWER = (
@@ -213,5 +257,113 @@ r AS (
 c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
 SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
 FROM c LEFT JOIN n USING (doc_id)
+""",
+    "op11_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL
+),
+o AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST,
+    sha256(strlen(role) || ':' || role || text)) AS turns FROM t GROUP BY conv_id
+),
+h AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+      lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)),
+    4294967295::BIGINT) % 6 AS h
+  FROM o
+),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(list_slice(o.turns, 1, h), []),
+    list_slice(h.turns, h + 1, len(h.turns))) AS turns
+  FROM h LEFT JOIN o ON o.conv_id = h.conv_id - h.conv_id % 100
+),
+p AS (
+  SELECT conv_id, d, CASE WHEN d = 0 THEN [] ELSE list_slice(turns, 1, d) END AS prefix,
+    len(turns) = d AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)
+),
+n AS (
+  SELECT prefix, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), ''))
+      AS ends_sha256
+  FROM p GROUP BY prefix, d
+),
+e AS (
+  SELECT *, unnest(range(0, depth + 1)) AS up,
+    CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(prefix[depth].text) END AS saves
+  FROM n
+),
+s AS (
+  SELECT CASE WHEN up = 0 THEN [] ELSE list_slice(prefix, 1, up) END AS prefix, up AS depth,
+    sum(saves) AS saved, count(*) FILTER (depth = up + 1) AS n_children,
+    max(depth) AS deepest FROM e GROUP BY 1, 2
+),
+leaf AS (
+  SELECT CASE WHEN up = 0 THEN [] ELSE list_slice(e.prefix, 1, up) END AS prefix, up AS depth,
+    count(*) AS n_leaves
+  FROM e JOIN s ON s.prefix = e.prefix AND s.depth = e.depth WHERE s.n_children = 0 GROUP BY 1, 2
+)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, s.n_children, leaf.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.prefix = n.prefix AND s.depth = n.depth
+JOIN leaf ON leaf.prefix = n.prefix AND leaf.depth = n.depth
+LEFT JOIN n q ON n.depth > 0 AND q.depth = n.depth - 1
+  AND q.prefix = CASE WHEN n.depth = 1 THEN [] ELSE list_slice(n.prefix, 1, n.depth - 1) END
+""",
+    "op12_ranked_search": rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+),
+h AS (SELECT row_number() OVER () AS r, doc_id, t FROM d WHERE len(t) > 0),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM h),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM h) GROUP BY r, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, c GROUP BY term, n_docs
+),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+s AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) //
+    (1000 * tf + 8 * (10 + (90 * len(t) * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM i JOIN w USING (term) JOIN p USING (term) JOIN h USING (r), c
+  GROUP BY item_id, doc_id, r
+),
+k AS (
+  SELECT item_id, CAST(row_number() OVER (
+    PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+""",
+    "op13_embedding_dedup": """
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+g AS (
+  SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+l AS (
+  SELECT a.r, b.r AS other FROM g a JOIN g b
+    ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+),
+n AS (SELECT r, count(*) AS n_links FROM l GROUP BY r),
+c AS (
+  SELECT r, r AS other FROM e
+  UNION
+  SELECT c.r, l.other FROM c JOIN l ON l.r = c.other
+),
+m AS (SELECT c.r, min(o.vec_id) AS component_id FROM c JOIN e o ON o.r = c.other GROUP BY c.r)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id,
+  e.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN m USING (r) LEFT JOIN n USING (r)
 """,
 }
