@@ -299,6 +299,20 @@ BACKFILL = f"""{COUNTY},
     found as (select * from county),
     checked as ({_CHECKED})"""
 
+# The main documents of 1997, 1999 and 2000 cannot be read.
+_UNREADABLE = {
+    1997: "not JSON rows of cells",
+    1999: "no cell B01001_003E",
+    2000: "no header row",
+}
+BROKEN = f"""{COUNTY},
+    found as (select * from county where year not in (1997, 1999, 2000)),
+    counted as ({_CHECKED}),
+    checked as (
+      select * from counted where check_name <> 'row_count'
+      {' '.join(
+          f"union all select {y}, 'source main of ST: {p}', 1" for y, p in _UNREADABLE.items())})"""
+
 # --- calendar ------------------------------------------------------------------
 
 _MOVING = [
@@ -335,6 +349,92 @@ HOLIDAYS = f"""
     holidays as (
       select * from all_holidays where year(holiday_date) in (select y from used_years))"""
 
+
+
+def _on(month: int, day: int) -> str:
+    return f"month(d) = {month} and day(d) = {day}"
+
+
+def _after_easter(days: int) -> str:
+    return f"d = easter + {days}"
+
+
+_EVERYWHERE_OFF = {
+    "AT": [
+        ("Neujahr", _on(1, 1)),
+        ("Heilige Drei Könige", _on(1, 6)),
+        ("Staatsfeiertag", _on(5, 1)),
+        ("Mariä Himmelfahrt", _on(8, 15)),
+        ("Nationalfeiertag", _on(10, 26)),
+        ("Allerheiligen", _on(11, 1)),
+        ("Mariä Empfängnis", _on(12, 8)),
+        ("Christtag", _on(12, 25)),
+        ("Stefanitag", _on(12, 26)),
+        ("Ostermontag", _after_easter(1)),
+        ("Christi Himmelfahrt", _after_easter(39)),
+        ("Pfingstmontag", _after_easter(50)),
+        ("Fronleichnam", _after_easter(60)),
+    ],
+    "DE": [
+        ("Neujahr", _on(1, 1)),
+        ("Erster Mai", _on(5, 1)),
+        ("Tag der Deutschen Einheit", _on(10, 3)),
+        ("Erster Weihnachtstag", _on(12, 25)),
+        ("Zweiter Weihnachtstag", _on(12, 26)),
+        ("Karfreitag", _after_easter(-2)),
+        ("Ostermontag", _after_easter(1)),
+        ("Christi Himmelfahrt", _after_easter(39)),
+        ("Pfingstmontag", _after_easter(50)),
+    ],
+    "FR": [
+        ("Jour de l''an", _on(1, 1)),
+        ("Fête du Travail", _on(5, 1)),
+        ("Fête de la Victoire", _on(5, 8)),
+        ("Fête nationale", _on(7, 14)),
+        ("Assomption", _on(8, 15)),
+        ("Toussaint", _on(11, 1)),
+        ("Armistice", _on(11, 11)),
+        ("Noël", _on(12, 25)),
+        ("Lundi de Pâques", _after_easter(1)),
+        ("Ascension", _after_easter(39)),
+        ("Lundi de Pentecôte", f"{_after_easter(50)} and year(d) not in (2005, 2006, 2007)"),
+    ],
+    "GB": [
+        ("New Year''s Day", _on(1, 1)),
+        ("New Year''s Day (in lieu)", "month(d) = 1 and day(d) in (2, 3) and isodow(d) = 1"),
+        ("Good Friday", _after_easter(-2)),
+        ("Easter Monday", _after_easter(1)),
+        ("Early May Bank Holiday",
+         "month(d) = 5 and case year(d) when 1995 then day(d) = 8 else isodow(d) = 1 and day(d) <= 7 end"),
+        ("Spring Bank Holiday",
+         "isodow(d) = 1 and month(d) = 5 and day(d) >= 25 and year(d) not in (2002, 2012) "
+         "or d in (date '2002-06-04', date '2012-06-04')"),
+        ("Summer Bank Holiday", "isodow(d) = 1 and month(d) = 8 and day(d) >= 25"),
+        ("Christmas Day", _on(12, 25)),
+        ("Christmas Day (in lieu)", f"{_on(12, 27)} and isodow(d) <= 2"),
+        ("Boxing Day", _on(12, 26)),
+        ("Boxing Day (in lieu)", f"{_on(12, 28)} and isodow(d) <= 2"),
+        ("Millennium Celebrations", "d = date '1999-12-31'"),
+        ("Golden Jubilee", "d = date '2002-06-03'"),
+        ("Royal Wedding", "d = date '2011-04-29'"),
+        ("Diamond Jubilee", "d = date '2012-06-05'"),
+    ],
+}
+# Easter after Gauss, for 1900 to 2099.
+EASTER = """
+    span as (select year(min(o_orderdate)) as y0 from orders),
+    days as (
+      select cast(unnest(generate_series(make_date(y0, 1, 1), make_date(y0 + 19, 12, 31),
+                                         interval 1 day)) as date) as d from span),
+    gauss as (
+      select y, a, d1, (2 * (y % 4) + 4 * (y % 7) + 6 * d1 + 5) % 7 as e1
+      from (select y, y % 19 as a, (19 * (y % 19) + 24) % 30 as d1
+            from (select distinct year(d) as y from days))),
+    dated as (
+      select d, make_date(y, 3, 22) + cast(d1 + e1
+        - case when e1 = 6 and (d1 = 29 or d1 = 28 and a > 10) then 7 else 0 end as integer) as easter
+      from days join gauss on y = year(d))"""
+
 # --- loading -------------------------------------------------------------------
 
 SHIPPED = """
@@ -476,6 +576,15 @@ ORACLE: dict[str, str] = {
                cast(count(*) filter (where feature_year = t.test_year) as bigint) as test_rows
         from complete join (select cast(unnest([1997, 1998, 1999]) as integer) as test_year) t
              on feature_year <= t.test_year group by 1, 2""",
+    "daily_folds": """
+        with daily as (select cast(o_orderdate as date) as test_day, count(*) as n from orders group by 1)
+        select * from (
+          select test_day, cast(sum(n) over w as bigint) as training_rows,
+                 cast(n as bigint) as test_rows, min(test_day) over w as first_training_day,
+                 max(test_day) over w as last_training_day
+          from daily
+          window w as (order by test_day rows between unbounded preceding and 1 preceding))
+        where training_rows > 0""",
     "time_split": f"""with {CUSTOMER_PANEL}, {COMPLETE}
         select location_id, feature_year,
                case when feature_year <= 1998 then 'train' else 'test' end as role
@@ -577,6 +686,14 @@ ORACLE: dict[str, str] = {
     "county_backfill": f"""with {BACKFILL}
         select * from county
         where year < (select coalesce(min(batch) filter (where violations > 0), 9999) from checked)""",
+    "county_backfill_broken": f"""with {BROKEN}
+        select * from county
+        where year < (select min(batch) filter (where violations > 0) from checked)""",
+    "dq_verdict_broken": f"""with {BROKEN}
+        select batch, cast(count(*) filter (where violations > 0) as bigint) as failed_checks,
+               coalesce(string_agg(check_name, ', ' order by check_name)
+                        filter (where violations > 0), '') as failures
+        from checked group by 1""",
     "dq_report": f"with {DQ} select *, violations = 0 as passed from checked",
     "dq_verdict": f"""with {DQ}
         select batch, cast(count(*) filter (where violations > 0) as bigint) as failed_checks,
@@ -626,6 +743,22 @@ ORACLE: dict[str, str] = {
         select * from shipped where l_linenumber is null and ship_year <= 1998
         union all
         select * from shipped where l_linenumber is null and ship_year >= 1997""",
+    "load_counts": f"""with {SHIPPED},
+        one as ({first_rows('ship_year <= 1998')}),
+        two as ({first_rows('ship_year >= 1997')}),
+        fresh as (
+          select two.ship_year from two anti join one using (ship_year, l_orderkey, l_linenumber)
+          union all
+          select ship_year from shipped where l_linenumber is null and ship_year >= 1997),
+        years as (select ship_year, cast(count(*) filter (where ship_year >= 1997) as bigint) as read
+                  from shipped group by 1)
+        select cast(ship_year as bigint) as ship_year, read, coalesce(inserted, 0) as inserted,
+               read - coalesce(inserted, 0) as skipped
+        from years left join (select ship_year, cast(count(*) as bigint) as inserted
+                              from fresh group by 1) using (ship_year)""",
+    "append_keyed": """
+        select o_orderkey, o_totalprice, cast(year(o_orderdate) as integer) as feature_year
+        from orders""",
     "append_batches": f"""
         select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as feature_year
         from orders""",
@@ -651,6 +784,26 @@ ORACLE: dict[str, str] = {
                cast(case when year(o_orderdate) = 1998 then 10 end as bigint) as training_rows,
                cast(case when year(o_orderdate) = 1998 then 20 else count(*) end as bigint) as test_rows
         from orders group by year(o_orderdate)""",
+    "stored_run_update": """
+        select cast(year(o_orderdate) as bigint) as run_id,
+               cast(case when year(o_orderdate) = 1998 then 10 end as bigint) as training_rows,
+               cast(case when year(o_orderdate) = 1998 then 20 else count(*) end as bigint) as test_rows
+        from orders group by year(o_orderdate)""",
+    "concurrent_runs": f"""with {place_panel()}, {PERSISTENCE_FOLDS}
+        select cast(run_id as bigint) as run_id, 'persistence_baseline' as model_name, test_year,
+               training_rows, test_rows, {rounded(METRICS)},
+               case when run_id = 2 then 1
+                    else cast(sum(training_rows) over (partition by run_id) as bigint) end
+                 as run_training_rows,
+               cast(1997 as integer) as test_start_year
+        from folds, (values (1), (2)) as r(run_id)""",
+    "growth_view": f"""with {place_panel(False)}
+        select location_id, county_name, population, feature_year, {PAST}, {NEXT}
+        from panel where feature_year between 1997 and 1998""",
+    "holidays_by_country": f"""with {EASTER}
+        {' union all '.join(
+            f"select '{c}' as country, d as holiday_date, '{n}' as holiday_name from dated where {on}"
+            for c, named in _EVERYWHERE_OFF.items() for n, on in named)}""",
     "holiday_table": f"""with {HOLIDAYS}
         select holiday_date, holiday_name, orders from holidays
         left join (select order_date, cast(count(*) as bigint) as orders from dated group by 1)

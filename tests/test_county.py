@@ -206,3 +206,52 @@ def test_text_in_a_summed_cell_fails(spark):
     mobility = _documents(spark, [(_mobility(), 2020, "ST")])
     with pytest.raises(Exception, match="under_18: not whole numbers"):
         county.county_records(main, mobility).collect()
+
+
+def test_a_broken_document_spoils_its_year_only(spark, tmp_path):
+    years = (2019, 2020, 2021, 2022, 2023)
+    main = [(_main(), y, "ST") for y in years]
+    main[2] = ("[[", 2021, "ST")
+    main[4] = (_main(B01001_003E="x"), 2023, "ST")
+    mobility = [(_mobility(), y, "ST") for y in years]
+    mobility[3] = (json.dumps([["NAME"], ["A"]]), 2022, "ST")
+    main, mobility = _documents(spark, main), _documents(spark, mobility)
+    sources = county.county_sources(main, mobility)
+    problems = {(r.year, r.source, r.rows): r.problem for r in sources.problems.collect()}
+    assert list(sorted(problems)) == [(2021, "main", 1), (2022, "mobility", 1), (2023, "main", 1)]
+    assert problems[2021, "main", 1] == "not JSON rows of cells"
+    assert problems[2022, "mobility", 1].startswith("no cell ")
+    assert problems[2023, "main", 1].startswith("under_18: not whole numbers: x, 10")
+    strict = county.county_records(
+        main.filter("year in (2019, 2020)"), mobility.filter("year in (2019, 2020)")
+    )
+    assert sorted(map(tuple, strict.collect())) == sorted(map(tuple, sources.records.collect()))
+
+    checks = county.check(sources.records, years, None, sources.problems)
+    failed = {(r.batch, r.check_name) for r in checks.filter("not passed").collect()}
+    assert (2021, "source main of ST: not JSON rows of cells") in failed
+
+    # The consistency of the made-up cells is no concern here.
+    sound = frame(spark, *[county_row(y) for y in (2019, 2020)])
+    create_table(
+        spark, "spoiled_years", schemas.COUNTY_YEAR, county.KEY, ["year"], str(tmp_path / "t")
+    )
+    for inserted in (1, 0):
+        with pytest.raises(county.BackfillStopped, match="2021: source main of ST") as stopped:
+            county.backfill(sound, "spoiled_years", list(years), None, sources.problems)
+        counts = [tuple(r) for r in stopped.value.loaded.orderBy("year").collect()]
+        assert counts == [(2019, 1, inserted, 1 - inserted), (2020, 1, inserted, 1 - inserted)]
+    assert sorted(r.year for r in spark.table("spoiled_years").collect()) == [2019, 2020]
+
+
+def test_a_first_year_that_is_broken_loads_nothing(spark, tmp_path):
+    main = _documents(spark, [("{", 2020, "ST"), (_main(), 2021, "ST")])
+    mobility = _documents(spark, [(_mobility(), 2020, "ST"), (_mobility(), 2021, "ST")])
+    sources = county.county_sources(main, mobility)
+    create_table(
+        spark, "broken_first", schemas.COUNTY_YEAR, county.KEY, ["year"], str(tmp_path / "t")
+    )
+    landed = county.landed_years(main, mobility)
+    with pytest.raises(county.BackfillStopped) as stopped:
+        county.backfill(sources.records, "broken_first", landed, None, sources.problems)
+    assert stopped.value.loaded is None and spark.table("broken_first").isEmpty()

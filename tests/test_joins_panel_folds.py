@@ -4,16 +4,25 @@ import pytest
 
 from yearling.functions.names import quoted
 from yearling.functions.names import text as text_literal
-from yearling.operators.folds import expanding_folds, fold_counts, fold_rows
+from yearling.operators import folds as folds_module
+from yearling.operators.folds import (
+    earlier_totals,
+    every_fold,
+    expanding_folds,
+    fold_counts,
+    fold_rows,
+)
 from yearling.operators.joins import last_per_key, lookup_join, unmatched
 from yearling.operators.panel import (
     complete_rows,
+    create_growth_view,
     known_target,
     require_columns,
     require_rows,
     time_split,
     with_growth,
 )
+from yearling.sources.tables import append, create_table
 from yearling.spec import PanelSpec
 
 SPEC = PanelSpec()
@@ -193,3 +202,103 @@ def test_quoted_names_and_texts(spark):
     df = spark.createDataFrame([(1,)], "v int").withColumnRenamed("v", odd)
     row = df.selectExpr(f"{quoted(odd)} as v", f"{text_literal(odd)} as t").first()
     assert (row.v, row.t) == (1, odd)
+
+
+def test_many_folds_equal_few(spark, monkeypatch):
+    """Ten thousand daily folds: one row each, as the repetition gives them."""
+    days = spark.range(10_000).selectExpr("int(id + id div 7) as d", "id % 5 as n", "id * 2 as m")
+    found = every_fold(days, "d", "n", carry=["m"])
+    expected, before, first, last = [], 0, None, None
+    for r in sorted(days.collect()):
+        if before and r.n:
+            expected.append((r.d, before, r.n, first, last, r.m))
+        before, first, last = before + r.n, r.d if first is None else first, r.d
+    assert sorted(map(tuple, found.collect())) == expected
+    tests = list(range(0, 400, 3))
+    rows = days.filter("d < 400 and n > 0").selectExpr("d", "explode(sequence(1, n)) as x")
+    scanned = sorted(expanding_folds(rows, "d", tests).collect())
+    monkeypatch.setattr(folds_module, "FEW", 1000)
+    repeated = expanding_folds(rows, "d", tests)
+    assert scanned == sorted(repeated.collect())
+    assert scanned[0].asDict().keys() == repeated.first().asDict().keys()
+
+
+@pytest.mark.parametrize("span", [1, 3, 1024])
+def test_earlier_totals_do_not_depend_on_the_span(spark, rows, span):
+    df = spark.createDataFrame(
+        [(3, 1, 1.5), (-9, 2, 0.5), (4, None, 2.0), (100, 5, None), (None, 9, 9.0)],
+        "`my time` int, `the n` bigint, x double",
+    )
+    found = earlier_totals(df, "my time", ["the n", "x"], span)
+    assert rows(found, "my time", "before_the n", "before_x", "first_before", "last_before") == [
+        (-9, 0, 0.0, None, None),
+        (100, 3, 4.0, -9, 4),
+        (3, 2, 0.5, -9, -9),
+        (4, 3, 2.0, -9, 3),
+    ]
+
+
+def test_daily_scan_reads_dates_and_sorts_no_day_alone(spark, plan):
+    days = spark.sql(
+        "select explode(sequence(date '2000-01-01', date '2009-12-31')) as day, 2L as n"
+    )
+    found = every_fold(days, "day", "n", fold="test_day")
+    assert found.count() == 3652
+    last = found.orderBy("test_day", ascending=False).first()
+    assert (last.training_rows, str(last.last_training_year)) == (2 * 3652, "2009-12-30")
+    # The one window over everything sees a row for each span.
+    assert "Window" in plan(found) and "cartesian" not in plan(found).lower()
+
+
+@pytest.fixture
+def growth_table(spark, tmp_path):
+    data = [(f"p{i % 5}", 2000 + i // 5, f"P{i % 5}", 50 + i * i % 31) for i in range(60) if i % 7]
+    df = spark.createDataFrame(
+        data, "location_id string, feature_year int, county_name string, population bigint"
+    )
+    create_table(
+        spark, "growth_rows", df.schema, ["location_id", "feature_year"], ["feature_year"],
+        str(tmp_path / "rows"),
+    )
+    append(df, "growth_rows")
+    create_growth_view(spark, "growth_seen", "growth_rows", SPEC)
+    yield df
+    spark.sql("DROP VIEW growth_seen")
+    spark.sql("DROP TABLE growth_rows")
+
+
+def test_growth_view_equals_the_window(spark, rows, growth_table):
+    names = ["location_id", "feature_year", "population", SPEC.past, SPEC.target]
+    seen = spark.sql("select * from growth_seen")
+    assert rows(seen, *names) == rows(with_growth(growth_table, SPEC), *names)
+    assert spark.catalog.tableExists("growth_seen")
+    # New rows are seen at once.
+    more = growth_table.limit(1).selectExpr(
+        "'new' as location_id", "feature_year", "county_name", "population"
+    )
+    append(more, "growth_rows")
+    assert spark.table("growth_seen").filter("location_id = 'new'").count() == 1
+
+
+def test_growth_view_reads_the_years_asked_for(spark, growth_table):
+    asked = spark.sql("select * from growth_seen where feature_year = 2005")
+    text = asked._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and all("= 2005" in line for line in scans)
+    assert len(asked.inputFiles()) <= 3 * spark.table("growth_rows").rdd.getNumPartitions()
+    assert {r.feature_year for r in asked.collect()} == {2005}
+
+
+def test_growth_view_of_other_names(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2000, 10), ("a", 2001, 15)], "k string, `the year` bigint, population bigint")
+    create_table(spark, "other_rows", df.schema, path=str(tmp_path / "o"))
+    append(df, "other_rows")
+    create_growth_view(
+        spark, "other_seen", "other_rows", SPEC, key="upper(k)", time="int(`the year`)"
+    )
+    found = spark.sql("select location_id, feature_year, historical_growth_1yr from other_seen")
+    assert sorted(map(tuple, found.collect()), key=str) == [("A", 2000, None), ("A", 2001, 0.5)]
+    with pytest.raises(ValueError, match="already"):
+        create_growth_view(spark, "again", "other_seen", SPEC, key="k")
+    spark.sql("DROP VIEW other_seen")
+    spark.sql("DROP TABLE other_rows")

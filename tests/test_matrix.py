@@ -2,7 +2,13 @@ import json
 
 import pytest
 
-from yearling.sources.matrix import parse_matrix, read_documents, unpack, unpack_lines
+from yearling.sources.matrix import (
+    parse_matrix,
+    read_documents,
+    unpack,
+    unpack_lines,
+    unpack_or_tell,
+)
 
 CELLS = {"name": "NAME", "v": "V"}
 
@@ -136,3 +142,49 @@ def test_names_with_quotes_and_blanks(spark):
     )
     assert found.columns == ["year", "position", "my name", "a.b"]
     assert tuple(found.first())[2:] == ("x", "1")
+
+
+def told(spark, *texts):
+    df = spark.createDataFrame(
+        [(t, 2000 + i) for i, t in enumerate(texts)], "value string, year bigint"
+    )
+    found = unpack_or_tell(df, "value", CELLS, ["year"]).collect()
+    return sorted(((r.year, r.position, r.name, r.v, r.problem) for r in found), key=str)
+
+
+def test_a_broken_document_tells_and_spares_the_others(spark):
+    sound = json.dumps([["V", "NAME", "V"], ["0", "a", "1"], [None, "b", None, "x"]])
+    found = told(
+        spark,
+        sound,
+        "{",
+        None,
+        "[]",
+        "[null]",
+        '[["NAME"], ["a"]]',
+        '[["NAME", "V"], ["a"], ["b", "2"], null]',
+        '[["NAME", "V"]]',
+        "plain text",
+        '[["NAME", "V"], "c"]',
+    )
+    assert found == [
+        (2000, 0, "a", "1", None),
+        (2000, 1, "b", None, None),
+        (2001, None, None, None, "not JSON rows of cells"),
+        (2002, None, None, None, "not JSON rows of cells"),
+        (2003, None, None, None, "no header row"),
+        (2004, None, None, None, "no header row"),
+        (2005, None, None, None, "no cell V"),
+        (2006, None, None, None, "short rows: 2"),
+        (2008, None, None, None, "not JSON rows of cells"),
+        (2009, None, None, None, "not JSON rows of cells"),
+    ]
+
+
+def test_sound_documents_unpack_alike_either_way(spark):
+    matrices = [[["NAME", "V"], *[[f"n{i}", str(i)] for i in range(k)]] for k in range(5)]
+    df = documents(spark, *matrices)
+    strict = unpack(df, parse_matrix("value"), CELLS, ["year"])
+    lenient = unpack_or_tell(df, "value", CELLS, ["year"])
+    assert lenient.filter("problem is not null").isEmpty()
+    assert sorted(lenient.drop("problem").collect()) == sorted(strict.collect())

@@ -32,14 +32,24 @@ def total(parts: list[str]) -> str:
     return " + ".join(parts)
 
 
-def strict(name: str, formula: str, cells: list[str]) -> str:
-    """A formula over whole-number cells; text or a missing cell fails the job.
+def attempt(name: str, formula: str, cells: list[str]) -> tuple[str, str]:
+    """A formula over whole-number cells, NULL where a cell is text or missing, and what
+    is wrong then.
 
     `formula` names the cells as {0}, {1}, ...
     """
     number = formula.format(*[f"try_cast({c} as bigint)" for c in cells])
     shown = ", ".join(f"coalesce({c}, 'missing')" for c in cells)
-    problem = f"concat('{name}: not whole numbers: ', concat_ws(', ', {shown}))"
+    return number, f"concat('{name}: not whole numbers: ', concat_ws(', ', {shown}))"
+
+
+def attempt_total(name: str, cells: list[str]) -> tuple[str, str]:
+    return attempt(name, total([f"{{{i}}}" for i in range(len(cells))]), cells)
+
+
+def strict(name: str, formula: str, cells: list[str]) -> str:
+    """As `attempt`, but text or a missing cell fails the job."""
+    number, problem = attempt(name, formula, cells)
     return f"coalesce({number}, cast(raise_error({problem}) as bigint))"
 
 

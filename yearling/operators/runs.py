@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 
 from yearling import schemas
 from yearling.functions.names import quoted, text
+from yearling.sources.staging import staged
 from yearling.spec import PanelSpec
 
 
@@ -28,7 +30,7 @@ def with_run_counts(
     new = {"training_rows": training_rows, "test_rows": test_rows}
     return runs.selectExpr(
         *[
-            f"if(run_id = {run_id}, bigint({new[c]}), {c}) as {c}" if c in new else f"`{c}`"
+            f"if(run_id = {run_id}, bigint({new[c]}), {c}) as {c}" if c in new else quoted(c)
             for c in runs.columns
         ]
     )
@@ -68,20 +70,60 @@ def run_row(
     return spark.createDataFrame([row], schemas.MODEL_RUNS)
 
 
+class RunIds:
+    """Ids of which each is given out once, by exclusive creation of a file named after it.
+
+    A second writer that asks for the same id finds its file and takes the next. The file
+    system must create files exclusively, as HDFS and local disks do.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._jvm, self._folder = spark._jvm, folder
+        self._files = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(name)
+
+    def take(self, least: int) -> int:
+        """The first id from `least` on that nobody has taken."""
+        self._files.mkdirs(self._path(self._folder))
+        while not self._created(self._path(f"{self._folder}/{least}")):
+            least += 1
+        return least
+
+    def release(self, run_id: int) -> None:
+        self._files.delete(self._path(f"{self._folder}/{run_id}"), False)
+
+    def _created(self, path) -> bool:
+        if self._files.getScheme() == "file":
+            # Hadoop's local file system looks first and creates then; this is one step.
+            return self._jvm.java.io.File(path.toUri().getPath()).createNewFile()
+        try:
+            self._files.create(path, False).close()
+        except Py4JJavaError as problem:
+            if "FileAlreadyExists" not in problem.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
+
 class Registry:
-    """Three tables below one folder; one writer at a time.
+    """Three tables below one folder, a folder for each run id in each. Writers may record
+    at the same time.
 
-    A run's metrics and predictions go to folders of that run id, replacing what
-    a broken attempt left there; the run row is written last and so marks success.
+    A run's id is its alone from the start (`RunIds`); an attempt that raises gives it
+    back, and one that dies leaves a gap. Its metrics and predictions are written first,
+    the run row last, which marks success: what a broken attempt left is not read.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._ids = RunIds(spark, f"{self.path}/_ids")
 
     def _read(self, table: str, schema) -> DataFrame:
         folder = f"{self.path}/{table}"
         try:
-            return self.spark.read.schema(schema).parquet(folder)
+            return self.spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -110,7 +152,17 @@ class Registry:
         years_before: int = 5,
     ) -> int:
         """Store one evaluated run and return its id."""
-        run_id = next_run_id(self.runs())
+        run_id = self._ids.take(next_run_id(self.runs()))
+        try:
+            self._record(run_id, model, notes, test_times, folds, scored, spec, years_before)
+        except BaseException:
+            self._ids.release(run_id)
+            raise
+        return run_id
+
+    def _record(
+        self, run_id, model, notes, test_times, folds, scored, spec, years_before
+    ) -> None:
         self._store("model_metrics", metric_rows(folds, run_id, model), run_id)
         # A metric row per fold: as many as the caller listed test times.
         stored = (
@@ -134,8 +186,17 @@ class Registry:
             notes,
             years_before,
         )
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/model_runs")
-        return run_id
+        self._store("model_runs", row.coalesce(1), run_id)
+
+    def set_counts(self, run_id: int, training_rows: int, test_rows: int) -> None:
+        """Set the counts of one stored run. Only its folder is rewritten."""
+        run = self.runs().filter(F.col("run_id") == run_id)
+        changed = staged(with_run_counts(run, run_id, training_rows, test_rows), "run")
+        if changed.isEmpty():
+            raise ValueError(f"no run {run_id}")
+        changed.coalesce(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("run_id").parquet(f"{self.path}/model_runs")
 
     def _store(self, table: str, rows: DataFrame, run_id: int) -> None:
         folder = f"{self.path}/{table}/run_id={run_id}"

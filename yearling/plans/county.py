@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from yearling.functions.numeric import (
+    attempt,
+    attempt_total,
     lenient_double,
     lenient_long,
     percent,
@@ -18,7 +22,7 @@ from yearling.operators import quality as q
 from yearling.operators.joins import lookup_join, unmatched
 from yearling.operators.load import insert_skip_existing
 from yearling.schemas import COUNTY_YEAR
-from yearling.sources.matrix import parse_matrix, unpack
+from yearling.sources.matrix import parse_matrix, unpack, unpack_or_tell
 from yearling.sources.staging import staged
 
 
@@ -156,16 +160,19 @@ CHECKS = [
 ]
 
 
+_ALL_MAIN = MAIN_CELLS | {
+    c: c for codes in [*SUMMED_CELLS.values(), FOREIGN_BORN] for c in codes
+}
+_ALL_MOBILITY = {"state_fips": "state"} | MOBILITY_CELLS
+
+
 def unpack_main(documents: DataFrame, text: str = "value") -> DataFrame:
     """(year, state, position, named cells, cells to add up) per county."""
-    summed = [c for codes in [*SUMMED_CELLS.values(), FOREIGN_BORN] for c in codes]
-    cells = MAIN_CELLS | {c: c for c in summed}
-    return unpack(documents, parse_matrix(text), cells, keep=["year", "state"])
+    return unpack(documents, parse_matrix(text), _ALL_MAIN, keep=["year", "state"])
 
 
 def unpack_mobility(documents: DataFrame, text: str = "value") -> DataFrame:
-    cells = {"state_fips": "state"} | MOBILITY_CELLS
-    return unpack(documents, parse_matrix(text), cells, keep=["year"])
+    return unpack(documents, parse_matrix(text), _ALL_MOBILITY, keep=["year"])
 
 
 def with_sums(main: DataFrame) -> DataFrame:
@@ -207,6 +214,50 @@ def county_records(main_documents: DataFrame, mobility_documents: DataFrame) ->
     return derived(typed(joined))
 
 
+def with_sums_or_problem(main: DataFrame) -> DataFrame:
+    """As `with_sums`, but a row whose cells cannot be added says so in `problem`."""
+    sums = {name: attempt_total(name, codes) for name, codes in SUMMED_CELLS.items()}
+    sums["foreign_born"] = attempt("foreign_born", "{0} - {1}", FOREIGN_BORN)
+    added = main.selectExpr("*", *[f"{number} as {name}" for name, (number, _) in sums.items()])
+    tried = [f"if(problem is null and {name} is null, {p}, null)" for name, (_, p) in sums.items()]
+    others = [c for c in added.columns if c != "problem"]
+    return added.selectExpr(*others, f"coalesce(problem, {', '.join(tried)}) as problem")
+
+
+@dataclass(frozen=True)
+class CountySources:
+    """`records` of the sound documents, and `problems` of the others: (year, state, source,
+    rows, problem), a row for each year, state and source that has any."""
+
+    records: DataFrame
+    problems: DataFrame
+
+
+def county_sources(main_documents: DataFrame, mobility_documents: DataFrame) -> CountySources:
+    """As `county_records`, but a document that cannot be read spoils its own year only.
+
+    Cells are stored, so that records and problems come from one parse of each document.
+    """
+    keep = ["year", "state"]
+    main = staged(
+        with_sums_or_problem(unpack_or_tell(main_documents, "value", _ALL_MAIN, keep)),
+        "main-cells",
+    )
+    mobility = staged(
+        unpack_or_tell(mobility_documents, "value", _ALL_MOBILITY, keep), "mobility-cells"
+    )
+    told = [
+        cells.filter("problem is not null")
+        .groupBy("year", "state")
+        .agg(F.count("*").alias("rows"), F.min("problem").alias("problem"))
+        .selectExpr("year", "state", f"'{source}' as source", "rows", "problem")
+        for source, cells in (("main", main), ("mobility", mobility))
+    ]
+    sound = [c.filter("problem is null").drop("problem") for c in (main, mobility)]
+    joined = lookup_join(sound[0].drop("position"), sound[1].drop("state"), KEY, "position")
+    return CountySources(derived(typed(joined)), told[0].unionByName(told[1]))
+
+
 def unmatched_counties(main_documents: DataFrame, mobility_documents: DataFrame) -> DataFrame:
     """(year, state_fips, county_fips, county_name) of the counties that `county_records`
     drops, as the second source has no row for them."""
@@ -224,10 +275,30 @@ def check(
     records: DataFrame,
     batches: list[int] | DataFrame,
     expected_rows: int | None = 46,
+    problems: DataFrame | None = None,
 ) -> DataFrame:
     """The thirty checks per year, in long form. `batches` are the years that must be
-    there (`landed_years`, or a list); one without a record fails its row count."""
-    return q.report(records, "year", CHECKS, KEY, expected_rows, batches)
+    there (`landed_years`, or a list); one without a record fails its row count.
+
+    `problems` of the sources are failed checks of their years, and name what is wrong.
+    """
+    report = q.report(records, "year", CHECKS, KEY, expected_rows, batches)
+    if problems is None:
+        return report
+    name = "concat('source ', source, ' of ', coalesce(state, 'no state'), ': ', problem)"
+    return report.unionByName(
+        problems.selectExpr(
+            "year as batch", f"{name} as check_name", "rows as violations", "false as passed"
+        )
+    )
+
+
+class BackfillStopped(ValueError):
+    """A year failed its checks. `loaded` counts the rows of the years before it."""
+
+    def __init__(self, reason: str, loaded: DataFrame | None):
+        super().__init__(reason)
+        self.loaded = loaded
 
 
 def backfill(
@@ -235,19 +306,30 @@ def backfill(
     table: str,
     batches: list[int] | DataFrame,
     expected_rows: int | None = 46,
-) -> None:
+    problems: DataFrame | None = None,
+) -> DataFrame | None:
     """Load years up to the first that fails a check, then raise if one did.
 
-    `records` is read by the checks and by the load: give a stored table.
+    Returns (year, read, inserted, skipped) of the years loaded, counted by the writes;
+    None if there was nothing to load. `records` is read by the checks and by the load:
+    give a stored table. `problems` are those of `county_sources`.
     """
-    report = staged(check(records, batches, expected_rows), "quality-report")
+    report = staged(check(records, batches, expected_rows, problems), "quality-report")
     failed = report.filter("not passed")
+    # A row per year that was landed.
+    years = [r.batch for r in report.select("batch").distinct().orderBy("batch").collect()]
     first = failed.selectExpr("min(batch)").first()[0]
     good = records if first is None else records.filter(f"year < {first}")
+    years = [y for y in years if y is not None and (first is None or y < first)]
+    loaded = None
     if first is None or not good.isEmpty():
-        insert_skip_existing(good, table, records.columns, KEY)
+        loaded = insert_skip_existing(good, table, records.columns, KEY, ("year", years))
     if first is not None:
-        q.require_passed(failed.filter(f"batch = {first}"))
+        try:
+            q.require_passed(failed.filter(f"batch = {first}"))
+        except ValueError as reason:
+            raise BackfillStopped(str(reason), loaded) from None
+    return loaded
 
 
 def county_panel(records: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +14,15 @@ from yearling.functions import metrics
 from yearling.functions.numeric import lenient_double, lenient_long, percent, strict, strict_total
 from yearling.operators import calendar, models, quality, runs
 from yearling.operators import evaluation as ev
-from yearling.operators.folds import expanding_folds, fold_counts
+from yearling.operators.folds import every_fold, expanding_folds, fold_counts
 from yearling.operators.joins import lookup_join, unmatched
 from yearling.operators.load import insert_skip_existing, table_profile
-from yearling.operators.panel import complete_rows, known_target, time_split
+from yearling.operators.panel import (
+    complete_rows,
+    create_growth_view,
+    known_target,
+    time_split,
+)
 from yearling.operators.quantile import exact_median
 from yearling.plans import county, forecast
 from yearling.plans.county_documents import county_counts, main_documents, mobility_documents
@@ -34,7 +41,7 @@ from yearling.plans.order_activity import (
 from yearling.schemas import COUNTY_YEAR
 from yearling.sources.matrix import parse_matrix, read_documents, unpack, unpack_lines
 from yearling.sources.staging import fresh_path, staged
-from yearling.sources.tables import append, create_table, create_table_like
+from yearling.sources.tables import append, create_table, create_table_like, update_by_key
 
 FOREST = models.ForestParams()
 
@@ -80,6 +87,14 @@ def fold_membership(spark: SparkSession, sf: str) -> DataFrame:
     return fold_counts(_customer_complete(spark, sf), "location_id", SPEC.time, TEST_YEARS)
 
 
+def daily_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day with orders as a fold of its own, trained on all days before it."""
+    daily = _orders_by_day(spark, sf)
+    return every_fold(daily, "order_date", "orders", fold="test_day").withColumnsRenamed(
+        {"first_training_year": "first_training_day", "last_training_year": "last_training_day"}
+    )
+
+
 def customer_time_split(spark: SparkSession, sf: str) -> DataFrame:
     split = time_split(_customer_complete(spark, sf), SPEC.time, 1998, 1999)
     return split.select("location_id", "feature_year", "role")
@@ -322,6 +337,43 @@ def county_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+def _broken_main(documents: DataFrame) -> DataFrame:
+    """The document of 1997 cut off, that of 1999 without a wanted header, that of 2000 empty."""
+    broken = """case year when 1997 then left(value, length(value) - 9)
+        when 1999 then replace(value, 'B01001_003E', 'B01001_003X') when 2000 then '[]'
+        else value end as value"""
+    return documents.selectExpr(broken, "year", "state")
+
+
+def _broken_sources(spark: SparkSession, sf: str) -> tuple[county.CountySources, DataFrame]:
+    counted = county_counts(spark, sf)
+    main, mobility = _broken_main(main_documents(counted)), mobility_documents(counted)
+    found = county.county_sources(main, mobility)
+    return found, county.landed_years(main, mobility)
+
+
+def county_backfill_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of three years cannot be read: the years before the first are loaded."""
+    sources, landed = _broken_sources(spark, sf)
+    records = staged(sources.records, "county-records")
+    name, path = _scratch_table(spark, "county_year")
+    create_table(spark, name, COUNTY_YEAR, key=county.KEY, partition_by=["year"], path=path)
+    for _ in range(2):
+        try:
+            county.backfill(records, name, landed, None, sources.problems)
+        except county.BackfillStopped as stopped:
+            if "1997: source main of ST: not JSON" not in str(stopped):
+                raise
+    return spark.table(name)
+
+
+def dq_verdict_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """What fails of each year, documents that cannot be read among it."""
+    sources, landed = _broken_sources(spark, sf)
+    records = staged(sources.records, "county-records")
+    return quality.verdict(county.check(records, landed, None, sources.problems))
+
+
 def dq_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").selectExpr(
         "year(l_shipdate) as ship_year", "l_orderkey", "l_linenumber"
@@ -397,6 +449,35 @@ def insert_skip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+def load_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows read, inserted and skipped by the second of two overlapping loads, per year."""
+    lines = _shipped(spark, sf)
+    name, path = _scratch_table(spark, "shipped")
+    key = ["ship_year", "l_orderkey", "l_linenumber"]
+    create_table_like(lines, name, key=key, partition_by=["ship_year"], path=path)
+    insert_skip_existing(lines.filter("ship_year <= 1998"), name, lines.columns)
+    # A row per year.
+    years = [r.ship_year for r in lines.select("ship_year").distinct().collect()]
+    again = lines.filter("ship_year >= 1997")
+    return insert_skip_existing(again, name, lines.columns, count_by=("ship_year", years))
+
+
+def append_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three appends to a table with a key; the second repeats a year and is refused."""
+    orders = yearly_orders(spark, sf).select("o_orderkey", "o_totalprice", "feature_year")
+    name, path = _scratch_table(spark, "keyed_orders")
+    key = ["feature_year", "o_orderkey"]
+    create_table(spark, name, orders.schema, key=key, partition_by=["feature_year"], path=path)
+    append(orders.filter("feature_year <= 1997"), name)
+    try:
+        append(orders.filter("feature_year between 1997 and 1998"), name)
+    except ValueError as refused:
+        if "not single" not in str(refused):
+            raise
+    append(orders.filter("feature_year > 1997"), name)
+    return spark.table(name)
+
+
 def append_batches(spark: SparkSession, sf: str) -> DataFrame:
     orders = yearly_orders(spark, sf).select(
         "o_orderkey", "o_custkey", "o_totalprice", "feature_year"
@@ -451,6 +532,55 @@ def run_counts_update(spark: SparkSession, sf: str) -> DataFrame:
     return runs.with_run_counts(recorded, 1998, training_rows=10, test_rows=20)
 
 
+def stored_run_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The same update of a stored table, of which one partition is rewritten; done twice."""
+    years = yearly_orders(spark, sf).groupBy("feature_year").agg(F.expr("count(*) as test_rows"))
+    recorded = years.selectExpr(
+        "bigint(null) as training_rows", "test_rows", "bigint(feature_year) as run_id"
+    )
+    name, path = _scratch_table(spark, "run_rows")
+    key = ["run_id"]
+    create_table(spark, name, recorded.schema, key=key, partition_by=key, path=path)
+    append(recorded, name)
+    change = spark.table(name).filter("run_id = 1998").selectExpr(
+        "run_id", "bigint(10) as training_rows", "bigint(20) as test_rows"
+    )
+    for _ in range(2):
+        update_by_key(change, name)
+    return spark.table(name)
+
+
+def concurrent_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two writers record a run each at the same time; the counts of the second are set."""
+    registry = runs.Registry(spark, fresh_path(spark, "registry"))
+    panel = staged(place_panel(spark, sf).select(*SPEC.persistence_columns), "panel")
+
+    @inheritable_thread_target(spark)
+    def record(_: int) -> int:
+        return forecast.run_persistence(panel, SPEC, TEST_YEARS, registry)
+
+    with ThreadPoolExecutor(2) as pool:
+        ids = sorted(pool.map(record, range(2)))
+    registry.set_counts(ids[-1], 1, 2)
+    runs_row = registry.runs().select(
+        "run_id", F.col("training_rows").alias("run_training_rows"), "test_start_year"
+    )
+    return rounded(registry.metrics().join(runs_row, "run_id"))
+
+
+def growth_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Growth read by SQL from a view of the stored panel, two years of it."""
+    panel = place_panel(spark, sf, by_segment=False).select(
+        "location_id", "county_name", "population", "feature_year"
+    )
+    name, path = _scratch_table(spark, "place_years")
+    key = ["feature_year", "location_id"]
+    create_table(spark, name, panel.schema, key=key, partition_by=["feature_year"], path=path)
+    append(panel, name)
+    create_growth_view(spark, f"{name}_growth", name, SPEC)
+    return spark.sql(f"select * from {name}_growth where feature_year between 1997 and 1998")
+
+
 # --- calendar ------------------------------------------------------------------
 
 
@@ -475,6 +605,18 @@ def holiday_table(spark: SparkSession, sf: str) -> DataFrame:
     return _order_holidays(spark, sf).join(daily, "holiday_date", "left")
 
 
+def holidays_by_country(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty years from the first order on, a country after the other."""
+    span = _dated_orders(spark, sf).selectExpr(
+        "explode(sequence(year(min(order_date)), year(min(order_date)) + 19)) as year"
+    )
+    found = [
+        calendar.public_holidays(span, c).selectExpr(f"'{c}' as country", "*")
+        for c in ("AT", "DE", "FR", "GB")
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def business_days(spark: SparkSession, sf: str) -> DataFrame:
     daily = _orders_by_day(spark, sf)
     return calendar.with_business_day(daily, "order_date", _order_holidays(spark, sf))
@@ -573,6 +715,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "complete_rows": complete_panel_rows,
     "expanding_folds": expanding_fold_counts,
     "fold_membership": fold_membership,
+    "daily_folds": daily_folds,
     "time_split": customer_time_split,
     "regression_metrics": regression_metrics,
     "population_errors": population_errors,
@@ -593,7 +736,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "county_records": county_records,
     "unmatched_counties": unmatched_counties,
     "county_backfill": county_backfill,
+    "county_backfill_broken": county_backfill_broken,
     "dq_report": dq_report,
+    "dq_verdict_broken": dq_verdict_broken,
     "dq_verdict": dq_verdict,
     "dq_duplicates": dq_duplicates,
     "dq_missing": dq_missing,
@@ -601,12 +746,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_reconcile": dq_reconcile,
     "dq_bounds": dq_bounds,
     "insert_skip_existing": insert_skip,
+    "load_counts": load_counts,
     "append_batches": append_batches,
+    "append_keyed": append_keyed,
     "table_profile": profile,
     "run_registry": run_registry,
     "recorded_predictions": recorded_predictions,
     "run_counts_update": run_counts_update,
+    "stored_run_update": stored_run_update,
+    "concurrent_runs": concurrent_runs,
+    "growth_view": growth_view,
     "holiday_table": holiday_table,
+    "holidays_by_country": holidays_by_country,
     "business_days": business_days,
     "business_day_gate": business_day_gate,
     "linear_two_features": linear_two_features,

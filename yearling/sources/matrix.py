@@ -87,6 +87,39 @@ def unpack(
     )
 
 
+def unpack_or_tell(
+    documents: DataFrame, text_column: str, cells: Mapping[str, str], keep: list[str]
+) -> DataFrame:
+    """As strict `unpack`, but a document that breaks a rule costs only itself.
+
+    Adds `problem`: NULL for the rows of a sound document. One that is no JSON matrix, has
+    no header row, lacks a wanted header or has a short row is a single row without cells
+    that says so. Every document is parsed once.
+    """
+    names = list(dict.fromkeys(cells.values()))
+    header = "get(_matrix, 0)"
+    missing = f"array_except(array({', '.join(map(text, names))}), {header})"
+    at = [f"_places.h{i}" for i in range(len(names))]
+    need = f"array_max(array({', '.join(at)})) + 1"
+    rows = "slice(_matrix, 2, greatest(size(_matrix) - 1, 0))"
+    short = f"size(filter({rows}, r -> r is null or size(r) < {need}))"
+    problem = f"""case
+        when _matrix is null then 'not JSON rows of cells'
+        when size(_matrix) = 0 or {header} is null then 'no header row'
+        when size({missing}) > 0 then concat('no cell ', array_join({missing}, ', '))
+        when {short} > 0 then concat('short rows: ', {short}) end as problem"""
+    told = f"posexplode_outer(if(problem is null, {rows}, null)) as (_row, _cells)"
+    return (
+        documents.selectExpr(*keep, f"{parse_matrix(quoted(text_column), strict=False)} as _matrix")
+        .selectExpr(*keep, "_matrix", *_places(header, names, strict=False))
+        .selectExpr("*", problem)
+        .selectExpr(*keep, "_places", "problem", told)
+        # A sound document of no rows has nothing to tell.
+        .filter("problem is not null or _row is not null")
+        .selectExpr(*keep, "bigint(_row) as position", *_picked(cells, names), "problem")
+    )
+
+
 # A complete row of scalars on a line; brackets inside strings do not count.
 _ROW = r'\[(?:[^\[\]"]|"(?:[^"\\]|\\.)*")*\]'
 
