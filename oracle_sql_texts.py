@@ -159,6 +159,29 @@ FOLD_COLUMNS = (
 )
 COMPLETE = f"complete as (select * from panel where {PAST} is not null and {NEXT} is not null)"
 
+# A panel whose growth follows from one feature, so that what a forest gives is known.
+KNOWN_PANEL = f"""{place_panel()},
+    known as (
+      select location_id, county_name, feature_year, population, pct_weekend, {PAST},
+             case when population % 2 = 1 then 0.25e0 else -0.125e0 end as {NEXT}
+      from panel where {NEXT} is not null and {PAST} is not null)"""
+KNOWN_FOLDS = f"""{KNOWN_PANEL},
+    errors as (
+      select *, population * (1 + {NEXT}) as actual_population,
+             population * (1 + {PAST}) as predicted_population from known),
+    scored as (
+      select *, abs(predicted_population - actual_population) as absolute_population_error,
+             abs(predicted_population - actual_population)
+               / nullif(abs(actual_population), 0) * 100 as absolute_percentage_error
+      from errors),
+    folds as (
+      select feature_year as test_year, {metric_list(NEXT, PAST)},
+             avg(abs({NEXT} - {NEXT})) as rf_growth_mae, sqrt(avg({NEXT} - {NEXT})) as rf_growth_rmse,
+             {r2(NEXT, NEXT)} as rf_growth_r2,
+             avg(population * (1 + {NEXT}) - actual_population) as rf_population_mae,
+             avg(population * (1 + {NEXT}) - actual_population) as rf_population_mape
+      from scored where feature_year in {TESTS} group by 1)"""
+
 # --- county documents ----------------------------------------------------------
 
 _COUNTED = {
@@ -642,6 +665,40 @@ ORACLE: dict[str, str] = {
         select test_year, printf('%d mae=%.6f rmse=%.6f r2=%.6f mape=%.2f%%',
                test_year, growth_mae, growth_rmse, growth_r2, population_mape) as line
         from folds""",
+    "summary_lines": f"""with {place_panel(False)}, {PERSISTENCE_FOLDS},
+        means as (select min(test_year) as a, max(test_year) as b, count(*) as n,
+                  {', '.join(f'avg({m}) as {m}' for m in METRICS)} from folds)
+        select cast(unnest(range(1, 8)) as integer) as ordinal, unnest([
+          printf('test years %d-%d', a, b), printf('years evaluated %d', n),
+          printf('average growth mae %.6f', growth_mae),
+          printf('average growth rmse %.6f', growth_rmse),
+          printf('average growth r2 %.6f', growth_r2),
+          printf('average population mae %.0f', population_mae),
+          printf('average population mape %.2f%%', population_mape)]) as line from means""",
+    "forest_known_split": f"""with {KNOWN_PANEL}
+        select location_id, county_name, feature_year, population, {NEXT},
+               {NEXT} as predicted_growth_1yr, population * (1 + {NEXT}) as predicted_population,
+               population * (1 + {NEXT}) as actual_population, 0.0e0 as population_error,
+               0.0e0 as population_error_pct, 0.0e0 as prediction_error
+        from known where feature_year = 1999""",
+    "forest_known_importance": """
+        select cast(1 as integer) as ordinal, 'is_odd: 1.000000' as line
+        union all select 2, 'historical_growth_1yr: 0.000000'
+        union all select 3, 'pct_weekend: 0.000000'""",
+    "comparison_known": f"""with {KNOWN_FOLDS}
+        select min(test_year) as first_test_year, max(test_year) as last_test_year,
+               cast(count(*) as bigint) as years_evaluated,
+               {', '.join(
+                   f'round(avg({m}), 6) as avg_baseline_{n}, round(avg(rf_{m}), 6) as avg_rf_{n}'
+                   for m, n in zip(METRICS, ['mae', 'rmse', 'r2', 'population_mae', 'mape']))}
+        from folds""",
+    "comparison_lines": f"""with {KNOWN_FOLDS}
+        select test_year, cast(unnest(range(1, 5)) as integer) as ordinal, unnest([
+          printf('baseline growth mae=%.6f rmse=%.6f r2=%.6f', growth_mae, growth_rmse, growth_r2),
+          printf('baseline population mae=%.0f mape=%.2f%%', population_mae, population_mape),
+          printf('rf growth mae=%.6f rmse=%.6f r2=%.6f', rf_growth_mae, rf_growth_rmse, rf_growth_r2),
+          printf('rf population mae=%.0f mape=%.2f%%', rf_population_mae, rf_population_mape)
+        ]) as line from folds""",
     "target_range": f"""with {CUSTOMER_PANEL}
         select cast(count(*) as bigint) as panel_rows, min(feature_year) as first_year,
                max(feature_year) as last_year, min({NEXT}) as lowest_target,

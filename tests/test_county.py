@@ -255,3 +255,17 @@ def test_a_first_year_that_is_broken_loads_nothing(spark, tmp_path):
     with pytest.raises(county.BackfillStopped) as stopped:
         county.backfill(sources.records, "broken_first", landed, None, sources.problems)
     assert stopped.value.loaded is None and spark.table("broken_first").isEmpty()
+
+
+def test_a_fraction_in_a_whole_number_column_is_told(spark):
+    main = _documents(
+        spark,
+        [(_main(B01001_001E="12.5"), 2020, "ST"), (_main(B01001_001E="12.0"), 2021, "ST"),
+         (_main(B01001_001E="none", B01002_001E="40.5"), 2022, "ST")],
+    )
+    mobility = _documents(spark, [(_mobility(), y, "ST") for y in (2020, 2021, 2022)])
+    sources = county.county_sources(main, mobility)
+    told = [(r.year, r.problem) for r in sources.problems.collect()]
+    assert told == [(2020, "population: not a whole number: 12.5")]
+    # Text is missing, as ever, and the checks count it.
+    assert {r.year: r.population for r in sources.records.collect()} == {2021: 12, 2022: None}

@@ -3,6 +3,8 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 
+from yearling.functions.names import quoted
+from yearling.operators import evaluation as ev
 from yearling.operators import models
 from yearling.plans import forecast
 from yearling.spec import PanelSpec
@@ -142,3 +144,114 @@ def test_guards(spark):
         forecast.forest_split(df, SPEC, 2003, 2010, FEW)
     with pytest.raises(ValueError, match="no fold"):
         forecast.rolling_comparison(df, SPEC, [2000], FEW)
+
+
+def wide_panel(spark, n):
+    """Rows that a tree could split to the last: every target differs."""
+    return spark.range(n).selectExpr(
+        "string(id) as location_id",
+        "string(id) as county_name",
+        "int(2000 + id % 5) as feature_year",
+        "bigint(1000) as population",
+        "0.0D as historical_growth_1yr",
+        "hash(id) % 100003 / 7.0D as a",
+        "hash(id, 1) % 100003 / 7.0D as b",
+        "hash(id, 2) % 100003 / 7.0D as c",
+        "double(hash(id, 3)) / 1e9 as future_growth_1yr",
+    )
+
+
+def test_model_size_does_not_grow_with_the_rows(spark):
+    params = models.ForestParams(trees=8, tree_rows=300)
+    sizes = (4_000, 40_000)
+    forests = models.fit_forests([(wide_panel(spark, n), n) for n in sizes], SPEC, params)
+    nodes = [f.nodes for f in forests]
+    assert max(nodes) < 1.1 * min(nodes)
+    assert max(nodes) <= 2 * params.trees * params.tree_rows * 1.1
+    # Under the default, a training set that a tree can hold is drawn from in full.
+    assert models._drawn(wide_panel(spark, 10), 4096, ["location_id"], models.ForestParams())[2] == 1.0
+
+
+def test_rows_to_draw_from_are_bounded(spark):
+    params = models.ForestParams(trees=10, tree_rows=100)
+    by = ["location_id", "feature_year"]
+    pool, rows, share = models._drawn(wide_panel(spark, 20_000), 20_000, by, params)
+    assert (rows, share) == (1000, 0.1)
+    assert 800 < pool.count() < 1200
+    again = models._drawn(wide_panel(spark, 20_000).repartition(5), 20_000, by, params)[0]
+    assert sorted(r.location_id for r in pool.collect()) == sorted(
+        r.location_id for r in again.collect()
+    )
+
+
+def test_too_large_a_forest_is_refused(spark):
+    with pytest.raises(ValueError, match="over model_mb = 512"):
+        models.ForestParams(trees=300, tree_rows=100_000)
+    assert models.ForestParams(tree_rows=100_000, min_rows=50).tree_rows == 100_000
+    rows = wide_panel(spark, 500)
+    params = models.ForestParams(trees=100, tree_rows=500, model_mb=20)
+    forest = models.fit_forests([(rows, 500)], SPEC, params)[0]
+    # What a node takes in memory is within what is reckoned for it.
+    size = spark._jvm.org.apache.spark.util.SizeEstimator.estimate(forest.model._java_obj)
+    assert size <= forest.nodes * models._NODE_BYTES * 1.2, (size, forest.nodes)
+    small = models.Forest(forest.model, 1)
+    with pytest.raises(ValueError, match="is over 1 MB"):
+        models.predict_forest(small, rows, SPEC)
+
+
+ODD = PanelSpec(
+    key="the place",
+    label="it's `named`",
+    time="a year",
+    value="how many",
+    past="was %",
+    target="to be",
+    features=("my x", "d.o.t", "select"),
+)
+
+
+@pytest.fixture
+def odd_panel(spark):
+    names = [ODD.key, ODD.label, ODD.time, ODD.value, ODD.past, *ODD.features, ODD.target]
+    return frame(spark, data("free", n=100)).toDF(*names), frame(spark, data("free", n=100))
+
+
+def numbers(df):
+    return [
+        tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in sorted(df.collect())
+    ]
+
+
+def test_any_column_names(spark, odd_panel):
+    odd, plain = odd_panel
+    tests = [2002, 2004]
+    for work in (
+        lambda df, s: forecast.linear_validation(df, s, tests).drop("first_training_year"),
+        lambda df, s: forecast.rolling_comparison(df, s, tests, FEW),
+        lambda df, s: ev.persistence_metrics(df, s, tests),
+        lambda df, s: ev.error_summary(
+            ev.persistence_rows(df, s).selectExpr("*", f"int({quoted(s.time)}) as test_year"), s
+        ),
+        lambda df, s: forecast.forest_split(df, s, 2003, 2004, FEW)[1].select(
+            "predicted_growth", "population_error"
+        ),
+    ):
+        assert numbers(work(odd, ODD)) == numbers(work(plain, SPEC))
+
+
+def test_listings(spark):
+    df = frame(spark, data("step", n=200))
+    wide = forecast.rolling_comparison(df, SPEC, [2002, 2004], FEW)
+    lines = ev.comparison_lines(wide, ["baseline", "rf"]).orderBy("test_year", "ordinal").collect()
+    assert [(r.test_year, r.ordinal) for r in lines] == [
+        (t, i) for t in (2002, 2004) for i in (1, 2, 3, 4)
+    ]
+    row = wide.orderBy("test_year").first()
+    assert lines[0].line == (
+        f"baseline growth mae={row.baseline_mae:.6f} rmse={row.baseline_rmse:.6f} "
+        f"r2={row.baseline_r2:.6f}"
+    )
+    assert lines[3].line == f"rf population mae={row.rf_population_mae:.0f} mape={row.rf_mape:.2f}%"
+    means = ev.summary_lines(ev.persistence_metrics(df, SPEC, [2002, 2004])).collect()
+    assert [r.ordinal for r in means] == list(range(1, 8))
+    assert means[0].line == "test years 2002-2004" and means[1].line == "years evaluated 2"

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearling.functions import metrics
+from yearling.functions.names import quoted, text
 from yearling.functions.numeric import percent
 from yearling.operators.folds import per_fold
+from yearling.operators.panel import complete_rows
 from yearling.operators.quantile import exact_median
 from yearling.spec import PanelSpec
 
@@ -18,12 +20,13 @@ METRICS = ["growth_mae", "growth_rmse", "growth_r2", "population_mae", "populati
 
 def with_errors(df: DataFrame, spec: PanelSpec, predicted: str) -> DataFrame:
     """Turn growth back into population and add every error column."""
+    value, target, predicted = map(quoted, (spec.value, spec.target, predicted))
     return (
         df.selectExpr(
             "*",
-            f"{spec.value} * (1 + {spec.target}) as actual_population",
-            f"{spec.value} * (1 + {predicted}) as predicted_population",
-            f"{predicted} - {spec.target} as prediction_error",
+            f"{value} * (1 + {target}) as actual_population",
+            f"{value} * (1 + {predicted}) as predicted_population",
+            f"{predicted} - {target} as prediction_error",
         )
         .selectExpr("*", "predicted_population - actual_population as population_error")
         .selectExpr(
@@ -38,10 +41,11 @@ def with_errors(df: DataFrame, spec: PanelSpec, predicted: str) -> DataFrame:
 
 def metric_columns(spec: PanelSpec, predicted: str) -> list[str]:
     """The five metrics over rows that `with_errors` has seen."""
+    target, predicted = quoted(spec.target), quoted(predicted)
     return [
-        f"{metrics.mae(spec.target, predicted)} as growth_mae",
-        f"{metrics.rmse(spec.target, predicted)} as growth_rmse",
-        f"{metrics.r2(spec.target, predicted)} as growth_r2",
+        f"{metrics.mae(target, predicted)} as growth_mae",
+        f"{metrics.rmse(target, predicted)} as growth_rmse",
+        f"{metrics.r2(target, predicted)} as growth_r2",
         "avg(absolute_population_error) as population_mae",
         "avg(absolute_percentage_error) as population_mape",
     ]
@@ -49,8 +53,9 @@ def metric_columns(spec: PanelSpec, predicted: str) -> list[str]:
 
 def persistence_rows(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """Complete rows with last year's growth as the forecast, and its errors."""
-    complete = panel.select(*spec.persistence_columns).na.drop(subset=[spec.past, spec.target])
-    forecast = complete.selectExpr("*", f"{spec.past} as predicted_growth")
+    wanted = panel.select(*map(quoted, spec.persistence_columns))
+    complete = complete_rows(wanted, [spec.past, spec.target])
+    forecast = complete.selectExpr("*", f"{quoted(spec.past)} as predicted_growth")
     return with_errors(forecast, spec, "predicted_growth")
 
 
@@ -65,8 +70,8 @@ def persistence_metrics(
     wanted = ["count(*) as _rows", *metric_columns(spec, "predicted_growth")]
     by_time = (
         persistence_rows(panel, spec)
-        .filter(f"{spec.time} <= {max(test_times)}")
-        .groupBy(spec.time)
+        .filter(f"{quoted(spec.time)} <= {max(test_times)}")
+        .groupBy(quoted(spec.time))
         .agg(*[F.expr(w) for w in wanted])
     )
     return per_fold(by_time, spec.time, "_rows", test_times, carry=METRICS)
@@ -111,14 +116,52 @@ def fold_lines(folds: DataFrame) -> DataFrame:
     return folds.selectExpr("*", f"format_string({shown}, {values}) as line")
 
 
+def summary_lines(folds: DataFrame) -> DataFrame:
+    """(ordinal, line): the range of the folds and their unweighted means as text."""
+    shown = [
+        ("'test years %d-%d'", "first_test_year, last_test_year"),
+        ("'years evaluated %d'", "years_evaluated"),
+        ("'average growth mae %.6f'", "avg_growth_mae"),
+        ("'average growth rmse %.6f'", "avg_growth_rmse"),
+        ("'average growth r2 %.6f'", "avg_growth_r2"),
+        ("'average population mae %.0f'", "avg_population_mae"),
+        ("'average population mape %.2f%%'", "avg_population_mape"),
+    ]
+    return _lines(fold_averages(folds), shown).selectExpr("ordinal", "line")
+
+
+def comparison_lines(wide: DataFrame, prefixes: Sequence[str]) -> DataFrame:
+    """(test_year, ordinal, line): growth and population metrics of each model in a fold."""
+    shown = []
+    for prefix in prefixes:
+        name = text(prefix)
+        c = {m: quoted(f"{prefix}_{m}") for m in ("mae", "rmse", "r2", "population_mae", "mape")}
+        shown.append(
+            ("'%s growth mae=%.6f rmse=%.6f r2=%.6f'", f"{name}, {c['mae']}, {c['rmse']}, {c['r2']}")
+        )
+        shown.append(
+            ("'%s population mae=%.0f mape=%.2f%%'", f"{name}, {c['population_mae']}, {c['mape']}")
+        )
+    return _lines(wide, shown).selectExpr("test_year", "ordinal", "line")
+
+
+def _lines(df: DataFrame, shown: list[tuple[str, str]]) -> DataFrame:
+    """A row per (format, values) of each row, numbered from 1."""
+    lines = ", ".join(f"format_string({form}, {values})" for form, values in shown)
+    return df.selectExpr("*", f"posexplode(array({lines})) as (_at, line)").selectExpr(
+        "*", "_at + 1 as ordinal"
+    )
+
+
 def error_summary(scored: DataFrame, spec: PanelSpec, by: str = "test_year") -> DataFrame:
     """Count, MAE, MAPE, median APE, largest error and the two extreme rows.
 
     Ties go to the first row by (label, time). `scored` is read several times:
     give a stored table.
     """
-    row = f"struct({spec.label} as label, population_error as error, population_error_pct as pct)"
-    tie = f"{spec.label}, {spec.time}"
+    label = quoted(spec.label)
+    row = f"struct({label} as label, population_error as error, population_error_pct as pct)"
+    tie = f"{label}, {quoted(spec.time)}"
     wanted = [
         "count(*) as rows_evaluated",
         "avg(abs(population_error)) as mean_absolute_error",
@@ -134,7 +177,7 @@ def error_summary(scored: DataFrame, spec: PanelSpec, by: str = "test_year") ->
         for part in ("label", "error", "pct")
     ]
     summary = (
-        scored.groupBy(by)
+        scored.groupBy(quoted(by))
         .agg(*[F.expr(w) for w in wanted])
         .selectExpr("*", *extremes)
         .drop("_over", "_under")
@@ -153,7 +196,7 @@ def comparison(metrics_rows: DataFrame, prefixes: dict[str, str]) -> DataFrame:
         "population_mape": "mape",
     }
     wide = [
-        f"max({metric}) filter (where model_name = '{model}') as {prefix}_{name}"
+        f"max({metric}) filter (where model_name = {text(model)}) as {quoted(f'{prefix}_{name}')}"
         for metric, name in short.items()
         for model, prefix in prefixes.items()
     ]
@@ -166,5 +209,5 @@ def comparison_averages(wide: DataFrame) -> DataFrame:
     """Unweighted mean over folds of every model metric, and the fold range."""
     shared = ("test_year", "training_rows", "test_rows")
     return wide.selectExpr(
-        *_fold_range(), *[f"avg({c}) as avg_{c}" for c in wide.columns if c not in shared]
+        *_fold_range(), *[f"avg({quoted(c)}) as {quoted(f'avg_{c}')}" for c in wide.columns if c not in shared]
     )

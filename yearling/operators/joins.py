@@ -33,14 +33,16 @@ def lookup_join(
     split a key that holds many of the main rows. It cannot when a side still carries
     the window.
     """
-    known = lookup.na.drop(subset=key)
+    whole = F.struct(*map(quoted, key))
+    known = lookup.filter(" and ".join(f"{quoted(k)} is not null" for k in key))
     single = last_per_key(known, key, position).drop(position)
-    right = single.withColumn("_key", F.struct(*key)).drop(*key)
-    joined = main.withColumn("_key", F.struct(*key)).join(right, "_key").drop("_key")
+    right = single.withColumn("_key", whole).drop(*key)
+    joined = main.withColumn("_key", whole).join(right, "_key").drop("_key")
     others = [c for c in main.columns if c not in key]
-    return joined.select(*key, *others, *(c for c in right.columns if c != "_key"))
+    added = [c for c in right.columns if c != "_key"]
+    return joined.select(*map(quoted, [*key, *others, *added]))
 
 
 def unmatched(main: DataFrame, lookup: DataFrame, key: list[str]) -> DataFrame:
     """The rows `lookup_join` drops."""
-    return main.join(lookup.select(*key), key, "left_anti")
+    return main.join(lookup.select(*map(quoted, key)), key, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from yearling.functions.names import quoted
+from yearling.functions.names import quoted, text
 from yearling.operators.joins import one_per_key
 from yearling.sources.staging import staged
 from yearling.sources.tables import add_rows, partition_columns, storage_type, table_key
@@ -19,10 +19,10 @@ def rows_to_insert(
     First row per key in `order`, unless the target has the key. A key with a NULL
     part equals no other key, so such rows all pass, without a shuffle.
     """
-    known = " and ".join(f"`{k}` is not null" for k in key)
-    order = [c for c in order if c not in key] or key
+    known = " and ".join(f"{quoted(k)} is not null" for k in key)
+    order = [quoted(c) for c in [c for c in order if c not in key] or key]
     fresh = one_per_key(batch.filter(known), key, order).join(
-        target.select(*key), key, "left_anti"
+        target.select(*map(quoted, key)), key, "left_anti"
     )
     return fresh.unionByName(batch.filter(f"not ({known})"))
 
@@ -94,10 +94,10 @@ def _load_counts(
 def table_profile(df: DataFrame) -> DataFrame:
     """Per column: type in a relational store, rows and values present. One pass."""
     counted = df.selectExpr(
-        "count(*) as _rows", *[f"count(`{c}`) as _{i}" for i, c in enumerate(df.columns)]
+        "count(*) as _rows", *[f"count({quoted(c)}) as _{i}" for i, c in enumerate(df.columns)]
     )
     lines = ", ".join(
-        f"struct({i} as ordinal, '{f.name}' as column_name, "
+        f"struct({i} as ordinal, {text(f.name)} as column_name, "
         f"'{storage_type(f.dataType)}' as storage_type, _rows as row_count, _{i} as non_null)"
         for i, f in enumerate(df.schema)
     )

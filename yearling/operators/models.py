@@ -16,6 +16,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearling.functions.names import quoted
 from yearling.operators.folds import first_fold
 from yearling.spec import PanelSpec
 
@@ -38,10 +39,10 @@ def fit_linear(complete: DataFrame, spec: PanelSpec, test_times: list[int]) -> l
     """
     names = list(spec.features)
     columns = names + [spec.target]
-    usable = complete.filter(f"{spec.time} < {max(test_times)}")
+    usable = complete.filter(f"{quoted(spec.time)} < {max(test_times)}")
     moments = usable.selectExpr(
-        *[f"avg({c}) as m{i}" for i, c in enumerate(columns)],
-        *[f"stddev_pop({c}) as s{i}" for i, c in enumerate(columns)],
+        *[f"avg({quoted(c)}) as m{i}" for i, c in enumerate(columns)],
+        *[f"stddev_pop({quoted(c)}) as s{i}" for i, c in enumerate(columns)],
     ).first()
     if moments["m0"] is None:
         return []
@@ -49,9 +50,10 @@ def fit_linear(complete: DataFrame, spec: PanelSpec, test_times: list[int]) -> l
     scale = np.array([moments[f"s{i}"] or 1.0 for i in range(len(columns))], dtype=float)
     usable = usable.selectExpr(
         f"{first_fold(spec.time, test_times)} as _fold",
-        *[f"double({c}) as {c}" for c in columns],
+        *[f"double({quoted(c)}) as _c{i}" for i, c in enumerate(columns)],
     )
-    grams = _cross_products(usable, "_fold", columns, center, scale)
+    places = [f"_c{i}" for i in range(len(columns))]
+    grams = _cross_products(usable, "_fold", places, center, scale)
 
     fits = []
     for test in sorted(set(test_times)):
@@ -117,11 +119,11 @@ def predict_linear(complete: DataFrame, spec: PanelSpec, fits: list[LinearFit])
     spark = complete.sparkSession
     rows = [(f.test_year, f.intercept, f.coefficients) for f in fits]
     table = spark.createDataFrame(rows, "test_year int, _b double, _w array<double>")
-    guess = " + ".join(["_b", *[f"_w[{i}] * {c}" for i, c in enumerate(spec.features)]])
+    guess = " + ".join(["_b", *[f"_w[{i}] * {quoted(c)}" for i, c in enumerate(spec.features)]])
     # One row per fold the caller listed: always small.
     return (
-        complete.filter(F.col(spec.time).isin([f.test_year for f in fits]))
-        .selectExpr("*", f"int({spec.time}) as test_year")
+        complete.filter(F.col(quoted(spec.time)).isin([f.test_year for f in fits]))
+        .selectExpr("*", f"int({quoted(spec.time)}) as test_year")
         .join(F.broadcast(table), "test_year")
         .selectExpr(
             "*", f"{guess} as predicted_growth", "'linear_regression' as model_name"
@@ -136,20 +138,26 @@ def linear_rolling(complete: DataFrame, spec: PanelSpec, test_times: list[int])
 
 # --- random forest -----------------------------------------------------------
 
-# Rows of a partition while a forest grows; the number of partitions follows from the rows
-# alone, as the rows a tree draws depend on it.
+# Rows of a partition while a forest grows, for few rows and for many; the number of
+# partitions follows from the rows alone, as the rows a tree draws depend on it.
+_FEW_ROWS_PER_TASK, _FEW_TASKS = 100, 4
 _ROWS_PER_TASK = 20_000
 _FITS_AT_ONCE = 16
 
+# Bytes of a node of a tree in memory, as measured with some to spare.
+_NODE_BYTES = 200
+
 
 @dataclass(frozen=True)
 class ForestParams:
     """Grown deep on all features, as the usual regression forest is.
 
-    Spark cuts features into `max_bins` at most and stops at depth 30. A model's nodes
-    grow with the rows until `max_depth` or `min_rows` ends a branch: at most
-    rows / `min_rows` leaves a tree. Set them for a large training set, as the model is
-    held by the driver and by every task that scores.
+    Spark cuts features into `max_bins` at most and stops at depth 30. A tree draws
+    `tree_rows` rows at most on average, with replacement, whatever the training set: the
+    bound of a documented sample, which the caller states. So a forest has at most
+    2 * `trees` * `tree_rows` / `min_rows` nodes at any size of the training set. The
+    driver and every task that scores hold them: `model_mb` is checked before a forest is
+    grown, and again before it is sent to score.
     """
 
     trees: int = 300
@@ -158,11 +166,23 @@ class ForestParams:
     max_bins: int = 32
     min_rows: int = 1
     memory_mb: int = 1024
+    tree_rows: int = 4096
+    model_mb: int = 512
+
+    def __post_init__(self) -> None:
+        leaves = min(2**self.max_depth, self.tree_rows // self.min_rows)
+        most = 2 * self.trees * leaves * _NODE_BYTES >> 20
+        if most > self.model_mb:
+            raise ValueError(
+                f"a forest may take {most} MB, over model_mb = {self.model_mb}: "
+                "fewer trees or tree_rows, or more min_rows"
+            )
 
 
 @dataclass(frozen=True)
 class Forest:
     model: RandomForestRegressionModel
+    model_mb: int = ForestParams.model_mb
 
     @property
     def trees(self) -> int:
@@ -179,14 +199,34 @@ class Forest:
 
 
 def _assembled(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    assembler = VectorAssembler(
-        inputCols=list(spec.features), outputCol="_features", handleInvalid="error"
+    """Adds `_features`, in the order of the spec, whatever the features are called."""
+    places = [f"_f{i}" for i in range(len(spec.features))]
+    named = df.selectExpr(
+        "*", *[f"{quoted(c)} as {p}" for c, p in zip(spec.features, places)]
     )
-    return assembler.transform(df)
+    assembler = VectorAssembler(inputCols=places, outputCol="_features", handleInvalid="error")
+    return assembler.transform(named).drop(*places)
 
 
 def _tasks(rows: int) -> int:
-    return max(1, math.ceil(rows / _ROWS_PER_TASK))
+    few = min(_FEW_TASKS, math.ceil(rows / _FEW_ROWS_PER_TASK))
+    return max(1, few, math.ceil(rows / _ROWS_PER_TASK))
+
+
+def _drawn(
+    df: DataFrame, rows: int, by: list[str], params: ForestParams
+) -> tuple[DataFrame, int, float]:
+    """The rows the trees draw from, their number, and the share of them that one draws.
+
+    A forest of t trees sees t * `tree_rows` different rows at most; of more, so many are
+    kept by the hash of key and time, which depends on nothing else.
+    """
+    most = params.trees * params.tree_rows
+    if rows > most:
+        steps = 1 << 30
+        hashed = F.pmod(F.xxhash64(*map(quoted, by), F.lit(params.seed)), F.lit(steps))
+        df, rows = df.filter(hashed < steps * most // rows), most
+    return df, rows, min(1.0, params.tree_rows / max(rows, 1))
 
 
 def fit_forests(
@@ -200,22 +240,25 @@ def fit_forests(
     """
     spark = sets[0][0].sparkSession
     by = [spec.key, spec.time]
-    ready = [
-        _assembled(
-            df.select(*spec.model_columns)
-            .repartition(_tasks(rows), *by)
-            .sortWithinPartitions(*by),
-            spec,
-        ).select("_features", spec.target)
-        for df, rows in sets
-    ]
+    ready = []
+    for df, rows in sets:
+        pool, size, share = _drawn(df, rows, by, params)
+        laid = (
+            pool.select(*map(quoted, spec.model_columns))
+            .repartition(_tasks(size), *map(quoted, by))
+            .sortWithinPartitions(*map(quoted, by))
+        )
+        target = F.col(quoted(spec.target)).alias("_target")
+        ready.append((_assembled(laid, spec).select("_features", target), share))
 
     @inheritable_thread_target(spark)
-    def grow(rows: DataFrame) -> Forest:
+    def grow(drawn: tuple[DataFrame, float]) -> Forest:
+        rows, share = drawn
         return Forest(
             RandomForestRegressor(
                 featuresCol="_features",
-                labelCol=spec.target,
+                labelCol="_target",
+                subsamplingRate=share,
                 numTrees=params.trees,
                 seed=params.seed,
                 maxDepth=params.max_depth,
@@ -223,7 +266,8 @@ def fit_forests(
                 minInstancesPerNode=params.min_rows,
                 maxMemoryInMB=params.memory_mb,
                 featureSubsetStrategy="all",
-            ).fit(rows)
+            ).fit(rows),
+            params.model_mb,
         )
 
     with ThreadPoolExecutor(max_workers=_FITS_AT_ONCE) as pool:
@@ -231,10 +275,12 @@ def fit_forests(
 
 
 def predict_forest(forest: Forest, test: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Add `predicted_growth`: the mean over all trees."""
+    """Add `predicted_growth`: the mean over all trees. Every task that scores gets them."""
+    if forest.nodes * _NODE_BYTES > forest.model_mb << 20:
+        raise ValueError(f"forest of {forest.nodes} nodes is over {forest.model_mb} MB")
     scored = forest.model.setPredictionCol("predicted_growth").transform(_assembled(test, spec))
     return scored.selectExpr(
-        "*", f"int({spec.time}) as test_year", "'random_forest' as model_name"
+        "*", f"int({quoted(spec.time)}) as test_year", "'random_forest' as model_name"
     ).drop("_features")
 
 
@@ -249,9 +295,10 @@ def forest_rolling(
     A table partitioned by time makes each fold read its own years only.
     """
     tests = sorted(training_rows)
-    sets = [(complete.filter(f"{spec.time} < {t}"), training_rows[t]) for t in tests]
+    time = quoted(spec.time)
+    sets = [(complete.filter(f"{time} < {t}"), training_rows[t]) for t in tests]
     scored = [
-        predict_forest(forest, complete.filter(f"{spec.time} = {t}"), spec)
+        predict_forest(forest, complete.filter(f"{time} = {t}"), spec)
         for t, forest in zip(tests, fit_forests(sets, spec, params))
     ]
     return reduce(DataFrame.unionByName, scored)
@@ -264,3 +311,9 @@ def feature_importance(
     rows = list(zip(spec.features, forest.importances))
     listed = spark.createDataFrame(rows, "feature string, importance double")
     return listed.orderBy(F.desc("importance"), "feature").limit(top)
+
+
+def importance_lines(ranked: DataFrame) -> DataFrame:
+    """(ordinal, line): ranked importances as text."""
+    place = "row_number() over (order by importance desc, feature) as ordinal"
+    return ranked.selectExpr(place, "format_string('%s: %.6f', feature, importance) as line")

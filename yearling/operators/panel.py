@@ -88,11 +88,14 @@ def nan_as_null(df: DataFrame) -> DataFrame:
 
 def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with no missing value (NULL or NaN) in `columns`."""
-    return df.na.drop(subset=columns)
+    kinds = dict(df.dtypes)
+    known = [f"{quoted(c)} is not null" for c in columns]
+    known += [f"not isnan({quoted(c)})" for c in columns if kinds[c] in ("double", "float")]
+    return df.filter(" and ".join(known)) if known else df
 
 
 def known_target(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    return df.na.drop(subset=[spec.target])
+    return complete_rows(df, [spec.target])
 
 
 def time_split(df: DataFrame, time: str, train_until: int, test_at: int) -> DataFrame:

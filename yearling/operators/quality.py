@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearling.functions.names import quoted, text
 from yearling.operators.panel import nan_as_null
 
 
@@ -21,43 +22,44 @@ class RowCheck:
 
 
 def not_missing(column: str) -> RowCheck:
-    return RowCheck(f"{column}_not_missing", f"`{column}` is null")
+    return RowCheck(f"{column}_not_missing", f"{quoted(column)} is null")
 
 
 def positive(column: str) -> RowCheck:
-    return RowCheck(f"{column}_positive", f"`{column}` <= 0")
+    return RowCheck(f"{column}_positive", f"{quoted(column)} <= 0")
 
 
 def percentage(column: str) -> RowCheck:
     """Outside 0 to 100, or missing."""
-    return RowCheck(f"{column}_range", f"not coalesce(`{column}` between 0 and 100, false)")
+    return RowCheck(f"{column}_range", f"not coalesce({quoted(column)} between 0 and 100, false)")
 
 
 def parts_within(name: str, parts: list[str], whole: str) -> RowCheck:
     """No part alone exceeds the whole."""
-    return RowCheck(name, " or ".join(f"`{p}` > `{whole}`" for p in parts))
+    return RowCheck(name, " or ".join(f"{quoted(p)} > {quoted(whole)}" for p in parts))
 
 
 def reconcile(name: str, parts: list[str], whole: str) -> RowCheck:
     """The parts add up to the whole; a missing value is a mismatch."""
-    added = " + ".join(f"`{p}`" for p in parts)
-    return RowCheck(name, f"coalesce({added} <> `{whole}`, true)")
+    added = " + ".join(map(quoted, parts))
+    return RowCheck(name, f"coalesce({added} <> {quoted(whole)}, true)")
 
 
 def rederived(name: str, formula: str, column: str) -> RowCheck:
     """A formula gives the stored column again; a missing value is a mismatch."""
-    return RowCheck(name, f"coalesce(({formula}) <> `{column}`, true)")
+    return RowCheck(name, f"coalesce(({formula}) <> {quoted(column)}, true)")
 
 
 def chain(name: str, columns: list[str]) -> RowCheck:
     """0 <= each column <= the next one; the last column bounds, unchecked."""
-    steps = [f"`{a}` < 0 or `{a}` > `{b}`" for a, b in zip(columns, columns[1:])]
+    columns = list(map(quoted, columns))
+    steps = [f"{a} < 0 or {a} > {b}" for a, b in zip(columns, columns[1:])]
     return RowCheck(name, " or ".join(steps))
 
 
 def row_check_counts(df: DataFrame, batch: str, checks: list[RowCheck]) -> DataFrame:
     """One row per batch: `rows` and one count per check, from a single pass."""
-    wanted = ["count(*) as rows", *[f"count_if({c.bad}) as `{c.name}`" for c in checks]]
+    wanted = ["count(*) as rows", *[f"count_if({c.bad}) as {quoted(c.name)}" for c in checks]]
     return nan_as_null(df).groupBy(batch).agg(*[F.expr(w) for w in wanted])
 
 
@@ -95,17 +97,17 @@ def report(
         if isinstance(batches, DataFrame):
             listed = batches.select(F.col(batch).cast(kind)).distinct()
         else:
-            listed = df.sparkSession.createDataFrame([(b,) for b in batches], f"{batch} {kind}")
+            listed = df.sparkSession.createDataFrame([(b,) for b in batches], f"{quoted(batch)} {kind}")
         counts = listed.join(counts, batch, "full")
         counts = counts.na.fill(0, subset=["rows", *[c.name for c in checks]])
-    entries = [f"struct('{c.name}' as check_name, `{c.name}` as violations)" for c in checks]
+    entries = [f"struct({text(c.name)} as check_name, {quoted(c.name)} as violations)" for c in checks]
     if expected_rows is not None:
         entries.insert(0, f"struct('row_count' as check_name, abs(rows - {expected_rows}) as violations)")
     long = counts.selectExpr(
-        f"`{batch}` as batch", f"inline(array({', '.join(entries)})) as (check_name, violations)"
+        f"{quoted(batch)} as batch", f"inline(array({', '.join(entries)})) as (check_name, violations)"
     )
     unique = duplicate_counts(df, batch, key).selectExpr(
-        f"`{batch}` as batch", "'unique_key' as check_name", "duplicates as violations"
+        f"{quoted(batch)} as batch", "'unique_key' as check_name", "duplicates as violations"
     )
     return long.unionByName(unique).selectExpr("*", "violations = 0 as passed")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearling.functions.names import quoted
 from yearling.sources.staging import staged
 
 # Fixed monotone code: ln(size) * 2^30 as a whole number, lifted above zero.
@@ -26,8 +27,9 @@ def exact_median(df: DataFrame, by: list[str], value: str, name: str) -> DataFra
     `df` is read once per step: give a stored table. The bins kept by a step are
     stored too, so Spark knows their size when it picks the join.
     """
-    values = df.filter(f"`{value}` is not null and not isnan(`{value}`)").selectExpr(
-        *[f"`{c}`" for c in by], f"double(`{value}`) as _v"
+    value = quoted(value)
+    values = df.filter(f"{value} is not null and not isnan({value})").selectExpr(
+        *map(quoted, by), f"double({value}) as _v"
     )
     kept = _middle(values.selectExpr("*", f"{_BINS[0]} as _bin"), by, [])
     for wider, finer in zip(_BINS, _BINS[1:]):
@@ -37,7 +39,7 @@ def exact_median(df: DataFrame, by: list[str], value: str, name: str) -> DataFra
             inside.drop("_bin").selectExpr("*", f"{finer} as _bin"), by, ["_lo", "_hi"]
         )
     low, high = [f"max(_bin) filter (where {_covers(r)})" for r in ("_lo", "_hi")]
-    return kept.groupBy(*by).agg(F.expr(f"({low} + {high}) / 2 as `{name}`"))
+    return kept.groupBy(*by).agg(F.expr(f"({low} + {high}) / 2 as {quoted(name)}"))
 
 
 def _covers(rank: str) -> str:
@@ -46,12 +48,12 @@ def _covers(rank: str) -> str:
 
 def _middle(values: DataFrame, by: list[str], held: list[str]) -> DataFrame:
     """Bins holding a middle rank, with both ranks counted from the bin's start."""
-    group = ", ".join([*[f"`{c}`" for c in by], *held])
+    group = ", ".join([*map(quoted, by), *held])
     bins = values.groupBy(*by, *held, "_bin").agg(F.expr("count(*) as _rows"))
     before = f"sum(_rows) over (partition by {group} order by _bin) - _rows"
     size = f"sum(_rows) over (partition by {group})"
     ranks = held or [f"floor(({size} - 1) / 2)", f"floor({size} / 2)"]
     left = [f"{rank} - ({before}) as {n}" for rank, n in zip(ranks, ("_lo", "_hi"))]
-    return bins.selectExpr(*[f"`{c}`" for c in by], "_bin", "_rows", *left).filter(
+    return bins.selectExpr(*map(quoted, by), "_bin", "_rows", *left).filter(
         f"({_covers('_lo')}) or ({_covers('_hi')})"
     )

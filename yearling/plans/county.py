@@ -224,6 +224,20 @@ def with_sums_or_problem(main: DataFrame) -> DataFrame:
     return added.selectExpr(*others, f"coalesce(problem, {', '.join(tried)}) as problem")
 
 
+def whole_or_problem(cells: DataFrame) -> DataFrame:
+    """A row with a fraction where the table has a whole number says so in `problem`:
+    as a whole number it would be lost without a trace."""
+    kinds = {f.name: f.dataType.simpleString() for f in COUNTY_YEAR}
+    lost = [
+        f"if({lenient_double(c)} is not null and {lenient_long(c)} is null,"
+        f" concat('{c}: not a whole number: ', {c}), null)"
+        for c in cells.columns
+        if kinds.get(c) == "bigint" and c in {*MAIN_CELLS, *MOBILITY_CELLS}
+    ]
+    others = [c for c in cells.columns if c != "problem"]
+    return cells.selectExpr(*others, f"coalesce(problem, {', '.join(lost)}) as problem")
+
+
 @dataclass(frozen=True)
 class CountySources:
     """`records` of the sound documents, and `problems` of the others: (year, state, source,
@@ -239,13 +253,10 @@ def county_sources(main_documents: DataFrame, mobility_documents: DataFrame) ->
     Cells are stored, so that records and problems come from one parse of each document.
     """
     keep = ["year", "state"]
-    main = staged(
-        with_sums_or_problem(unpack_or_tell(main_documents, "value", _ALL_MAIN, keep)),
-        "main-cells",
-    )
-    mobility = staged(
-        unpack_or_tell(mobility_documents, "value", _ALL_MOBILITY, keep), "mobility-cells"
-    )
+    main = unpack_or_tell(main_documents, "value", _ALL_MAIN, keep)
+    main = staged(whole_or_problem(with_sums_or_problem(main)), "main-cells")
+    mobility = unpack_or_tell(mobility_documents, "value", _ALL_MOBILITY, keep)
+    mobility = staged(whole_or_problem(mobility), "mobility-cells")
     told = [
         cells.filter("problem is not null")
         .groupBy("year", "state")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from yearling.functions.names import quoted
 from yearling.operators import evaluation as ev
 from yearling.operators import models
 from yearling.operators.folds import expanding_folds
@@ -20,7 +21,8 @@ PERSISTENCE = "persistence_baseline"
 def model_table(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """Complete rows of the model columns, stored by time for the many passes."""
     require_columns(panel, spec.model_columns)
-    wanted = panel.select(*dict.fromkeys([*spec.model_columns, spec.value, spec.past]))
+    names = dict.fromkeys([*spec.model_columns, spec.value, spec.past])
+    wanted = panel.select(*map(quoted, names))
     ready = complete_rows(wanted, [*spec.features, spec.target])
     return staged(ready, "model-table", [spec.time])
 
@@ -33,8 +35,8 @@ def run_persistence(
     notes: str = "last known growth carried forward",
 ) -> int:
     """Evaluate and record the persistence forecast; returns the run id."""
-    scored = ev.persistence_rows(panel, spec).filter(F.col(spec.time).isin(test_times))
-    scored = scored.selectExpr("*", f"int({spec.time}) as test_year")
+    scored = ev.persistence_rows(panel, spec).filter(F.col(quoted(spec.time)).isin(test_times))
+    scored = scored.selectExpr("*", f"int({quoted(spec.time)}) as test_year")
     folds = ev.persistence_metrics(panel, spec, test_times)
     return registry.record(PERSISTENCE, notes, test_times, folds, scored, spec)
 
@@ -81,13 +83,13 @@ def rolling_comparison(
         raise ValueError("no fold has both training and test rows")
     usable = sorted(sizes)
     forest = models.forest_rolling(table, spec, sizes, params)
-    tests = table.filter(F.col(spec.time).isin(usable))
+    tests = table.filter(F.col(quoted(spec.time)).isin(usable))
     baseline = tests.selectExpr(
         "*",
-        f"int({spec.time}) as test_year",
-        f"{spec.past} as predicted_growth",
+        f"int({quoted(spec.time)}) as test_year",
+        f"{quoted(spec.past)} as predicted_growth",
         f"'{PERSISTENCE}' as model_name",
     )
-    both = forest.select(*baseline.columns).unionByName(baseline)
+    both = forest.select(*map(quoted, baseline.columns)).unionByName(baseline)
     rows = ev.scored_metrics(both, folds, spec)
     return ev.comparison(rows, {PERSISTENCE: "baseline", "random_forest": "rf"})

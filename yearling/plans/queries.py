@@ -38,7 +38,7 @@ from yearling.plans.order_activity import (
     table,
     yearly_orders,
 )
-from yearling.schemas import COUNTY_YEAR
+from yearling.schemas import ACTUAL_VS_PREDICTED, COUNTY_YEAR
 from yearling.sources.matrix import parse_matrix, read_documents, unpack, unpack_lines
 from yearling.sources.staging import fresh_path, staged
 from yearling.sources.tables import append, create_table, create_table_like, update_by_key
@@ -503,16 +503,8 @@ def run_registry(spark: SparkSession, sf: str) -> DataFrame:
     forecast.run_persistence(panel, SPEC, TEST_YEARS[:2], registry)
     forecast.run_persistence(panel, SPEC, TEST_YEARS, registry)
     latest = runs.current_run_id(registry.runs(), forecast.PERSISTENCE)
-    run = registry.runs().join(latest, "run_id").selectExpr(
-        "run_id",
-        "feature_start_year",
-        "feature_end_year",
-        "test_start_year",
-        "test_end_year",
-        "training_rows as run_training_rows",
-        "test_rows as run_test_rows",
-        "notes",
-    )
+    counts = {"training_rows": "run_training_rows", "test_rows": "run_test_rows"}
+    run = registry.runs().join(latest, "run_id").drop("model_name").withColumnsRenamed(counts)
     return rounded(registry.metrics().join(run, "run_id"))
 
 
@@ -649,19 +641,8 @@ def linear_rolling(spark: SparkSession, sf: str) -> DataFrame:
 
 def forest_single_split(spark: SparkSession, sf: str) -> DataFrame:
     _, scored = forecast.forest_split(place_panel(spark, sf), SPEC, 1998, 1999, FOREST)
-    return scored.selectExpr(
-        "location_id",
-        "county_name",
-        "feature_year",
-        "population",
-        SPEC.target,
-        "predicted_growth as predicted_growth_1yr",
-        "predicted_population",
-        "actual_population",
-        "population_error",
-        "population_error_pct",
-        "prediction_error",
-    )
+    named = scored.withColumnRenamed("predicted_growth", "predicted_growth_1yr")
+    return named.select(*ACTUAL_VS_PREDICTED)
 
 
 def forest_error_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -708,6 +689,53 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return ev.comparison_averages(forest_rolling(spark, sf))
 
 
+def _known_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """The place panel with growth that follows from one feature: every tree splits there,
+    once, and both its leaves are pure. So all a forest gives is known."""
+    odd = "population % 2 = 1"
+    return place_panel(spark, sf).selectExpr(
+        "location_id",
+        "county_name",
+        "feature_year",
+        "population",
+        f"double(if({odd}, 1, 0)) as is_odd",
+        "pct_weekend",
+        SPEC.past,
+        f"if({SPEC.target} is null, null, if({odd}, 0.25D, -0.125D)) as {SPEC.target}",
+    )
+
+
+KNOWN = SPEC.with_features("pct_weekend", SPEC.past, "is_odd")
+
+
+def forest_known_split(spark: SparkSession, sf: str) -> DataFrame:
+    _, scored = forecast.forest_split(_known_panel(spark, sf), KNOWN, 1998, 1999, FOREST)
+    named = scored.withColumnRenamed("predicted_growth", "predicted_growth_1yr")
+    return rounded(named.select(*ACTUAL_VS_PREDICTED))
+
+
+def forest_known_importance(spark: SparkSession, sf: str) -> DataFrame:
+    forest, _ = forecast.forest_split(_known_panel(spark, sf), KNOWN, 1998, 1999, FOREST)
+    ranked = models.feature_importance(forest, KNOWN, spark, top=15)
+    return models.importance_lines(ranked)
+
+
+def comparison_known(spark: SparkSession, sf: str) -> DataFrame:
+    """Persistence beside a forest that is known, averaged over the folds."""
+    wide = forecast.rolling_comparison(_known_panel(spark, sf), KNOWN, TEST_YEARS, FOREST)
+    return rounded(ev.comparison_averages(wide))
+
+
+def comparison_lines(spark: SparkSession, sf: str) -> DataFrame:
+    wide = forecast.rolling_comparison(_known_panel(spark, sf), KNOWN, TEST_YEARS, FOREST)
+    return ev.comparison_lines(wide, ["baseline", "rf"])
+
+
+def summary_lines(spark: SparkSession, sf: str) -> DataFrame:
+    panel = place_panel(spark, sf, by_segment=False)
+    return ev.summary_lines(ev.persistence_metrics(panel, SPEC, TEST_YEARS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rolling_persistence_eval": rolling_persistence_eval,
     "customer_persistence_eval": customer_persistence_eval,
@@ -723,6 +751,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "median_price": median_price,
     "fold_averages": fold_averages,
     "fold_lines": fold_lines,
+    "summary_lines": summary_lines,
     "target_range": target_range,
     "matrix_unpack": matrix_unpack,
     "matrix_scan": matrix_scan,
@@ -769,4 +798,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forest_rolling": forest_rolling,
     "forest_facts": forest_facts,
     "model_comparison": model_comparison,
+    "forest_known_split": forest_known_split,
+    "forest_known_importance": forest_known_importance,
+    "comparison_known": comparison_known,
+    "comparison_lines": comparison_lines,
 }

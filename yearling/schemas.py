@@ -111,3 +111,18 @@ PREDICTIONS = _table(
         ("predicted_growth", _DOUBLE),
     ]
 )
+
+# The columns of a forecast beside what happened.
+ACTUAL_VS_PREDICTED = [
+    "location_id",
+    "county_name",
+    "feature_year",
+    "population",
+    "future_growth_1yr",
+    "predicted_growth_1yr",
+    "predicted_population",
+    "actual_population",
+    "population_error",
+    "population_error_pct",
+    "prediction_error",
+]

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from yearling.functions.names import quoted
+
 
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir` of the session.
@@ -51,4 +53,4 @@ def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     Without it every task adds a file to every folder. AQE splits a value that
     holds many of the rows and joins small ones.
     """
-    return df.hint("rebalance", *partition_by)
+    return df.hint("rebalance", *map(quoted, partition_by))
