@@ -65,7 +65,7 @@ def test_exact_passages_equal_brute_force(table):
     texts |= {200: texts[7], 201: texts[7].upper(), 202: None, 203: "", 204: prose(1, 49)}
     found = repeated_passages(table(texts).repartition(4)).collect()
     assert covered(found, texts) == repeats(texts)
-    assert all(r.match_id < r.doc_id and r.match_id == min(r.match_ids) for r in found)
+    assert all(r.match_id < r.doc_id for r in found)
 
 
 def test_a_passage_in_a_third_of_all_texts(table, monkeypatch):
@@ -147,8 +147,8 @@ def test_similar_to_two_that_are_not_similar(table):
     texts = {1: " ".join(first), 2: " ".join(w), 3: " ".join(third)}
     texts = {i: f"{prose(i, 40)} {t} {prose(60 + i, 40)}" for i, t in texts.items()}
     found = {r.doc_id: r for r in repeated_passages(table(texts)).collect()}
-    assert 2 in found[3].match_ids
-    assert found[3].n_words >= 50
+    assert (found[2].match_id, found[3].match_id) == (1, 2)
+    assert found[2].n_words >= 50 and found[3].n_words >= 50
 
 
 @pytest.mark.parametrize("n", [50, 55, 60])

@@ -4,39 +4,60 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.window import Window
 
 from yearling.llm.filters import perhaps_in
-from yearling.llm.text import id_and_bytes, mix, per_row, shingle_hashes, word_hashes, words
+from yearling.llm.text import (
+    id_and_bytes,
+    mix,
+    per_row,
+    shingle_hashes,
+    tuples,
+    word_hashes,
+    words,
+)
 from yearling.sources.staging import staged
 
 #: Words of a shingle; similarity of two passages, in percent, of their distinct shingles.
 SHINGLE, PERCENT = 5, 80
 
 #: Hash functions. Passages of one length share a min-hash of one with at least the
-#: chance of their similarity; exact ones share all. At 0.8, six miss 1 in 15,000.
-HASHES = 6
+#: chance of their similarity; exact ones share all. At 0.8, five miss 1 in 3,000.
+HASHES = 5
 
-#: Bits of a run's hash; three fill a number. Runs that agree by accident are compared.
-RUN_BITS = 21
+#: Shingles of a run at a centre that must agree too. Two similar passages of the least
+#: width differ in one word at most, so a centre has such a run on one of its sides.
+RUN = 11
 
-#: Members of a bucket that one task compares with each other.
+#: Earlier documents of a bucket that a window is compared with, round by round; what no
+#: round resolves is compared with all.
+ROUNDS = (1, 5, 21)
+
+#: Members of a bucket that one task compares with each other in the end.
 BLOCK = 256
 
+#: Bytes of text that are looked at together.
+STEP = 1 << 20
+
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def centres_of(values: np.ndarray, width: int) -> np.ndarray:
+def centres_of(
+    values: np.ndarray, width: int, starts: np.ndarray | None = None, rows: np.ndarray | None = None
+) -> np.ndarray:
     """Places of the least values of all runs of `width`: one for each run, at least.
 
-    Of equal values in a run the first counts, but in a row of equal ones only as many
-    are kept as every run needs. The place fills the low bits of a value, so that one
+    `starts` are the runs that count (all, if not given), and `rows` tells the text of each
+    place. Of equal values in a run the first counts, but in a row of equal ones only as
+    many are kept as every run needs. The place fills the low bits of a value, so that one
     minimum by doubling finds both.
     """
     n = len(values)
@@ -49,12 +70,18 @@ def centres_of(values: np.ndarray, width: int) -> np.ndarray:
         span *= 2
     if span < width:
         least = np.minimum(least[: n - width + 1], least[width - span :][: n - width + 1])
+    if starts is not None:
+        least = least[starts]
+        if not len(least):
+            return np.empty(0, np.int64)
     places = (least & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
     places = places[np.concatenate(([True], places[1:] != places[:-1]))]
     tied = (values[places[1:]] == values[places[:-1]]) & (np.diff(places) < width)
+    if rows is not None:
+        tied &= rows[places[1:]] == rows[places[:-1]]
     if not tied.any():
         return places
-    kept, last = [], -1
+    kept, last = [], -width
     for i, place in enumerate(places.tolist()):
         follows = i > 0 and tied[i - 1]
         leads = i < len(tied) and tied[i]
@@ -65,94 +92,157 @@ def centres_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.array(kept, np.int64)
 
 
-def compact_windows(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compact_windows(
+    values: np.ndarray,
+    width: int,
+    starts: np.ndarray | None = None,
+    rows: np.ndarray | None = None,
+    ends: tuple[np.ndarray, np.ndarray] | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Left ends, centres and right ends (inclusive) of the compact windows.
 
     In every subsequence that contains the centre and lies in the window, the centre has
-    the least value; every subsequence of at least `width` values lies in such a window.
-    The windows are nodes of the Cartesian tree that span at least `width`. Such a node
-    is the minimum of some run of `width`, and what bounds it is one too; so only minima
-    of runs, a share of 2 in `width`, are put on the stack. Equal values do not bound
-    each other.
+    the least value; every subsequence of `width` values lies in such a window with its
+    centre. The windows are nodes of the Cartesian tree over the values, as far as a
+    subsequence of `width` around the centre can reach: a node ends before the next
+    smaller value on either side. That is a centre too, so only centres, a share of 2 in
+    `width`, are compared. Equal values do not bound each other. For values of several
+    texts end to end, `ends` has the first and last place of each of the `rows`.
     """
-    centres = centres_of(values, width)
-    lefts = np.zeros(len(centres), np.int64)
-    rights = np.full(len(centres), len(values) - 1, np.int64)
-    own, stack = values[centres].tolist(), []
-    for i, c in enumerate(centres.tolist()):
-        while stack and own[stack[-1]] > own[i]:
-            rights[stack.pop()] = c - 1
-        if stack:
-            top = stack[-1]
-            lefts[i] = lefts[top] if own[top] == own[i] else centres[top] + 1
-        stack.append(i)
+    centres = centres_of(values, width, starts, rows)
+    row = np.zeros(len(centres), np.int64) if rows is None else rows[centres]
+    first, last = ends if ends else (np.zeros(1, np.int64), np.array([len(values) - 1]))
+    lefts = np.maximum(centres - width + 1, first[row])
+    rights = np.minimum(centres + width - 1, last[row])
+    own = values[centres]
+    for j in range(1, len(centres)):
+        a, b = centres[:-j], centres[j:]
+        near = (b - a < width) & (row[:-j] == row[j:])
+        if not near.any():
+            break
+        hit = np.flatnonzero(near & (own[:-j] < own[j:]))
+        lefts[hit + j] = np.maximum(lefts[hit + j], a[hit] + 1)
+        hit = np.flatnonzero(near & (own[j:] < own[:-j]))
+        rights[hit] = np.minimum(rights[hit], b[hit] - 1)
     return lefts, centres, rights
 
 
+def text_id(doc_id: int, key: bytes) -> int:
+    """A number for a document's text: rows of one id may have different texts."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(b"%d:" % doc_id + key)).view(np.int64))
+
+
+def text_key(ws: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(ws))
+
+
+_SKETCH = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("text_id", pa.int64()),
+        ("n_words", pa.int32()),
+        ("text_key", pa.binary()),
+        ("buckets", pa.list_(pa.int64())),
+        ("centres", pa.list_(pa.int32())),
+        ("reaches", pa.list_(pa.int32())),
+        ("runs", pa.list_(pa.int64())),
+    ]
+)
+
+
 class Passages:
     """Settings shared by the steps."""
 
     def __init__(self, min_words: int, shingle: int, percent: int, hashes: int):
         self.shingle, self.percent, self.hashes = shingle, percent, hashes
+        self.min_words = min_words
         #: Shingles of the shortest passage.
         self.width = min_words - shingle + 1
-        # Two similar passages of this width lose at most so many shingles, and a word
-        # that differs takes `shingle` of them: so long is the shortest longest run.
-        lost = self.width - -(-2 * self.width * percent // (100 + percent))
-        longest = (self.width - lost) // (1 + -(-lost // shingle))
-        #: Shingles of a run that must agree, and where it may start from the centre: so
-        #: short that nearly every centre between two differences has one of these runs.
-        self.run = max(1, 3 * longest // 10)
-        self.starts = (1 - self.run, -(self.run // 2), 0)
-
-    def shingles(self, raw: bytes | None) -> np.ndarray:
-        return shingle_hashes(word_hashes(words(raw)), self.shingle)
-
-    def values(self, shingles: np.ndarray) -> Iterator[tuple[np.uint64, np.ndarray]]:
-        for k in range(self.hashes):
-            yield np.uint64(k), mix(shingles ^ _SEEDS[k])
+        #: Equal places of two runs of the least width, if these are similar enough.
+        self.least = -(-2 * self.width * percent // (100 + percent))
+        self.run = min(RUN, max(1, self.least // 3))
 
 
 class Sketch(Passages):
     """For each text: a key of its words, and its windows: the bucket of the least value,
-    the centre, and hashes of the runs around it."""
-
-    def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+    the centre, how far the window reaches on both sides, and hashes of the runs that end
+    and start at the centre. Many texts are looked at together, end to end."""
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in tuples(batches):
+            held.append(row)
+            size += len(row[1] or b"")
+            if size >= STEP or len(held) >= 4096:
+                yield self.sketched(held)
+                held, size = [], 0
+        if held:
+            yield self.sketched(held)
+        pa.default_memory_pool().release_unused()
+
+    def sketched(self, rows: list[tuple]) -> pa.RecordBatch:
+        ids, keys, sizes, flat, lengths = [], [], [], [], []
         for doc_id, raw in rows:
             ws = words(raw)
-            key = xxhash.xxh3_128_digest(b" ".join(ws))
-            if len(ws) < self.width + self.shingle - 1:
-                yield doc_id, len(ws), key, None, None, None
-                continue
-            shingles = shingle_hashes(word_hashes(ws), self.shingle)
-            keys, centres, runs = [], [], []
-            hashes = self._runs(shingles)
-            own = np.uint64(xxhash.xxh3_64_intdigest(f"{doc_id}"))
-            for k, values in self.values(shingles):
-                centre = centres_of(values, self.width)
-                keys.append(mix(values[centre] + k))
-                centres.append(centre)
+            key = text_key(ws)
+            ids.append(text_id(doc_id, key))
+            keys.append(key)
+            sizes.append(len(ws))
+            long = len(ws) >= self.min_words
+            lengths.append(len(ws) if long else 0)
+            if long:
+                flat += ws
+        found = self.windows(word_hashes(flat), np.array(lengths, np.int64), ids)
+        order = np.argsort(found[0], kind="stable")
+        offsets = np.searchsorted(found[0][order], np.arange(len(rows) + 1)).astype(np.int32)
+        lists = [
+            pa.ListArray.from_arrays(offsets, pa.array(c[order].astype(kind)))
+            for c, kind in zip(found[1:], (np.int64, np.int32, np.int32, np.int64), strict=True)
+        ]
+        columns = [[r[0] for r in rows], ids, sizes, keys]
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, _SKETCH, strict=False)]
+        return pa.RecordBatch.from_arrays([*arrays, *lists], schema=_SKETCH)
+
+    def windows(self, hashes: np.ndarray, lengths: np.ndarray, ids: list[int]) -> list[np.ndarray]:
+        """Row, bucket, centre, reach and runs of all windows of texts that lie end to end."""
+        if not len(hashes):
+            return [np.empty(0, np.int64) for _ in range(5)]
+        shingles = shingle_hashes(hashes, self.shingle)
+        first = np.cumsum(lengths) - lengths
+        last = first + lengths - self.shingle
+        rows = np.repeat(np.arange(len(lengths)), lengths)[: len(shingles)]
+        place = np.arange(len(shingles))
+        starts = np.flatnonzero(place + self.width - 1 <= last[rows])
+        runs = self.run_hashes(shingles)
+        alone = mix(np.array(ids, np.int64).view(np.uint64))
+        out: list[list[np.ndarray]] = [[] for _ in range(5)]
+        for k in range(self.hashes):
+            values = mix(shingles ^ _SEEDS[k])
+            lefts, centres, rights = compact_windows(
+                values, self.width, starts, rows, (first, last)
+            )
+            row = rows[centres]
+            packed = np.zeros(len(centres), np.uint64)
+            for i, start in enumerate((1 - self.run, 0)):
+                at = centres + start
+                whole = (at >= first[row]) & (at + self.run - 1 <= last[row])
                 # A run that the end of the text cuts off agrees with no other.
-                alone = mix(values[centre] ^ own)
-                packed = np.zeros(len(centre), np.uint64)
-                for i, start in enumerate(self.starts):
-                    at = centre + start
-                    whole = (at >= 0) & (at < len(hashes))
-                    run = np.where(
-                        whole, hashes[np.clip(at, 0, len(hashes) - 1)], alone + np.uint64(i)
-                    )
-                    packed = packed << np.uint64(RUN_BITS) | run >> np.uint64(64 - RUN_BITS)
-                runs.append(packed)
-            yield (
-                doc_id,
-                len(ws),
-                key,
-                np.concatenate(keys).view(np.int64).tolist(),
-                np.concatenate(centres).tolist(),
-                np.concatenate(runs).view(np.int64).tolist(),
+                none = mix(alone[row] + centres.astype(np.uint64) + np.uint64(i))
+                run = np.where(whole, runs[np.clip(at, 0, len(runs) - 1)], none)
+                packed = packed << np.uint64(32) | run >> np.uint64(32)
+            reach = (k << 20) | ((centres - lefts) << 10) | (rights - centres)
+            parts = (
+                row,
+                mix(values[centres] + np.uint64(k)).view(np.int64),
+                centres - first[row],
+                reach,
+                packed.view(np.int64),
             )
+            for part, to in zip(parts, out, strict=True):
+                to.append(part)
+        return [np.concatenate(c) for c in out]
 
-    def _runs(self, shingles: np.ndarray) -> np.ndarray:
+    def run_hashes(self, shingles: np.ndarray) -> np.ndarray:
         """Hash of the run that starts at each place, put together from halves."""
         n = len(shingles) - self.run + 1
         out, done, part, span = np.zeros(n, np.uint64), 0, shingles, 1
@@ -166,307 +256,170 @@ class Sketch(Passages):
             part = mix(part[: -(span // 2)] * _SEEDS[0] + part[span // 2 :])
 
 
-class Contexts(Passages):
-    """For each wanted centre of a text: the shingles around it, as far as a passage of
-    the least width with this centre can reach within its compact window. Equal ones of a
-    text are one row with all their centres."""
+class Chains(Passages):
+    """Interval join of two texts' windows: a row for each part in which windows with the
+    same least hash follow each other.
+
+    Two such pairs of windows support one passage if, in both texts, some run of the least
+    width lies in both windows and has both centres. Pairs of one hash or several that do
+    are one part, as far as their windows reach.
+    """
+
+    def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        for text, doc_id, hub, hub_doc, seeds in rows:
+            pairs = sorted(
+                {
+                    (*self.interval(s["centre"], s["reach"]),
+                     *self.interval(s["hub_centre"], s["hub_reach"]),
+                     s["reach"] >> 20)
+                    for s in seeds
+                }
+            )
+            for x, y, hashes in self.parts(pairs):
+                yield text, doc_id, hub, hub_doc, *x, *y, hashes
+
+    def interval(self, centre: int, reach: int) -> tuple[int, int, int]:
+        return centre, centre - (reach >> 10 & 1023), centre + (reach & 1023)
+
+    def joined(self, a: tuple, b: tuple) -> bool:
+        for at in (0, 3):
+            low, high = max(a[at + 1], b[at + 1]), min(a[at + 2], b[at + 2])
+            if min(a[at], b[at]) < low or max(a[at], b[at]) > high or high - low + 1 < self.width:
+                return False
+        return True
+
+    def parts(self, pairs: list[tuple]) -> Iterator[tuple]:
+        up = list(range(len(pairs)))
+
+        def find(i: int) -> int:
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        # In the order of centres only the next few can reach a window.
+        for i, a in enumerate(pairs):
+            for j in range(i + 1, len(pairs)):
+                if pairs[j][0] > a[2]:
+                    break
+                if find(i) != find(j) and self.joined(a, pairs[j]):
+                    up[find(j)] = find(i)
+        parts: dict[int, list[tuple]] = {}
+        for i, p in enumerate(pairs):
+            parts.setdefault(find(i), []).append(p)
+        for members in parts.values():
+            x = min(m[1] for m in members), max(m[2] for m in members)
+            y = min(m[4] for m in members), max(m[5] for m in members)
+            yield x, y, len({m[6] for m in members})
+
+
+class Blobs(Passages):
+    """The shingles of a text from one place to another, as bytes of 32 bits each."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, raw, wanted in rows:
-            shingles = self.shingles(raw)
-            short = shingles.astype(np.uint32)
-            bounds = {}
-            for k, values in self.values(shingles):
-                left, centre, right = compact_windows(values, self.width)
-                keys = mix(values[centre] + k).view(np.int64)
-                for key, a, c, b in zip(
-                    keys.tolist(), left.tolist(), centre.tolist(), right.tolist(), strict=True
-                ):
-                    bounds[key, c] = a, b
-            places: dict[tuple, list[int]] = {}
-            for own in sorted(wanted, key=lambda own: own["centre"]):
-                c = own["centre"]
-                if (own["bucket"], c) not in bounds:  # another text with the same id
-                    continue
-                a, b = bounds[own["bucket"], c]
-                a, b = max(a, c - self.width + 1), min(b, c + self.width - 1)
-                key = own["bucket"], c - a, short[a : b + 1].tobytes()
-                places.setdefault(key, []).append(c)
-            for (bucket, before, context), centres in places.items():
-                yield bucket, doc_id, centres, before, context
-
-
-class Member:
-    """A centre with its context, and all places of the document where this stands."""
-
-    def __init__(self, doc_id: int, centres: list[int], before: int, context: bytes):
-        self.doc_id, self.centres, self.before = doc_id, centres, before
-        self.centre = centres[0]
-        self.context = context
-        self.shingles = np.frombuffer(context, np.uint32)
-        self._variety: np.ndarray | None = None
-
-    def everywhere(self, span: tuple[int, int]) -> Iterator[tuple[int, int]]:
-        """The span at each place."""
-        for c in self.centres:
-            yield span[0] + c - self.centre, span[1] + c - self.centre
-
-    @cached_property
-    def distinct(self) -> frozenset[int]:
-        return frozenset(self.shingles.tolist())
-
-    @cached_property
-    def plain(self) -> bool:
-        """Whether no shingle occurs twice."""
-        return len(self.distinct) == len(self.shingles)
-
-    def variety(self, width: int) -> np.ndarray:
-        """Distinct shingles of every run of `width`."""
-        if self._variety is None:
-            size = len(self.shingles)
-            starts = np.arange(max(1, size - width + 1))
-            if self.plain:
-                self._variety = np.full(len(starts), min(width, size))
-            else:
-                # A place counts in a run if its shingle was last seen before the run.
-                order = np.argsort(self.shingles, kind="stable")
-                again = self.shingles[order[1:]] == self.shingles[order[:-1]]
-                seen = np.full(size, -1)
-                seen[order[1:][again]] = order[:-1][again]
-                first = np.zeros((len(starts), size + 1), np.int64)
-                np.cumsum(seen[None, :] < starts[:, None], axis=1, out=first[:, 1:])
-                ends = np.minimum(starts + width, size)
-                self._variety = first[starts, ends] - first[starts, starts]
-        return self._variety
-
-
-class Compare(Passages):
-    def __init__(self, *settings):
-        super().__init__(*settings)
-        #: Equal places of two runs of the least width, if these are similar enough.
-        self.least = -(-2 * self.width * self.percent // (100 + self.percent))
+            ws = words(raw)
+            own = text_id(doc_id, text_key(ws))
+            for w in wanted:
+                if w["text_id"] == own:
+                    some = ws[w["low"] : w["high"] + self.shingle]
+                    blob = shingle_hashes(word_hashes(some), self.shingle).astype(np.uint32)
+                    yield own, doc_id, w["low"], blob.tobytes()
 
-    def match(self, x: Member, y: Member) -> tuple[int, int] | None:
-        """First and last shingle of a passage of `x` that is similar to one of `y`.
 
-        The longest run around the centres in which both agree, and runs of the least
-        width that contain the centres: at equal distances from them, else all pairs of
-        places, as words may be added or lost. The passage spans all that are similar.
-        """
-        a, b = x.shingles, y.shingles
-        back, ahead = min(x.before, y.before), min(len(a) - x.before, len(b) - y.before)
-        same = a[x.before - back : x.before + ahead] == b[y.before - back : y.before + ahead]
-        marks = same.tobytes()
-        if not marks[back]:
-            return None
-        first = marks.rfind(b"\0", 0, back) + 1
-        last = marks.find(b"\0", back)
-        last = len(marks) - 1 if last < 0 else last - 1
-        start = x.centre - back
-        exact = None
-        if last - first + 1 >= self.width:
-            exact = start + first, start + last
-        whole = first == 0 and last == len(marks) - 1
-        if len(a) < self.width or len(b) < self.width or (exact and whole):
-            return exact
-        spans = [exact, self._aligned(x, y, same, back)]
-        if not any(spans) or not same.all():
-            spans.append(self._shifted(x, y))
-        found = [s for s in spans if s]
-        if not found:
-            return None
-        return min(s[0] for s in found), max(s[1] for s in found)
-
-    def _similar(self, a: np.ndarray, b: np.ndarray) -> bool:
-        one, two = set(a.tolist()), set(b.tolist())
-        both = len(one & two)
-        return 100 * both >= self.percent * (len(one) + len(two) - both)
-
-    def _aligned(
-        self, x: Member, y: Member, same: np.ndarray, back: int
-    ) -> tuple[int, int] | None:
-        w = self.width
-        low, high = max(0, back - w + 1), min(back, len(same) - w)
-        if low > high:
-            return None
-        sums = np.concatenate(([0], np.cumsum(same)))
-        sums = sums[low + w : high + w + 1] - sums[low : high + 1]
-        places = np.flatnonzero(sums >= self.least).tolist()
-        ends = []
-        for way in (places, places[::-1]):
-            for at in way:
-                i, j = x.before - back + low + at, y.before - back + low + at
-                if self._similar(x.shingles[i : i + w], y.shingles[j : j + w]):
-                    ends.append(self._trimmed(x, i, same[low + at : low + at + w]))
-                    break
-        return (ends[0][0], ends[1][1]) if ends else None
-
-    def _trimmed(self, x: Member, i: int, shared: np.ndarray) -> tuple[int, int]:
-        """A passage from its first to its last shared shingle."""
-        places = np.flatnonzero(shared)
-        start = x.centre - x.before + i
-        return start + int(places[0]), start + int(places[-1])
-
-    def _shifted(self, x: Member, y: Member) -> tuple[int, int] | None:
-        """All similar pairs of runs, wherever they are: what any two share is a
-        product of what each of them has of the shared shingles."""
-        shared = x.distinct & y.distinct
-        if x.plain and y.plain and len(shared) < self.least:
-            return None
-        known = np.array(sorted(shared), np.uint32)
-        has, rows = self._runs_with(x, known)
-        other, cols = self._runs_with(y, known)
-        both = has @ other.T
-        w = self.width
-        union = np.add.outer(x.variety(w)[rows], y.variety(w)[cols]) - both
-        both = np.where(100 * both >= self.percent * union, both, -1)
-        similar = np.flatnonzero((both >= 0).any(axis=1))
-        if not len(similar):
-            return None
-        ends = []
-        for i in (int(similar[0]), int(similar[-1])):
-            j = int(np.argmax(both[i])) + cols.start
-            i += rows.start
-            shared = np.isin(x.shingles[i : i + w], y.shingles[j : j + w])
-            ends.append(self._trimmed(x, i, shared))
-        return ends[0][0], ends[1][1]
-
-    def _runs_with(self, m: Member, known: np.ndarray) -> tuple[np.ndarray, slice]:
-        """Which of the known shingles each run that contains the centre has."""
-        n, w = len(m.shingles), self.width
-        runs = slice(max(0, m.before - w + 1), min(m.before, n - w) + 1)
-        seen = np.zeros((n + 1, len(known)), np.int16)
-        np.cumsum(m.shingles[:, None] == known[None, :], axis=0, out=seen[1:])
-        inside = seen[runs.start + w : runs.stop + w] > seen[runs]
-        return inside.astype(np.float32), runs
-
-    def worth(self, members: list[Member]) -> np.ndarray:
-        """Pairs of members that can be similar at all, as a matrix.
-
-        The shingles that several members have become columns of 0 and 1, and one
-        product counts what each two share. That must be as much as two similar runs
-        share. It spares texts which share less than a passage, and may be many, the
-        comparing. In a few it costs more.
-        """
-        n = len(members)
-        if n <= 12:
-            return np.ones((n, n), bool)
-        flat = np.concatenate([np.fromiter(m.distinct, np.uint32) for m in members])
-        owner = np.repeat(np.arange(n), [len(m.distinct) for m in members])
-        shingles, column, count = np.unique(flat, return_inverse=True, return_counts=True)
-        several = count[column] > 1
-        owner, column = owner[several], np.cumsum(count > 1)[column[several]] - 1
-        shared = np.zeros((n, n), np.float32)
-        for low in range(0, int((count > 1).sum()), 4096):
-            inside = (column >= low) & (column < low + 4096)
-            grid = np.zeros((n, 4096), np.float32)
-            grid[owner[inside], column[inside] - low] = 1
-            shared += grid @ grid.T
-        plain = np.array([m.plain for m in members])
-        need = np.array([self.percent * m.variety(self.width).min() for m in members])
-        enough = 100 * shared >= np.maximum.outer(need, need)
-        return enough & ((shared >= self.least) | ~(plain[:, None] & plain[None, :]))
-
-
-def _members(rows: list[dict]) -> list[Member]:
-    found = [Member(m["doc_id"], m["centres"], m["before"], m["context"]) for m in rows]
-    return sorted(found, key=lambda m: (m.doc_id, m.centre))
-
-
-class Found:
-    """Spans of members, each with the documents that have it."""
-
-    def __init__(self):
-        self.spans: dict[tuple[int, int, int], set[int]] = {}
-
-    def add(self, x: Member, span: tuple[int, int], other: int) -> None:
-        for first, last in x.everywhere(span):
-            self.spans.setdefault((x.doc_id, first, last), set()).add(other)
-
-    def rows(self) -> Iterator[tuple]:
-        for key, others in self.spans.items():
-            yield *key, sorted(others)
-
-
-class Leaders(Compare):
-    """Within a block of a bucket, in order: every member is compared with all leaders of
-    earlier documents. One with the same context as a leader leaves; any other becomes a
-    leader, as similar ones may be similar to different members, and goes on to the next
-    round."""
+class Verify(Passages):
+    """Passages of one part of a text that are similar to some of another's."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        for bucket, block in rows:
-            members, found = _members(block), Found()
-            worth = self.worth(members)
-            leads = np.ones(len(members), bool)
-            for i, x in enumerate(members):
-                for j in np.flatnonzero(worth[i, :i] & leads[:i]).tolist():
-                    y = members[j]
-                    if x.doc_id == y.doc_id:
-                        continue
-                    span = self.match(x, y)
-                    if span:
-                        found.add(x, span, y.doc_id)
-                        if x.before == y.before and x.context == y.context:
-                            leads[i] = False
-            for doc_id, first, last, others in found.rows():
-                yield bucket, doc_id, None, None, None, first, last, others
-            for i in np.flatnonzero(leads).tolist():
-                y = members[i]
-                yield bucket, y.doc_id, y.centres, y.before, y.context, None, None, None
+        for text, doc_id, hub_doc, first, x, y in rows:
+            for a, b in self.spans(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)):
+                yield text, doc_id, first + a, first + b, hub_doc
 
+    def spans(self, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+        """First and last shingle of each passage of `x` that is similar to one of `y`.
 
-class Rest(Compare):
-    """Two blocks of a bucket: every member against every earlier one of another document."""
+        Runs of the least width with enough of what `y` has, wherever it stands there,
+        follow each other; of each such row the first and last that are similar to a run of
+        `y` bound a passage.
+        """
+        w = self.width
+        if len(x) < w or len(y) < w:
+            return []
+        shared = np.isin(x, y)
+        plain = len(np.unique(x)) == len(x) and len(np.unique(y)) == len(y)
+        sums = np.concatenate(([0], np.cumsum(shared)))
+        enough = sums[w:] - sums[:-w] >= (self.least if plain else 1)
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], enough.view(np.int8), [0]))))
+        found = []
+        for start, past in edges.reshape(-1, 2).tolist():
+            one = next((i for i in range(start, past) if self.similar(x[i : i + w], y, plain)), None)
+            if one is None:
+                continue
+            two = next(i for i in range(past - 1, one - 1, -1) if self.similar(x[i : i + w], y, plain))
+            inside = np.flatnonzero(shared[one : two + w])
+            found.append((one + int(inside[0]), one + int(inside[-1])))
+        return found
+
+    def similar(self, run: np.ndarray, y: np.ndarray, plain: bool) -> bool:
+        """Whether some run of `y` is similar enough."""
+        w = self.width
+        sums = np.concatenate(([0], np.cumsum(np.isin(y, run))))
+        both = sums[w:] - sums[:-w]
+        if plain:
+            return 100 * int(both.max()) >= self.percent * (2 * w - int(both.max()))
+        one = set(run.tolist())
+        for j in np.flatnonzero(both).tolist():
+            two = set(y[j : j + w].tolist())
+            shared = len(one & two)
+            if 100 * shared >= self.percent * (len(one) + len(two) - shared):
+                return True
+        return False
+
+
+class Rest(Verify):
+    """Windows of one block of a bucket against those of another, of earlier documents."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for left, right in rows:
-            sides, found = [_members(left), _members(right)], Found()
-            worth = self.worth(sides[0] + sides[1])[: len(left), len(left) :]
-            for i, j in zip(*np.nonzero(worth), strict=True):
-                p, q = sides[0][i], sides[1][j]
-                x, y = (p, q) if p.doc_id > q.doc_id else (q, p)
-                if x.doc_id != y.doc_id:
-                    span = self.match(x, y)
-                    if span:
-                        found.add(x, span, y.doc_id)
-            yield from found.rows()
+            others = [
+                (m["doc_id"], a := np.frombuffer(m["context"], np.uint32), set(a.tolist()))
+                for m in right
+            ]
+            for m in left:
+                x = np.frombuffer(m["context"], np.uint32)
+                mine, told = set(x.tolist()), set()
+                plain = len(mine) == len(x)
+                for doc_id, y, theirs in others:
+                    if doc_id >= m["doc_id"]:
+                        continue
+                    if plain and len(theirs) == len(y) and len(mine & theirs) < self.least:
+                        continue
+                    for span in self.spans(x, y):
+                        if span not in told:
+                            told.add(span)
+                            a, b = (m["first"] + p for p in span)
+                            yield m["text_id"], m["doc_id"], a, b, doc_id
 
 
 class Merge:
-    """Spans of a document, joined where they overlap, in words."""
+    """Spans of a text, joined where they overlap, in words."""
 
     def __init__(self, shingle: int):
         self.shingle = shingle
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, spans in rows:
-            start, end, others = None, None, set()
+        for text, doc_id, spans in rows:
+            start, end, other = None, None, None
             for s in sorted(spans, key=lambda s: (s["first"], s["last"])):
                 if start is not None and s["first"] <= end + self.shingle:
                     end = max(end, s["last"])
-                    others.update(s["others"])
+                    other = min(other, s["other"])
                     continue
                 if start is not None:
-                    yield self._row(doc_id, start, end, others)
-                start, end, others = s["first"], s["last"], set(s["others"])
+                    yield doc_id, text, start, end + self.shingle - start, other
+                start, end, other = s["first"], s["last"], s["other"]
             if start is not None:
-                yield self._row(doc_id, start, end, others)
-
-    def _row(self, doc_id: int, start: int, end: int, others: set[int]) -> tuple:
-        return doc_id, start, end + self.shingle - start, min(others), sorted(others)
-
-
-def _blocks(members: DataFrame, sizes: DataFrame, turn: int) -> DataFrame:
-    """Members of a bucket in random blocks of bounded size, each as one row."""
-    salted = members.join(sizes, "bucket").withColumn(
-        "block", F.expr(f"pmod(xxhash64(doc_id, centres, {turn}), cast(ceil(n / {BLOCK}) as int))")
-    )
-    # A stated number: the work is in comparing, which few bytes can be much of.
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = salted.repartition(tasks, "bucket", "block")
-    member = F.struct("doc_id", "centres", "before", "context")
-    return salted.groupBy("bucket", "block").agg(F.collect_list(member).alias("members"))
+                yield doc_id, text, start, end + self.shingle - start, other
 
 
 def repeated_passages(
@@ -479,149 +432,257 @@ def repeated_passages(
     hashes: int = HASHES,
 ) -> DataFrame:
     """Passages of `min_words` words or more that an earlier document has too, nearly or
-    exactly: `doc_id`, `start_word`, `n_words`, `match_id`, `match_ids`.
+    exactly: `doc_id`, `text_id`, `start_word`, `n_words`, `match_id`.
 
     Earlier is the smaller id; the first document that has a passage has no row for it.
     Passages are similar when their distinct shingles have a Jaccard similarity of
     `percent` or more (words lower-cased A-Z, white space as one). Overlapping passages
-    are one row; `match_ids` are the documents they were found in, `match_id` the first.
-    Words at either end that only this document has are left out, so a nearly equal
-    passage may be a few words shorter.
+    are one row; `match_id` is an earlier document that has one of them, the smallest of
+    those it was compared with. Words at either end that only this document has are left
+    out, so a nearly equal passage may be a few words shorter.
     Copies within one document are not repeats. Null, empty and short texts have no
-    rows; of repeated rows with one id, one is used; rows with a null id are left out.
-    Other columns are not read.
+    rows, and rows with a null id are left out. Rows of one id with different texts are
+    looked at one by one, and `text_id`, a number of id and words, tells them apart; they
+    are not compared with each other. Other columns are not read.
 
     1. Texts with the same words are one class; all but its first document are repeats
        as a whole.
     2. A few hash functions cut every text into compact windows. Windows of different
-       documents with the same least hash meet in a bucket if a run of words at the
-       centre, before, around or after it, agrees as well. Passages without a
-       difference have such a run for every function, similar ones for most.
-    3. Around their centres the texts are compared. Buckets are worked off in blocks of
-       bounded size, in rounds: members with another's context leave, the rest is dealt anew.
-       When a round no longer shrinks a bucket, its blocks are compared in pairs.
+       documents with the same least hash meet in a bucket if a run of words that ends or
+       starts at the centre agrees as well. Passages without a difference have such runs
+       for every function, similar ones for most.
+    3. A window is paired with that of the first document of its bucket, so a hot bucket
+       gives a pair for each window and no more. The windows of two texts are joined by
+       intervals over all hashes, and the parts where they follow each other are compared.
+    4. Windows whose centre no passage covers go to the next round, with the next few
+       documents of the bucket. Each round the windows left are fewer, if many copies
+       differ here and there. What the last round leaves is compared with all earlier
+       documents of its bucket, in pairs of blocks of bounded size.
     """
     settings = (min_words, shingle, percent, hashes)
     source = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
     texts = staged(
-        per_row(
-            source,
-            "doc_id bigint, n_words int, text_key binary, buckets array<bigint>, "
-            "centres array<int>, runs array<bigint>",
-            Sketch(*settings),
-        ),
-        "windows",
+        source.mapInArrow(Sketch(*settings), from_arrow_schema(_SKETCH)), "windows"
+    )
+    keys = texts.where(F.col("n_words") >= min_words).select(
+        "doc_id", "text_id", "n_words", "text_key"
     )
-    keys = texts.where(F.col("n_words") >= min_words).select("doc_id", "n_words", "text_key")
     classes = keys.groupBy("text_key").agg(
         F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
     )
     classes = staged(classes.where("first_id < last_id").drop("last_id"), "classes")
     copies = staged(
-        keys.join(classes, "text_key").where("doc_id > first_id").dropDuplicates(["doc_id"]),
+        keys.join(classes, "text_key").where("doc_id > first_id").dropDuplicates(["text_id"]),
         "copies",
     )
+    spans = _spans(source, _members(texts, copies), settings)
+    merged = per_row(
+        spans.groupBy("text_id", "doc_id").agg(
+            F.collect_set(F.struct("first", "last", "other")).alias("spans")
+        ),
+        "doc_id bigint, text_id bigint, start_word int, n_words int, match_id bigint",
+        Merge(shingle),
+    )
+    whole = copies.select(
+        "doc_id",
+        "text_id",
+        F.lit(0).alias("start_word"),
+        "n_words",
+        F.col("first_id").alias("match_id"),
+    )
+    return merged.unionByName(whole)
+
+
+def _met(rows: DataFrame, by: str) -> DataFrame:
+    """Keys that more than one document has."""
+    found = rows.groupBy(by).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    return found.where("low < high").select(by)
+
+
+def _members(texts: DataFrame, copies: DataFrame) -> DataFrame:
+    """Windows that meet those of other documents, once for each run that agrees: `key`,
+    `doc_id`, `text_id`, `centre`, `reach`."""
     windows = texts.select(
-        "doc_id", F.explode(F.arrays_zip("buckets", "centres", "runs")).alias("w")
+        "doc_id",
+        "text_id",
+        F.explode(F.arrays_zip("buckets", "centres", "reaches", "runs")).alias("w"),
     ).select(
         F.col("w.buckets").alias("bucket"),
         "doc_id",
+        "text_id",
         F.col("w.centres").alias("centre"),
+        F.col("w.reaches").alias("reach"),
         F.col("w.runs").alias("runs"),
     )
-    # The first step keeps a small share; the next ones read it again and again.
+    # The first step keeps a small share; the next ones read it again.
     meeting = staged(
-        windows.join(_met(windows, ["bucket"]), "bucket", "left_semi").join(
-            copies.select("doc_id"), "doc_id", "left_anti"
+        windows.join(_met(windows, "bucket"), "bucket", "left_semi").join(
+            copies.select("text_id"), "text_id", "left_anti"
         ),
         "meeting",
     )
-    # A window stays if one of its three runs is that of another document's window.
-    each = meeting.select(
-        "bucket",
-        "doc_id",
-        "centre",
-        F.posexplode(
-            F.array(*(F.shiftright("runs", RUN_BITS * i) for i in range(3)))
-        ).alias("place", "run"),
-    ).withColumn("run", F.expr(f"run & {(1 << RUN_BITS) - 1}"))
-    agreeing = each.join(
-        _met(each, ["bucket", "place", "run"]), ["bucket", "place", "run"], "left_semi"
+    run = F.explode(
+        F.array(
+            F.xxhash64("bucket", F.lit(0), F.shiftrightunsigned("runs", 32)),
+            F.xxhash64("bucket", F.lit(1), F.expr("runs & 4294967295")),
+        )
     )
-    wanted = agreeing.select("bucket", "doc_id", "centre").distinct()
-    by_doc = staged(
-        wanted.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "centre")).alias("wanted")),
+    each = meeting.select(run.alias("key"), "doc_id", "text_id", "centre", "reach")
+    return staged(each.join(_met(each, "key"), "key", "left_semi"), "members")
+
+
+def _blobs(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
+    """`text_id`, `low` and the shingles from there, of every text with members."""
+    left, right = F.expr("shiftright(reach, 10) & 1023"), F.expr("reach & 1023")
+    ranges = members.groupBy("doc_id", "text_id").agg(
+        F.min(F.col("centre") - left).alias("low"), F.max(F.col("centre") + right).alias("high")
+    )
+    wanted = staged(
+        ranges.groupBy("doc_id").agg(
+            F.collect_list(F.struct("text_id", "low", "high")).alias("wanted")
+        ),
         "wanted",
     )
-    members = staged(
+    found = per_row(
+        perhaps_in(source, "doc_id", wanted).join(wanted, "doc_id"),
+        "text_id bigint, doc_id bigint, low int, blob binary",
+        Blobs(*settings),
+        step=32,
+    )
+    # Repeated rows have the same blob.
+    return staged(found.dropDuplicates(["text_id"]).drop("doc_id"), "shingles")
+
+
+def _part(blob: Column, low: Column, first: Column, last: Column) -> Column:
+    """The shingles from `first` to `last` of those that start at `low`."""
+    return F.substring(blob, (first - low) * 4 + 1, (last - first + 1) * 4)
+
+
+def _spans(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
+    """`text_id`, `doc_id`, `first`, `last` (shingles) and `other` of the copies found."""
+    blobs = _blobs(source, members, settings)
+    spans, open_, before = None, members, 0
+    for most in ROUNDS:
+        chains = _chains(open_, _hubs(members, open_, before, most), settings)
+        found = staged(_verified(chains, blobs, settings), "spans")
+        spans = found if spans is None else spans.unionByName(found)
+        # Only where a bucket has more documents is there anything left to compare with.
+        sizes = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most + 1)
+        open_ = _uncovered(open_, found).join(sizes.select("key"), "key", "left_semi")
+        open_, before = staged(open_, "uncovered"), most
+        if open_.isEmpty():
+            return spans
+    return spans.unionByName(_rest(members, open_, blobs, settings))
+
+
+def _hubs(members: DataFrame, open_: DataFrame, before: int, most: int) -> DataFrame:
+    """Of each bucket with windows to compare, the members from `before` up to `most`, in
+    the order of documents."""
+    hub = F.struct("doc_id", "text_id", "centre", "reach")
+    if before == 0 and most == 1:
+        chosen = members.groupBy("key").agg(F.min(hub).alias("hub"))
+    else:
+        wanted = members.join(open_.select("key").distinct(), "key", "left_semi")
+        order = Window.partitionBy("key").orderBy("doc_id", "text_id", "centre", "reach")
+        ranked = wanted.withColumn("rank", F.row_number().over(order))
+        chosen = ranked.where(F.col("rank").between(before + 1, most)).select(
+            "key", hub.alias("hub")
+        )
+    return chosen
+
+
+def _chains(open_: DataFrame, hubs: DataFrame, settings: tuple) -> DataFrame:
+    """Parts of two texts whose windows follow each other."""
+    seed = F.struct(
+        "centre",
+        "reach",
+        F.col("hub.centre").alias("hub_centre"),
+        F.col("hub.reach").alias("hub_reach"),
+    )
+    pairs = (
+        open_.join(hubs, "key")
+        .where(F.col("doc_id") > F.col("hub.doc_id"))
+        .groupBy("text_id", "doc_id", F.col("hub.text_id").alias("hub_id"))
+        .agg(F.first("hub.doc_id").alias("hub_doc"), F.collect_set(seed).alias("seeds"))
+    )
+    return staged(
         per_row(
-            perhaps_in(source, "doc_id", by_doc).join(by_doc, "doc_id"),
-            "bucket bigint, doc_id bigint, centres array<int>, before int, context binary",
-            Contexts(*settings),
-            step=32,
+            pairs.select("text_id", "doc_id", "hub_id", "hub_doc", "seeds"),
+            "text_id bigint, doc_id bigint, hub_id bigint, hub_doc bigint, first int, last int, "
+            "hub_first int, hub_last int, n_hashes int",
+            Chains(*settings),
         ),
-        "contexts",
+        "chains",
     )
-    spans = _spans(members, settings)
-    merged = per_row(
-        spans.groupBy("doc_id").agg(
-            F.collect_list(F.struct("first", "last", "others")).alias("spans")
-        ),
-        "doc_id bigint, start_word int, n_words int, match_id bigint, match_ids array<bigint>",
-        Merge(shingle),
+
+
+def _verified(chains: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame:
+    own = blobs.select("text_id", F.col("low").alias("own_low"), F.col("blob").alias("own"))
+    other = blobs.select(
+        F.col("text_id").alias("hub_id"), F.col("low").alias("hub_low"), F.col("blob").alias("hub")
     )
-    whole = copies.select(
-        "doc_id",
-        F.lit(0).alias("start_word"),
-        "n_words",
-        F.col("first_id").alias("match_id"),
-        F.array("first_id").alias("match_ids"),
+    col = F.col
+    rows = (
+        chains.join(own, "text_id")
+        .withColumn("x", _part(col("own"), col("own_low"), col("first"), col("last")))
+        .drop("own", "own_low")
+        .join(other, "hub_id")
+        .withColumn("y", _part(col("hub"), col("hub_low"), col("hub_first"), col("hub_last")))
+        .select("text_id", "doc_id", "hub_doc", "first", "x", "y")
+    )
+    return per_row(
+        rows,
+        "text_id bigint, doc_id bigint, first int, last int, other bigint",
+        Verify(*settings),
     )
-    return merged.unionByName(whole)
 
 
-def _met(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Keys that more than one document has."""
-    found = rows.groupBy(*by).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    return found.where("low < high").select(*by)
+def _uncovered(open_: DataFrame, spans: DataFrame) -> DataFrame:
+    """The windows whose centre lies in no passage found."""
+    held = spans.groupBy("text_id").agg(
+        F.collect_set(F.struct("first", "last")).alias("spans")
+    )
+    inside = F.exists("spans", lambda s: F.col("centre").between(s["first"], s["last"]))
+    return (
+        open_.join(held, "text_id", "left")
+        .where(F.col("spans").isNull() | ~inside)
+        .drop("spans")
+    )
 
 
-def _spans(members: DataFrame, settings: tuple) -> DataFrame:
-    """`doc_id`, `first`, `last` (shingles) and `others` of all copies found."""
-    columns = ["bucket", "doc_id", "centres", "before", "context"]
-    schema = (
-        "bucket bigint, doc_id bigint, centres array<int>, before int, context binary, "
-        "first int, last int, others array<bigint>"
-    )
-    spans, before, turn = None, None, 0
-    while True:
-        sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
-        blocks = _blocks(members, sizes, turn).select("bucket", "members")
-        result = staged(per_row(blocks, schema, Leaders(*settings), step=8), "leaders")
-        found = result.where("others is not null").select("doc_id", "first", "last", "others")
-        spans = found if spans is None else spans.unionByName(found)
-        # Only in buckets of several blocks are there members that have not met.
-        large = sizes.where(F.col("n") > BLOCK).select("bucket")
-        left = result.where("others is null").select(*columns)
-        members = staged(left.join(large, "bucket", "left_semi"), "left")
-        count, turn = members.count(), turn + 1
-        if not count:
-            return spans
-        if before is not None and count > 0.8 * before:
-            break
-        before = count
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
-    blocks = staged(_blocks(members, sizes, turn), "blocks")
-    other = blocks.select(
-        "bucket", F.col("block").alias("other"), F.col("members").alias("others")
+def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame:
+    """What no round has covered, compared with all earlier documents of its bucket."""
+    left, right = F.expr("shiftright(reach, 10) & 1023"), F.expr("reach & 1023")
+
+    def in_blocks(rows: DataFrame, name: str) -> DataFrame:
+        sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
+        first = F.col("centre") - left
+        context = _part(F.col("blob"), F.col("low"), first, F.col("centre") + right)
+        member = F.struct("text_id", "doc_id", first.alias("first"), context.alias("context"))
+        return staged(
+            rows.join(sizes, "key")
+            .join(blobs, "text_id")
+            .withColumn(
+                "block", F.expr(f"pmod(xxhash64(text_id, centre), cast(ceil(n / {BLOCK}) as int))")
+            )
+            .groupBy("key", "block")
+            .agg(F.collect_list(member).alias(name)),
+            name,
+        )
+
+    wanted = members.join(open_.select("key").distinct(), "key", "left_semi")
+    pairs = in_blocks(open_, "asking").join(
+        in_blocks(wanted, "asked").withColumnRenamed("block", "other"), "key"
     )
-    pairs = blocks.join(other, "bucket").where("block <= other")
+    # A stated number: the work is in comparing, which few bytes can be much of.
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(tasks, "bucket", "block", "other")
-    rest = per_row(
-        pairs.select("members", "others"), "doc_id bigint, first int, last int, others array<bigint>", Rest(*settings), step=2
+    pairs = pairs.repartition(tasks, "key", "block", "other").select("asking", "asked")
+    return per_row(
+        pairs,
+        "text_id bigint, doc_id bigint, first int, last int, other bigint",
+        Rest(*settings),
+        step=2,
     )
-    return spans.unionByName(rest)
 
 
 class Cut:
@@ -629,6 +690,10 @@ class Cut:
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, raw, spans in rows:
+            own = text_id(doc_id, text_key(words(raw)))
+            spans = [s for s in spans if s["text_id"] == own]
+            if not spans:
+                continue
             places = [(m.start(), m.end()) for m in _WORD.finditer(raw or b"")]
             parts, at, left = [], 0, len(places)
             for s in sorted(spans, key=lambda s: s["start_word"]):
@@ -646,7 +711,7 @@ def without_passages(
     """`doc_id` and `text` of the documents that have repeated passages, without these,
     and `words_left`."""
     spans = passages.groupBy("doc_id").agg(
-        F.collect_list(F.struct("start_word", "n_words")).alias("spans")
+        F.collect_list(F.struct("text_id", "start_word", "n_words")).alias("spans")
     )
     spans = staged(spans, "cuts")
     rows = perhaps_in(id_and_bytes(docs, id_col, text_col), "doc_id", spans)
