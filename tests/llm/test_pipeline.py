@@ -58,7 +58,7 @@ def test_run_over_a_folder(spark):
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         connection.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     return connection
 

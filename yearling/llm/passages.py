@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -38,7 +39,7 @@ RUN = 11
 
 #: Earlier documents of a bucket that a window is compared with, round by round; what no
 #: round resolves is compared with all.
-ROUNDS = (1, 5, 21)
+ROUNDS = (1, 5, 21, 85)
 
 #: Members of a bucket that one task compares with each other in the end.
 BLOCK = 256
@@ -256,6 +257,11 @@ class Sketch(Passages):
             part = mix(part[: -(span // 2)] * _SEEDS[0] + part[span // 2 :])
 
 
+def reach_of(centre: int, reach: int) -> tuple[int, int]:
+    """First and last place of a window."""
+    return centre - (reach >> 10 & 1023), centre + (reach & 1023)
+
+
 class Chains(Passages):
     """Interval join of two texts' windows: a row for each part in which windows with the
     same least hash follow each other.
@@ -269,8 +275,8 @@ class Chains(Passages):
         for text, doc_id, hub, hub_doc, seeds in rows:
             pairs = sorted(
                 {
-                    (*self.interval(s["centre"], s["reach"]),
-                     *self.interval(s["hub_centre"], s["hub_reach"]),
+                    (s["centre"], *reach_of(s["centre"], s["reach"]),
+                     s["hub_centre"], *reach_of(s["hub_centre"], s["hub_reach"]),
                      s["reach"] >> 20)
                     for s in seeds
                 }
@@ -278,9 +284,6 @@ class Chains(Passages):
             for x, y, hashes in self.parts(pairs):
                 yield text, doc_id, hub, hub_doc, *x, *y, hashes
 
-    def interval(self, centre: int, reach: int) -> tuple[int, int, int]:
-        return centre, centre - (reach >> 10 & 1023), centre + (reach & 1023)
-
     def joined(self, a: tuple, b: tuple) -> bool:
         for at in (0, 3):
             low, high = max(a[at + 1], b[at + 1]), min(a[at + 2], b[at + 2])
@@ -327,6 +330,16 @@ class Blobs(Passages):
                     yield own, doc_id, w["low"], blob.tobytes()
 
 
+def first_in_run(values: np.ndarray, width: int) -> np.ndarray:
+    """For each run of `width` values, which of them occur in it for the first time."""
+    order = np.argsort(values, kind="stable")
+    again = values[order[1:]] == values[order[:-1]]
+    before = np.full(len(values), -1)
+    before[order[1:][again]] = order[:-1][again]
+    runs = sliding_window_view(before, width)
+    return runs < np.arange(len(runs))[:, None]
+
+
 class Verify(Passages):
     """Passages of one part of a text that are similar to some of another's."""
 
@@ -335,6 +348,12 @@ class Verify(Passages):
             for a, b in self.spans(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)):
                 yield text, doc_id, first + a, first + b, hub_doc
 
+    def promising(self, shared: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+        """Runs of which others have so many of the distinct shingles that some may be
+        similar."""
+        both = (sliding_window_view(shared, self.width) & fresh).sum(axis=1)
+        return 100 * both >= self.percent * fresh.sum(axis=1)
+
     def spans(self, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
         """First and last shingle of each passage of `x` that is similar to one of `y`.
 
@@ -346,34 +365,69 @@ class Verify(Passages):
         if len(x) < w or len(y) < w:
             return []
         shared = np.isin(x, y)
-        plain = len(np.unique(x)) == len(x) and len(np.unique(y)) == len(y)
-        sums = np.concatenate(([0], np.cumsum(shared)))
-        enough = sums[w:] - sums[:-w] >= (self.least if plain else 1)
+        if int(shared.sum()) < self.least and len(np.unique(x)) == len(x):
+            return []
+        fresh = first_in_run(x, w)
+        enough = self.promising(shared, fresh)
+        if not enough.any():
+            return []
+        sizes, others = fresh.sum(axis=1), first_in_run(y, w)
+        other_sizes = others.sum(axis=1)
+
+        def similar(i: int) -> bool:
+            has = sliding_window_view(np.isin(y, x[i : i + w]), w)
+            both = (has & others).sum(axis=1)
+            return bool((100 * both >= self.percent * (sizes[i] + other_sizes - both)).any())
+
         edges = np.flatnonzero(np.diff(np.concatenate(([0], enough.view(np.int8), [0]))))
         found = []
         for start, past in edges.reshape(-1, 2).tolist():
-            one = next((i for i in range(start, past) if self.similar(x[i : i + w], y, plain)), None)
+            one = next((i for i in range(start, past) if similar(i)), None)
             if one is None:
                 continue
-            two = next(i for i in range(past - 1, one - 1, -1) if self.similar(x[i : i + w], y, plain))
+            two = next(i for i in range(past - 1, one - 1, -1) if similar(i))
             inside = np.flatnonzero(shared[one : two + w])
             found.append((one + int(inside[0]), one + int(inside[-1])))
         return found
 
-    def similar(self, run: np.ndarray, y: np.ndarray, plain: bool) -> bool:
-        """Whether some run of `y` is similar enough."""
+
+class Contexts(Passages):
+    """The shingles of all windows of a text, with their places."""
+
+    def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+        for text, doc_id, low, blob, windows in rows:
+            shingles = np.frombuffer(blob, np.int32)
+            inside = np.zeros(len(shingles) + 1, np.int64)
+            for w in windows:
+                a, b = reach_of(w["centre"], w["reach"])
+                inside[a - low] += 1
+                inside[b + 1 - low] -= 1
+            places = np.flatnonzero(np.cumsum(inside)[:-1])
+            yield text, doc_id, (places + low).tolist(), shingles[places].tolist()
+
+
+class Hopeful(Verify):
+    """Windows with a run around the centre of which earlier documents have enough, some of
+    it in no passage found yet."""
+
+    def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         w = self.width
-        sums = np.concatenate(([0], np.cumsum(np.isin(y, run))))
-        both = sums[w:] - sums[:-w]
-        if plain:
-            return 100 * int(both.max()) >= self.percent * (2 * w - int(both.max()))
-        one = set(run.tolist())
-        for j in np.flatnonzero(both).tolist():
-            two = set(y[j : j + w].tolist())
-            shared = len(one & two)
-            if 100 * shared >= self.percent * (len(one) + len(two) - shared):
-                return True
-        return False
+        for text, low, blob, windows, shared, spans in rows:
+            shingles = np.frombuffer(blob, np.uint32)
+            has = np.zeros(len(shingles), bool)
+            has[np.array(shared, np.int64) - low] = True
+            wanted = has.copy()
+            for s in spans or ():
+                wanted[s["first"] - low : s["last"] + 1 - low] = False
+            if not wanted.any():
+                continue
+            new = sliding_window_view(wanted, w).any(axis=1)
+            enough = self.promising(has, first_in_run(shingles, w)) & new
+            for centre, reach in {(x["centre"], x["reach"]) for x in windows}:
+                a, b = reach_of(centre, reach)
+                a, b = max(a, centre - w + 1) - low, min(centre, b - w + 1) - low
+                if enough[a : b + 1].any():
+                    yield text, centre
 
 
 class Rest(Verify):
@@ -397,8 +451,11 @@ class Rest(Verify):
                     for span in self.spans(x, y):
                         if span not in told:
                             told.add(span)
-                            a, b = (m["first"] + p for p in span)
-                            yield m["text_id"], m["doc_id"], a, b, doc_id
+                            for first in m["firsts"]:
+                                a, b = (first + p for p in span)
+                                yield m["text_id"], m["doc_id"], a, b, doc_id
+                    if (0, len(x) - 1) in told:
+                        break
 
 
 class Merge:
@@ -454,10 +511,11 @@ def repeated_passages(
     3. A window is paired with that of the first document of its bucket, so a hot bucket
        gives a pair for each window and no more. The windows of two texts are joined by
        intervals over all hashes, and the parts where they follow each other are compared.
-    4. Windows whose centre no passage covers go to the next round, with the next few
-       documents of the bucket. Each round the windows left are fewer, if many copies
-       differ here and there. What the last round leaves is compared with all earlier
-       documents of its bucket, in pairs of blocks of bounded size.
+    4. Windows with shingles that earlier documents have, but no passage found covers, go
+       on if they have enough of them: first with the next few documents of the bucket, in
+       rounds that leave fewer and fewer where many copies differ here and there. What the last
+       round leaves is compared with all earlier documents of its bucket, in pairs of
+       blocks of bounded size.
     """
     settings = (min_words, shingle, percent, hashes)
     source = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
@@ -561,34 +619,37 @@ def _part(blob: Column, low: Column, first: Column, last: Column) -> Column:
 def _spans(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
     """`text_id`, `doc_id`, `first`, `last` (shingles) and `other` of the copies found."""
     blobs = _blobs(source, members, settings)
-    spans, open_, before = None, members, 0
+    ordered = staged(_ordered(members), "ordered")
+    spans, shared, open_, before = None, None, members, 0
     for most in ROUNDS:
-        chains = _chains(open_, _hubs(members, open_, before, most), settings)
+        hubs = ordered.where(F.col("rank").between(before + 1, most)).select("key", "hub")
+        chains = _chains(open_, hubs, settings)
         found = staged(_verified(chains, blobs, settings), "spans")
         spans = found if spans is None else spans.unionByName(found)
-        # Only where a bucket has more documents is there anything left to compare with.
-        sizes = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most + 1)
-        open_ = _uncovered(open_, found).join(sizes.select("key"), "key", "left_semi")
-        open_, before = staged(open_, "uncovered"), most
+        # Only where a bucket has more documents is there anything left to compare with, and
+        # for its first document there never is.
+        more = ordered.where(F.col("rank") == most + 1).select(
+            "key", F.col("doc_id").alias("last_doc")
+        )
+        left = open_.join(more, "key").where(F.col("doc_id") > F.col("last_doc"))
+        left = staged(left.drop("last_doc"), "left")
+        if before == 0:
+            shared = staged(_shared(members, left, blobs, settings), "shared")
+        open_ = staged(_hopeful(left, shared, blobs, spans, settings), "open")
+        before = most
         if open_.isEmpty():
             return spans
     return spans.unionByName(_rest(members, open_, blobs, settings))
 
 
-def _hubs(members: DataFrame, open_: DataFrame, before: int, most: int) -> DataFrame:
-    """Of each bucket with windows to compare, the members from `before` up to `most`, in
-    the order of documents."""
+def _ordered(members: DataFrame) -> DataFrame:
+    """The first documents of each bucket, as many as the rounds need and one more, each
+    with the first of its windows there: `key`, `doc_id`, `hub`, `rank`."""
     hub = F.struct("doc_id", "text_id", "centre", "reach")
-    if before == 0 and most == 1:
-        chosen = members.groupBy("key").agg(F.min(hub).alias("hub"))
-    else:
-        wanted = members.join(open_.select("key").distinct(), "key", "left_semi")
-        order = Window.partitionBy("key").orderBy("doc_id", "text_id", "centre", "reach")
-        ranked = wanted.withColumn("rank", F.row_number().over(order))
-        chosen = ranked.where(F.col("rank").between(before + 1, most)).select(
-            "key", hub.alias("hub")
-        )
-    return chosen
+    by_doc = members.groupBy("key", "doc_id").agg(F.min(hub).alias("hub"))
+    order = Window.partitionBy("key").orderBy("doc_id")
+    ranked = by_doc.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= ROUNDS[-1] + 1)
 
 
 def _chains(open_: DataFrame, hubs: DataFrame, settings: tuple) -> DataFrame:
@@ -637,17 +698,66 @@ def _verified(chains: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame
     )
 
 
-def _uncovered(open_: DataFrame, spans: DataFrame) -> DataFrame:
-    """The windows whose centre lies in no passage found."""
-    held = spans.groupBy("text_id").agg(
-        F.collect_set(F.struct("first", "last")).alias("spans")
+def _shared(
+    members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tuple
+) -> DataFrame:
+    """Of each text with windows left, the places of shingles that an earlier document of
+    these buckets has: `text_id`, `shared`."""
+    asked = members.join(open_.select("key").distinct(), "key", "left_semi")
+    windows = F.collect_set(F.struct("centre", "reach")).alias("windows")
+    texts = asked.groupBy("text_id", "doc_id").agg(windows).join(blobs, "text_id")
+    contexts = staged(
+        per_row(
+            texts.select("text_id", "doc_id", "low", "blob", "windows"),
+            "text_id bigint, doc_id bigint, places array<int>, shingles array<int>",
+            Contexts(*settings),
+            step=64,
+        ),
+        "contexts",
     )
-    inside = F.exists("spans", lambda s: F.col("centre").between(s["first"], s["last"]))
+    each = contexts.select(
+        "text_id", "doc_id", F.explode(F.arrays_zip("places", "shingles")).alias("s")
+    ).select("text_id", "doc_id", F.col("s.places").alias("at"), F.col("s.shingles").alias("shingle"))
+    counted = each.groupBy("shingle").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")
+    )
+    earlier = counted.where("least < most").select("shingle", "least")
     return (
-        open_.join(held, "text_id", "left")
-        .where(F.col("spans").isNull() | ~inside)
-        .drop("spans")
+        each.join(open_.select("text_id").distinct(), "text_id", "left_semi")
+        .join(earlier, "shingle")
+        .where("least < doc_id")
+        .groupBy("text_id")
+        .agg(F.collect_set("at").alias("shared"))
+    )
+
+
+def _hopeful(
+    left: DataFrame, shared: DataFrame, blobs: DataFrame, spans: DataFrame, settings: tuple
+) -> DataFrame:
+    """The windows that can be in a further passage at all: of some run around the centre,
+    earlier documents of the buckets have as many distinct shingles as similar runs share,
+    and some of these are in no passage found.
+
+    What many texts share but is no passage, like a line or a short quotation, ends here,
+    by counting shingles and comparing no two texts.
+    """
+    windows = F.collect_set(F.struct("centre", "reach")).alias("windows")
+    mine = left.groupBy("text_id").agg(windows)
+    held = (
+        spans.join(mine.select("text_id"), "text_id", "left_semi")
+        .groupBy("text_id")
+        .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    )
+    hopeful = per_row(
+        mine.join(shared, "text_id")
+        .join(blobs, "text_id")
+        .join(held, "text_id", "left")
+        .select("text_id", "low", "blob", "windows", "shared", "spans"),
+        "text_id bigint, centre int",
+        Hopeful(*settings),
+        step=64,
     )
+    return left.join(hopeful, ["text_id", "centre"], "left_semi").select(left.columns)
 
 
 def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame:
@@ -658,13 +768,18 @@ def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tupl
         sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
         first = F.col("centre") - left
         context = _part(F.col("blob"), F.col("low"), first, F.col("centre") + right)
-        member = F.struct("text_id", "doc_id", first.alias("first"), context.alias("context"))
+        member = F.struct("text_id", "doc_id", "firsts", "context")
+        # Where a text repeats itself, equal contexts are one with several places.
+        contexts = (
+            rows.join(blobs, "text_id")
+            .select("key", "text_id", "doc_id", first.alias("first"), context.alias("context"))
+            .groupBy("key", "text_id", "doc_id", "context")
+            .agg(F.collect_list("first").alias("firsts"))
+        )
+        block = F.expr(f"pmod(xxhash64(text_id, context), cast(ceil(n / {BLOCK}) as int))")
         return staged(
-            rows.join(sizes, "key")
-            .join(blobs, "text_id")
-            .withColumn(
-                "block", F.expr(f"pmod(xxhash64(text_id, centre), cast(ceil(n / {BLOCK}) as int))")
-            )
+            contexts.join(sizes, "key")
+            .withColumn("block", block)
             .groupBy("key", "block")
             .agg(F.collect_list(member).alias(name)),
             name,
