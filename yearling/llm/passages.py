@@ -281,8 +281,8 @@ class Chains(Passages):
                     for s in seeds
                 }
             )
-            for x, y, hashes in self.parts(pairs):
-                yield text, doc_id, hub, hub_doc, *x, *y, hashes
+            for x, y, shift, hashes in self.parts(pairs):
+                yield text, doc_id, hub, hub_doc, *x, *y, x[0] + shift - y[0], hashes
 
     def joined(self, a: tuple, b: tuple) -> bool:
         for at in (0, 3):
@@ -313,7 +313,9 @@ class Chains(Passages):
         for members in parts.values():
             x = min(m[1] for m in members), max(m[2] for m in members)
             y = min(m[4] for m in members), max(m[5] for m in members)
-            yield x, y, len({m[6] for m in members})
+            # Most windows stand as far apart as the passages do.
+            shifts = sorted(m[3] - m[0] for m in members)
+            yield x, y, shifts[len(shifts) // 2], len({m[6] for m in members})
 
 
 class Blobs(Passages):
@@ -340,12 +342,19 @@ def first_in_run(values: np.ndarray, width: int) -> np.ndarray:
     return runs < np.arange(len(runs))[:, None]
 
 
+def _rows_of(marks: np.ndarray) -> list[list[int]]:
+    """Start and past-the-end of each row of marks."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], marks.view(np.int8), [0]))))
+    return edges.reshape(-1, 2).tolist()
+
+
 class Verify(Passages):
     """Passages of one part of a text that are similar to some of another's."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        for text, doc_id, hub_doc, first, x, y in rows:
-            for a, b in self.spans(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)):
+        for text, doc_id, hub_doc, first, shift, x, y in rows:
+            x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+            for a, b in self.spans(x, y, shift):
                 yield text, doc_id, first + a, first + b, hub_doc
 
     def promising(self, shared: np.ndarray, fresh: np.ndarray) -> np.ndarray:
@@ -354,23 +363,51 @@ class Verify(Passages):
         both = (sliding_window_view(shared, self.width) & fresh).sum(axis=1)
         return 100 * both >= self.percent * fresh.sum(axis=1)
 
-    def spans(self, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    def aligned(self, x: np.ndarray, y: np.ndarray, shift: int) -> list[tuple[int, int]]:
+        """Passages of `x` that are similar to what stands `shift` places on in `y`."""
+        w, low, high = self.width, max(0, -shift), min(len(x), len(y) - shift)
+        if high - low < w:
+            return []
+        same = x[low:high] == y[low + shift : high + shift]
+        if same.all():
+            return [(low, high - 1)]
+        sums = np.concatenate(([0], np.cumsum(same)))
+        enough = sums[w:] - sums[:-w] >= self.least
+        if not enough.any() or len(np.unique(x)) < len(x):
+            return []
+        found = []
+        for start, past in _rows_of(enough):
+            inside = np.flatnonzero(same[start : past - 1 + w])
+            found.append((low + start + int(inside[0]), low + start + int(inside[-1])))
+        return found
+
+    def spans(self, x: np.ndarray, y: np.ndarray, shift: int = 0) -> list[tuple[int, int]]:
         """First and last shingle of each passage of `x` that is similar to one of `y`.
 
-        Runs of the least width with enough of what `y` has, wherever it stands there,
-        follow each other; of each such row the first and last that are similar to a run of
-        `y` bound a passage.
+        First what is similar place by place. Then, if `y` has more of `x`: runs of the
+        least width with enough of what `y` has, wherever it stands there, follow each
+        other; of each such row the first and last that are similar to a run of `y` bound a
+        passage.
         """
         w = self.width
         if len(x) < w or len(y) < w:
             return []
+        found = self.aligned(x, y, shift)
+        if found == [(0, len(x) - 1)]:
+            return found
         shared = np.isin(x, y)
-        if int(shared.sum()) < self.least and len(np.unique(x)) == len(x):
-            return []
+        more = shared.copy()
+        for a, b in found:
+            more[a : b + 1] = False
+        n_more = int(more.sum())
+        if not n_more or (
+            int(shared.sum()) < self.least and len(np.unique(x)) == len(x)
+        ):
+            return found
         fresh = first_in_run(x, w)
-        enough = self.promising(shared, fresh)
+        enough = self.promising(shared, fresh) & sliding_window_view(more, w).any(axis=1)
         if not enough.any():
-            return []
+            return found
         sizes, others = fresh.sum(axis=1), first_in_run(y, w)
         other_sizes = others.sum(axis=1)
 
@@ -379,9 +416,7 @@ class Verify(Passages):
             both = (has & others).sum(axis=1)
             return bool((100 * both >= self.percent * (sizes[i] + other_sizes - both)).any())
 
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], enough.view(np.int8), [0]))))
-        found = []
-        for start, past in edges.reshape(-1, 2).tolist():
+        for start, past in _rows_of(enough):
             one = next((i for i in range(start, past) if similar(i)), None)
             if one is None:
                 continue
@@ -510,7 +545,8 @@ def repeated_passages(
        for every function, similar ones for most.
     3. A window is paired with that of the first document of its bucket, so a hot bucket
        gives a pair for each window and no more. The windows of two texts are joined by
-       intervals over all hashes, and the parts where they follow each other are compared.
+       intervals, and the parts where they follow each other are compared: first those of
+       one hash function, then those of all where that has left something.
     4. Windows with shingles that earlier documents have, but no passage found covers, go
        on if they have enough of them: first with the next few documents of the bucket, in
        rounds that leave fewer and fewer where many copies differ here and there. What the last
@@ -620,28 +656,54 @@ def _spans(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
     """`text_id`, `doc_id`, `first`, `last` (shingles) and `other` of the copies found."""
     blobs = _blobs(source, members, settings)
     ordered = staged(_ordered(members), "ordered")
-    spans, shared, open_, before = None, None, members, 0
+    # One hash function finds every passage without a difference; the windows of the others
+    # are compared where it has left something.
+    first_hash = F.shiftright("reach", 20) == 0
+    hubs = ordered.where("rank = 1").select("key", "hub")
+    chains = _chains(members.where(first_hash), hubs, settings)
+    spans = staged(_verified(chains, blobs, settings), "spans")
+    # Windows of the first hash function have met the first document of their bucket.
+    left = _beyond(members.where(first_hash), ordered, 1).unionByName(
+        _beyond(members.where(~first_hash), ordered, 0)
+    )
+    left = staged(_uncovered(left, spans), "left")
+    shared = staged(_shared(members, left, blobs, settings), "shared")
+    before = 0
     for most in ROUNDS:
-        hubs = ordered.where(F.col("rank").between(before + 1, most)).select("key", "hub")
-        chains = _chains(open_, hubs, settings)
-        found = staged(_verified(chains, blobs, settings), "spans")
-        spans = found if spans is None else spans.unionByName(found)
-        # Only where a bucket has more documents is there anything left to compare with, and
-        # for its first document there never is.
-        more = ordered.where(F.col("rank") == most + 1).select(
-            "key", F.col("doc_id").alias("last_doc")
-        )
-        left = open_.join(more, "key").where(F.col("doc_id") > F.col("last_doc"))
-        left = staged(left.drop("last_doc"), "left")
-        if before == 0:
-            shared = staged(_shared(members, left, blobs, settings), "shared")
         open_ = staged(_hopeful(left, shared, blobs, spans, settings), "open")
-        before = most
         if open_.isEmpty():
             return spans
+        hubs = ordered.where(F.col("rank").between(before + 1, most)).select("key", "hub")
+        chains = _chains(open_, hubs, settings)
+        spans = spans.unionByName(staged(_verified(chains, blobs, settings), "spans"))
+        left = staged(_uncovered(_beyond(open_, ordered, most), spans), "left")
+        before = most
+    open_ = staged(_hopeful(left, shared, blobs, spans, settings), "open")
     return spans.unionByName(_rest(members, open_, blobs, settings))
 
 
+def _beyond(windows: DataFrame, ordered: DataFrame, tried: int) -> DataFrame:
+    """The windows with an earlier document in their bucket beyond the first `tried`."""
+    next_ = ordered.where(F.col("rank") == tried + 1).select(
+        "key", F.col("doc_id").alias("next_doc")
+    )
+    return (
+        windows.join(next_, "key").where("doc_id > next_doc").select(windows.columns)
+    )
+
+
+def _uncovered(windows: DataFrame, spans: DataFrame) -> DataFrame:
+    """The windows that do not lie in one passage found."""
+    held = spans.groupBy("text_id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    low, high = F.expr("centre - (shiftright(reach, 10) & 1023)"), F.expr("centre + (reach & 1023)")
+    inside = F.exists("spans", lambda s: (s["first"] <= low) & (s["last"] >= high))
+    return (
+        windows.join(held, "text_id", "left")
+        .where(F.col("spans").isNull() | ~inside)
+        .select(windows.columns)
+    )
+
+
 def _ordered(members: DataFrame) -> DataFrame:
     """The first documents of each bucket, as many as the rounds need and one more, each
     with the first of its windows there: `key`, `doc_id`, `hub`, `rank`."""
@@ -670,7 +732,7 @@ def _chains(open_: DataFrame, hubs: DataFrame, settings: tuple) -> DataFrame:
         per_row(
             pairs.select("text_id", "doc_id", "hub_id", "hub_doc", "seeds"),
             "text_id bigint, doc_id bigint, hub_id bigint, hub_doc bigint, first int, last int, "
-            "hub_first int, hub_last int, n_hashes int",
+            "hub_first int, hub_last int, shift int, n_hashes int",
             Chains(*settings),
         ),
         "chains",
@@ -689,7 +751,7 @@ def _verified(chains: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame
         .drop("own", "own_low")
         .join(other, "hub_id")
         .withColumn("y", _part(col("hub"), col("hub_low"), col("hub_first"), col("hub_last")))
-        .select("text_id", "doc_id", "hub_doc", "first", "x", "y")
+        .select("text_id", "doc_id", "hub_doc", "first", "shift", "x", "y")
     )
     return per_row(
         rows,
