@@ -399,16 +399,21 @@ class Verify(Passages):
         more = shared.copy()
         for a, b in found:
             more[a : b + 1] = False
-        n_more = int(more.sum())
-        if not n_more or (
-            int(shared.sum()) < self.least and len(np.unique(x)) == len(x)
-        ):
+        if not more.any():
             return found
-        fresh = first_in_run(x, w)
-        enough = self.promising(shared, fresh) & sliding_window_view(more, w).any(axis=1)
+        if len(np.unique(x)) == len(x):
+            # Every run has `w` distinct shingles.
+            sizes = np.full(len(x) - w + 1, w)
+            sums = np.concatenate(([0], np.cumsum(shared)))
+            enough = 100 * (sums[w:] - sums[:-w]) >= self.percent * w
+        else:
+            fresh = first_in_run(x, w)
+            sizes, enough = fresh.sum(axis=1), self.promising(shared, fresh)
+        sums = np.concatenate(([0], np.cumsum(more)))
+        enough &= sums[w:] > sums[:-w]
         if not enough.any():
             return found
-        sizes, others = fresh.sum(axis=1), first_in_run(y, w)
+        others = first_in_run(y, w)
         other_sizes = others.sum(axis=1)
 
         def similar(i: int) -> bool:
@@ -471,19 +476,24 @@ class Rest(Verify):
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for left, right in rows:
             others = [
-                (m["doc_id"], a := np.frombuffer(m["context"], np.uint32), set(a.tolist()))
+                (
+                    m["doc_id"],
+                    m["before"],
+                    a := np.frombuffer(m["context"], np.uint32),
+                    set(a.tolist()),
+                )
                 for m in right
             ]
             for m in left:
                 x = np.frombuffer(m["context"], np.uint32)
                 mine, told = set(x.tolist()), set()
                 plain = len(mine) == len(x)
-                for doc_id, y, theirs in others:
+                for doc_id, before, y, theirs in others:
                     if doc_id >= m["doc_id"]:
                         continue
                     if plain and len(theirs) == len(y) and len(mine & theirs) < self.least:
                         continue
-                    for span in self.spans(x, y):
+                    for span in self.spans(x, y, before - m["before"]):
                         if span not in told:
                             told.add(span)
                             for first in m["firsts"]:
@@ -830,12 +840,19 @@ def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tupl
         sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
         first = F.col("centre") - left
         context = _part(F.col("blob"), F.col("low"), first, F.col("centre") + right)
-        member = F.struct("text_id", "doc_id", "firsts", "context")
+        member = F.struct("text_id", "doc_id", "before", "firsts", "context")
         # Where a text repeats itself, equal contexts are one with several places.
         contexts = (
             rows.join(blobs, "text_id")
-            .select("key", "text_id", "doc_id", first.alias("first"), context.alias("context"))
-            .groupBy("key", "text_id", "doc_id", "context")
+            .select(
+                "key",
+                "text_id",
+                "doc_id",
+                left.alias("before"),
+                first.alias("first"),
+                context.alias("context"),
+            )
+            .groupBy("key", "text_id", "doc_id", "before", "context")
             .agg(F.collect_list("first").alias("firsts"))
         )
         block = F.expr(f"pmod(xxhash64(text_id, context), cast(ceil(n / {BLOCK}) as int))")
