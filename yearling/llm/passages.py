@@ -618,11 +618,13 @@ def _members(texts: DataFrame, copies: DataFrame) -> DataFrame:
         F.col("w.reaches").alias("reach"),
         F.col("w.runs").alias("runs"),
     )
-    # The first step keeps a small share; the next ones read it again.
+    # The first step keeps a small share; the next ones read it again. A filter of fixed
+    # size spares most windows that meet no other the shuffle.
+    met = staged(_met(windows, "bucket"), "met")
     meeting = staged(
-        windows.join(_met(windows, "bucket"), "bucket", "left_semi").join(
-            copies.select("text_id"), "text_id", "left_anti"
-        ),
+        perhaps_in(windows, "bucket", met)
+        .join(met, "bucket", "left_semi")
+        .join(copies.select("text_id"), "text_id", "left_anti"),
         "meeting",
     )
     run = F.explode(
