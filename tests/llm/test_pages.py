@@ -22,7 +22,11 @@ def text_of(spark, *htmls, url="https://www.example.com/a/{}"):
         ("<p>a</p><script>var x='<p>no</p>'</script><style>p{}</style><!-- c --><p>b", "a b"),
         ("<p>a</p><div class='ad-box'>buy</div><div id=cookie-notice>ok</div><p>b", "a b"),
         ("<p>a</p><section class=comments><p>first</p></section><p>b", "a b"),
-        ("<p>a</p><ul><li><a>1</a><li><a>2</a><li><a>3</a></ul><p>b", "a b"),
+        ("<p>a</p><ul><li><a>1</a><li><a>2</a><li><a>3</a></ul><p>b", "a 1 2 3 b"),
+        ("<p>a</p><div class='form-factor'>f</div><section class=related-work>r</section>", "a f r"),
+        ("<p>a <math><msup><mi>x</mi><mn>2</mn></msup><annotation>x^2</annotation></math> b", "a x2 b"),
+        ("<p>a</p><svg><title>no</title><path d='M'/><text>axis</text></svg><p>b", "a axis b"),
+        ("<p>a</p><div class='related-posts x1'>r</div><div class=user-comments>c</div><p>b", "a b"),
         ("<ul><li>one<li>two</ul><table><tr><td>x<td>y</table>", "one two x y"),
         ("<p>a</p><div role=navigation>m</div><div hidden>h</div><p style='display: none'>n<p>b", "a b"),
         ("<p>1 &lt; 2 &#233; &nbsp; x</p>a < b", "1 < 2 é x a < b"),
@@ -83,3 +87,24 @@ def test_a_host_may_have_many_templates(spark):
     ]
     pages += [frame.format(k, "<p>Short.</p>", "<p>" + "A long list. " * 20) for k in names]
     assert text_of(spark, *pages)[-len(names) :] == ["Short."] * len(names)
+
+
+def test_classes_outside_an_article(spark):
+    """A word in a longer name does not remove most of a page; whole names always count."""
+    page = f"<body><div class=form-factor>{BODY * 3}</div><div class=promo-xy>buy</div></body>"
+    talk = f"<body><div class=story>{BODY}</div><div class=comments>{'<p>I think so.</p>' * 90}</div>"
+    menu = f"<body><div class=k>{BODY}<ul><li><a>1</a><li><a>2</a><li><a>3</a></ul></div>"
+    one = "The first paragraph of the story, long enough to be the text."
+    assert text_of(spark, page) == [f"{one} {one} {one}"]
+    assert text_of(spark, talk) == [one]
+    assert text_of(spark, menu) == [one]
+
+
+def test_repeated_rows_and_long_pages(spark):
+    long = "<article>" + "".join(f"<p>w{i} and more words</p>" for i in range(40_000)) + "</article>"
+    rows = [(1, "http://a.x/", long), (1, "http://a.x/", long), (2, None, None), (None, "", "<p>t</p>")]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    found = sorted(main_text(df).collect(), key=lambda r: (r.page_id is None, r.page_id))
+    assert [r.page_id for r in found] == [1, 1, 2, None]
+    assert found[0].text == found[1].text == " ".join(f"w{i} and more words" for i in range(40_000))
+    assert (found[2].text, found[2].n_chars, found[3].text) == ("", 0, "t")

@@ -18,15 +18,18 @@ from yearling.sources.staging import staged
 
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp "
-    "rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math merror mfrac mi mn mo mover mpadded mroot mrow ms msqrt mstyle msub msubsup msup mtext "
+    "munder munderover semantics svg g path circle ellipse line polygon polyline rect tspan "
+    "use".split()
 )
 VOID = set(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = {"script", "style", "noscript", "textarea", "title", "iframe", "template", "svg", "math"}
+RAW = {"script", "style", "noscript", "textarea", "title", "iframe", "template"}
 SKIPPED = RAW | set(
     "head nav footer aside form button select option menu dialog object audio video canvas "
-    "map".split()
+    "map annotation annotation-xml mphantom defs desc metadata symbol".split()
 )
 CONTAINERS = {"article", "main", "section", "div", "td", "body"}
 #: Elements whose start ends an open paragraph.
@@ -53,6 +56,13 @@ AROUND = set(
     "comments respond disqus reply replies share sharing social related recommended "
     "recommendations trending widget widgets search form".split()
 )
+#: Words that, joined to one of the above, still name matter around the text.
+HOLDERS = set(
+    "area articles bar block body bottom box button buttons col column container content global "
+    "group heading icon icons in inline inner item items left link links list main message mobile "
+    "outer page panel posts primary reader right row secondary section site slot stories text "
+    "thread title top unit user wrap wrapper".split()
+)
 INSIDE = set("article content entry main post story text body".split())
 
 _TAG = re.compile(
@@ -81,7 +91,8 @@ class Page:
         self.parents: list[int] = [-1]
         self.paths: list[str] = [""]
         self.skip: list[bool] = [False]
-        self.by_class: list[bool] = [False]
+        #: 0 for classes that say nothing, 1 for a word in a longer name, 2 for a whole name.
+        self.by_class: list[int] = [0]
         self.linked: list[bool] = [False]
         #: Element and text; no text stands for the edge of a block.
         self.events: list[tuple[int, str | None]] = []
@@ -127,12 +138,12 @@ class Page:
         elif name in ENDS_ITEM:
             self._close(open_, *ENDS_ITEM[name])
         parent, number = open_[-1], len(tags)
-        classes, skip, by_class = "", name in SKIPPED, False
+        classes, skip, by_class = "", name in SKIPPED, 0
         if rest and name not in INLINE:
             classes, by_class, hidden = self._attributes(name, rest)
             skip = skip or hidden
         if name == "header":
-            by_class = True
+            by_class = 2
         tags.append(name)
         self.parents.append(parent)
         step = name + classes
@@ -171,14 +182,17 @@ class Page:
                 return
 
     @staticmethod
-    def _attributes(name: str, rest: str) -> tuple[str, bool, bool]:
-        """The generalised class, whether it speaks for matter around the text, and
+    def _attributes(name: str, rest: str) -> tuple[str, int, bool]:
+        """The generalised class, how much it speaks for matter around the text, and
         whether the element is hidden or has a role of that kind."""
-        classes, words, hidden = "", set(), False
+        classes, words, whole, hidden = "", set(), False, False
         for key, value in _ATTRIBUTE.findall(rest):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                words.update(_NO_LETTERS.split(value))
+                for one in value.split():
+                    parts = set(_NO_LETTERS.split(one)) - {""}
+                    words |= parts
+                    whole |= bool(parts & AROUND) and parts <= AROUND | HOLDERS
                 if key == "class":
                     kinds = sorted({_DIGITS.sub("#", c) for c in value.split()})
                     classes = "".join(f".{c}" for c in kinds)
@@ -195,14 +209,17 @@ class Page:
             around = set()
         if name in ("body", "article", "main", "html"):
             around = set()
-        return classes, bool(around), hidden and name not in ("html", "body")
+        by_class = 0 if not around else 2 if whole else 1
+        return classes, by_class, hidden and name not in ("html", "body")
 
     def _settle(self) -> None:
         """Skipped are elements around the text, and all in them. One that holds an
         article is a frame, not matter around the text; a header inside an article
-        that has a heading is its title."""
+        that has a heading is its title. A word in a longer class name says nothing of
+        an element inside an article, nor of one with most of the page's text."""
         n = len(self.tags)
         holds, heads, within = [False] * n, [False] * n, [False] * n
+        sizes = self._sizes() if 1 in self.by_class else None
         for i in range(n - 1, 0, -1):
             parent, tag = self.parents[i], self.tags[i]
             holds[parent] = holds[parent] or holds[i] or tag in ("article", "main")
@@ -211,9 +228,27 @@ class Page:
             parent = self.parents[i]
             within[i] = within[parent] or self.tags[parent] in ("article", "main")
             title = self.tags[i] == "header" and within[i] and heads[i]
-            if self.by_class[i] and not holds[i] and not title:
+            around = self.by_class[i]
+            if around == 1:
+                around = 0 if within[i] or 2 * sizes[i] > sizes[0] else 1
+            if around and not holds[i] and not title:
                 self.skip[i] = True
             self.skip[i] = self.skip[i] or self.skip[parent]
+        self.within = within
+
+    def _sizes(self) -> list[int]:
+        """Text without links in each element that is not around the text by its tag or
+        a whole class name."""
+        n = len(self.tags)
+        sizes, out = [0] * n, [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parents[i]] or self.skip[i] or self.by_class[i] == 2
+        for i, text in self.events:
+            if text and not self.linked[i] and not out[i]:
+                sizes[i] += len("".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            sizes[self.parents[i]] += sizes[i]
+        return sizes
 
     def scores(self) -> dict[int, float]:
         """How much each container looks like the article: its text without links, by the
@@ -270,8 +305,13 @@ class Page:
         return " ".join("".join(parts).split())
 
     def _link_lists(self, inside: list[bool]) -> list[int]:
-        """Lists of three or more links and nothing else: menus inside the text."""
-        lists = {i for i, t in enumerate(self.tags) if t in ("ul", "ol") and inside[i]}
+        """Lists of three or more links and nothing else: menus, but for those inside an
+        article, which belong to it."""
+        lists = {
+            i
+            for i, t in enumerate(self.tags)
+            if t in ("ul", "ol") and inside[i] and not self.within[i]
+        }
         if not lists:
             return []
         links: Counter[int] = Counter()
@@ -372,9 +412,15 @@ def main_text(
     class or id. Character references are decoded; white space becomes one space inside
     a block and between blocks.
 
+    A class or id counts when a whole name is made of words for such matter; a word in a
+    longer name counts only outside of articles and not for most of a page's text. Lists
+    of nothing but links are menus, but for those inside an article. Formulas and the
+    words of drawings are text.
+
     Null and empty pages give an empty text; pages without a host form one. Repeated
-    rows each give a row; other columns are not read. Votes are summed within each task
-    and by Spark, so a host with many pages weighs no more than others; every path that
+    rows each give a row; other columns are not read; of containers with equal scores the
+    innermost, then the later one is the page's best, of paths with equal votes the first
+    by name wins. A page is read whole, however long. Votes are summed within each task and by Spark, so a host with many pages weighs no more than others; every path that
     some page voted first is joined with the pages' own paths.
     """
     host = F.coalesce(F.regexp_extract(url_col, r"^\s*[a-zA-Z][\w+.-]*://([^/?#]*)", 1), F.lit(""))
