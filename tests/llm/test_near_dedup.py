@@ -79,3 +79,16 @@ def test_components_of_paths_and_stars(spark):
         **{i: 0 for i in range(41)},
         **{i: 100 for i in range(100, 160)},
     }
+
+
+def test_ids_with_several_texts(table):
+    """Every text of an id links, whatever the order of the rows."""
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [(1, a), (1, b), (2, edited(b, 80, 5)), (3, c), (4, a), (4, c), (5, prose(4, 80))]
+    expected = {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+    for order in (rows, rows[::-1]):
+        for parts in (1, 3):
+            found = near_groups(table(order).repartition(parts), shingle=3, percent=85).collect()
+            assert len(found) == len(rows)
+            assert {r.doc_id: r.component_id for r in found} == expected
+            assert all(r.kept == (r.doc_id == r.component_id) for r in found)

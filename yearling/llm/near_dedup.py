@@ -71,7 +71,8 @@ class Sets:
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, raw in rows:
-            yield doc_id, shingle_set(raw, self.size).tobytes()
+            found = shingle_set(raw, self.size).tobytes()
+            yield doc_id, xxhash.xxh3_128_digest(found), found
 
 
 def _numbers(blob: bytes) -> np.ndarray:
@@ -161,8 +162,10 @@ def near_groups(
     with fewer words is one shingle, one without words (or null) has an empty set and is
     linked with nothing. Two rows are linked when 100 * intersection >= percent * union,
     counted on the full sets. The component is the smallest id reachable and that row is
-    kept; of repeated rows with that id, all are. Rows with a null id stay unlinked
-    unless another row has the same set. Other columns are not read.
+    kept; of repeated rows with that id, all are. Rows that repeat an id with different
+    texts are one document with the links of all of them, in whatever order they come.
+    Rows with a null id stay unlinked unless another row has the same set. Other columns
+    are not read.
 
     1. Rows with equal sets collapse to one class before anything else.
     2. Classes that share a band form a bucket. Each class is compared with the first of
@@ -191,9 +194,11 @@ def near_groups(
     sets = staged(
         per_row(
             source.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"),
-            "id bigint, shingles binary",
+            "id bigint, set_key binary, shingles binary",
             Sets(shingle),
-        ).dropDuplicates(["id"]),
+        )
+        .dropDuplicates(["id", "set_key"])
+        .select("id", "shingles"),
         "sets",
     )
 
@@ -207,6 +212,7 @@ def near_groups(
         LinkPairs(percent),
         step=64,
     )
+    links = links.unionByName(_texts_of_one_id(rows, classes))
     found = staged(components(links), "components")
 
     final = _join_rest(members, sets, found, percent)
@@ -222,6 +228,20 @@ def near_groups(
     )
 
 
+def _texts_of_one_id(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of the different texts of an id."""
+    sets = rows.where("set_key is not null and doc_id is not null").select("doc_id", "set_key")
+    again = sets.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
+    again = staged(again.where("low < high").select("doc_id"), "again")
+    placed = (
+        sets.join(again, "doc_id", "left_semi")
+        .distinct()
+        .join(classes.select("set_key", "id"), "set_key")
+    )
+    least = placed.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return placed.join(least, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
+
+
 def _join_rest(
     members: DataFrame, sets: DataFrame, found: DataFrame, percent: int
 ) -> DataFrame:
