@@ -1,5 +1,6 @@
 import itertools
 import math
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -35,6 +36,55 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == truth[r.doc_id] for r in held_out) >= 0.98 * len(held_out)
 
 
+def plain_ngrams(text):
+    """Counts of 1- to 3-grams, letter by letter."""
+    kept = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower())
+    line = f" {' '.join(kept.split(' '))} "
+    while "  " in line:
+        line = line.replace("  ", " ")
+    found = Counter(c for c in line if c != " ")
+    if found:
+        found.update(line[i : i + 2] for i in range(len(line) - 1))
+        found.update(x for i in range(len(line) - 2) if (x := line[i : i + 3])[1] != " ")
+    return found
+
+
+def plain_order(counts, size):
+    def code(gram):
+        return sum(ord(c) << 21 * k for k, c in enumerate(reversed(gram)))
+
+    return sorted(counts, key=lambda g: (-counts[g], code(g)))[:size]
+
+
+@pytest.mark.parametrize("size", [7, 600])
+def test_predictions_equal_brute_force(spark, size):
+    rows = [tuple(r) for r in pq.read_table(DATA, columns=["doc_id", "text", "lang"]).slice(0, 250)
+            .to_pandas().astype(object).itertuples(index=False)]
+    rows += [(9001, "ÀÉ ß 中文 ab", "xx"), (9002, "中文 中 ab", "xx"), (9003, None, "xx"),
+             (9004, "12", None), (9005, "", "yy"), (9006, "zz zz", "yy"), (9007, "zz ab", None)]
+    rows = [(i, t if isinstance(t, str) else None, x) for i, t, x in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    totals = {}
+    for doc_id, text, lang in rows:
+        if text is not None and lang is not None and remainder(doc_id, 4) != 2:
+            totals.setdefault(lang, Counter()).update(plain_ngrams(text))
+    known = {
+        lang: {g: i for i, g in enumerate(plain_order(c, size))} for lang, c in totals.items() if c
+    }
+    expected = {}
+    for doc_id, text, _ in rows:
+        own = plain_order(plain_ngrams(text), size)
+        far = {
+            lang: sum(abs(p[g] - i) if g in p else size for i, g in enumerate(own))
+            for lang, p in known.items()
+        }
+        best = min(sorted(far), key=far.get) if own else "und"
+        score = 1 - far[best] / (size * len(own)) if own else 0.0
+        expected[doc_id] = (best, pytest.approx(score, abs=1e-12))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in languages(docs, size=size).collect()}
+    assert len(found) == len(rows) and found == expected
+
+
 def test_texts_without_letters_and_unlabelled(table):
     # 0 to 9 are in training but for 2, 4 and 8 or so; labels do not matter in prediction.
     docs = table({i: prose(i, 50) for i in range(10)}).unionByName(
