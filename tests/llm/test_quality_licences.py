@@ -5,7 +5,7 @@ from conftest_llm import prose
 from pyspark.sql import functions as F
 
 from yearling.llm import quality
-from yearling.llm.licences import NOTICES, licence_matches
+from yearling.llm.licences import LONG, NOTICES, licence_matches
 from yearling.llm.quality import ablations, ledger, mask, verdict
 
 
@@ -74,7 +74,71 @@ def test_clean_documents_stay(spark):
     assert bad.first().kept < 0.1
 
 
-@pytest.mark.parametrize("name", [n[0] for n in NOTICES])
+def licences_of(table, texts):
+    found = {i: set() for i in texts}
+    for r in licence_matches(table(texts)).collect():
+        found[r.doc_id].add(r.licence)
+    return found
+
+
+def test_every_template_tells_its_licence_only(table):
+    texts = {i: f"{prose(i, 30)}. {n[2]} {prose(i + 500, 30)}" for i, n in enumerate(NOTICES)}
+    found = licences_of(table, texts)
+    assert found == {i: {n[1]} for i, n in enumerate(NOTICES)}
+    assert len({n[0] for n in NOTICES}) == len(NOTICES)
+
+
+PHRASES = {
+    "Copyright 2020 Someone. Distributed under the MIT license.": "MIT",
+    "This code is licensed under the MIT License.": "MIT",
+    "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "All of it is licensed under CC BY 4.0.": "CC-BY-4.0",
+    "Text is licensed under CC BY-NC 4.0 unless said otherwise": "CC-BY-NC-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
+    "License.": "CC-BY-NC-4.0",
+    "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0-only",
+    "This program is free software; you can redistribute it and/or modify it under the terms of "
+    "the GNU General Public License as published by the Free Software Foundation; either version "
+    "2 of the License, or (at your option) any later version.": "GPL-2.0-or-later",
+    "This file is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU Affero General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License, or (at your option) any later version.": "AGPL-3.0-or-later",
+    "This library is free software; you can redistribute it and/or modify it under the terms of "
+    "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+    "version 2.1 of the License, or (at your option) any later version.": "LGPL-2.1-or-later",
+    "This is free and unencumbered software released into the public domain. Anyone is free to "
+    "copy, modify, publish, use, compile, sell, or distribute this software, either in source "
+    "code form or as a compiled binary, for any purpose, commercial or non-commercial, and by "
+    "any means. In jurisdictions that recognize copyright laws": "Unlicense",
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: * Redistributions of source code "
+    "must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. * Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT "
+    'HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES': "BSD-2-Clause",
+}
+
+
+def test_other_phrasings_give_the_right_licence(table):
+    texts = {i: f"{prose(i, 40)}\n{x}\n{prose(i + 99, 40)}" for i, x in enumerate(PHRASES)}
+    assert licences_of(table, texts) == {i: {x} for i, x in enumerate(PHRASES.values())}
+
+
+def test_two_versions_in_one_text(table):
+    by_name = {n[0]: n[2] for n in NOTICES}
+    both = f"{by_name['gpl2_notice']} {prose(1, 200)} {by_name['gpl3_notice']}"
+    terms = f"{by_name['bsd3_terms']} {prose(2, 300)} {by_name['bsd2_terms']}"
+    older = by_name["gpl3_notice"].replace("version 3", "version 1")
+    found = licences_of(table, {1: both, 2: terms, 3: older})
+    assert found == {
+        1: {"GPL-2.0-or-later", "GPL-3.0-or-later"},
+        2: {"BSD-2-Clause", "BSD-3-Clause"},
+        3: set(),
+    }
+
+
+@pytest.mark.parametrize("name", [n[0] for n in LONG])
 def test_each_notice_is_found(table, name):
     notice = dict((n[0], n[2]) for n in NOTICES)[name]
     w = notice.split()

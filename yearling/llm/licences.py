@@ -2,32 +2,72 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearling.sources.staging import staged
 
+#: Words of a shingle, and the share of a template's shingles that must be found.
+SHINGLE, CONTAINED = 5, 0.8
+
+#: How a licence is named in one line, by SPDX id.
+NAMES: list[tuple[str, str]] = [
+    ("MIT", "MIT License"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("Apache-2.0", "Apache 2.0 License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("ISC", "ISC License"),
+    ("Zlib", "zlib License"),
+    ("BSL-1.0", "Boost Software License, Version 1.0"),
+    ("GPL-2.0-only", "GNU General Public License, version 2"),
+    ("GPL-3.0-only", "GNU General Public License, version 3"),
+    ("LGPL-2.1-only", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0-only", "GNU Lesser General Public License, version 3"),
+    ("AGPL-3.0-only", "GNU Affero General Public License, version 3"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("CC-BY-4.0", "CC BY 4.0"),
+    ("CC-BY-SA-4.0", "CC BY-SA 4.0"),
+    ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+    ("CC-BY-ND-4.0", "CC BY-ND 4.0"),
+    ("CC-BY-NC-SA-4.0", "CC BY-NC-SA 4.0"),
+    ("CC-BY-NC-ND-4.0", "CC BY-NC-ND 4.0"),
+    ("CC-BY-3.0", "CC BY 3.0"),
+    ("CC-BY-SA-3.0", "CC BY-SA 3.0"),
+]
+#: What comes before such a name.
+VERBS = ["Released under the", "Licensed under the", "Distributed under the", "Available under the"]
+
+#: Names of the Creative Commons licences, by SPDX id.
+COMMONS: list[tuple[str, str]] = [
+    ("CC-BY", "Attribution"),
+    ("CC-BY-SA", "Attribution-ShareAlike"),
+    ("CC-BY-NC", "Attribution-NonCommercial"),
+    ("CC-BY-ND", "Attribution-NoDerivatives"),
+    ("CC-BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("CC-BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+]
+
+_GNU = (
+    "{it} is free software: you can redistribute it and/or modify it under the terms of the "
+    "{name} as published by the Free Software Foundation, either version {version} of the "
+    "License, or (at your option) any later version."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: 1. Redistributions of source "
+    "code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. "
+)
+_BSD_END = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"'
+
 #: Notices as licensors publish them, by name and SPDX id.
-NOTICES: list[tuple[str, str, str]] = [
-    ("mit_line", "MIT", "Released under the MIT License."),
-    ("apache_line", "Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    (
-        "gpl3_line",
-        "GPL-3.0-only",
-        "This work is licensed under the GNU General Public License, version 3.",
-    ),
-    ("cc_by_nc_line", "CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    (
-        "cc_by",
-        "CC-BY-4.0",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ),
-    (
-        "cc_by_sa",
-        "CC-BY-SA-4.0",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-        "International License.",
-    ),
+LONG: list[tuple[str, str, str]] = [
     (
         "mpl2",
         "MPL-2.0",
@@ -35,12 +75,15 @@ NOTICES: list[tuple[str, str, str]] = [
         "If a copy of the MPL was not distributed with this file, You can obtain one at "
         "https://mozilla.org/MPL/2.0/.",
     ),
-    (
-        "gpl3_notice",
-        "GPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the "
-        "terms of the GNU General Public License as published by the Free Software "
-        "Foundation, either version 3 of the License, or (at your option) any later version.",
+    *(
+        (name, licence, _GNU.format(it=it, name=full, version=version))
+        for name, licence, it, full, version in [
+            ("gpl2_notice", "GPL-2.0-or-later", "This program", "GNU General Public License", "2"),
+            ("gpl3_notice", "GPL-3.0-or-later", "This program", "GNU General Public License", "3"),
+            ("lgpl21_notice", "LGPL-2.1-or-later", "This library", "GNU Lesser General Public License", "2.1"),
+            ("lgpl3_notice", "LGPL-3.0-or-later", "This library", "GNU Lesser General Public License", "3"),
+            ("agpl3_notice", "AGPL-3.0-or-later", "This program", "GNU Affero General Public License", "3"),
+        ]
     ),
     (
         "apache_notice",
@@ -62,11 +105,37 @@ NOTICES: list[tuple[str, str, str]] = [
         "and to permit persons to whom the Software is furnished to do so, subject to the "
         "following conditions:",
     ),
+    ("bsd2_terms", "BSD-2-Clause", _BSD + _BSD_END),
     (
-        "bsd_terms",
+        "bsd3_terms",
         "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met:",
+        _BSD + "3. Neither the name of the copyright holder nor the names of its contributors "
+        "may be used to endorse or promote products derived from this software without "
+        "specific prior written permission. " + _BSD_END,
+    ),
+    (
+        "unlicense",
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is "
+        "free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
+    ),
+    (
+        "zlib_grant",
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no "
+        "event will the authors be held liable for any damages arising from the use of this "
+        "software. Permission is granted to anyone to use this software for any purpose, "
+        "including commercial applications, and to alter it and redistribute it freely, "
+        "subject to the following restrictions:",
+    ),
+    (
+        "epl2_notice",
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of "
+        "the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
     ),
     (
         "isc_grant",
@@ -77,8 +146,32 @@ NOTICES: list[tuple[str, str, str]] = [
     ),
 ]
 
-#: Words of a shingle, and the share of a template's shingles that must be found.
-SHINGLE, CONTAINED = 5, 0.8
+
+def one_liners() -> list[tuple[str, str, str]]:
+    """Every verb with every name, tags of SPDX ids, and the lines of Creative Commons."""
+    found = [
+        (f"{verb.split()[0].lower()} {name.lower()}", licence, f"{verb} {name}.")
+        for licence, name in NAMES
+        for verb in VERBS
+    ]
+    # "CC BY 4.0" goes without an article.
+    found = [(n, i, x.replace("the CC", "CC")) for n, i, x in found]
+    tags = {licence for _, licence, _ in [*LONG, *found]}
+    for licence in sorted(tags):
+        line = f"SPDX-License-Identifier: {licence}"
+        if len(re.findall(r"[a-zA-Z0-9]+", line)) >= SHINGLE:
+            found.append((f"spdx {licence.lower()}", licence, line))
+    for short, full in COMMONS:
+        for version, kind in [("4.0", "International"), ("3.0", "Unported")]:
+            line = f"This work is licensed under a Creative Commons {full} {version} {kind} License."
+            found.append((f"commons {full.lower()} {version}", f"{short}-{version}", line))
+    return found
+
+
+NOTICES = [*LONG, *one_liners()]
+
+#: Shingles of templates up to which these go to every task, far more than all licences have.
+SENT = 100_000
 
 #: Bands of one MinHash each. A window that holds a template has a Jaccard similarity of
 #: at least 1/3 with it, one that holds the least share that counts 1/4: no band is
@@ -135,6 +228,31 @@ def templates(spark: SparkSession, notices: list[tuple[str, str, str]]) -> DataF
     )
 
 
+def with_rivals(known: DataFrame) -> DataFrame:
+    """`telling`: for each template of another licence that holds the share `CONTAINED`
+    of this one's shingles, the shingles that only this one has."""
+    own = known.select("template", "licence", "t", F.explode("t").alias("g"))
+    other = known.select(
+        F.col("template").alias("rival"),
+        F.col("licence").alias("other"),
+        F.col("t").alias("u"),
+        F.explode("t").alias("g"),
+    )
+    shared = own.join(other, "g").where("licence <> other")
+    close = shared.groupBy("template", "rival").agg(
+        F.count("*").alias("n"), F.first("t").alias("t"), F.first("u").alias("u")
+    )
+    telling = (
+        close.where(F.col("n") >= CONTAINED * F.size("t"))
+        .groupBy("template")
+        .agg(F.collect_list(F.array_except("t", "u")).alias("telling"))
+    )
+    nothing = F.expr("cast(array() as array<array<bigint>>)")
+    return known.join(telling, "template", "left").withColumn(
+        "telling", F.coalesce("telling", nothing)
+    )
+
+
 def _band_keys(shingle_array: str) -> Column:
     """MinHash of an array for each band; the band is part of the key."""
     least = f"array_min(transform({shingle_array}, x -> xxhash64(x, band)))"
@@ -152,7 +270,9 @@ def licence_matches(
 
     One row for each document and notice of which one window holds the share
     `CONTAINED` of its distinct shingles; the window is the one with most of them, the
-    first of equal ones. Null, empty and short texts give no rows; repeated rows with one
+    first of equal ones. Where another licence's notice holds as much of the notice, as
+    with another version, the window must also hold half of the shingles that only this
+    notice has. Null, empty and short texts give no rows; repeated rows with one
     id give one row. Other columns are not read. A notice of fewer than `SHINGLE` words
     is an error.
 
@@ -163,7 +283,7 @@ def licence_matches(
     but the documents come from the notices; nothing is shuffled but the matches.
     """
     spark = docs.sparkSession
-    known = staged(templates(spark, notices), "notices")
+    known = staged(with_rivals(templates(spark, notices)), "notices")
     rows = known.collect()
     short = [r["template"] for r in rows if not r["t"]]
     if short:
@@ -193,10 +313,15 @@ def licence_matches(
         "doc_id", "tier", "start", "w", F.explode(_band_keys("w")).alias("key")
     )
     by_band = known.select(
-        "template", "licence", "t", "tier", F.explode(_band_keys("t")).alias("key")
+        "template", "licence", "t", "telling", "tier", F.explode(_band_keys("t")).alias("key")
     )
-    # The notices times the bands: as small as the list of notices.
-    matched = banded.join(F.broadcast(by_band), ["tier", "key"]).select(
+    # The notices times the bands: as small as the list of notices. A longer list than
+    # any there is would be joined by a shuffle of the windows that are left.
+    if len(everything) <= SENT:
+        by_band = F.broadcast(by_band)
+    told = F.expr("forall(telling, x -> 2 * size(array_intersect(w, x)) >= size(x))")
+    joined = banded.join(by_band, ["tier", "key"]).where(told)
+    matched = joined.select(
         "doc_id",
         "template",
         "licence",

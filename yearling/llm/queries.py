@@ -174,10 +174,34 @@ counted AS (
   SELECT doc_id, template, licence, n_shingles, start, count(DISTINCT g) AS n_matched
   FROM placed GROUP BY ALL
 ),
+close AS (
+  SELECT a.template, b.template AS rival FROM t a JOIN t b USING (g)
+  JOIN sizes ON sizes.template = a.template
+  WHERE a.licence <> b.licence
+  GROUP BY a.template, b.template, n_shingles HAVING count(*) >= {CONTAINED} * n_shingles
+),
+own AS (
+  SELECT close.template, rival, t.g, count(*) OVER (PARTITION BY close.template, rival) AS n_own
+  FROM close JOIN t ON t.template = close.template
+  WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.template = rival AND u.g = t.g)
+),
+need AS (SELECT DISTINCT template, rival, n_own FROM own),
+told AS (
+  SELECT placed.doc_id, placed.template, start, rival, count(DISTINCT placed.g) AS n_told
+  FROM placed JOIN own ON own.template = placed.template AND own.g = placed.g GROUP BY ALL
+),
+missed AS (
+  SELECT DISTINCT c.doc_id, c.template, c.start
+  FROM counted c JOIN need ON need.template = c.template
+  LEFT JOIN told ON told.doc_id = c.doc_id AND told.template = c.template
+    AND told.start = c.start AND told.rival = need.rival
+  WHERE 2 * coalesce(n_told, 0) < n_own
+),
 ranked AS (
   SELECT *, row_number() OVER (
     PARTITION BY doc_id, template ORDER BY n_matched DESC, start) AS place
-  FROM counted WHERE n_matched >= {CONTAINED} * n_shingles
+  FROM counted ANTI JOIN missed USING (doc_id, template, start)
+  WHERE n_matched >= {CONTAINED} * n_shingles
 )
 SELECT doc_id, template, licence, n_shingles, n_matched, n_matched / n_shingles AS containment,
   start AS window_start FROM ranked WHERE place = 1
