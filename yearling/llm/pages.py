@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -327,54 +327,27 @@ class Page:
         return sorted(i for i in lists if links[i] >= 3 and not plain[i])
 
 
-def _votes(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Votes of the pages for the paths of their containers, summed by host.
+def _key(present: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(present)) - (1 << 63)
+
+
+def _parsed(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Pages with a key of the paths they have, and their votes for each path.
 
     A page has one vote for its best container and parts for those that come near.
     """
-    held: dict[tuple[str, str], list] = defaultdict(lambda: [0.0, 0])
-    for host, html in rows:
+    for page_id, url, html, host in rows:
         page = Page(html or "")
         scores = page.scores()
         most = max(scores.values(), default=0.0)
-        by_path: dict[str, float] = {}
+        shares: dict[str, float] = dict.fromkeys(page.paths, 0.0)
         for i, score in scores.items():
             if 2 * score >= most:
                 path = page.paths[i]
-                by_path[path] = max(by_path.get(path, 0.0), score / most)
-        for path, share in by_path.items():
-            vote = held[host, path]
-            vote[0] += share
-            vote[1] += share == 1.0
-        if len(held) > 100_000:
-            for (h, path), (share, first) in held.items():
-                yield h, path, share, first
-            held.clear()
-    for (h, path), (share, first) in held.items():
-        yield h, path, share, first
-
-
-def _key(present: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest("\n".join(present)) - (1 << 63)
-
-
-def _present(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Paths of the pages, once for pages of a host that have the same ones."""
-    seen: set[tuple[str, int]] = set()
-    for host, html in rows:
-        present = sorted(set(Page(html or "").paths))
-        key = _key(present)
-        if (host, key) not in seen:
-            if len(seen) > 100_000:
-                seen.clear()
-            seen.add((host, key))
-            for path in present:
-                yield host, key, path
-
-
-def _keyed(rows: Iterator[tuple]) -> Iterator[tuple]:
-    for page_id, url, html, host in rows:
-        yield page_id, url, html, host, _key(sorted(set(Page(html or "").paths)))
+                shares[path] = max(shares[path], score / most)
+        present = sorted(shares)
+        votes = [(path, shares[path], int(shares[path] == 1.0)) for path in present]
+        yield page_id, url, html, host, _key(present), votes
 
 
 def _extract(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -420,7 +393,8 @@ def main_text(
     Null and empty pages give an empty text; pages without a host form one. Repeated
     rows each give a row; other columns are not read; of containers with equal scores the
     innermost, then the later one is the page's best, of paths with equal votes the first
-    by name wins. A page is read whole, however long. Votes are summed within each task and by Spark, so a host with many pages weighs no more than others; every path that
+    by name wins. A page is read whole, however long, twice: for its votes and for its
+    text. Votes are summed within each task and by Spark, so a host with many pages weighs no more than others; every path that
     some page voted first is joined with the pages' own paths.
     """
     host = F.coalesce(F.regexp_extract(url_col, r"^\s*[a-zA-Z][\w+.-]*://([^/?#]*)", 1), F.lit(""))
@@ -430,18 +404,24 @@ def main_text(
         F.col(html_col).cast("string").alias("html"),
         F.lower(host).alias("host"),
     )
-    votes = (
+    parsed = staged(
         per_row(
-            source.select("host", "html"),
-            "host string, path string, share double, first bigint",
-            _votes,
-        )
-        .groupBy("host", "path")
-        .agg(F.sum("first").alias("first"), F.round(F.sum("share"), 6).alias("share"))
+            source,
+            "page_id bigint, url string, html string, host string, key bigint, "
+            "votes array<struct<path: string, share: double, first: bigint>>",
+            _parsed,
+            step=64,
+        ),
+        "parsed",
+    )
+    # What pages of one shape say is summed up before the shuffles; html is not read here.
+    shapes = parsed.select("host", "key", F.explode("votes").alias("v")).select(
+        "host", "key", "v.*"
+    )
+    votes = shapes.groupBy("host", "path").agg(
+        F.sum("first").alias("first"), F.round(F.sum("share"), 6).alias("share")
     )
-    present = per_row(
-        source.select("host", "html"), "host string, key bigint, path string", _present
-    ).distinct()
+    present = shapes.select("host", "key", "path").distinct()
     # First by pages whose best container it is, then by votes in all.
     chosen = staged(
         present.join(votes.where("first > 0"), ["host", "path"])
@@ -450,10 +430,10 @@ def main_text(
         .select("host", "key", F.col("ranked.path").alias("paths")),
         "paths",
     )
-    keyed = per_row(
-        source, "page_id bigint, url string, html string, host string, key bigint", _keyed, step=64
+    pages_of = parsed.select("page_id", "url", "html", "host", "key")
+    joined = pages_of.join(chosen, ["host", "key"], "left").select(
+        "page_id", "url", "html", "paths"
     )
-    joined = keyed.join(chosen, ["host", "key"], "left").select("page_id", "url", "html", "paths")
     return per_row(
         joined, "page_id bigint, url string, text string, n_chars bigint", _extract, step=64
     )
