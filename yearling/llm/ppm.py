@@ -219,6 +219,21 @@ def _unpacked(packed: bytes, kind: type = np.int64, rising: bool = False) -> np.
     return np.cumsum(values, dtype=kind) if rising else values
 
 
+def _packed_lengths(values: np.ndarray) -> bytes:
+    """Lengths, of which many are equal, as their distinct values and small numbers."""
+    distinct, place = np.unique(values, return_inverse=True)
+    known = _packed(distinct.view(np.int64), True)
+    kind = np.uint16 if len(distinct) <= 1 << 16 else np.uint32
+    return len(known).to_bytes(8, "little") + known + _packed(place.astype(kind))
+
+
+def _unpacked_lengths(packed: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(packed[:8], "little")
+    distinct = _unpacked(packed[8:end], rising=True).view(np.float64)
+    kind = np.uint16 if len(distinct) <= 1 << 16 else np.uint32
+    return distinct[_unpacked(packed[end:], kind)]
+
+
 def _array(column: pa.ChunkedArray, kind: type = np.int64, rising: bool = False) -> np.ndarray:
     """The numbers of all rows."""
     parts = [_unpacked(p, kind, rising) for p in column.to_pylist()]
@@ -340,7 +355,7 @@ class Frequent:
 def _looked_up(
     grams: DataFrame, wanted: DataFrame, base: Broadcast, order: int
 ) -> DataFrame:
-    """`chunk`, `places` and `lengths` of all wanted grams, bucket by bucket: all contexts
+    """`chunk`, `bucket` and `lengths` of all wanted grams, bucket by bucket: all contexts
     that a gram can escape to are in its bucket or known to all tasks."""
 
     def lengths(known: pa.Table, asked: pa.Table) -> pa.Table:
@@ -351,15 +366,15 @@ def _looked_up(
         distinct, place = np.unique(np.concatenate([own[:0], *held]), return_inverse=True)
         found = trie.lengths(distinct)[place]
         ends = np.cumsum([len(g) for g in held])
-        parts = [_packed(x) for x in np.split(found, ends[:-1])] if held else []
+        parts = [_packed_lengths(x) for x in np.split(found, ends[:-1])] if held else []
         return pa.table(
-            [asked["chunk"], asked["places"], pa.array(parts, pa.binary())],
+            [asked["chunk"], asked["bucket"], pa.array(parts, pa.binary())],
             schema=to_arrow_schema(kind),
         )
 
-    kind = StructType.fromDDL("chunk bigint, places binary, lengths binary")
+    kind = StructType.fromDDL("chunk bigint, bucket bigint, lengths binary")
     return grams.select("bucket", "grams", "ns").groupBy("bucket").cogroup(
-        wanted.select("bucket", "chunk", "grams", "places").groupBy("bucket")
+        wanted.select("bucket", "chunk", "grams").groupBy("bucket")
     ).applyInArrow(lengths, kind)
 
 
@@ -367,10 +382,9 @@ def _sums(texts: DataFrame, found: DataFrame) -> DataFrame:
     """`row` and `rare_score`: the sum over the grams of each text that were looked up."""
 
     def summed(own: pa.Table, known: pa.Table) -> pa.Table:
-        places = _array(known["places"], np.int32)
-        lengths = _array(known["lengths"], np.float64)
-        by_place = np.zeros(len(places))
-        by_place[places] = lengths
+        # Grams of a chunk are numbered bucket by bucket.
+        parts = known.sort_by("bucket")["lengths"].to_pylist()
+        by_place = np.concatenate([np.empty(0), *map(_unpacked_lengths, parts)])
         texts = (_unpacked(p, np.int32, True) for p in own["places"].to_pylist())
         sums = [by_place[p].sum() for p in texts]
         return pa.table([own["row"], pa.array(sums, pa.float64())], schema=to_arrow_schema(kind))
@@ -402,6 +416,8 @@ class Chunk:
     def __init__(self, key: int):
         self.key, self.symbols = key, 0
         self.grams, self.numbers = np.empty(0, np.int64), np.empty(0, np.int32)
+        #: Rows of texts and the numbers of their grams, at most one for each symbol.
+        self.texts: list[tuple[int, np.ndarray]] = []
 
     def places(self, grams: np.ndarray) -> np.ndarray:
         """Numbers of distinct, sorted grams."""
@@ -418,8 +434,9 @@ class Chunk:
 
 
 class Scores:
-    """Rows of texts, with their score as far as frequent words and grams go, and rows of
-    the grams that are looked up for a chunk of them. Words that are not frequent leave
+    """Rows of texts, with their score as far as frequent words and grams go, rows of the
+    grams that are looked up for a chunk of them, and of the places of these in each text:
+    they are numbered by bucket, then in order, so that no numbers travel with them. Words that are not frequent leave
     with the row, to be joined."""
 
     def __init__(self, often, frequent, order: int, buckets: int):
@@ -468,12 +485,20 @@ class Scores:
         scores = np.add.reduceat(lengths[place], np.concatenate(([0], ends[:-1])))
         own = np.split(places[place], ends[:-1])
         for row, score, p in zip(held, scores.tolist(), own, strict=True):
-            yield *row, score, chunk.key, _packed(np.sort(p[p >= 0]), True), None, None
+            yield *row, score, *[None] * 4
+            chunk.texts.append((row[0], p[p >= 0]))
 
     def asked(self, chunk: Chunk) -> Iterator[tuple]:
-        for bucket, at in _dealt(chunk.grams, self.order, self.buckets):
-            places, grams = _packed(chunk.numbers[at]), _packed(chunk.grams[at], True)
-            yield *[None] * 8, chunk.key, places, bucket, grams
+        place, known = np.empty(len(chunk.grams), np.int32), 0
+        parts = sorted(_dealt(chunk.grams, self.order, self.buckets), key=lambda part: part[0])
+        for bucket, at in parts:
+            place[chunk.numbers[at]] = np.arange(known, known + len(at), dtype=np.int32)
+            known += len(at)
+            yield *[None] * 8, chunk.key, None, bucket, _packed(chunk.grams[at], True)
+        for row, numbers in chunk.texts:
+            if len(numbers):
+                packed = _packed(np.sort(place[numbers]), True)
+                yield row, *[None] * 7, chunk.key, packed, None, None
 
     def base(self, body: bytes, frequent: dict[bytes, float]) -> tuple:
         """Tokens, those among them that are frequent, their log10 probability, others."""
@@ -564,10 +589,10 @@ def log_probabilities(
         ),
         "scores",
     )
-    rows = both.where(F.col("bucket").isNull())
+    rows = both.where(F.col("chunk").isNull())
     base = send(pickle.dumps(_base(grams, order)))
     found = _looked_up(grams, both.where(F.col("bucket").isNotNull()), base, order)
-    sums = _sums(rows, found)
+    sums = _sums(both.where(F.col("places").isNotNull()), found)
     rows = rows.drop("chunk", "places", "bucket", "grams")
     rare = (
         rows.select("row", F.explode("rest").alias("own"))
