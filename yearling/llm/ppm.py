@@ -327,9 +327,9 @@ def _base(grams: DataFrame, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
         .groupBy(F.col("g.short").alias("gram"))
         .agg(F.sum("g.sums").alias("n"))
         .sort("gram")
-        .toPandas()
+        .toArrow()
     )
-    levels = [(found["gram"].to_numpy("int64"), found["n"].to_numpy("int64"))]
+    levels = [(found["gram"].to_numpy(), found["n"].to_numpy())]
     for k in range(shared - 1, 0, -1):
         longer, counts = levels[-1]
         levels.append(_summed(_last(longer, k), counts))
@@ -562,7 +562,7 @@ def log_probabilities(
         Frequent(symbols / GRAM_SHARE),
         step=1,
     )
-    often = often.sort("gram").toPandas()
+    often = often.sort("gram").toArrow()
     counts = staged(
         per_row(training, "word binary, n bigint", _word_counts)
         .groupBy("word")
@@ -570,12 +570,13 @@ def log_probabilities(
         "words",
     )
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    frequent = counts.where(F.col("c") * SHARE >= total).collect()
+    frequent = counts.where(F.col("c") * SHARE >= total).toArrow()
+    frequent = zip(frequent["word"].to_pylist(), frequent["c"].to_pylist(), strict=True)
     send = spark.sparkContext.broadcast
     scale = math.log10(total + 0.5 * (distinct + 1))
     scores = Scores(
-        send(pickle.dumps((often["gram"].to_numpy("int64"), often["length"].to_numpy()))),
-        send({bytes(r["word"]): math.log10(r["c"] + 0.5) - scale for r in frequent}),
+        send(pickle.dumps((often["gram"].to_numpy(), often["length"].to_numpy()))),
+        send({word: math.log10(c + 0.5) - scale for word, c in frequent}),
         order,
         buckets,
     )
