@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from yearling.llm.bpe import WORD_BPE, encoder
+from yearling.llm.bpe import WORD_BPE, encoder, library_words
 from yearling.llm.packing import best_fit, pack, pack_lengths, reduce_by_dominance
 from yearling.llm.tokens import encoded, token_digests
 
@@ -42,6 +42,30 @@ def test_encoder_equals_the_library():
         assert coder.decode(ids).decode() == LIBRARY.decode(want, skip_special_tokens=False)
 
 
+def test_words_of_packing_equal_the_library():
+    coder, texts = library_words(WORD_BPE), random_texts(4000)
+    for text, ids in zip(texts, coder.encode_many([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == ids_of(text), text
+
+
+@pytest.mark.parametrize("coder_of", [encoder, library_words])
+def test_letters_of_any_script_are_not_split(coder_of, monkeypatch):
+    text = "Größe, élan! ΟΔΟΣ 中文 naïve Cafe\u0301 İz e\u0301"
+    coder, split = coder_of(WORD_BPE), []
+    whole = type(coder).encode_word
+
+    def encode_word(self, word):
+        split.append(word)
+        return whole(self, word)
+
+    monkeypatch.setattr(type(coder), "encode_word", encode_word)
+    coder.known.clear()
+    [ids] = coder.encode_many([text.encode()])
+    assert np.frombuffer(ids, "<u4").tolist() == ids_of(text)
+    # Only words that are more than their letters in lower case.
+    assert sorted(split) == sorted(["cafe\u0301", "İz", "e\u0301"])
+
+
 def test_every_token_encodes_to_itself():
     coder = encoder(WORD_BPE)
     for text, r in list(coder.rank.items())[::7]:

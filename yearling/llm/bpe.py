@@ -13,15 +13,16 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from tokenizers import Tokenizer
 
 #: The vocabulary used unless another one is given.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
-#: Words, and parts of words, that an encoder remembers; beyond that it starts afresh.
+#: Words but letters, and parts of words, that an encoder remembers; beyond that it starts afresh.
 REMEMBERED, PARTS_REMEMBERED = 150_000, 500_000
 
 #: Marks that the split pattern makes a token of their own after letters.
-MARKS = b".,;:!?"
+MARKS = ".,;:!?"
 
 
 def byte_symbols() -> list[str]:
@@ -31,7 +32,111 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(extra)) for b in range(256)]
 
 
-class Encoder:
+class Words:
+    """Words of texts and the parts that the split pattern makes of them, with their ids
+    remembered; `merged` gives the ids of a part that is not."""
+
+    def __init__(self, spec: dict):
+        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        # In the library \s means the Unicode property.
+        self.pieces = regex.compile(
+            split.replace("[^\\s", "[^\\p{White_Space}").replace("\\s", "\\p{White_Space}")
+        )
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        cut = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
+        self.cut = regex.compile(f"({cut})") if cut else None
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def merged(self, text: str) -> Iterable[bytes]:
+        """Ids, one by one, of a part as a string of symbols."""
+        raise NotImplementedError
+
+    def encode_part(self, part: str) -> bytes:
+        """Ids of what the split pattern leaves together."""
+        ids = self.parts.get(part)
+        if ids is None:
+            text = part
+            if not (part.isascii() and part.isprintable()):
+                text = "".join(map(self.symbols.__getitem__, part.encode()))
+            ids = b"".join(self.merged(text))
+            if len(self.parts) >= PARTS_REMEMBERED:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
+
+    def encode_word(self, text: str) -> bytes:
+        """Ids of text without ASCII white space around it, as unsigned 32-bit integers."""
+        ids: list[bytes] = []
+        for part in self.cut.split(text) if self.cut else [text]:
+            if part in self.special:
+                ids.append(self.special[part].to_bytes(4, "little"))
+                continue
+            if not part.isascii():
+                # Character by character, as the library does: no final sigma.
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            ids.extend(map(self.encode_part, self.pieces.findall(part.lower())))
+        return b"".join(ids)
+
+    def letters_ids(self, letters: str) -> bytes | None:
+        """Ids of letters alone, which are one part unless they change in other ways than
+        by their case; then none."""
+        if not letters.isascii():
+            if not unicodedata.is_normalized("NFC", letters):
+                return None
+            letters = letters.replace("Σ", "σ")
+        lower = letters.lower()
+        if not lower.isalpha():
+            return None
+        return self.parts.get(lower) or self.encode_part(lower)
+
+    def ids_of(self, word: str) -> bytes:
+        """Ids of a word. Letters, as most words are, and letters with a mark after them are
+        remembered as parts; any other word is remembered whole."""
+        ids = None
+        if word.isalpha():
+            ids = self.letters_ids(word)
+        elif word[-1] in MARKS and word[:-1].isalpha():
+            ids = self.letters_ids(word[:-1])
+            ids = ids and ids + self.encode_part(word[-1])
+        ids = ids or self.known.get(word)
+        if ids is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            ids = self.known[word] = self.encode_word(word)
+        return ids
+
+    def encode(self, raw: bytes | None) -> bytes:
+        """Ids of a text. No token spans white space, so words are encoded once each."""
+        words = raw.split() if raw else ()
+        return b"".join(self.ids_of(word.decode("utf-8", "replace")) for word in words)
+
+    def encode_many(self, raws: list[bytes | None]) -> list[bytes]:
+        """Ids of several texts; every distinct word of them is looked up once.
+
+        Letters are lower-cased first, for fewer distinct words, unless a text could
+        hold a special token.
+        """
+        texts = [(raw if b"<|" in raw else raw.lower()) if raw else b"" for raw in raws]
+        texts = pa.array(texts, pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(texts)
+        found = split.flatten().dictionary_encode()
+        distinct = found.dictionary.to_pylist()
+        ids = [self.ids_of(word) if word else b"" for word in distinct]
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        words = found.indices.to_numpy()
+        lengths = sizes[words]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        places = np.repeat(starts[words] - ends[:-1], lengths) + np.arange(ends[-1])
+        tokens = pool[places] if len(places) else pool
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+class Encoder(Words):
     """Encodes and decodes like the tokenizers library, for BPE with word ends.
 
     A pre-token becomes a string of single symbols; the last symbol carries the word
@@ -51,14 +156,7 @@ class Encoder:
             spec = json.load(file)
         model = spec["model"]
         suffix = model["end_of_word_suffix"]
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # In the library \s means the Unicode property.
-        self.pieces = regex.compile(
-            split.replace("[^\\s", "[^\\p{White_Space}").replace("\\s", "\\p{White_Space}")
-        )
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        cut = "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
-        self.cut = regex.compile(f"({cut})") if cut else None
+        super().__init__(spec)
 
         vocab = model["vocab"]
         names = {token: self._inner(token, suffix) for token in vocab}
@@ -86,11 +184,7 @@ class Encoder:
         self.forward.make_automaton()
         self.matches.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
-        symbols = byte_symbols()
-        self.symbols = dict(enumerate(symbols))
         largest = max([*vocab.values(), *self.special.values()])
         texts = [b" "] * (largest + 1)
         for token, number in [*vocab.items(), *self.special.items()]:
@@ -199,74 +293,9 @@ class Encoder:
             before = r
         return out if length == len(text) else []
 
-    def encode_part(self, part: str) -> bytes:
-        """Ids of what the split pattern leaves together."""
-        ids = self.parts.get(part)
-        if ids is None:
-            text = part
-            if not (part.isascii() and part.isprintable()):
-                text = "".join(map(self.symbols.__getitem__, part.encode()))
-            text = text[:-1] + chr(ord(text[-1]) + self.END)
-            ids = b"".join(map(self.packed.__getitem__, self.merge(text)))
-            if len(self.parts) >= PARTS_REMEMBERED:
-                self.parts.clear()
-            self.parts[part] = ids
-        return ids
-
-    def encode_word(self, raw: bytes) -> bytes:
-        """Ids of text without ASCII white space around it, as unsigned 32-bit integers."""
-        # ASCII letters, as most words are, and letters with a mark after them.
-        if raw.isalpha():
-            return self.encode_part(raw.lower().decode())
-        if raw[-1] in MARKS and raw[:-1].isalpha():
-            return self.encode_part(raw[:-1].lower().decode()) + self.encode_part(chr(raw[-1]))
-        text = raw.decode("utf-8", "replace")
-        ids: list[bytes] = []
-        for part in self.cut.split(text) if self.cut else [text]:
-            if part in self.special:
-                ids.append(self.special[part].to_bytes(4, "little"))
-                continue
-            if not part.isascii():
-                # Character by character, as the library does: no final sigma.
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            ids.extend(map(self.encode_part, self.pieces.findall(part.lower())))
-        return b"".join(ids)
-
-    def ids_of(self, word: bytes) -> bytes:
-        """Ids of a word, remembered."""
-        ids = self.known.get(word)
-        if ids is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = self.known[word] = self.encode_word(word)
-        return ids
-
-    def encode(self, raw: bytes | None) -> bytes:
-        """Ids of a text. No token spans white space, so words are encoded once each."""
-        return b"".join(map(self.ids_of, raw.split())) if raw else b""
-
-    def encode_many(self, raws: list[bytes | None]) -> list[bytes]:
-        """Ids of several texts; every distinct word of them is looked up once.
-
-        Letters are lower-cased first, for fewer distinct words, unless a text could
-        hold a special token.
-        """
-        texts = [(raw if b"<|" in raw else raw.lower()) if raw else b"" for raw in raws]
-        texts = pa.array(texts, pa.binary()).cast(pa.string())
-        split = pc.ascii_split_whitespace(texts)
-        found = split.flatten().dictionary_encode()
-        distinct = found.dictionary.cast(pa.binary()).to_pylist()
-        ids = [self.ids_of(word) if word else b"" for word in distinct]
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        words = found.indices.to_numpy()
-        lengths = sizes[words]
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        places = np.repeat(starts[words] - ends[:-1], lengths) + np.arange(ends[-1])
-        tokens = pool[places] if len(places) else pool
-        cuts = ends[split.offsets.to_numpy()].tolist()
-        return [tokens[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    def merged(self, text: str) -> Iterable[bytes]:
+        text = text[:-1] + chr(ord(text[-1]) + self.END)
+        return map(self.packed.__getitem__, self.merge(text))
 
     def decode(self, ids: bytes) -> bytes:
         """The decoded text in UTF-8: each token's slice of one buffer, by its offsets."""
@@ -284,8 +313,28 @@ class Encoder:
         return b"".join(parts)[:-1]
 
 
+class LibraryWords(Words):
+    """Encodes words by the merges of the tokenizers library."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            super().__init__(json.load(file))
+        self.model = Tokenizer.from_file(path).model
+        self.packed: dict[int, bytes] = {}
+
+    def merged(self, text: str) -> list[bytes]:
+        out = []
+        for token in self.model.tokenize(text):
+            number = token.id
+            packed = self.packed.get(number)
+            if packed is None:
+                packed = self.packed[number] = number.to_bytes(4, "little")
+            out.append(packed)
+        return out
+
+
 def encoded_rows(
-    coder: Encoder, rows: Iterable[tuple], size: int = 4 << 20
+    coder: Words, rows: Iterable[tuple], size: int = 4 << 20
 ) -> Iterator[tuple[tuple, bytes]]:
     """Each row, whose last value is a text, and its ids; texts are taken together up to
     a size."""
@@ -305,3 +354,9 @@ def encoded_rows(
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary and Python worker."""
     return Encoder(path)
+
+
+@lru_cache(maxsize=4)
+def library_words(path: str) -> LibraryWords:
+    """As `encoder`, by the library's merges and without decoding."""
+    return LibraryWords(path)

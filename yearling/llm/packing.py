@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yearling.llm.bpe import WORD_BPE, encoded_rows, encoder
+from yearling.llm.bpe import WORD_BPE, encoded_rows, library_words
 from yearling.llm.text import id_and_bytes, per_row
 from yearling.sources.staging import staged
 
@@ -142,7 +142,7 @@ class Pieces:
         self.vocabulary, self.capacity, self.end = vocabulary, capacity, end
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        coder = encoder(self.vocabulary)
+        coder = library_words(self.vocabulary)
         end = np.array([self.end], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), Counter()
         for (doc_id, _), ids in encoded_rows(coder, rows):
