@@ -9,14 +9,16 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from yearling.llm.text import crc_remainder, mix, per_row, tuples, words
+from yearling.llm.text import crc_remainder, mix, per_row, tuples
 from yearling.sources.staging import staged
 
 #: A symbol is a byte or the end; a context may also hold the start. Nine bits each.
@@ -36,8 +38,9 @@ SHARED = 3
 #: Distinct grams, and symbols, of texts that are looked up together.
 WANTED = 1_000_000
 WANTED_SYMBOLS = 32_000_000
-#: Distinct words or grams a task holds before it passes their counts on.
-HELD = 400_000
+#: Bytes of texts whose words a task counts together, and distinct grams it holds, before
+#: it passes their counts on.
+WORDS_TOGETHER = 8 << 20
 GRAMS_HELD = 2_000_000
 #: Symbols that are counted or scored together.
 TOGETHER = 1_000_000
@@ -55,6 +58,26 @@ def codes(body: bytes, order: int) -> np.ndarray:
     return out
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and the place of each value among them.
+
+    Values are hashed, and only the distinct ones sorted: most occur many times.
+    """
+    place, distinct = pd.factorize(values)
+    order = np.argsort(distinct)
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return distinct[order], places[place]
+
+
+def _contexts(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct contexts of sorted grams, and the place of each gram's among them."""
+    contexts = grams >> BITS
+    first = np.ones(len(contexts), bool)
+    first[1:] = contexts[1:] != contexts[:-1]
+    return contexts[first], np.cumsum(first) - 1
+
+
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in a sorted table, and whether each is a hit."""
     at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
@@ -93,7 +116,7 @@ class Trie:
         texts = self._count(0, np.array([END]))[0] if base is None else None
         for k in range(len(self.contexts), len(self.grams)):
             grams, counts = self.grams[k], self.counts[k]
-            contexts, place = np.unique(grams >> BITS, return_inverse=True)
+            contexts, place = _contexts(grams)
             kept = np.bincount(place, counts, len(contexts))
             distinct = np.bincount(place, minlength=len(contexts)).astype(np.float64)
             if k and base is None:
@@ -172,7 +195,7 @@ class Trie:
         order = len(self.grams) - 1
         grams = [codes(body, order) for body in bodies]
         starts = np.cumsum([0] + [len(g) for g in grams[:-1]])
-        distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
+        distinct, place = _distinct(np.concatenate(grams))
         return np.add.reduceat(self.lengths(distinct)[place], starts)
 
 
@@ -186,16 +209,30 @@ def _last(grams: np.ndarray, symbols: int) -> np.ndarray:
 
 
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct grams, sorted, and the sums of their counts."""
-    grams, at = np.unique(grams, return_inverse=True)
-    return grams, np.bincount(at, counts, len(grams)).astype(np.int64)
+    """Distinct grams, sorted, and the sums of their counts; sorted runs are merged."""
+    if not len(grams):
+        return grams, counts
+    order = np.argsort(grams, kind="stable")
+    grams = grams[order]
+    first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+    return grams[first], np.add.reduceat(counts[order], first)
+
+
+def _shortened(
+    grams: np.ndarray, counts: np.ndarray, symbols: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The last symbols of grams, distinct and sorted, and the sums of their counts."""
+    shorter, place = _distinct(_last(grams, symbols))
+    return shorter, np.bincount(place, counts, len(shorter)).astype(np.int64)
 
 
 def _dealt(grams: np.ndarray, order: int, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Buckets and the places of their grams, in order. Grams whose contexts end with the
     same `SHARED` symbols have one bucket, and so have all contexts that these escape to."""
     suffix = _last(grams >> BITS, min(order, SHARED)).astype(np.uint64)
-    own = (mix(suffix) % np.uint64(buckets)).astype(np.int64)
+    # Small numbers are sorted in fewer steps.
+    kind = np.uint16 if buckets <= 1 << 16 else np.int64
+    own = (mix(suffix) % np.uint64(buckets)).astype(kind)
     at = np.argsort(own, kind="stable")
     own = own[at]
     for part in np.split(at, np.flatnonzero(own[1:] != own[:-1]) + 1):
@@ -297,7 +334,7 @@ def _counted(training: DataFrame, order: int, buckets: int) -> DataFrame:
 
     def merged(rows: pa.Table) -> pa.Table:
         grams, counts = _summed(_array(rows["grams"], rising=True), _array(rows["ns"]))
-        short, sums = _summed(_last(grams, shared), counts)
+        short, sums = _shortened(grams, counts, shared)
         found = {
             "bucket": rows["bucket"][:1],
             "grams": [_packed(grams, True)],
@@ -332,7 +369,7 @@ def _base(grams: DataFrame, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     levels = [(found["gram"].to_numpy(), found["n"].to_numpy())]
     for k in range(shared - 1, 0, -1):
         longer, counts = levels[-1]
-        levels.append(_summed(_last(longer, k), counts))
+        levels.append(_shortened(longer, counts, k))
     return levels[::-1]
 
 
@@ -345,7 +382,7 @@ class Frequent:
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         for own, ns in rows:
             grams, counts = _unpacked(own, rising=True), _unpacked(ns)
-            contexts, place = np.unique(grams >> BITS, return_inverse=True)
+            contexts, place = _contexts(grams)
             whole = np.bincount(place, counts + 1, len(contexts))
             often = counts >= self.least
             found = np.log10(counts[often] / whole[place[often]])
@@ -360,10 +397,10 @@ def _looked_up(
 
     def lengths(known: pa.Table, asked: pa.Table) -> pa.Table:
         own, counts = _array(known["grams"], rising=True), _array(known["ns"])
-        levels = [_summed(_last(own, k + 1), counts) for k in range(min(order, SHARED), order)]
+        levels = [_shortened(own, counts, k + 1) for k in range(min(order, SHARED), order)]
         trie = Trie([*levels, (own, counts)], _trie(base.value))
         held = [_unpacked(g, rising=True) for g in asked["grams"].to_pylist()]
-        distinct, place = np.unique(np.concatenate([own[:0], *held]), return_inverse=True)
+        distinct, place = _distinct(np.concatenate([own[:0], *held]))
         found = trie.lengths(distinct)[place]
         ends = np.cumsum([len(g) for g in held])
         parts = [_packed_lengths(x) for x in np.split(found, ends[:-1])] if held else []
@@ -398,16 +435,34 @@ def _sums(texts: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _word_counts(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Counts of words; the end of a text is the empty word."""
-    held: Counter[bytes] = Counter()
-    for (raw,) in rows:
-        held.update(words(raw))
-        held[b""] += 1
-        if len(held) > HELD:
-            yield from held.items()
-            held.clear()
-    yield from held.items()
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words of many texts at a time; the end of a text is the empty word."""
+    held: list[bytes] = []
+    size = 0
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        texts = pa.array(held, pa.binary()).cast(pa.string())
+        found = pc.ascii_split_whitespace(texts).flatten()
+        # White space at either end leaves empty words.
+        found = found.filter(pc.not_equal(found, "")).value_counts()
+        words, counts = found.field("values").cast(pa.binary()), found.field("counts")
+        for a in range(0, len(words), 1 << 16):
+            yield _words_batch(words.slice(a, 1 << 16), counts.slice(a, 1 << 16))
+        yield _words_batch(pa.array([b""], pa.binary()), pa.array([len(held)]))
+
+    for (raw,) in tuples(batches):
+        held.append((raw or b"").lower())
+        size += len(held[-1])
+        if size > WORDS_TOGETHER or len(held) > WORDS_TOGETHER // 64:
+            yield from counted()
+            held, size = [], 0
+    if held:
+        yield from counted()
+    pa.default_memory_pool().release_unused()
+
+
+def _words_batch(words: pa.Array, counts: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([words, counts], ["word", "n"])
 
 
 class Chunk:
@@ -474,7 +529,7 @@ class Scores:
     ) -> Iterator[tuple]:
         grams = [codes(body, self.order) for body in bodies]
         ends = np.cumsum([len(g) for g in grams])
-        distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
+        distinct, place = _distinct(np.concatenate(grams))
         lengths, known = np.zeros(len(distinct)), np.zeros(len(distinct), bool)
         if len(often[0]):
             at, known = _find(often[0], distinct)
@@ -505,10 +560,10 @@ class Scores:
         tokens = Counter(body.split())
         tokens[b""] = 1
         known, base, rest = 0, 0.0, []
-        for word, n in tokens.items():
-            length = frequent.get(word)
+        for item, length in zip(tokens.items(), map(frequent.get, tokens), strict=True):
+            n = item[1]
             if length is None:
-                rest.append((word, n))
+                rest.append(item)
             else:
                 known += n
                 base += n * length
@@ -564,7 +619,7 @@ def log_probabilities(
     )
     often = often.sort("gram").toArrow()
     counts = staged(
-        per_row(training, "word binary, n bigint", _word_counts)
+        training.mapInArrow(_word_counts, "word binary, n bigint")
         .groupBy("word")
         .agg(F.sum("n").alias("c")),
         "words",
