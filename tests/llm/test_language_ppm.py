@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from conftest_llm import prose, words
@@ -214,3 +215,52 @@ def test_better_than_words_on_held_out_texts():
         for w in [*b.split(), None]
     )
     assert trie.scores(test).sum() > base
+
+
+class Asked(dict):
+    """Counts how often each word is looked up."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.asked = Counter()
+
+    def get(self, word, default=None):
+        self.asked[word] += 1
+        return super().get(word, default)
+
+
+@pytest.mark.parametrize("end", [{}, {b"": -0.25}])
+def test_words_of_texts_scored_together_are_looked_up_once(end):
+    fields = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    bodies = [b" a b a\n", b"", b"b\x1cb b c a c", b"\t ", "é é a".encode()]
+    frequent = Asked({b"a": -1.0, b"b": -2.0} | end)
+    scores = ppm.Scores(None, None, 6, 4, pa.schema([("rest", fields)]))
+    found = scores.base(bodies, frequent)
+    # The empty word also stands for the end.
+    assert max(n for word, n in frequent.asked.items() if word) == 1
+    for i, body in enumerate(bodies):
+        tokens = Counter([*body.split(), b""])
+        known = {w: n for w, n in tokens.items() if w in frequent}
+        assert found["n_tokens"][i] == tokens.total()
+        assert found["known"][i] == sum(known.values())
+        assert found["base"][i] == pytest.approx(sum(frequent[w] * n for w, n in known.items()))
+        rest = {r["word"]: r["n"] for r in found["rest"][i].as_py()}
+        assert rest == {w: n for w, n in tokens.items() if w not in frequent}
+
+
+def test_word_counts_of_batches():
+    texts = [b"B b a", None, b"  ", "a É".encode()]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["raw"])
+    rows = [r for b in ppm._word_counts(iter([batch, batch])) for r in b.to_pylist()]
+    total = Counter()
+    for r in rows:
+        total[r["word"]] += r["n"]
+    assert total == {b"b": 4, b"a": 4, "É".encode(): 2, b"": 8}
+
+
+def test_grams_are_summed():
+    grams, sums = ppm._summed(np.array([1, 5, 9, 1, 9, 2]), np.array([1, 2, 3, 4, 5, 6]))
+    assert (grams.tolist(), sums.tolist()) == ([1, 2, 5, 9], [5, 6, 2, 8])
+    assert [len(x) for x in ppm._summed(np.empty(0, int), np.empty(0, int))] == [0, 0]
+    distinct, place = ppm._distinct(np.array([7, -3, 7, 0]))
+    assert (distinct.tolist(), place.tolist()) == ([-3, 0, 7], [2, 0, 2, 1])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -42,8 +42,8 @@ WANTED_SYMBOLS = 32_000_000
 #: it passes their counts on.
 WORDS_TOGETHER = 8 << 20
 GRAMS_HELD = 2_000_000
-#: Symbols that are counted or scored together.
-TOGETHER = 1_000_000
+#: Symbols, and texts, that are counted or scored together.
+TOGETHER, TEXTS_TOGETHER = 1_000_000, 10_000
 
 
 def codes(body: bytes, order: int) -> np.ndarray:
@@ -491,42 +491,52 @@ class Chunk:
 class Scores:
     """Rows of texts, with their score as far as frequent words and grams go, rows of the
     grams that are looked up for a chunk of them, and of the places of these in each text:
-    they are numbered by bucket, then in order, so that no numbers travel with them. Words that are not frequent leave
-    with the row, to be joined."""
+    they are numbered by bucket, then in order, so that no numbers travel with them. Words
+    that are not frequent leave with the row, to be joined. Arrow batches in and out."""
 
-    def __init__(self, often, frequent, order: int, buckets: int):
+    def __init__(self, often, frequent, order: int, buckets: int, schema: pa.Schema):
         self.often, self.frequent, self.order, self.buckets = often, frequent, order, buckets
+        self.schema = schema
         # Workers do not see what the driver sets.
         self.wanted, self.wanted_symbols = WANTED, WANTED_SYMBOLS
         self.together = TOGETHER
 
-    def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, frequent = _often(self.often.value), self.frequent.value
         part, number = TaskContext.get().partitionId(), 0
         held, bodies, size, chunk = [], [], 0, None
-        for doc_id, held_out, raw in rows:
+        for doc_id, held_out, raw in tuples(batches):
             body = (raw or b"").lower()
-            row = part << 33 | number
+            held.append((part << 33 | number, doc_id, held_out))
             number += 1
-            held.append((row, doc_id, held_out, *self.base(body, frequent)))
             bodies.append(body)
             size += len(body)
-            if size > self.together:
+            if size > self.together or len(held) >= TEXTS_TOGETHER:
                 chunk = chunk or Chunk(held[0][0])
-                yield from self.scored(often, chunk, held, bodies)
+                yield self.scored(often, frequent, chunk, held, bodies)
                 held, bodies, size = [], [], 0
                 if len(chunk.grams) > self.wanted or chunk.symbols > self.wanted_symbols:
                     yield from self.asked(chunk)
                     chunk = None
         if held:
             chunk = chunk or Chunk(held[0][0])
-            yield from self.scored(often, chunk, held, bodies)
+            yield self.scored(often, frequent, chunk, held, bodies)
         if chunk:
             yield from self.asked(chunk)
+        # Workers live on; what Arrow keeps for later would add to the next operator's.
+        pa.default_memory_pool().release_unused()
+
+    def batch(self, n: int, **columns) -> pa.RecordBatch:
+        """Rows with some of the columns; the others are null."""
+        arrays = [
+            pa.nulls(n, f.type) if f.name not in columns else pa.array(columns[f.name], f.type)
+            for f in self.schema
+        ]
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
     def scored(
-        self, often: tuple, chunk: Chunk, held: list[tuple], bodies: list[bytes]
-    ) -> Iterator[tuple]:
+        self, often: tuple, frequent: dict, chunk: Chunk, held: list[tuple], bodies: list[bytes]
+    ) -> pa.RecordBatch:
         grams = [codes(body, self.order) for body in bodies]
         ends = np.cumsum([len(g) for g in grams])
         distinct, place = _distinct(np.concatenate(grams))
@@ -539,35 +549,90 @@ class Scores:
         chunk.symbols += len(place)
         scores = np.add.reduceat(lengths[place], np.concatenate(([0], ends[:-1])))
         own = np.split(places[place], ends[:-1])
-        for row, score, p in zip(held, scores.tolist(), own, strict=True):
-            yield *row, score, *[None] * 4
-            chunk.texts.append((row[0], p[p >= 0]))
+        for (row, _, _), p in zip(held, own, strict=True):
+            chunk.texts.append((row, p[p >= 0]))
+        rows, doc_ids, held_out = zip(*held, strict=True)
+        return self.batch(
+            len(held),
+            row=rows,
+            doc_id=doc_ids,
+            held_out=held_out,
+            score=scores,
+            **self.base(bodies, frequent),
+        )
 
-    def asked(self, chunk: Chunk) -> Iterator[tuple]:
+    def asked(self, chunk: Chunk) -> Iterator[pa.RecordBatch]:
         place, known = np.empty(len(chunk.grams), np.int32), 0
         parts = sorted(_dealt(chunk.grams, self.order, self.buckets), key=lambda part: part[0])
+        found = []
         for bucket, at in parts:
             place[chunk.numbers[at]] = np.arange(known, known + len(at), dtype=np.int32)
             known += len(at)
-            yield *[None] * 8, chunk.key, None, bucket, _packed(chunk.grams[at], True)
-        for row, numbers in chunk.texts:
-            if len(numbers):
-                packed = _packed(np.sort(place[numbers]), True)
-                yield row, *[None] * 7, chunk.key, packed, None, None
-
-    def base(self, body: bytes, frequent: dict[bytes, float]) -> tuple:
-        """Tokens, those among them that are frequent, their log10 probability, others."""
-        tokens = Counter(body.split())
-        tokens[b""] = 1
-        known, base, rest = 0, 0.0, []
-        for item, length in zip(tokens.items(), map(frequent.get, tokens), strict=True):
-            n = item[1]
-            if length is None:
-                rest.append(item)
-            else:
-                known += n
-                base += n * length
-        return sum(tokens.values()), known, base, rest
+            found.append((bucket, _packed(chunk.grams[at], True)))
+        for some in _some(found):
+            buckets, packed = zip(*some, strict=True)
+            keys = [chunk.key] * len(some)
+            yield self.batch(len(some), chunk=keys, bucket=buckets, grams=packed)
+        texts = (
+            (row, _packed(np.sort(place[numbers]), True))
+            for row, numbers in chunk.texts
+            if len(numbers)
+        )
+        for some in _some(texts):
+            rows, packed = zip(*some, strict=True)
+            yield self.batch(len(some), row=rows, chunk=[chunk.key] * len(some), places=packed)
+
+    def base(self, bodies: list[bytes], frequent: dict[bytes, float]) -> dict:
+        """Of each text: tokens, those among them that are frequent, their log10
+        probability, and the others with their counts. Distinct words are looked up once."""
+        texts = pa.array(bodies, pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(texts)
+        found = split.flatten().dictionary_encode()
+        words = found.dictionary.cast(pa.binary())
+        lengths = map(frequent.get, words.to_pylist(), repeat(math.nan))
+        lengths = np.fromiter(lengths, np.float64, len(words))
+        # White space at either end leaves empty words; the end is a token of its own.
+        some = pc.not_equal(words, b"").to_numpy(zero_copy_only=False)
+        often = some & ~np.isnan(lengths)
+        lengths = np.where(often, lengths, 0.0)
+        word = found.indices.to_numpy()
+        text = np.repeat(np.arange(len(bodies)), np.diff(split.offsets.to_numpy()))
+        n = len(bodies)
+        rare = (some & ~often)[word]
+        end = frequent.get(b"")
+        # Words that are not frequent, once for each text, text by text.
+        pairs, counts = np.unique(text[rare] * max(1, len(words)) + word[rare], return_counts=True)
+        owner, which = np.divmod(pairs, max(1, len(words)))
+        own, ns = pa.array(which), counts.astype(np.int64)
+        rest = words.take(own)
+        if end is None:
+            # The end of a text is not frequent: one more word of each.
+            owner = np.concatenate((owner, np.arange(n)))
+            order = np.argsort(owner, kind="stable")
+            owner, ns = owner[order], np.concatenate((ns, np.ones(n, np.int64)))[order]
+            rest = pa.concat_arrays([rest, pa.array([b""] * n, pa.binary())]).take(pa.array(order))
+        offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+        kind = self.schema.field("rest").type
+        pairs = pa.StructArray.from_arrays([rest, pa.array(ns)], fields=list(kind.value_type))
+        return {
+            "n_tokens": np.bincount(text, some[word], n).astype(np.int64) + 1,
+            "known": np.bincount(text, often[word], n).astype(np.int64) + (end is not None),
+            "base": np.bincount(text, lengths[word], n) + (end or 0.0),
+            "rest": pa.ListArray.from_arrays(pa.array(offsets), pairs, type=kind),
+        }
+
+
+def _some(rows: Iterable[tuple], most: int = 4096, size: int = 8 << 20) -> Iterator[list[tuple]]:
+    """Rows, whose last value is long, in lists of bounded count and size."""
+    held, waiting = [], 0
+    for row in rows:
+        held.append(row)
+        waiting += len(row[-1])
+        if len(held) >= most or waiting >= size:
+            yield held
+            held, waiting = [], 0
+    if held:
+        yield held
 
 
 @lru_cache(maxsize=1)
@@ -629,22 +694,19 @@ def log_probabilities(
     frequent = zip(frequent["word"].to_pylist(), frequent["c"].to_pylist(), strict=True)
     send = spark.sparkContext.broadcast
     scale = math.log10(total + 0.5 * (distinct + 1))
+    kind = (
+        "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, "
+        "base double, rest array<struct<word: binary, n: bigint>>, score double, "
+        "chunk bigint, places binary, bucket bigint, grams binary"
+    )
     scores = Scores(
         send(pickle.dumps((often["gram"].to_numpy(), often["length"].to_numpy()))),
         send({word: math.log10(c + 0.5) - scale for word, c in frequent}),
         order,
         buckets,
+        to_arrow_schema(StructType.fromDDL(kind)),
     )
-    both = staged(
-        per_row(
-            source,
-            "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, "
-            "base double, rest array<struct<word: binary, n: bigint>>, score double, "
-            "chunk bigint, places binary, bucket bigint, grams binary",
-            scores,
-        ),
-        "scores",
-    )
+    both = staged(source.mapInArrow(scores, kind), "scores")
     rows = both.where(F.col("chunk").isNull())
     base = send(pickle.dumps(_base(grams, order)))
     found = _looked_up(grams, both.where(F.col("bucket").isNotNull()), base, order)
