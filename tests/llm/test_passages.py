@@ -164,3 +164,47 @@ def test_one_change_in_the_middle(table, n):
     found = covered(repeated_passages(table(texts)).collect(), texts)
     assert all(sum(found[i][20 : 20 + n]) >= n - 1 for i in near)
     assert all(not any(found[i]) for i in texts if i not in near)
+
+
+def plain_spans(x, y, width, percent):
+    """Whether each run of `x` is similar to one of `y`, by sets."""
+    others = [set(y[j : j + width]) for j in range(len(y) - width + 1)]
+    return [
+        any(100 * len(own & o) >= percent * len(own | o) for o in others)
+        for own in (set(x[i : i + width]) for i in range(len(x) - width + 1))
+    ]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_spans_are_those_of_similar_runs(seed, monkeypatch):
+    """With and without repeated shingles, and by few searches for common ones."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 1 << 32, rng.integers(16, 60)).astype(np.uint32)
+    y = x.copy()
+    for _ in range(rng.integers(1, 4)):
+        at, more = rng.integers(0, len(y)), rng.integers(0, 1 << 32, rng.integers(0, 5))
+        y = np.concatenate((y[:at], more.astype(np.uint32), y[at + rng.integers(0, 4) :]))
+    y = np.roll(y, rng.integers(0, 20)) if seed % 3 == 0 else y
+    x = np.concatenate((x, x[:6])) if seed % 4 == 1 else x
+    y = np.concatenate((y, y[:6])) if seed % 4 == 2 else y
+    verify = passages.Verify(20, 5, 80, 5)
+    monkeypatch.setattr(verify, "aligned", lambda *_: [])
+    searched, isin = [], np.isin
+    monkeypatch.setattr(np, "isin", lambda a, b: searched.append(1) or isin(a, b))
+    found = verify.spans(x, y)
+    assert len(searched) == (len(x) >= verify.width <= len(y))
+    if len(x) < verify.width or len(y) < verify.width:
+        assert not found
+        return
+    similar = plain_spans(x.tolist(), y.tolist(), verify.width, 80)
+    shared, covered = isin(x, y), np.zeros(len(x), bool)
+    for a, b in found:
+        covered[a : b + 1] = True
+    for i, is_similar in enumerate(similar):
+        run = slice(i, i + verify.width)
+        assert not is_similar or covered[run][shared[run]].all()
+    # Every passage starts and ends with a similar run.
+    for a, b in found:
+        assert shared[a] and shared[b]
+        starts = [i for i, s in enumerate(similar) if s and i <= a < i + verify.width]
+        assert starts and any(s for s in similar[max(0, b - verify.width + 1) : b + 1])

@@ -332,13 +332,18 @@ class Blobs(Passages):
                     yield own, doc_id, w["low"], blob.tobytes()
 
 
-def first_in_run(values: np.ndarray, width: int) -> np.ndarray:
-    """For each run of `width` values, which of them occur in it for the first time."""
+def _before(values: np.ndarray) -> np.ndarray:
+    """The last earlier place of each value, or -1."""
     order = np.argsort(values, kind="stable")
     again = values[order[1:]] == values[order[:-1]]
     before = np.full(len(values), -1)
     before[order[1:][again]] = order[:-1][again]
-    runs = sliding_window_view(before, width)
+    return before
+
+
+def first_in_run(values: np.ndarray, width: int) -> np.ndarray:
+    """For each run of `width` values, which of them occur in it for the first time."""
+    runs = sliding_window_view(_before(values), width)
     return runs < np.arange(len(runs))[:, None]
 
 
@@ -401,7 +406,8 @@ class Verify(Passages):
             more[a : b + 1] = False
         if not more.any():
             return found
-        if len(np.unique(x)) == len(x):
+        plain = len(np.unique(x)) == len(x)
+        if plain:
             # Every run has `w` distinct shingles.
             sizes = np.full(len(x) - w + 1, w)
             sums = np.concatenate(([0], np.cumsum(shared)))
@@ -413,13 +419,39 @@ class Verify(Passages):
         enough &= sums[w:] > sums[:-w]
         if not enough.any():
             return found
-        others = first_in_run(y, w)
-        other_sizes = others.sum(axis=1)
+        order = np.argsort(x, kind="stable")
+        low = np.searchsorted(x, y, "left", sorter=order)
+        high = np.searchsorted(x, y, "right", sorter=order)
+        if plain and len(np.unique(y)) == len(y):
+            # Where each of `y` stands in `x`; each run of both has `w` distinct shingles.
+            place = np.where(low < high, np.append(order, -1)[low], -1)
+
+            def similar(i: int) -> bool:
+                sums = np.concatenate(([0], np.cumsum((place >= i) & (place < i + w))))
+                both = int((sums[w:] - sums[:-w]).max())
+                return 100 * both >= self.percent * (2 * w - both)
 
-        def similar(i: int) -> bool:
-            has = sliding_window_view(np.isin(y, x[i : i + w]), w)
-            both = (has & others).sum(axis=1)
-            return bool((100 * both >= self.percent * (sizes[i] + other_sizes - both)).any())
+        else:
+            # Places in `x` in the order of their values; those of a value have one number.
+            ordered = x[order]
+            numbers = np.searchsorted(ordered, ordered) * len(x) + order
+            wanted, past_all = low * len(x), np.append(order, len(x))
+            # Place p of `y` counts in the runs that start from `since[p]` to p: before
+            # that, an earlier place has its shingle or the run does not reach it.
+            places = np.arange(len(y))
+            since = np.maximum(_before(y) + 1, np.maximum(places - w + 1, 0))
+
+            def distinct(has: np.ndarray) -> np.ndarray:
+                n = len(y) + 1
+                opened = np.bincount(since[has], minlength=n)
+                return np.cumsum(opened - np.bincount(places[has] + 1, minlength=n))[: n - w]
+
+            other_sizes = distinct(np.ones(len(y), bool))
+
+            def similar(i: int) -> bool:
+                at = np.searchsorted(numbers, wanted + i)
+                both = distinct((at < high) & (past_all[at] < i + w))
+                return bool((100 * both >= self.percent * (sizes[i] + other_sizes - both)).any())
 
         for start, past in _rows_of(enough):
             one = next((i for i in range(start, past) if similar(i)), None)
