@@ -24,21 +24,29 @@ from yearling.sources.staging import staged
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with one of the ids, with all their columns."""
-    return docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+def _only(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """The documents with an id that has a row `kept`, with all their columns.
+
+    `marked` has `doc_id` and `kept` for every id. Documents are not shuffled but for those
+    that may have to go.
+    """
+    own = F.col("doc_id").cast(docs.schema["doc_id"].dataType)
+    marked = staged(marked.select(own.alias("doc_id"), "kept"), "marked")
+    kept = marked.where("kept").select("doc_id")
+    some, others = parted(docs, "doc_id", marked.where("not kept or kept is null"))
+    left = some.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return left.unionByName(others.where(F.col("doc_id").isNotNull()))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; those without a letter go."""
-    told = languages(docs).where(F.col("lang_pred") != UNKNOWN)
-    return _only(docs, told)
+    return _only(docs, languages(docs).withColumn("kept", F.col("lang_pred") != UNKNOWN))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with the same text, the one with the largest id."""
-    kept = staged(exact_groups(docs).where("kept").select("doc_id"), "kept")
-    again = kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    marked = staged(exact_groups(docs).select("doc_id", "kept"), "kept")
+    again = marked.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     again = staged(again.select("doc_id"), "again")
     once = docs.join(again, "doc_id", "left_anti")
     whole = F.struct(*(F.col(c) for c in docs.columns))
@@ -48,12 +56,12 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         .agg(F.min(whole).alias("first"))
         .select("first.*")
     )
-    return _only(once.select(docs.columns).unionByName(first), kept)
+    return _only(once.select(docs.columns).unionByName(first), marked)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: five words, similarity 0.8."""
-    return _only(docs, near_groups(docs).where("kept"))
+    return _only(docs, near_groups(docs))
 
 
 def repeated_parts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 
 from yearling.llm import passages
 from yearling.llm.passages import compact_windows, repeated_passages, without_passages
+from yearling.sources.staging import shared_folder
 
 
 @settings(max_examples=200, deadline=None)
@@ -208,3 +210,66 @@ def test_spans_are_those_of_similar_runs(seed, monkeypatch):
         assert shared[a] and shared[b]
         starts = [i for i, s in enumerate(similar) if s and i <= a < i + verify.width]
         assert starts and any(s for s in similar[max(0, b - verify.width + 1) : b + 1])
+
+
+def member(doc_id, context, spans=None):
+    context = np.array(context, np.uint32).tobytes()
+    return {"text_id": doc_id, "doc_id": doc_id, "before": 0, "firsts": [0], "context": context,
+            "spans": spans}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_blocks_find_what_pairs_find(seed):
+    """All that is shared in some similar run is covered, by whatever other."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 32, 60).astype(np.uint32)
+    base[40:45] = base[:5] if seed % 3 == 0 else base[40:45]
+    contexts = []
+    for _ in range(24):
+        one = base[rng.integers(0, 12) : 60 - rng.integers(0, 12)].copy()
+        for at in rng.integers(0, len(one), rng.integers(0, 4)):
+            one[at : at + 3] = rng.integers(0, 40, len(one[at : at + 3]))
+        contexts.append(one)
+    rest = passages.Rest(20, 5, 80, 5)
+    members = [member(i, c) for i, c in enumerate(contexts)]
+    rows = [(1, 0, members, members[k : k + 8]) for k in (0, 8, 16)]
+    got = [np.zeros(len(c), bool) for c in contexts]
+    for _, doc_id, a, b, other in rest(iter(rows)):
+        assert other < doc_id
+        got[doc_id][a : b + 1] = True
+    w = rest.width
+    for i, x in enumerate(contexts):
+        for y in contexts[:i]:
+            for k, similar in enumerate(plain_spans(x.tolist(), y.tolist(), w, 80)):
+                assert not similar or got[i][k : k + w][np.isin(x[k : k + w], y)].all()
+
+
+def test_blocks_compare_little_once_all_is_found(monkeypatch):
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 32, 80).astype(np.uint32)
+    contexts = []
+    for k in range(60):
+        one = base.copy()
+        one[k : k + 2] = rng.integers(0, 1 << 32, 2)
+        contexts.append(one)
+    compared, spans = [], passages.Verify.spans
+    monkeypatch.setattr(
+        passages.Verify, "spans", lambda *a: compared.append(1) or spans(*a)
+    )
+    rest = passages.Rest(50, 5, 80, 5)
+    members = [member(i, c) for i, c in enumerate(contexts)]
+    rows = [(1, 0, members, members[k : k + 20]) for k in (0, 20, 40)]
+    found = {r[1] for r in rest(iter(rows))}
+    assert found == set(range(1, 60))
+    assert len(compared) < 4 * 60
+
+
+def test_tables_that_nothing_reads_are_deleted(table, spark):
+    folder = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    shared = prose(4, 60)
+    texts = {i: f"{prose(i, 30)} {shared} {prose(50 + i, 30)}" for i in range(6)}
+    found = repeated_passages(table(texts))
+    left = {p.name.split("-")[0] for p in set(folder.iterdir()) - before}
+    assert not left & {"windows", "met", "meeting", "members", "ordered", "shingles", "chains"}
+    assert len(found.collect()) == 5

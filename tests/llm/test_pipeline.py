@@ -45,6 +45,18 @@ def test_stages_on_planted_documents(spark, table, tmp_path):
     assert kept[4] == [2, 4, 5, 8, 9]
 
 
+def test_only_what_may_go_is_shuffled(spark, table):
+    """Ids with a kept row stay with all their rows; null ids go; the rest is not joined."""
+    docs = table([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (4, "f")])
+    marked = spark.createDataFrame(
+        [(1, True), (1, False), (2, False), (3, True), (None, True), (4, None)],
+        "doc_id bigint, kept boolean",
+    )
+    left = corpus_pipeline._only(docs, marked)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [(1, "a"), (1, "b"), (3, "d")]
+
+
 def test_stages_are_named():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language", "exact_dedup", "near_dedup", "substring_dedup", "packing",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearling.sources.staging import staged
+from yearling.sources.staging import discard, staged
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -54,7 +54,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _mark(edges)
     while before[0]:
-        edges = staged(_small(_large(edges)), "edges")
+        old, edges = edges, staged(_small(_large(edges)), "edges")
+        discard(old)
         after = _mark(edges)
         if after == before:
             break

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from yearling.llm.components import components
 from yearling.llm.text import id_and_bytes, mix, per_row, shingle_hashes, word_hashes, words
-from yearling.sources.staging import staged
+from yearling.sources.staging import discard, staged
 
 #: Rows of a band and bands. Two sets of Jaccard 0.85 share no band with a chance of
 #: (1 - 0.85^5)^30, or 2 in 10^8.
@@ -280,7 +280,9 @@ def _join_rest(
     more = staged(
         per_row(pairs, "a bigint, b bigint", LinkBlocks(percent), step=4).distinct(), "more_links"
     )
-    merged = staged(components(more), "merged").select(
+    merged = staged(components(more), "merged")
+    discard(more, blocks, open_members, members, sets)
+    merged = merged.select(
         F.col("node").alias("component"), F.col("component").alias("to")
     )
     return found.unionByName(

@@ -24,7 +24,7 @@ from yearling.llm.text import (
     word_hashes,
     words,
 )
-from yearling.sources.staging import staged
+from yearling.sources.staging import discard, staged
 
 #: Words of a shingle; similarity of two passages, in percent, of their distinct shingles.
 SHINGLE, PERCENT = 5, 80
@@ -39,10 +39,11 @@ RUN = 11
 
 #: Earlier documents of a bucket that a window is compared with, round by round; what no
 #: round resolves is compared with all.
-ROUNDS = (1, 5, 21, 85)
+ROUNDS = (1, 5)
 
-#: Members of a bucket that one task compares with each other in the end.
-BLOCK = 256
+#: Members of a bucket that are compared with each other at a time in the end, and blocks
+#: that one task goes through one after the other.
+BLOCK, STRIPE = 256, 16
 
 #: Bytes of text that are looked at together.
 STEP = 1 << 20
@@ -353,13 +354,23 @@ def _rows_of(marks: np.ndarray) -> list[list[int]]:
     return edges.reshape(-1, 2).tolist()
 
 
+def mark(done: np.ndarray, first: int, spans: list[dict]) -> None:
+    """Set what passages cover of the places from `first` on."""
+    for s in spans:
+        done[max(0, s["first"] - first) : max(0, s["last"] + 1 - first)] = True
+
+
 class Verify(Passages):
     """Passages of one part of a text that are similar to some of another's."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        for text, doc_id, hub_doc, first, shift, x, y in rows:
+        for text, doc_id, hub_doc, first, shift, x, y, spans in rows:
             x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-            for a, b in self.spans(x, y, shift):
+            done = None
+            if spans:
+                done = np.zeros(len(x), bool)
+                mark(done, first, spans)
+            for a, b in self.spans(x, y, shift, done):
                 yield text, doc_id, first + a, first + b, hub_doc
 
     def promising(self, shared: np.ndarray, fresh: np.ndarray) -> np.ndarray:
@@ -386,13 +397,15 @@ class Verify(Passages):
             found.append((low + start + int(inside[0]), low + start + int(inside[-1])))
         return found
 
-    def spans(self, x: np.ndarray, y: np.ndarray, shift: int = 0) -> list[tuple[int, int]]:
+    def spans(
+        self, x: np.ndarray, y: np.ndarray, shift: int = 0, done: np.ndarray | None = None
+    ) -> list[tuple[int, int]]:
         """First and last shingle of each passage of `x` that is similar to one of `y`.
 
         First what is similar place by place. Then, if `y` has more of `x`: runs of the
         least width with enough of what `y` has, wherever it stands there, follow each
         other; of each such row the first and last that are similar to a run of `y` bound a
-        passage.
+        passage. Runs of which `y` has nothing beyond what is `done` are left out.
         """
         w = self.width
         if len(x) < w or len(y) < w:
@@ -404,14 +417,18 @@ class Verify(Passages):
         more = shared.copy()
         for a, b in found:
             more[a : b + 1] = False
+        if done is not None:
+            more &= ~done
         if not more.any():
             return found
         plain = len(np.unique(x)) == len(x)
+        both_plain = plain and len(np.unique(y)) == len(y)
         if plain:
             # Every run has `w` distinct shingles.
             sizes = np.full(len(x) - w + 1, w)
             sums = np.concatenate(([0], np.cumsum(shared)))
-            enough = 100 * (sums[w:] - sums[:-w]) >= self.percent * w
+            both = sums[w:] - sums[:-w]
+            enough = both >= self.least if both_plain else 100 * both >= self.percent * w
         else:
             fresh = first_in_run(x, w)
             sizes, enough = fresh.sum(axis=1), self.promising(shared, fresh)
@@ -422,7 +439,7 @@ class Verify(Passages):
         order = np.argsort(x, kind="stable")
         low = np.searchsorted(x, y, "left", sorter=order)
         high = np.searchsorted(x, y, "right", sorter=order)
-        if plain and len(np.unique(y)) == len(y):
+        if both_plain:
             # Where each of `y` stands in `x`; each run of both has `w` distinct shingles.
             place = np.where(low < high, np.append(order, -1)[low], -1)
 
@@ -499,40 +516,116 @@ class Hopeful(Verify):
                 a, b = reach_of(centre, reach)
                 a, b = max(a, centre - w + 1) - low, min(centre, b - w + 1) - low
                 if enough[a : b + 1].any():
-                    yield text, centre
+                    yield text, centre, reach
 
 
 class Rest(Verify):
-    """Windows of one block of a bucket against those of another, of earlier documents."""
+    """Windows of one block of a bucket against those of others, of earlier documents. What
+    one block has settled need not be looked for in the next."""
 
     def __call__(self, rows: Iterator[tuple]) -> Iterator[tuple]:
-        for left, right in rows:
-            others = [
-                (
-                    m["doc_id"],
-                    m["before"],
-                    a := np.frombuffer(m["context"], np.uint32),
-                    set(a.tolist()),
-                )
-                for m in right
-            ]
-            for m in left:
+        last = None
+        for key, block, left, right in rows:
+            if last != (key, block):
+                last, settled = (key, block), [self.settled(m) for m in left]
+            right.sort(key=lambda m: m["doc_id"])
+            others = [np.frombuffer(m["context"], np.uint32) for m in right]
+            docs = np.array([m["doc_id"] for m in right])
+            flat = np.concatenate(others)
+            order = np.argsort(flat, kind="stable")
+            owner = np.repeat(np.arange(len(others)), [len(o) for o in others])[order]
+            flat = flat[order]
+            plain = np.array([len(np.unique(o)) == len(o) for o in others])
+            for m, done in zip(left, settled, strict=True):
                 x = np.frombuffer(m["context"], np.uint32)
-                mine, told = set(x.tolist()), set()
-                plain = len(mine) == len(x)
-                for doc_id, before, y, theirs in others:
-                    if doc_id >= m["doc_id"]:
-                        continue
-                    if plain and len(theirs) == len(y) and len(mine & theirs) < self.least:
-                        continue
-                    for span in self.spans(x, y, before - m["before"]):
-                        if span not in told:
-                            told.add(span)
-                            for first in m["firsts"]:
-                                a, b = (first + p for p in span)
-                                yield m["text_id"], m["doc_id"], a, b, doc_id
-                    if (0, len(x) - 1) in told:
-                        break
+                earlier = int(np.searchsorted(docs, m["doc_id"]))
+                has = self.shared_by(x, flat, owner, earlier, done, plain.all())
+                if has is None:
+                    continue
+                for j, span in self.new_spans(x, m["before"], has, plain, others, right, done):
+                    for first in m["firsts"]:
+                        a, b = (first + p for p in span)
+                        yield m["text_id"], m["doc_id"], a, b, right[j]["doc_id"]
+
+    def settled(self, m: dict) -> np.ndarray:
+        """What passages cover of a window at each of its places."""
+        done = np.ones(len(m["context"]) // 4, bool)
+        for first in m["firsts"]:
+            own = np.zeros(len(done), bool)
+            mark(own, first, m["spans"] or ())
+            done &= own
+        return done
+
+    def shared_by(
+        self,
+        x: np.ndarray,
+        flat: np.ndarray,
+        owner: np.ndarray,
+        earlier: int,
+        done: np.ndarray,
+        plain: bool,
+    ) -> np.ndarray | None:
+        """Which of `x` each of the first `earlier` others has; nothing if all of them
+        together have too little, or nothing beyond what is done."""
+        low = np.searchsorted(flat, x, "left")
+        # Of equal values the first is that of the smallest owner.
+        some = np.append(flat, 0)[low] == x
+        some &= np.append(owner, earlier)[low] < earlier
+        if len(x) < self.width or not (some & ~done).any():
+            return None
+        fresh = first_in_run(x, self.width)
+        enough = self.enough(some[None], fresh, np.array([plain]))
+        if not (enough & (self.in_runs((some & ~done)[None]) > 0)).any():
+            return None
+        counts = np.where(some, np.searchsorted(flat, x, "right") - low, 0)
+        ends = np.cumsum(counts)
+        at = np.arange(ends[-1]) + np.repeat(low - ends + counts, counts)
+        has = np.zeros((int(owner.max()) + 1, len(x)), bool)
+        has[owner[at], np.repeat(np.arange(len(x)), counts)] = True
+        return has[:earlier]
+
+    def enough(self, has: np.ndarray, fresh: np.ndarray, plain: np.ndarray) -> np.ndarray:
+        """For each row, the runs with as many of the distinct shingles as similar ones
+        share at least; `plain` others repeat none, so that their runs have `width`."""
+        if fresh.all():
+            need = np.where(plain, self.least, -(-self.percent * self.width // 100))
+            return self.in_runs(has) >= need[:, None]
+        both = (sliding_window_view(has, self.width, axis=1) & fresh).sum(axis=2)
+        return 100 * both >= self.percent * fresh.sum(axis=1)
+
+    def new_spans(
+        self,
+        x: np.ndarray,
+        before: int,
+        has: np.ndarray,
+        plain: np.ndarray,
+        others: list[np.ndarray],
+        right: list[dict],
+        done: np.ndarray,
+    ) -> Iterator[tuple[int, tuple[int, int]]]:
+        """Passages of `x` like some of the others, one after the other, as long as the next
+        has more than those before."""
+        enough = self.enough(has, first_in_run(x, self.width), plain[: len(has)])
+        j = -1
+        while True:
+            rows = np.flatnonzero(enough[j + 1 :].any(axis=1)) + j + 1
+            new = (enough[rows] & (self.in_runs(has[rows] & ~done) > 0)).any(axis=1)
+            again = False
+            for j in rows[new].tolist():
+                for a, b in self.spans(x, others[j], right[j]["before"] - before, done):
+                    again |= not done[a : b + 1].all()
+                    done[a : b + 1] = True
+                    yield j, (a, b)
+                if again:
+                    break
+            if not again:
+                return
+
+    def in_runs(self, marks: np.ndarray) -> np.ndarray:
+        """Marks in each run of the least width, row by row."""
+        sums = np.zeros((len(marks), marks.shape[1] + 1), np.int32)
+        np.cumsum(marks, axis=1, out=sums[:, 1:])
+        return sums[:, self.width :] - sums[:, : -self.width]
 
 
 class Merge:
@@ -591,9 +684,12 @@ def repeated_passages(
        one hash function, then those of all where that has left something.
     4. Windows with shingles that earlier documents have, but no passage found covers, go
        on if they have enough of them: first with the next few documents of the bucket, in
-       rounds that leave fewer and fewer where many copies differ here and there. What the last
-       round leaves is compared with all earlier documents of its bucket, in pairs of
-       blocks of bounded size.
+       rounds that leave fewer and fewer where many copies differ here and there. What the
+       last round leaves is compared with all earlier documents of its bucket, in pairs of
+       blocks of bounded size. There, shingles are counted for a whole block at a time, and
+       two windows are compared in full only if one has something that is not yet found.
+
+    Staged tables are deleted once nothing reads them any more.
     """
     settings = (min_words, shingle, percent, hashes)
     source = id_and_bytes(docs, id_col, text_col).where("doc_id is not null")
@@ -611,7 +707,9 @@ def repeated_passages(
         keys.join(classes, "text_key").where("doc_id > first_id").dropDuplicates(["text_id"]),
         "copies",
     )
-    spans = _spans(source, _members(texts, copies), settings)
+    members = _members(texts, copies)
+    discard(texts, classes)
+    spans = _spans(source, members, settings)
     merged = per_row(
         spans.groupBy("text_id", "doc_id").agg(
             F.collect_set(F.struct("first", "last", "other")).alias("spans")
@@ -666,7 +764,9 @@ def _members(texts: DataFrame, copies: DataFrame) -> DataFrame:
         )
     )
     each = meeting.select(run.alias("key"), "doc_id", "text_id", "centre", "reach")
-    return staged(each.join(_met(each, "key"), "key", "left_semi"), "members")
+    members = staged(each.join(_met(each, "key"), "key", "left_semi"), "members")
+    discard(met, meeting)
+    return members
 
 
 def _blobs(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
@@ -688,7 +788,9 @@ def _blobs(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
         step=32,
     )
     # Repeated rows have the same blob.
-    return staged(found.dropDuplicates(["text_id"]).drop("doc_id"), "shingles")
+    blobs = staged(found.dropDuplicates(["text_id"]).drop("doc_id"), "shingles")
+    discard(wanted)
+    return blobs
 
 
 def _part(blob: Column, low: Column, first: Column, last: Column) -> Column:
@@ -706,6 +808,7 @@ def _spans(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
     hubs = ordered.where("rank = 1").select("key", "hub")
     chains = _chains(members.where(first_hash), hubs, settings)
     spans = staged(_verified(chains, blobs, settings), "spans")
+    discard(chains)
     # Windows of the first hash function have met the first document of their bucket.
     left = _beyond(members.where(first_hash), ordered, 1).unionByName(
         _beyond(members.where(~first_hash), ordered, 0)
@@ -715,15 +818,21 @@ def _spans(source: DataFrame, members: DataFrame, settings: tuple) -> DataFrame:
     before = 0
     for most in ROUNDS:
         open_ = staged(_hopeful(left, shared, blobs, spans, settings), "open")
+        discard(left)
         if open_.isEmpty():
-            return spans
+            break
         hubs = ordered.where(F.col("rank").between(before + 1, most)).select("key", "hub")
         chains = _chains(open_, hubs, settings)
-        spans = spans.unionByName(staged(_verified(chains, blobs, settings), "spans"))
+        spans = spans.unionByName(staged(_verified(chains, blobs, settings, spans), "spans"))
         left = staged(_uncovered(_beyond(open_, ordered, most), spans), "left")
+        discard(chains, open_)
         before = most
-    open_ = staged(_hopeful(left, shared, blobs, spans, settings), "open")
-    return spans.unionByName(_rest(members, open_, blobs, settings))
+    else:
+        open_ = staged(_hopeful(left, shared, blobs, spans, settings), "open")
+        discard(left)
+        spans = spans.unionByName(_rest(members, open_, blobs, spans, settings))
+    discard(blobs, ordered, members, shared, open_)
+    return spans
 
 
 def _beyond(windows: DataFrame, ordered: DataFrame, tried: int) -> DataFrame:
@@ -738,11 +847,10 @@ def _beyond(windows: DataFrame, ordered: DataFrame, tried: int) -> DataFrame:
 
 def _uncovered(windows: DataFrame, spans: DataFrame) -> DataFrame:
     """The windows that do not lie in one passage found."""
-    held = spans.groupBy("text_id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     low, high = F.expr("centre - (shiftright(reach, 10) & 1023)"), F.expr("centre + (reach & 1023)")
     inside = F.exists("spans", lambda s: (s["first"] <= low) & (s["last"] >= high))
     return (
-        windows.join(held, "text_id", "left")
+        windows.join(_held(spans), "text_id", "left")
         .where(F.col("spans").isNull() | ~inside)
         .select(windows.columns)
     )
@@ -783,7 +891,15 @@ def _chains(open_: DataFrame, hubs: DataFrame, settings: tuple) -> DataFrame:
     )
 
 
-def _verified(chains: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame:
+def _held(spans: DataFrame) -> DataFrame:
+    """The passages found of each text."""
+    return spans.groupBy("text_id").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+
+
+def _verified(
+    chains: DataFrame, blobs: DataFrame, settings: tuple, spans: DataFrame | None = None
+) -> DataFrame:
+    """What of the chains are passages; those that can only tell what `spans` do are left out."""
     own = blobs.select("text_id", F.col("low").alias("own_low"), F.col("blob").alias("own"))
     other = blobs.select(
         F.col("text_id").alias("hub_id"), F.col("low").alias("hub_low"), F.col("blob").alias("hub")
@@ -797,6 +913,13 @@ def _verified(chains: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame
         .withColumn("y", _part(col("hub"), col("hub_low"), col("hub_first"), col("hub_last")))
         .select("text_id", "doc_id", "hub_doc", "first", "shift", "x", "y")
     )
+    if spans is None:
+        rows = rows.withColumn("spans", F.lit(None).cast("array<struct<first:int,last:int>>"))
+    else:
+        rows = rows.join(_held(spans), "text_id", "left")
+        rows = rows.select(
+            "text_id", "doc_id", "hub_doc", "first", "shift", "x", "y", "spans"
+        )
     return per_row(
         rows,
         "text_id bigint, doc_id bigint, first int, last int, other bigint",
@@ -849,32 +972,30 @@ def _hopeful(
     """
     windows = F.collect_set(F.struct("centre", "reach")).alias("windows")
     mine = left.groupBy("text_id").agg(windows)
-    held = (
-        spans.join(mine.select("text_id"), "text_id", "left_semi")
-        .groupBy("text_id")
-        .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    )
+    held = _held(spans.join(mine.select("text_id"), "text_id", "left_semi"))
     hopeful = per_row(
         mine.join(shared, "text_id")
         .join(blobs, "text_id")
         .join(held, "text_id", "left")
         .select("text_id", "low", "blob", "windows", "shared", "spans"),
-        "text_id bigint, centre int",
+        "text_id bigint, centre int, reach int",
         Hopeful(*settings),
         step=64,
     )
-    return left.join(hopeful, ["text_id", "centre"], "left_semi").select(left.columns)
+    return left.join(hopeful, ["text_id", "centre", "reach"], "left_semi").select(left.columns)
 
 
-def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tuple) -> DataFrame:
+def _rest(
+    members: DataFrame, open_: DataFrame, blobs: DataFrame, spans: DataFrame, settings: tuple
+) -> DataFrame:
     """What no round has covered, compared with all earlier documents of its bucket."""
     left, right = F.expr("shiftright(reach, 10) & 1023"), F.expr("reach & 1023")
 
-    def in_blocks(rows: DataFrame, name: str) -> DataFrame:
+    def in_blocks(rows: DataFrame, name: str, more: tuple = ()) -> DataFrame:
         sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
         first = F.col("centre") - left
         context = _part(F.col("blob"), F.col("low"), first, F.col("centre") + right)
-        member = F.struct("text_id", "doc_id", "before", "firsts", "context")
+        member = F.struct("text_id", "doc_id", "before", "firsts", "context", *more)
         # Where a text repeats itself, equal contexts are one with several places.
         contexts = (
             rows.join(blobs, "text_id")
@@ -889,6 +1010,8 @@ def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tupl
             .groupBy("key", "text_id", "doc_id", "before", "context")
             .agg(F.collect_list("first").alias("firsts"))
         )
+        if more:
+            contexts = contexts.join(_held(spans), "text_id", "left")
         block = F.expr(f"pmod(xxhash64(text_id, context), cast(ceil(n / {BLOCK}) as int))")
         return staged(
             contexts.join(sizes, "key")
@@ -899,12 +1022,16 @@ def _rest(members: DataFrame, open_: DataFrame, blobs: DataFrame, settings: tupl
         )
 
     wanted = members.join(open_.select("key").distinct(), "key", "left_semi")
-    pairs = in_blocks(open_, "asking").join(
+    pairs = in_blocks(open_, "asking", ("spans",)).join(
         in_blocks(wanted, "asked").withColumnRenamed("block", "other"), "key"
     )
     # A stated number: the work is in comparing, which few bytes can be much of.
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(tasks, "key", "block", "other").select("asking", "asked")
+    pairs = (
+        pairs.repartition(tasks, "key", "block", F.expr(f"other div {STRIPE}"))
+        .sortWithinPartitions("key", "block", "other")
+        .select("key", "block", "asking", "asked")
+    )
     return per_row(
         pairs,
         "text_id bigint, doc_id bigint, first int, last int, other bigint",

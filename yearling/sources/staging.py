@@ -47,6 +47,21 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `staged` that nothing reads any more.
+
+    What was made of them must be staged itself, or it could not be made again.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        context = spark.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+            if path.getParent().getName() != shared_folder(spark).rsplit("/", 1)[-1]:
+                raise ValueError(f"{folder} is no staged table")
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Gather partition values before a write, in files of a sound size.
 
